@@ -55,8 +55,13 @@ def sdiv(a, b) -> Column:
 
 
 def r6(x) -> Column:
-    """Round to 6 places; ``+ 0.0`` folds -0.0 into 0.0 for stable hashes."""
-    return F.round(col(x), 6) + F.lit(0.0)
+    """Round to 6 places for cross-engine hashing.
+
+    Scales first and rounds the scaled double to an integer, so every engine
+    rounds the same binary value (no decimal-string ties); ``+ 0.0`` folds
+    -0.0 into 0.0.
+    """
+    return F.round(col(x) * 1e6) / 1e6 + F.lit(0.0)
 
 
 def diff(x, w: WindowSpec, n: int = 1) -> Column:

@@ -80,7 +80,7 @@ def ts_rank(x: str, n: int, w: WindowSpec) -> Column:
 
 def decay_linear(x: str, n: int, w: WindowSpec) -> Column:
     """Weights 1..n over the window (newest heaviest), normalised."""
-    terms = [F.lag(col(x), k).over(w) * float(n - k) for k in range(n)]
+    terms = [(col(x) if k == 0 else F.lag(col(x), k).over(w)) * float(n - k) for k in range(n)]
     total = terms[0]
     for t in terms[1:]:
         total = total + t

@@ -45,7 +45,7 @@ def sq7(x: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"(round({x}, 6) + 0.0)"
+    return f"(round(({x}) * 1000000.0) / 1000000.0 + 0.0)"
 
 
 def dbl(x: str) -> str:
@@ -178,11 +178,152 @@ lab AS (SELECT {KEY}, r5, sma5, {label_fwd_return(4)} AS result4 FROM stock_feat
     return with_base(body, extra)
 
 
+STOCK_GROUPS = {
+    "stock_returns": ["preclose", "pctChg", "pctChg2", "pctChg4", "pctChg8", "pctChg15", "pctChg30"],
+    "stock_volume": ["volume", "amount", "avg_price", "day_price", "v5", "v10", "v20", "v40", "v80",
+                     "v3_9", "v5_20", "v9_50", "v5_d", "v10_d", "v20_d", "v40_d", "v80_d",
+                     "v3_9_d", "v5_20_d", "v9_50_d"],
+    "stock_range": ["max20", "max60", "max120", "min20", "min60", "min120", "20_min", "60_min",
+                    "120_min", "20_max", "60_max", "120_max"],
+    "stock_ma_slope": ["sma5", "sma10", "sma20", "sma40", "sma80", "5_d", "10_d", "20_d", "40_d", "80_d"],
+    "stock_ma_dev": ["r5", "r10", "r20", "r40", "r80"],
+    "stock_ma_cross": ["r5_20", "r10_40", "r20_80", "r5_40", "r5_20_d", "r10_40_d", "r20_80_d"],
+    "stock_gap": ["highratio", "lowratio", "openratio"],
+}
+
+
+def _stock_group(cols):
+    return lambda: with_base(select_out("stock_feat", cols), stock_ctes())
+
+
+def valuation_sql(src: str = "clean") -> str:
+    close = "(CAST(close_c AS DOUBLE) / 100)"
+    flow = sdiv(f"1e-8 * {close} * CAST(volume AS DOUBLE)", "turn")
+    v = {
+        "flowmkt": sq7(f"(CASE WHEN {flow} > 0 THEN ln({flow}) END)"),
+        "everyprofit": sq7(sdiv("10.0", "peTTM")),
+        "turn": sq7("(CASE WHEN turn / 10.0 >= 0 THEN pow(turn / 10.0, 0.2) END)"),
+        "everypb": sq7(sdiv("2.0", "pbMRQ")),
+        "eversale": sq7(sdiv("2.0", "(CASE WHEN psTTM >= 0 THEN sqrt(psTTM) END)")),
+        "evermoney": sq7(sdiv("20.0", "pcfNcfTTM")),
+    }
+    cols = ", ".join(f"coalesce({e}, 0.0) AS {k}" for k, e in v.items())
+    return f"SELECT * EXCLUDE (turn), {cols} FROM {src}"
+
+
+def _valuation():
+    cols = ["flowmkt", "everyprofit", "turn", "everypb", "eversale", "evermoney"]
+    return with_base(select_out("val", cols), f"val AS ({valuation_sql()})")
+
+
+CLOSES = "closes AS (SELECT *, CAST(close_c AS DOUBLE) / 100 AS close FROM clean)"
+
+
+def _w(body: str, extra: str = "") -> str:
+    return with_base(body, CLOSES + ("," + extra if extra else ""))
+
+
+def _w_lag():
+    return _w(f"SELECT {KEY}, {r6(lag('close', 1))} AS lag1, {r6(lag('close', 5))} AS lag5, "
+              f"{lag('volume', 1)} AS vol_lag1 FROM closes")
+
+
+def _w_lead():
+    return _w(f"SELECT {KEY}, {r6(lead('close', 1))} AS lead1, {r6(lead('close', 10))} AS lead10 FROM closes")
+
+
+def _w_diff():
+    return _w(f"SELECT {KEY}, {r6('close - ' + lag('close', 1))} AS diff1, "
+              f"{r6('close - ' + lag('close', 5))} AS diff5 FROM closes")
+
+
+def _rolling_extrema():
+    cols = []
+    for n in (20, 60, 120):
+        cols.append(f"{r6(dbl(prior_ext('max', 'high_c', n)) + ' / 100')} AS max{n}")
+        cols.append(f"{r6(dbl(prior_ext('min', 'low_c', n)) + ' / 100')} AS min{n}")
+    return _w(f"SELECT {KEY}, {', '.join(cols)} FROM (SELECT *, row_number() OVER ({WS}) AS rn FROM closes)")
+
+
+def _forward_extrema():
+    cols = []
+    for k in (2, 4, 7, 10):
+        cols.append(f"{r6(dbl(fwd_ext('max', 'close_c', k)) + ' / 100')} AS fmax{k}")
+        cols.append(f"{r6(dbl(fwd_ext('min', 'close_c', k)) + ' / 100')} AS fmin{k}")
+    return _w(f"SELECT {KEY}, {', '.join(cols)} FROM closes")
+
+
+def _centered_mean():
+    fr = frame(-4, 5)
+    return _w(f"SELECT {KEY}, {r6(f'CASE WHEN count(close) OVER {fr} = 10 THEN avg(close) OVER {fr} END')} AS cmean10 FROM closes")
+
+
+def _w_rolling_sum():
+    fr = frame(-25, 0)
+    return _w(f"""SELECT {KEY},
+  CAST(CASE WHEN count(*) OVER {fr} = 26 THEN sum(volume) OVER {fr} END AS BIGINT) AS vol_sum26,
+  {r6(f'CASE WHEN count(*) OVER {fr} = 26 THEN CAST(sum(high_c - open_c) OVER {fr} AS DOUBLE) / 100 END')} AS ho_sum26
+FROM closes""")
+
+
+def _clip_values():
+    return _w(f"SELECT {KEY}, {r6(clip('50.0 * (' + sdiv('close', lag('close')) + ' - 1.0)'))} AS clipped FROM closes")
+
+
+def _squash():
+    ret = f"({sdiv('close', lag('close'))} - 1.0)"
+    return _w(f"SELECT {KEY}, {r6(sq('10.0 * ' + ret))} AS sq_ret, {r6(sq7('10.0 * ' + ret))} AS sq7_ret, "
+              f"{r6('1.0 / (1.0 + exp(0.001 * (CAST(volume AS DOUBLE) / 1000000.0)))')} AS logistic_vol FROM closes")
+
+
+def _arr(expr_fn, name):
+    def f():
+        fr = frame(-9, 0)
+        return _w(f"""SELECT {KEY}, {expr_fn()} AS {name}
+FROM (SELECT *, list(close_c) OVER {fr} AS a FROM closes)""")
+    return f
+
+
+def _ts_rank_expr():
+    def rank_of(v):
+        return (f"(len(list_filter(a, lambda z: z < {v})) + "
+                f"(len(list_filter(a, lambda z: z = {v})) + 1) / 2.0)")
+    return r6(f"CASE WHEN len(a) = 10 THEN {rank_of('a[-1]')} / {rank_of('list_max(a)')} END")
+
+
+def _high_day_expr():
+    return "CASE WHEN len(a) = 10 THEN CAST(10 - list_position(a, list_max(a)) + 1 AS BIGINT) END"
+
+
+def _low_day_expr():
+    return "CASE WHEN len(a) = 10 THEN CAST(10 - list_position(a, list_min(a)) + 1 AS BIGINT) END"
+
+
+def _decay_linear():
+    terms = " + ".join(("close" if k == 0 else lag("close", k)) + f" * {10 - k}.0" for k in range(10))
+    return _w(f"SELECT {KEY}, {r6(f'({terms}) / 55.0')} AS decay10 FROM closes")
+
+
 SQL = {
     "scan_bars": _scan_bars,
     "clean_bars": _clean_bars,
     "rolling_mean": _rolling_mean,
     "ma_class": _ma_class,
+    "valuation_features": _valuation,
+    **{k: _stock_group(v) for k, v in STOCK_GROUPS.items()},
+    "w_lag": _w_lag,
+    "w_lead": _w_lead,
+    "w_diff": _w_diff,
+    "rolling_extrema": _rolling_extrema,
+    "forward_extrema": _forward_extrema,
+    "centered_mean": _centered_mean,
+    "w_rolling_sum": _w_rolling_sum,
+    "clip_values": _clip_values,
+    "squash": _squash,
+    "ts_rank": _arr(_ts_rank_expr, "ts_rank10"),
+    "decay_linear": _decay_linear,
+    "high_day": _arr(_high_day_expr, "high_day10"),
+    "low_day": _arr(_low_day_expr, "low_day10"),
 }
 
 

@@ -5,11 +5,10 @@ over all of them; doubles are rounded to 6 places for cross-engine hashing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from panelkit.functions import CENTS, r6, win
+from panelkit.functions import CENTS, clip1, r6, rolling_sum_prefix, sdiv, sq, sq7, win
 from panelkit.operators import clean as C
 from panelkit.operators import labels as L
 from panelkit.operators import stock as S
@@ -66,11 +65,148 @@ def q_ma_class(spark, sf):
     return out(cls, ["sma5", "r5", "result4", "resultclass4"])
 
 
+# ---------------------------------------------------------------- V*, F*
+
+STOCK_GROUPS = {
+    "stock_returns": ["preclose", "pctChg", "pctChg2", "pctChg4", "pctChg8", "pctChg15", "pctChg30"],
+    "stock_volume": ["volume", "amount", "avg_price", "day_price", "v5", "v10", "v20", "v40", "v80",
+                     "v3_9", "v5_20", "v9_50", "v5_d", "v10_d", "v20_d", "v40_d", "v80_d",
+                     "v3_9_d", "v5_20_d", "v9_50_d"],
+    "stock_range": ["max20", "max60", "max120", "min20", "min60", "min120", "20_min", "60_min",
+                    "120_min", "20_max", "60_max", "120_max"],
+    "stock_ma_slope": ["sma5", "sma10", "sma20", "sma40", "sma80", "5_d", "10_d", "20_d", "40_d", "80_d"],
+    "stock_ma_dev": ["r5", "r10", "r20", "r40", "r80"],
+    "stock_ma_cross": ["r5_20", "r10_40", "r20_80", "r5_40", "r5_20_d", "r10_40_d", "r20_80_d"],
+    "stock_gap": ["highratio", "lowratio", "openratio"],
+}
+VALUATION = ["flowmkt", "everyprofit", "turn", "everypb", "eversale", "evermoney"]
+
+
+def _stock_group(cols):
+    def q(spark, sf):
+        return out(S.price_volume_features(clean(spark, sf)), cols)
+    return q
+
+
+def q_valuation_features(spark, sf):
+    """V1-V6 + P5."""
+    return out(S.valuation_features(clean(spark, sf)), VALUATION)
+
+
+# ---------------------------------------------------------------- W1-W16
+
+def _closes(spark, sf):
+    return clean(spark, sf).withColumn("close", F.col("close_c") / CENTS)
+
+
+def q_w_lag(spark, sf):
+    w = win()
+    df = _closes(spark, sf).select(*KEY, W.lag("close", 1, w).alias("lag1"),
+                                   W.lag("close", 5, w).alias("lag5"),
+                                   W.lag("volume", 1, w).alias("vol_lag1"))
+    return out(df, ["lag1", "lag5", "vol_lag1"])
+
+
+def q_w_lead(spark, sf):
+    w = win()
+    df = _closes(spark, sf).select(*KEY, W.lead("close", 1, w).alias("lead1"),
+                                   W.lead("close", 10, w).alias("lead10"))
+    return out(df, ["lead1", "lead10"])
+
+
+def q_w_diff(spark, sf):
+    w = win()
+    c = F.col("close")
+    df = _closes(spark, sf).select(*KEY, (c - F.lag(c, 1).over(w)).alias("diff1"),
+                                   (c - F.lag(c, 5).over(w)).alias("diff5"))
+    return out(df, ["diff1", "diff5"])
+
+
+def q_rolling_extrema(spark, sf):
+    w = win()
+    df = W.with_rn(clean(spark, sf), w)
+    cols = []
+    for n in (20, 60, 120):
+        cols += [(W.prior_extrema("high_c", n, w, F.max) / CENTS).alias(f"max{n}"),
+                 (W.prior_extrema("low_c", n, w, F.min) / CENTS).alias(f"min{n}")]
+    df = df.select(*KEY, *cols)
+    return out(df, [c for c in df.columns if c not in KEY])
+
+
+def q_forward_extrema(spark, sf):
+    w = win()
+    cols = []
+    for k in (2, 4, 7, 10):
+        cols += [(W.forward_extrema("close_c", k, w, F.max) / CENTS).alias(f"fmax{k}"),
+                 (W.forward_extrema("close_c", k, w, F.min) / CENTS).alias(f"fmin{k}")]
+    df = clean(spark, sf).select(*KEY, *cols)
+    return out(df, [c for c in df.columns if c not in KEY])
+
+
+def q_centered_mean(spark, sf):
+    df = _closes(spark, sf).select(*KEY, W.centered_mean("close", win(), 10).alias("cmean10"))
+    return out(df, ["cmean10"])
+
+
+def q_w_rolling_sum(spark, sf):
+    w = win()
+    df = clean(spark, sf).withColumn("ho_c", F.col("high_c") - F.col("open_c"))
+    df = W.with_rn(df, w)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.select(*df.columns, F.sum("volume").over(run).alias("_cv"), F.sum("ho_c").over(run).alias("_cho"))
+    df = df.select(*KEY, rolling_sum_prefix("_cv", 26, w).alias("vol_sum26"),
+                   (rolling_sum_prefix("_cho", 26, w) / CENTS).alias("ho_sum26"))
+    return out(df, ["vol_sum26", "ho_sum26"])
+
+
+def q_clip_values(spark, sf):
+    w = win()
+    c = F.col("close")
+    df = _closes(spark, sf).select(*KEY, clip1(F.lit(50.0) * (sdiv(c, F.lag(c, 1).over(w)) - 1.0)).alias("clipped"))
+    return out(df, ["clipped"])
+
+
+def q_squash(spark, sf):
+    w = win()
+    c = F.col("close")
+    ret = sdiv(c, F.lag(c, 1).over(w)) - 1.0
+    df = _closes(spark, sf).select(*KEY, sq(F.lit(10.0) * ret).alias("sq_ret"), sq7(F.lit(10.0) * ret).alias("sq7_ret"),
+                                   W.logistic(F.col("volume") / 1e6).alias("logistic_vol"))
+    return out(df, ["sq_ret", "sq7_ret", "logistic_vol"])
+
+
+def _array_window(fn, name):
+    def q(spark, sf):
+        df = clean(spark, sf).select(*KEY, fn("close_c", 10, win()).alias(name))
+        return out(df, [name])
+    return q
+
+
+def q_decay_linear(spark, sf):
+    df = _closes(spark, sf).select(*KEY, W.decay_linear("close", 10, win()).alias("decay10"))
+    return out(df, ["decay10"])
+
+
 QUERIES = {
     "scan_bars": q_scan_bars,
     "clean_bars": q_clean_bars,
     "rolling_mean": q_rolling_mean,
     "ma_class": q_ma_class,
+    "valuation_features": q_valuation_features,
+    **{k: _stock_group(v) for k, v in STOCK_GROUPS.items()},
+    "w_lag": q_w_lag,
+    "w_lead": q_w_lead,
+    "w_diff": q_w_diff,
+    "rolling_extrema": q_rolling_extrema,
+    "forward_extrema": q_forward_extrema,
+    "centered_mean": q_centered_mean,
+    "w_rolling_sum": q_w_rolling_sum,
+    "clip_values": q_clip_values,
+    "squash": q_squash,
+    "ts_rank": _array_window(W.ts_rank, "ts_rank10"),
+    "decay_linear": q_decay_linear,
+    "high_day": _array_window(W.high_day, "high_day10"),
+    "low_day": _array_window(W.low_day, "low_day10"),
 }
 
 
