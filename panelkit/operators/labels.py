@@ -18,6 +18,9 @@ HORIZONS = (2, 4, 7, 10)
 BUY_HORIZONS = (4, 7, 10)
 N_CLASSES = 10
 EDGE_DECIMALS = 3
+# The labels that survive the column drop (P11), in the reference's order.
+LABEL_COLUMNS = (["resultbuy4", "resultbuy7", "resultbuy10"]
+                 + [f"result{k}class{h}" for h in HORIZONS for k in ("", "rel")])
 
 
 def forward_return(w: WindowSpec, h: int) -> Column:

@@ -304,6 +304,171 @@ def _decay_linear():
     return _w(f"SELECT {KEY}, {r6(f'({terms}) / 55.0')} AS decay10 FROM closes")
 
 
+# ------------------------------------------------------------ index, J1
+
+WI = "PARTITION BY index_code ORDER BY trade_date"
+IKEY = "index_code, trade_date"
+INDEX_GROUPS = {
+    "index_returns": ["szpctchg1", "szpctchg2", "szpctchg4", "szpctchg8", "szpctchg15", "szpctchg30"],
+    "index_range": ["zs20_min", "zs60_min", "zs120_min", "zs20_max", "zs60_max", "zs120_max"],
+    "index_ma": ["zs5_d", "zs10_d", "zs20_d", "zs40_d", "zs80_d", "zsr5", "zsr10", "zsr20", "zsr40",
+                 "zsr80", "zsr5_20_d", "zsr10_40_d", "zsr20_80_d", "zsr5_20", "zsr10_40", "zsr20_80",
+                 "zsr5_40"],
+    "index_volume": ["zsv5_d", "zsv10_d", "zsv20_d", "zsv40_d", "zsv80_d", "zsv5", "zsv10", "zsv20",
+                     "zsv40", "zsv80"],
+}
+INDEX_LEVEL = [c for g in INDEX_GROUPS.values() for c in g]
+
+
+def index_ctes() -> str:
+    lags = ", ".join(f"CAST({lag('close_c', n, WI)} AS DOUBLE) / 100 AS _lag{n}" for n in (1, 2, 4, 8, 15, 30))
+    ext = []
+    for n in (20, 60, 120):
+        ext.append(f"CAST({prior_ext('max', 'high_c', n, WI)} AS DOUBLE) / 100 AS _max{n}")
+        ext.append(f"CAST({prior_ext('min', 'low_c', n, WI)} AS DOUBLE) / 100 AS _min{n}")
+    smas = ", ".join(f"{roll_mean('close_c', n, 100.0, WI)} AS _sma{n}" for n in (2, 4, 5, 10, 20, 40, 80))
+    vms = ", ".join(f"{roll_mean('volume', n, 1.0, WI)} AS _vm{n}" for n in (3, 5, 9, 10, 20, 40, 50, 80))
+    close = "(CAST(close_c AS DOUBLE) / 100)"
+    vol = "CAST(volume AS DOUBLE)"
+    f = {"szpctchg1": f"{sdiv(f'18.0 * {close}', '_lag1')} - 18.0"}
+    for name, (k, m, n) in {"szpctchg2": (19, 2, 2), "szpctchg4": (10, 2, 4), "szpctchg8": (10, 4, 8),
+                            "szpctchg15": (8, 5, 15), "szpctchg30": (6, 10, 30)}.items():
+        f[name] = f"{sdiv(f'{k}.0 * _sma{m}', f'_lag{n}')} - {k}.0"
+    for n in (20, 60, 120):
+        f[f"zs{n}_min"] = clip(f"{sdiv(f'2.0 * {close}', f'_min{n}')} - 2.0")
+    for n in (20, 60, 120):
+        f[f"zs{n}_max"] = clip(f"{sdiv(f'4.0 * {close}', f'_max{n}')} - 4.0")
+    for n, k in {5: 20, 10: 40, 20: 60, 40: 80, 80: 100}.items():
+        prev = lag(f"_sma{n}", 1, WI)
+        f[f"zs{n}_d"] = clip(sdiv(f"{k}.0 * (_sma{n} - {prev})", prev))
+    for n, k in {5: 10, 10: 8, 20: 6, 40: 6, 80: 4}.items():
+        f[f"zsr{n}"] = clip(f"{sdiv(f'{k}.0 * {close}', f'_sma{n}')} - {k}.0")
+    raws = {name: f"({sdiv(f'4.0 * _sma{a}', f'_sma{b}')} - 4.0)" for name, (a, b) in
+            {"zsr5_20": (5, 20), "zsr10_40": (10, 40), "zsr20_80": (20, 80), "zsr5_40": (5, 40)}.items()}
+    for name, k in {"zsr5_20": 10, "zsr10_40": 20, "zsr20_80": 20}.items():
+        f[f"{name}_d"] = clip(f"{k}.0 * ({raws[name]} - {lag(raws[name], 1, WI)})")
+    for name, raw in raws.items():
+        f[name] = clip(raw)
+    for n, k in {5: 0.2, 10: 0.1, 20: 0.2, 40: 0.2, 80: 0.2}.items():
+        raw = f"((10.0 * {vol}) / (0.1 + _vm{n}))"
+        f[f"zsv{n}_d"] = sq(f"{k} * ({raw} - {lag(raw, 1, WI)})")
+    for n in (5, 10, 20, 40, 80):
+        raw = f"((10.0 * {vol}) / (0.1 + _vm{n}))"
+        f[f"zsv{n}"] = sq(f"0.2 * {raw}")
+    for name, (a, b) in {"zsv3_9": (3, 9), "zsv5_20": (5, 20), "zsv9_50": (9, 50)}.items():
+        f[f"_raw_{name}"] = f"((10.0 * _vm{a}) / (0.1 + _vm{b}))"
+    feats = ", ".join(f"{v} AS {k}" for k, v in f.items())
+    return f"""ix1 AS (
+  SELECT index_code, trade_date, close_c, high_c, low_c, volume, {lags}
+  FROM (SELECT *, row_number() OVER ({WI}) AS rn FROM index_bars)),
+ix1b AS (SELECT *, {', '.join(ext)} FROM (SELECT *, row_number() OVER ({WI}) AS rn FROM ix1)),
+ix2 AS (SELECT *, {smas}, {vms} FROM ix1b),
+index_feat AS (SELECT index_code, trade_date, {feats} FROM ix2)"""
+
+
+def _index_group(cols):
+    return lambda: with_base(select_out("index_feat", cols, key=IKEY), index_ctes())
+
+
+def _scan_index():
+    return with_base(f"SELECT {IKEY}, open_c, high_c, low_c, close_c, volume, amount_c FROM index_bars "
+                     f"WHERE trade_date >= DATE '1990-01-01'")
+
+
+def enrich_ctes(src: str = "clean") -> str:
+    joined = []
+    for name in ("zsv3_9", "zsv5_20", "zsv9_50"):
+        raw = f"_raw_{name}"
+        joined.append(f"{sq(f'2.0 * ({raw} - {lag(raw)})')} AS {name}_d")
+        joined.append(f"{sq(f'0.2 * {raw}')} AS {name}")
+    return index_ctes() + f""",
+enriched AS (
+  SELECT s.*, {', '.join('i.' + c for c in INDEX_LEVEL)}, {', '.join(joined)}
+  FROM {src} s LEFT JOIN index_feat i USING (trade_date))"""
+
+
+def _index_enrich():
+    return with_base(select_out("enriched", INDEX_LEVEL), enrich_ctes())
+
+
+def _index_volume_joined():
+    cols = ["zsv3_9", "zsv5_20", "zsv9_50", "zsv3_9_d", "zsv5_20_d", "zsv9_50_d"]
+    return with_base(select_out("enriched", cols), enrich_ctes())
+
+
+# ------------------------------------------------------------ labels
+
+HORIZONS = (2, 4, 7, 10)
+
+
+def labels_cte(src: str = "clean", name: str = "labeled") -> str:
+    close = "(CAST(close_c AS DOUBLE) / 100)"
+    cols = []
+    for h in HORIZONS:
+        remax = f"(CAST({fwd_ext('max', 'close_c', h)} AS DOUBLE) / 100)"
+        remin = f"(CAST({fwd_ext('min', 'close_c', h)} AS DOUBLE) / 100)"
+        mx = f"({sdiv(remax, close)} - 1.0)"
+        mn = f"({sdiv(remin, close)} - 1.0)"
+        cols += [f"{label_fwd_return(h)} AS result{h}", f"{mx} AS resultmax{h}",
+                 f"{mn} AS resultmin{h}", f"({mx} + {mn}) AS resultrel{h}"]
+        if h > 2:
+            rng = f"({remax} - {remin})"
+
+            def b(cond):
+                return f"CAST(coalesce({cond}, false) AS INTEGER)"
+            sig = (f"({b(f'{close} < {remin} + {rng} / 5.0')} * 2 + {b(f'{close} < {remin} + {rng} / 3.0')} * 2"
+                   f" - {b(f'{close} > {remax} - {rng} / 3.0')} * 2 - {b(f'{close} > {remax} - {rng} / 5.0')} * 2)")
+            score = (f"4 + {b(sdiv(rng, close) + ' > 0.03')} * {sig}"
+                     f" + {b(sdiv(rng, close) + ' > 0.05')} * {b(f'{close} < {remin} + {rng} / 5.0')}")
+            cols.append(f"CAST({score} AS BIGINT) AS resultbuy{h}")
+    return f"{name} AS (SELECT *, {', '.join(cols)} FROM {src})"
+
+
+def classes_cte(src: str = "labeled", name: str = "classed", key: str = "symbol") -> str:
+    probs = ", ".join(repr(i / 10) for i in range(1, 10))
+    aggs, outs = [], []
+    for h in HORIZONS:
+        for v in (f"result{h}", f"resultrel{h}"):
+            aggs.append(f"list_transform(quantile_cont({v}, [{probs}]), lambda x: round_even(x, 3)) AS e_{v}")
+        outs.append(f"CASE WHEN s.result{h} IS NULL THEN NULL ELSE CAST(len(list_filter(e.e_result{h}, "
+                    f"lambda x: x <= s.result{h})) AS BIGINT) END AS resultclass{h}")
+        outs.append(f"CASE WHEN s.resultrel{h} IS NULL THEN NULL ELSE CAST(len(list_filter(e.e_resultrel{h}, "
+                    f"lambda x: x <= s.resultrel{h})) AS BIGINT) END AS resultrelclass{h}")
+    return f"""{name} AS (
+  SELECT s.*, {', '.join(outs)}
+  FROM {src} s LEFT JOIN (SELECT {key}, {', '.join(aggs)} FROM {src} GROUP BY {key}) e USING ({key}))"""
+
+
+def _labels_q(cols, ints=(), classes=False):
+    def f():
+        extra = labels_cte() + ("," + classes_cte() if classes else "")
+        src = "classed" if classes else "labeled"
+        return with_base(select_out(src, cols, types={c: None for c in ints}), extra)
+    return f
+
+
+LABEL_COLUMNS = (["resultbuy4", "resultbuy7", "resultbuy10"]
+                 + [f"result{k}class{h}" for h in HORIZONS for k in ("", "rel")])
+
+
+def _quantile_edges():
+    probs = ", ".join(repr(i / 10) for i in range(1, 10))
+    cols = ", ".join(f"{r6(f'e[{i}]')} AS edge{i}" for i in range(1, 10))
+    return with_base(f"""SELECT symbol, {cols} FROM (
+  SELECT symbol, list_transform(quantile_cont(result4, [{probs}]), lambda x: round_even(x, 3)) AS e
+  FROM labeled WHERE result4 IS NOT NULL GROUP BY symbol)""", labels_cte())
+
+
+def _quantile_class():
+    body = f"SELECT {KEY}, {r6('r20')} AS r20, r20_class FROM ({class_sql('f', 'r20', 'r20_class')})"
+    return with_base(body, stock_ctes() + f",\nf AS (SELECT {KEY}, r20 FROM stock_feat)")
+
+
+def _label_matrix():
+    cols = ", ".join(f"{r6(f'CAST({c} AS DOUBLE) * 0.1')} AS {c}" for c in LABEL_COLUMNS)
+    return with_base(f"SELECT {KEY}, {cols} FROM classed", labels_cte() + "," + classes_cte())
+
+
 SQL = {
     "scan_bars": _scan_bars,
     "clean_bars": _clean_bars,
@@ -324,6 +489,20 @@ SQL = {
     "decay_linear": _decay_linear,
     "high_day": _arr(_high_day_expr, "high_day10"),
     "low_day": _arr(_low_day_expr, "low_day10"),
+    "scan_index": _scan_index,
+    **{k: _index_group(v) for k, v in INDEX_GROUPS.items()},
+    "index_enrich": _index_enrich,
+    "index_volume_joined": _index_volume_joined,
+    "label_return": _labels_q([f"result{h}" for h in HORIZONS]),
+    "label_extrema": _labels_q([f"{p}{h}" for h in HORIZONS for p in ("resultmax", "resultmin", "resultrel")]),
+    "label_buy_score": _labels_q([f"resultbuy{h}" for h in (4, 7, 10)], ints=[f"resultbuy{h}" for h in (4, 7, 10)]),
+    "label_return_class": _labels_q([f"resultclass{h}" for h in HORIZONS],
+                                    ints=[f"resultclass{h}" for h in HORIZONS], classes=True),
+    "label_skew_class": _labels_q([f"resultrelclass{h}" for h in HORIZONS],
+                                  ints=[f"resultrelclass{h}" for h in HORIZONS], classes=True),
+    "quantile_edges": _quantile_edges,
+    "quantile_class": _quantile_class,
+    "label_matrix": _label_matrix,
 }
 
 

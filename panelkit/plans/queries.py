@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS, clip1, r6, rolling_sum_prefix, sdiv, sq, sq7, win
 from panelkit.operators import clean as C
+from panelkit.operators import index as I
 from panelkit.operators import labels as L
 from panelkit.operators import stock as S
 from panelkit.operators import windows as W
@@ -187,6 +188,92 @@ def q_decay_linear(spark, sf):
     return out(df, ["decay10"])
 
 
+# ---------------------------------------------------------------- I*, J1
+
+IKEY = ["index_code", "trade_date"]
+INDEX_GROUPS = {
+    "index_returns": ["szpctchg1", "szpctchg2", "szpctchg4", "szpctchg8", "szpctchg15", "szpctchg30"],
+    "index_range": ["zs20_min", "zs60_min", "zs120_min", "zs20_max", "zs60_max", "zs120_max"],
+    "index_ma": ["zs5_d", "zs10_d", "zs20_d", "zs40_d", "zs80_d", "zsr5", "zsr10", "zsr20", "zsr40",
+                 "zsr80", "zsr5_20_d", "zsr10_40_d", "zsr20_80_d", "zsr5_20", "zsr10_40", "zsr20_80",
+                 "zsr5_40"],
+    "index_volume": ["zsv5_d", "zsv10_d", "zsv20_d", "zsv40_d", "zsv80_d", "zsv5", "zsv10", "zsv20",
+                     "zsv40", "zsv80"],
+}
+
+
+def _index_group(cols):
+    def q(spark, sf):
+        return out(I.index_features(X.index_bars(spark, sf)), cols, key=IKEY)
+    return q
+
+
+def q_scan_index(spark, sf):
+    """Index bars over the date range."""
+    ib = X.index_bars(spark, sf).filter(F.col("trade_date") >= F.lit("1990-01-01").cast("date"))
+    return out(ib, ["open_c", "high_c", "low_c", "close_c", "volume", "amount_c"], key=IKEY)
+
+
+def q_index_enrich(spark, sf):
+    """Every index level feature joined onto clean stock rows."""
+    j = I.enrich(clean(spark, sf), I.index_features(X.index_bars(spark, sf)))
+    return out(j, list(I.INDEX_LEVEL_COLS))
+
+
+def q_index_volume_joined(spark, sf):
+    """Index volume ratios whose change is taken on the stock's rows."""
+    j = I.enrich(clean(spark, sf), I.index_features(X.index_bars(spark, sf)))
+    return out(j, I.JOINED_COLS)
+
+
+# ---------------------------------------------------------------- L*, A*
+
+def _labels(spark, sf):
+    return L.label_columns(clean(spark, sf))
+
+
+def q_label_return(spark, sf):
+    return out(_labels(spark, sf), [f"result{h}" for h in L.HORIZONS])
+
+
+def q_label_extrema(spark, sf):
+    cols = [f"{p}{h}" for h in L.HORIZONS for p in ("resultmax", "resultmin", "resultrel")]
+    return out(_labels(spark, sf), cols)
+
+
+def q_label_buy_score(spark, sf):
+    return out(_labels(spark, sf), [f"resultbuy{h}" for h in L.BUY_HORIZONS])
+
+
+def q_label_return_class(spark, sf):
+    return out(L.class_labels(_labels(spark, sf)), [f"resultclass{h}" for h in L.HORIZONS])
+
+
+def q_label_skew_class(spark, sf):
+    return out(L.class_labels(_labels(spark, sf)), [f"resultrelclass{h}" for h in L.HORIZONS])
+
+
+def q_quantile_edges(spark, sf):
+    """A1: per-symbol decile edges of the 4-day forward return, one column per edge."""
+    e = L.quantile_edges(_labels(spark, sf), "result4")
+    cols = [F.element_at("edges", i).alias(f"edge{i}") for i in range(1, 10)]
+    return out(e.select("symbol", *cols), [f"edge{i}" for i in range(1, 10)], key=["symbol"])
+
+
+def q_quantile_class(spark, sf):
+    """A1 + A2 on a feature: per-symbol decile of the 20-day mean deviation."""
+    f = S.price_volume_features(clean(spark, sf)).select(*KEY, "r20")
+    return out(L.quantile_class(f, "r20", "r20_class"), ["r20", "r20_class"])
+
+
+def q_label_matrix(spark, sf):
+    """The 11 stored labels scaled by 0.1 as model targets."""
+    lab = L.class_labels(_labels(spark, sf))
+    cols = L.LABEL_COLUMNS
+    scaled = lab.select(*KEY, *[(F.col(c) * 0.1).alias(c) for c in cols])
+    return out(scaled, cols)
+
+
 QUERIES = {
     "scan_bars": q_scan_bars,
     "clean_bars": q_clean_bars,
@@ -207,6 +294,18 @@ QUERIES = {
     "decay_linear": q_decay_linear,
     "high_day": _array_window(W.high_day, "high_day10"),
     "low_day": _array_window(W.low_day, "low_day10"),
+    "scan_index": q_scan_index,
+    **{k: _index_group(v) for k, v in INDEX_GROUPS.items()},
+    "index_enrich": q_index_enrich,
+    "index_volume_joined": q_index_volume_joined,
+    "label_return": q_label_return,
+    "label_extrema": q_label_extrema,
+    "label_buy_score": q_label_buy_score,
+    "label_return_class": q_label_return_class,
+    "label_skew_class": q_label_skew_class,
+    "quantile_edges": q_quantile_edges,
+    "quantile_class": q_quantile_class,
+    "label_matrix": q_label_matrix,
 }
 
 
