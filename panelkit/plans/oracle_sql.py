@@ -469,6 +469,140 @@ def _label_matrix():
     return with_base(f"SELECT {KEY}, {cols} FROM classed", labels_cte() + "," + classes_cte())
 
 
+# ------------------------------------------------------------ indicators
+
+def fsum(x: str, n: int) -> str:
+    """Exact frame sum over the last n rows, NULL until full."""
+    fr = frame(-(n - 1), 0)
+    return f"(CASE WHEN rn >= {n} THEN sum({x}) OVER {fr} END)"
+
+
+def lagsum(x: str, n: int) -> str:
+    return "(" + " + ".join(x if k == 0 else lag(x, k) for k in range(n)) + ")"
+
+
+def indicator_ctes(src: str = "clean") -> str:
+    close = "(CAST(close_c AS DOUBLE) / 100)"
+    vol = "(CAST(volume AS DOUBLE) / 1000000.0)"
+    f = {}
+    tw = [min(k + 1, 30 - k) for k in range(30)]
+    wsum = " + ".join(("close_c" if k == 0 else lag("close_c", k)) + f" * {wt}" for k, wt in enumerate(tw))
+    f["trima"] = sq(f"0.1 * (CASE WHEN rn >= 30 THEN sqrt(CAST({wsum} AS DOUBLE) / {float(sum(tw)) * 100!r}) END)")
+    ww = [30 - k for k in range(30)]
+    wsum = " + ".join(("close_c" if k == 0 else lag("close_c", k)) + f" * {wt}" for k, wt in enumerate(ww))
+    f["wma"] = sq(f"0.1 * (CASE WHEN rn >= 30 THEN sqrt(CAST({wsum} AS DOUBLE) / {float(sum(ww)) * 100!r}) END)")
+    run = f"({WS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ad_term = ("CAST(CASE WHEN high_c - low_c <> 0 THEN CAST((close_c - low_c) - (high_c - close_c) AS DOUBLE)"
+               f" / (high_c - low_c) * {vol} ELSE 0.0 END AS DECIMAL(38,12))")
+    f["adline"] = sq(f"0.005 * CAST(sum({ad_term}) OVER {run} AS DOUBLE) - 0.5")
+    pc = "_pc"
+    obv_term = (f"(CASE WHEN {pc} IS NULL THEN volume WHEN close_c > {pc} THEN volume "
+                f"WHEN close_c < {pc} THEN -volume ELSE 0 END)")
+    f["obv"] = sq(f"0.001 * (CAST(sum({obv_term}) OVER {run} AS DOUBLE) / 1000000.0)")
+    n = 30
+    sh, sl = fsum("high_c", n), fsum("low_c", n)
+    cov = f"({n} * {fsum('high_c * low_c', n)} - {sh} * {sl})"
+    vh = f"CAST({n} * {fsum('high_c * high_c', n)} - {sh} * {sh} AS DOUBLE)"
+    vl = f"CAST({n} * {fsum('low_c * low_c', n)} - {sl} * {sl} AS DOUBLE)"
+    corr = (f"(CASE WHEN {vh} * {vl} > 0 THEN CAST({cov} AS DOUBLE) / sqrt({vh} * {vl}) "
+            f"WHEN rn >= {n} THEN 0.0 END)")
+    f["correl"] = clip(f"-3.0 * {corr} + 3.0")
+    n = 14
+    sx, sxx = n * (n - 1) // 2, n * (n - 1) * (2 * n - 1) // 6
+    div = sx * sx - n * sxx
+    s_y = fsum("close_c", n)
+    s_iy = f"(rn * {s_y} - {fsum('rn * close_c', n)})"
+    m = f"(CAST({n} * {s_iy} - {sx} * {s_y} AS DOUBLE) / {div * 100.0!r})"
+    b = f"((CAST({s_y} AS DOUBLE) / 100 - {m} * {float(sx)!r}) / {float(n)!r})"
+    f["linearreg"] = sq(f"0.1 * ({b} + {m} * 13.0) - 1.0")
+    f["lineangle"] = sq(f"0.1 * (atan({m}) * (180.0 / pi()))")
+    f["TSF"] = sq(f"2.0 * ({b} + {m} * 14.0)")
+    f["lineintercept"] = sq(f"0.05 * {b}")
+    n = 5
+    sc = fsum("close_c", n)
+    var = f"(CAST({n} * {fsum('close_c * close_c', n)} - {sc} * {sc} AS DOUBLE) / 250000.0)"
+    f["var"] = sq(f"30.0 * {var}")
+    f["stddev"] = clip(f"(CASE WHEN sqrt({var}) >= 0 THEN pow(sqrt({var}), 0.25) END) - 1.0")
+    apo = f"(CAST({fsum('close_c', 12)} AS DOUBLE) / 1200.0 - CAST({fsum('close_c', 26)} AS DOUBLE) / 2600.0)"
+    f["apo"] = clip(f"0.5 * {apo}")
+    fr = frame(-14, 0)
+    up = f"(CASE WHEN rn >= 15 THEN 100.0 * (14 - (list_position(list_reverse(list(high_c) OVER {fr}), max(high_c) OVER {fr}) - 1)) / 14.0 END)"
+    dn = f"(CASE WHEN rn >= 15 THEN 100.0 * (14 - (list_position(list_reverse(list(low_c) OVER {fr}), min(low_c) OVER {fr}) - 1)) / 14.0 END)"
+    f["ardown"] = f"0.02 * {dn} - 1.0"
+    f["arup"] = f"0.02 * {up} - 1.0"
+    f["arosc"] = f"0.01 * ({up} - {dn})"
+    f["bop"] = "(CASE WHEN high_c - low_c <> 0 THEN CAST(close_c - open_c AS DOUBLE) / (high_c - low_c) ELSE 0.0 END)"
+    n = 14
+    tp = "(high_c + low_c + close_c)"
+    s_tp = fsum(tp, n)
+    dev = f"list_sum(list_transform(list({tp}) OVER {frame(-13, 0)}, lambda v: abs({n} * v - {s_tp})))"
+    f["cci"] = (f"0.004 * (CASE WHEN rn >= {n} THEN (CASE WHEN {dev} <> 0 THEN "
+                f"CAST({n} * ({n} * {tp} - {s_tp}) AS DOUBLE) / (0.015 * {dev}) ELSE 0.0 END) END)")
+    n = 26
+    s_ho = f"CAST({fsum('high_c - open_c', n)} AS DOUBLE) / 100"
+    s_ol = f"1.0 + CAST({fsum('open_c - low_c', n)} AS DOUBLE) / 100"
+    f["ar"] = f"{sdiv(s_ho, s_ol)} - 1.0"
+    f["cr"] = f"CAST({fsum('high_c - low_c', n)} - {fsum('high_c - low_c', n)} AS DOUBLE) / 200.0 - 1.0"
+    n = 20
+    s_n = fsum(tp, n)
+    var_num = f"({n} * {fsum(tp + ' * ' + tp, n)} - {s_n} * {s_n})"
+    std = f"sqrt({var_num} / {float(n * (n - 1))!r})"
+    f["cci_helper"] = sdiv(f"({n} * {tp} - {s_n}) / {float(n)!r}", f"0.015 * {std}")
+    f["force_index"] = f"({close} - CAST({lag('close_c', 13)} AS DOUBLE) / 100) * {vol}"
+    lc12 = f"(CAST({lag('close_c', 12)} AS DOUBLE) / 100)"
+    f["roc"] = sdiv(f"{close} - {lc12}", lc12)
+    f["sunup"] = "(CASE WHEN close_c > open_c THEN 1 ELSE 0 END)"
+    f["upratio"] = f"({fsum('CASE WHEN close_c > open_c THEN 1 ELSE 0 END', 20)} / 20.0)"
+    feats = ", ".join(f"{v} AS {k}" for k, v in f.items())
+    hl = "(CAST(high_c + low_c AS DOUBLE) / 100)"
+    r = "(CASE WHEN CAST(high_c - low_c AS DOUBLE) / 100 = 0 THEN 0.0001 ELSE CAST(high_c - low_c AS DOUBLE) / 100 END)"
+    evm = sdiv(f"0.5 * ({hl} - {lag(hl)})", f"{vol} / {r}")
+    hi_l, lo_l = lag("high_c"), lag("low_c")
+    t1 = f"""ind1 AS (
+  SELECT *, {feats},
+    high_c - {pc} AS _hpc, {pc} - low_c AS _pcl,
+    CAST(high_c - {hi_l} AS DOUBLE) / {hi_l} AS _xr, CAST(low_c - {lo_l} AS DOUBLE) / {lo_l} AS _yr,
+    {evm} AS _evm
+  FROM (SELECT *, row_number() OVER ({WS}) AS rn, {lag('close_c')} AS _pc FROM {src}))"""
+    n = 26
+    g = {}
+    s_hpc = f"CAST({lagsum('_hpc', n)} AS DOUBLE) / 100"
+    s_pcl = f"1.0 + CAST({lagsum('_pcl', n)} AS DOUBLE) / 100"
+    g["br"] = f"(CASE WHEN rn >= {n + 1} THEN {sdiv(s_hpc, s_pcl)} - 1.0 END)"
+    n = 5
+
+    def lx(k):
+        return "_xr" if k == 0 else lag("_xr", k)
+
+    def ly(k):
+        return "_yr" if k == 0 else lag("_yr", k)
+    sxs, sys_ = lagsum("_xr", n), lagsum("_yr", n)
+    sxx_ = "(" + " + ".join(f"{lx(k)} * {lx(k)}" for k in range(n)) + ")"
+    sxy_ = "(" + " + ".join(f"{lx(k)} * {ly(k)}" for k in range(n)) + ")"
+    den = f"(5.0 * {sxx_} - {sxs} * {sxs})"
+    beta = f"(CASE WHEN rn >= 6 THEN (CASE WHEN {den} <> 0 THEN (5.0 * {sxy_} - {sxs} * {sys_}) / {den} ELSE 0.0 END) END)"
+    g["beta"] = sq(beta)
+    g["evm"] = f"-({lagsum('_evm', 14)} / 14.0)"
+    g["cci_d"] = sq7(sdiv(f"cci - {lag('cci')}", f"0.1 + {lag('cci')}"))
+    t2 = f"indicators AS (SELECT *, {', '.join(f'{v} AS {k}' for k, v in g.items())} FROM ind1)"
+    return t1 + ",\n" + t2
+
+
+IND_MAIN = ["trima", "wma", "adline", "obv", "beta", "correl", "linearreg", "lineangle", "var",
+            "TSF", "lineintercept", "stddev", "apo", "ardown", "arup", "arosc", "bop", "cci", "cci_d"]
+IND_GROUPS = {
+    "trima": ["trima"], "wma": ["wma"], "adline": ["adline"], "obv": ["obv"], "beta": ["beta"],
+    "correl": ["correl"], "linreg": ["linearreg", "lineangle", "TSF", "lineintercept"],
+    "var_std": ["var", "stddev"], "apo": ["apo"], "aroon": ["ardown", "arup", "arosc"], "bop": ["bop"],
+    "cci": ["cci", "cci_d"], "arbr": ["ar", "br", "cr"], "helper_cci": ["cci_helper"], "evm": ["evm"],
+    "force_index": ["force_index"], "roc": ["roc"], "up_ratio": ["sunup", "upratio"],
+}
+
+
+def _ind_group(cols):
+    return lambda: with_base(select_out("indicators", cols, types={"sunup": None}), indicator_ctes())
+
+
 SQL = {
     "scan_bars": _scan_bars,
     "clean_bars": _clean_bars,
@@ -503,6 +637,7 @@ SQL = {
     "quantile_edges": _quantile_edges,
     "quantile_class": _quantile_class,
     "label_matrix": _label_matrix,
+    **{k: _ind_group(v) for k, v in IND_GROUPS.items()},
 }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from panelkit.functions import CENTS, clip1, r6, rolling_sum_prefix, sdiv, sq, sq7, win
 from panelkit.operators import clean as C
 from panelkit.operators import index as I
+from panelkit.operators import indicators as T
 from panelkit.operators import labels as L
 from panelkit.operators import stock as S
 from panelkit.operators import windows as W
@@ -274,6 +275,23 @@ def q_label_matrix(spark, sf):
     return out(scaled, cols)
 
 
+# ---------------------------------------------------------------- T (windows)
+
+IND_GROUPS = {
+    "trima": ["trima"], "wma": ["wma"], "adline": ["adline"], "obv": ["obv"], "beta": ["beta"],
+    "correl": ["correl"], "linreg": ["linearreg", "lineangle", "TSF", "lineintercept"],
+    "var_std": ["var", "stddev"], "apo": ["apo"], "aroon": ["ardown", "arup", "arosc"], "bop": ["bop"],
+    "cci": ["cci", "cci_d"], "arbr": ["ar", "br", "cr"], "helper_cci": ["cci_helper"], "evm": ["evm"],
+    "force_index": ["force_index"], "roc": ["roc"], "up_ratio": ["sunup", "upratio"],
+}
+
+
+def _ind_group(cols):
+    def q(spark, sf):
+        return out(T.indicator_features(clean(spark, sf)), cols)
+    return q
+
+
 QUERIES = {
     "scan_bars": q_scan_bars,
     "clean_bars": q_clean_bars,
@@ -306,6 +324,7 @@ QUERIES = {
     "quantile_edges": q_quantile_edges,
     "quantile_class": q_quantile_class,
     "label_matrix": q_label_matrix,
+    **{k: _ind_group(v) for k, v in IND_GROUPS.items()},
 }
 
 
