@@ -95,6 +95,6 @@ symbols AS (
 stored_symbols AS (SELECT symbol FROM symbols WHERE suppkey % 3 <> 0)"""
 
 
-def with_base(body: str, extra: str = "") -> str:
+def with_base(body: str, extra: str = "", recursive: bool = False) -> str:
     ctes = BASE_CTES + (",\n" + extra if extra else "")
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}"

@@ -642,4 +642,6 @@ SQL = {
 
 
 def oracle() -> dict[str, str]:
-    return {k: v() for k, v in SQL.items()}
+    from panelkit.plans import oracle_recur
+    merged = {**SQL, **oracle_recur.SQL}
+    return {k: v() for k, v in merged.items()}

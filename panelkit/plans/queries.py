@@ -13,6 +13,7 @@ from panelkit.operators import clean as C
 from panelkit.operators import index as I
 from panelkit.operators import indicators as T
 from panelkit.operators import labels as L
+from panelkit.operators import recurrences as R
 from panelkit.operators import stock as S
 from panelkit.operators import windows as W
 from panelkit.sources import fixtures as X
@@ -292,6 +293,41 @@ def _ind_group(cols):
     return q
 
 
+# ---------------------------------------------------------------- recurrences
+
+REC_GROUPS = {
+    "macd": ["dif", "dea", "hist_d", "hist"], "tema": ["tema"], "t3": ["t3"], "natr": ["natr"],
+    "adosc": ["adosc"], "sar": ["sar"], "adx": ["adx", "adxr"],
+}
+
+
+def _rec_group(cols):
+    def q(spark, sf):
+        return out(R.recurrence_features(clean(spark, sf)), cols)
+    return q
+
+
+def q_index_macd(spark, sf):
+    """Index MACD on the index calendar."""
+    return out(R.index_macd(X.index_bars(spark, sf)), ["zsdif", "zsdea", "zshist_d", "zshist"], key=IKEY)
+
+
+def q_lowpass_filter(spark, sf):
+    """T33 + W7: zero-phase low-pass of close against the centred 10-day mean."""
+    c = clean(spark, sf)
+    lp = R.lowpass_filter(c)
+    cm = c.select(*KEY, W.centered_mean(F.col("close_c") / CENTS, win(), 10).alias("cmean10"))
+    j = lp.join(cm, KEY)
+    return out(j, ["close", "lowpass", "cmean10"])
+
+
+def q_filter_revision(spark, sf):
+    """The filter refitted without the last 10 bars, on the overlapping bars."""
+    lp = R.lowpass_filter(clean(spark, sf)).filter(F.col("lowpass_cut").isNotNull())
+    lp = lp.withColumn("revision", F.abs(F.col("lowpass") - F.col("lowpass_cut")))
+    return out(lp, ["lowpass", "lowpass_cut", "revision"])
+
+
 QUERIES = {
     "scan_bars": q_scan_bars,
     "clean_bars": q_clean_bars,
@@ -325,6 +361,10 @@ QUERIES = {
     "quantile_class": q_quantile_class,
     "label_matrix": q_label_matrix,
     **{k: _ind_group(v) for k, v in IND_GROUPS.items()},
+    **{k: _rec_group(v) for k, v in REC_GROUPS.items()},
+    "index_macd": q_index_macd,
+    "lowpass_filter": q_lowpass_filter,
+    "filter_revision": q_filter_revision,
 }
 
 
