@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.functions import bool_int
 
 PRICE_FIELDS = ("open", "high", "low", "close")
 VALUE_FIELDS = ("turn", "amount", "peTTM", "pbMRQ", "psTTM", "pcfNcfTTM", "isST")
@@ -36,8 +35,9 @@ def parse_raw_bars(raw: DataFrame) -> DataFrame:
     def num(c):
         return F.col(c).try_cast("double")
 
+    extra = [c for c in raw.columns if c.startswith("_")]
     return kept.select(
-        "symbol",
+        "symbol", *extra,
         F.col("date").cast("date").alias("trade_date"),
         *[F.round(num(c) * 100).cast("bigint").alias(f"{c}_c") for c in PRICE_FIELDS],
         num("volume").cast("bigint").alias("volume"),
@@ -60,25 +60,37 @@ def clean_bars(raw: DataFrame) -> DataFrame:
     return drop_incomplete(positive_ps(parse_raw_bars(raw)))
 
 
+def clean_bars_counted(raw: DataFrame) -> DataFrame:
+    """``clean_bars`` that also carries the feed row count ``_n_raw``."""
+    counted = with_feed_count(raw)
+    parsed = parse_raw_bars(counted.select(*raw.columns, "_n_raw"))
+    return drop_incomplete(positive_ps(parsed))
+
+
 def history_counts(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """Rows per key as a partial aggregation (map-side combine, skew-safe)."""
+    """A4: rows per key as a partial aggregation (map-side combine)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def min_history(clean: DataFrame, raw: DataFrame | None = None, min_raw: int = 50,
-                min_clean: int = 300, key: str = "symbol") -> DataFrame:
-    """P7 (and P8): keep keys with more than ``min_raw`` feed rows and more
-    than ``min_clean`` clean rows.
+def min_history(clean: DataFrame, min_clean: int = 300, key: str = "symbol",
+                count_col: str | None = None, min_raw: int = 50) -> DataFrame:
+    """Keep keys with more than ``min_clean`` clean rows (and, when
+    ``count_col`` carries the feed's row count, more than ``min_raw`` of those).
 
-    Counts are a groupBy (partial aggregation, so a hot symbol is pre-summed
-    on every mapper) joined back by key; the count table has one row per
-    symbol and AQE broadcasts it only when its measured size is small.
+    Counted with a window over the key partition, so the gate shares the
+    exchange of the per-symbol stages that follow instead of a join back.
     """
-    keep = history_counts(clean, key).filter(F.col("n_rows") > min_clean).select(key)
-    if raw is not None:
-        keep = keep.join(history_counts(raw, key).filter(F.col("n_rows") > min_raw)
-                         .select(key), key, "left_semi")
-    return clean.join(keep, key, "left_semi")
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    cond = F.col("_n_clean") > min_clean
+    if count_col is not None:
+        cond = cond & (F.col(count_col) > min_raw)
+    out = clean.withColumn("_n_clean", n).filter(cond).drop("_n_clean")
+    return out.drop(count_col) if count_col else out
+
+
+def with_feed_count(raw: DataFrame, key: str = "symbol", name: str = "_n_raw") -> DataFrame:
+    """Rows per key in the raw feed (before any filter), as a column."""
+    return raw.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(key)))
 
 
 def warmup_trim(df: DataFrame, rows: int = 120, w=None) -> DataFrame:
@@ -114,6 +126,3 @@ def approx_amount(df: DataFrame) -> DataFrame:
     ohlc = (F.col("open_c") + F.col("close_c") + F.col("high_c") + F.col("low_c")) / 100.0
     return df.withColumn("amount", F.lit(0.25) * ohlc * F.col("volume"))
 
-
-def suspended_flag(df: DataFrame) -> DataFrame:
-    return df.withColumn("suspended", bool_int(F.col("volume") == 0))

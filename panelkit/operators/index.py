@@ -15,7 +15,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from panelkit.functions import CENTS, clip1, rolling_frame, rolling_sum_prefix, sdiv, sq, win
+from panelkit.functions import CENTS, sq, win
+from panelkit.functions import sql as E
 
 # The index feature constants.
 RET = {"szpctchg2": (19, 2, 2), "szpctchg4": (10, 2, 4), "szpctchg8": (10, 4, 8),
@@ -27,6 +28,7 @@ CROSS_D = {"zsr5_20": 10, "zsr10_40": 20, "zsr20_80": 20}
 VOL_D_K = {5: 0.2, 10: 0.1, 20: 0.2, 40: 0.2, 80: 0.2}
 VOL_CROSS = {"zsv3_9": (3, 9), "zsv5_20": (5, 20), "zsv9_50": (9, 50)}
 EXTREMA_NS = (20, 60, 120)
+WI = "PARTITION BY index_code ORDER BY trade_date"
 
 # Broadcast bound: one row per calendar day per index code.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -43,55 +45,46 @@ def index_window() -> WindowSpec:
     return Window.partitionBy("index_code").orderBy("trade_date")
 
 
-def index_features(ib: DataFrame, w: WindowSpec | None = None) -> DataFrame:
+def index_features(ib: DataFrame, w: WindowSpec | None = None, ws: str = WI) -> DataFrame:
     """I1-I11 plus the raw I12 ratios (``_raw_zsv3_9`` ...), one row per index day."""
-    w = w or index_window()
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    s1 = ib.select("index_code", "trade_date", "close_c", "high_c", "low_c", "volume",
-                   F.row_number().over(w).alias("rn"),
-                   F.sum("close_c").over(run).alias("_cs"),
-                   F.sum("volume").over(run).alias("_cv"),
-                   *[(F.lag("close_c", n).over(w) / CENTS).alias(f"_lag{n}")
-                     for n in (1, 2, 4, 8, 15, 30)])
-    ext = []
+    st1 = {"rn": E.over("row_number()", ws), "_cs": E.running_sum("close_c", ws),
+           "_cv": E.running_sum("volume", ws),
+           **{f"_lag{n}": f"({E.lag('close_c', n, ws)} / 100.0D)" for n in (1, 2, 4, 8, 15, 30)}}
+    ext = {}
     for n in EXTREMA_NS:
-        ext += [(rolling_frame(F.max, "high_c", w, -n, -1) / CENTS).alias(f"_max{n}"),
-                (rolling_frame(F.min, "low_c", w, -n, -1) / CENTS).alias(f"_min{n}")]
-    s1 = s1.select(*s1.columns, *ext)
-    mns = sorted({2, 4, 5, 10, 20, 40, 80})
-    vns = sorted({3, 5, 9, 10, 20, 40, 50, 80})
-    s2 = s1.select(*s1.columns,
-                   *[(rolling_sum_prefix("_cs", n, w) / (CENTS * n)).alias(f"_sma{n}") for n in mns],
-                   *[(rolling_sum_prefix("_cv", n, w) / float(n)).alias(f"_vm{n}") for n in vns])
-    close = F.col("close_c") / CENTS
-    vol = F.col("volume").cast("double")
-    f = {"szpctchg1": sdiv(F.lit(18.0) * close, F.col("_lag1")) - 18.0}
+        ext[f"_max{n}"] = f"((CASE WHEN rn >= {n + 1} THEN {E.over('max(high_c)', ws, E.rows(-n, -1))} END) / 100.0D)"
+        ext[f"_min{n}"] = f"((CASE WHEN rn >= {n + 1} THEN {E.over('min(low_c)', ws, E.rows(-n, -1))} END) / 100.0D)"
+    st2 = {**{f"_sma{n}": f"({E.prefix_sum('_cs', n, ws)} / {E.d(CENTS * n)})" for n in (2, 4, 5, 10, 20, 40, 80)},
+           **{f"_vm{n}": f"({E.prefix_sum('_cv', n, ws)} / {E.d(n)})" for n in (3, 5, 9, 10, 20, 40, 50, 80)}}
+    close = E.price("close_c")
+    vol = "CAST(volume AS DOUBLE)"
+    f = {"szpctchg1": f"{E.sdiv('18.0D * ' + close, '_lag1')} - 18.0D"}
     for name, (k, m, n) in RET.items():
-        f[name] = sdiv(F.lit(float(k)) * F.col(f"_sma{m}"), F.col(f"_lag{n}")) - float(k)
+        f[name] = f"{E.sdiv(f'{E.d(k)} * _sma{m}', f'_lag{n}')} - {E.d(k)}"
     for n in EXTREMA_NS:
-        f[f"zs{n}_min"] = clip1(sdiv(F.lit(2.0) * close, F.col(f"_min{n}")) - 2.0)
+        f[f"zs{n}_min"] = E.clip(f"{E.sdiv('2.0D * ' + close, f'_min{n}')} - 2.0D")
     for n in EXTREMA_NS:
-        f[f"zs{n}_max"] = clip1(sdiv(F.lit(4.0) * close, F.col(f"_max{n}")) - 4.0)
+        f[f"zs{n}_max"] = E.clip(f"{E.sdiv('4.0D * ' + close, f'_max{n}')} - 4.0D")
     for n, k in SLOPE_K.items():
-        sma, prev = F.col(f"_sma{n}"), F.lag(f"_sma{n}", 1).over(w)
-        f[f"zs{n}_d"] = clip1(sdiv(F.lit(float(k)) * (sma - prev), prev))
+        prev = E.lag(f"_sma{n}", 1, ws)
+        f[f"zs{n}_d"] = E.clip(E.sdiv(f"{E.d(k)} * (_sma{n} - {prev})", prev))
     for n, k in DEV_K.items():
-        f[f"zsr{n}"] = clip1(sdiv(F.lit(float(k)) * close, F.col(f"_sma{n}")) - float(k))
-    raws = {name: sdiv(F.lit(4.0) * F.col(f"_sma{a}"), F.col(f"_sma{b}")) - 4.0
-            for name, (a, b) in CROSS.items()}
+        f[f"zsr{n}"] = E.clip(f"{E.sdiv(f'{E.d(k)} * {close}', f'_sma{n}')} - {E.d(k)}")
+    raws = {name: f"({E.sdiv(f'4.0D * _sma{a}', f'_sma{b}')} - 4.0D)" for name, (a, b) in CROSS.items()}
     for name, k in CROSS_D.items():
-        f[f"{name}_d"] = clip1(F.lit(float(k)) * (raws[name] - F.lag(raws[name], 1).over(w)))
+        f[f"{name}_d"] = E.clip(f"{E.d(k)} * ({raws[name]} - {E.lag(raws[name], 1, ws)})")
     for name, raw in raws.items():
-        f[name] = clip1(raw)
+        f[name] = E.clip(raw)
     for n, k in VOL_D_K.items():
-        raw = (F.lit(10.0) * vol) / (F.lit(0.1) + F.col(f"_vm{n}"))
-        f[f"zsv{n}_d"] = sq(F.lit(k) * (raw - F.lag(raw, 1).over(w)))
+        raw = f"((10.0D * {vol}) / (0.1D + _vm{n}))"
+        f[f"zsv{n}_d"] = E.sq(f"{E.d(k)} * ({raw} - {E.lag(raw, 1, ws)})")
     for n in VOL_D_K:
-        raw = (F.lit(10.0) * vol) / (F.lit(0.1) + F.col(f"_vm{n}"))
-        f[f"zsv{n}"] = sq(F.lit(0.2) * raw)
+        f[f"zsv{n}"] = E.sq(f"0.2D * ((10.0D * {vol}) / (0.1D + _vm{n}))")
     for name, (a, b) in VOL_CROSS.items():
-        f[f"_raw_{name}"] = (F.lit(10.0) * F.col(f"_vm{a}")) / (F.lit(0.1) + F.col(f"_vm{b}"))
-    return s2.select("index_code", "trade_date", *[v.alias(k) for k, v in f.items()])
+        f[f"_raw_{name}"] = f"((10.0D * _vm{a}) / (0.1D + _vm{b}))"
+    t = ib.select("index_code", "trade_date", "close_c", "high_c", "low_c", "volume")
+    t = t.selectExpr("*", *E.alias(st1)).selectExpr("*", *E.alias(ext)).selectExpr("*", *E.alias(st2))
+    return t.selectExpr("index_code", "trade_date", *E.alias(f))
 
 
 def date_span_rows(start: str, end: str | None) -> int:

@@ -11,12 +11,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, WindowSpec
 
-from panelkit.functions import CENTS, clip1, pow_pos, sdiv, sq, sq7, sqrt_pos, win
+from panelkit.functions import CENTS
+from panelkit.functions import sql as E
 
-RUN = (Window.unboundedPreceding, 0)
 VOLUME_SCALE = 1e6
 # Indicator periods.
 TRIMA_N, WMA_N, BETA_N, CORREL_N, LINREG_N, VAR_N = 30, 30, 5, 30, 14, 5
@@ -24,203 +23,139 @@ APO_FAST, APO_SLOW, AROON_N, CCI_N, ARBR_N = 12, 26, 14, 14, 26
 HELPER_CCI_N, EVM_N, FORCE_N, ROC_N, UPRATIO_N = 20, 14, 13, 12, 20
 
 
-def _wsum(x: str, n: int, w: WindowSpec) -> Column:
-    """Sum of the last ``n`` values of an integer column from its running sum."""
-    s = F.col(x)
-    return F.when(F.col("rn") >= n, s - F.coalesce(F.lag(s, n).over(w), F.lit(0)))
-
-
-def _lags_weighted(x: str, weights, w: WindowSpec) -> Column:
-    """sum_k weights[k] * x[t-k], left to right (integer inputs stay exact)."""
-    total = None
-    for k, wt in enumerate(weights):
-        term = (F.col(x) if k == 0 else F.lag(x, k).over(w)) * wt
-        total = term if total is None else total + term
-    return total
-
-
 def trima_weights(n: int):
-    """Triangular weights of an even period n: 1..n/2, n/2..1."""
+    """Triangular weights of the period: 1..n/2, n/2..1 (n even)."""
     return [min(k + 1, n - k) for k in range(n)]
 
 
-def _stage_sums(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Row number plus every running sum the indicators need."""
-    run = w.rowsBetween(*RUN)
-    base = df.select(*df.columns, F.row_number().over(w).alias("rn"))
-    hc, lc, cc, oc = (F.col(c) for c in ("high_c", "low_c", "close_c", "open_c"))
-    tp3 = hc + lc + cc
-    prev_c = F.lag("close_c", 1).over(w)
-    up_dn = F.when(cc > prev_c, F.col("volume")).when(cc < prev_c, -F.col("volume")).otherwise(F.lit(0))
-    obv_term = F.when(prev_c.isNull(), F.col("volume")).otherwise(up_dn)
-    rng = hc - lc
-    ad_term = F.when(rng != 0, ((cc - lc) - (hc - cc)).cast("double") / rng
-                     * (F.col("volume") / VOLUME_SCALE)).otherwise(F.lit(0.0))
-    sums = {
-        "_s_c": cc, "_s_jc": F.col("rn") * cc, "_s_c2": cc * cc,
-        "_s_h": hc, "_s_l": lc, "_s_h2": hc * hc, "_s_l2": lc * lc, "_s_hl": hc * lc,
-        "_s_tp": tp3, "_s_tp2": tp3 * tp3,
-        "_s_ho": hc - oc, "_s_ol": oc - lc, "_s_hl_rng": rng,
-        "_s_up": F.when(cc > oc, F.lit(1)).otherwise(F.lit(0)),
-        "_obv": obv_term,
-        "_ad": ad_term.cast("decimal(38,12)"),
-    }
-    return base.select(*base.columns, prev_c.alias("_pc"),
-                       *[F.sum(v).over(run).alias(k) for k, v in sums.items()])
-
-
-def _regression(n: int, w: WindowSpec):
-    """Least squares of close on time over the last n rows: (slope, intercept)
-    in currency, intercept at the oldest row (the library's convention)."""
-    sx = n * (n - 1) // 2
-    sxx = n * (n - 1) * (2 * n - 1) // 6
-    divisor = sx * sx - n * sxx
-    s_y = _wsum("_s_c", n, w)
-    # sum_i i*y[t-i] = t*sum y - sum j*y_j over the window (j = row number)
-    s_iy = F.col("rn") * s_y - _wsum("_s_jc", n, w)
-    m = (F.lit(n) * s_iy - F.lit(sx) * s_y) / (divisor * CENTS)
-    b = (s_y / CENTS - m * float(sx)) / float(n)
-    return m, b
-
-
-def indicator_features(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
-    """All plain-window indicators of ``trans_features`` plus the helpers.
-
-    Input: clean bars with ``open_c, high_c, low_c, close_c, volume``.
-    """
-    w = w or win()
-    s = _stage_sums(df, w)
-    close = F.col("close_c") / CENTS
+def _weighted_lags(x: str, weights, ws: str) -> str:
+    """sum_k weights[k] * x[t-k], left to right (integer inputs stay exact)."""
+    return "(" + " + ".join(f"{x if k == 0 else E.lag(x, k, ws)} * {wt}" for k, wt in enumerate(weights)) + ")"
+
+
+def indicator_stages(ws: str = E.WS):
+    """Expression stages: (row number + previous close, running sums,
+    window sums, indicators, second-stage indicators)."""
+    st0 = {"rn": E.over("row_number()", ws), "_pc": E.lag("close_c", 1, ws)}
+    tp3 = "(high_c + low_c + close_c)"
+    vol = f"(CAST(volume AS DOUBLE) / {E.d(VOLUME_SCALE)})"
+    ad_term = (f"CAST(CASE WHEN high_c - low_c <> 0 THEN CAST((close_c - low_c) - (high_c - close_c) AS DOUBLE)"
+               f" / (high_c - low_c) * {vol} ELSE 0.0D END AS DECIMAL(38,12))")
+    obv_term = ("CASE WHEN _pc IS NULL THEN volume WHEN close_c > _pc THEN volume "
+                "WHEN close_c < _pc THEN -volume ELSE 0 END")
+    sums = {"_s_c": "close_c", "_s_jc": "rn * close_c", "_s_c2": "close_c * close_c",
+            "_s_h": "high_c", "_s_l": "low_c", "_s_h2": "high_c * high_c", "_s_l2": "low_c * low_c",
+            "_s_hl": "high_c * low_c", "_s_tp": tp3, "_s_tp2": f"{tp3} * {tp3}",
+            "_s_ho": "high_c - open_c", "_s_ol": "open_c - low_c", "_s_rng": "high_c - low_c",
+            "_s_up": "CASE WHEN close_c > open_c THEN 1 ELSE 0 END", "_obv": obv_term, "_ad": ad_term}
+    st1 = {k: E.running_sum(v, ws) for k, v in sums.items()}
+
+    def wsum(x, n):
+        return E.prefix_sum(x, n, ws)
+    st2 = {"_sh30": wsum("_s_h", CORREL_N), "_sl30": wsum("_s_l", CORREL_N),
+           "_shl30": wsum("_s_hl", CORREL_N), "_sh2_30": wsum("_s_h2", CORREL_N),
+           "_sl2_30": wsum("_s_l2", CORREL_N), "_sy14": wsum("_s_c", LINREG_N),
+           "_sjy14": wsum("_s_jc", LINREG_N), "_sc5": wsum("_s_c", VAR_N), "_sc2_5": wsum("_s_c2", VAR_N),
+           "_sc12": wsum("_s_c", APO_FAST), "_sc26": wsum("_s_c", APO_SLOW),
+           "_stp14": wsum("_s_tp", CCI_N), "_tps14": E.over(f"collect_list({tp3})", ws, E.rows(-(CCI_N - 1), 0)),
+           "_hi15": E.over("collect_list(high_c)", ws, E.rows(-AROON_N, 0)),
+           "_lo15": E.over("collect_list(low_c)", ws, E.rows(-AROON_N, 0)),
+           "_sho26": wsum("_s_ho", ARBR_N), "_sol26": wsum("_s_ol", ARBR_N), "_srng26": wsum("_s_rng", ARBR_N),
+           "_stp20": wsum("_s_tp", HELPER_CCI_N), "_stp2_20": wsum("_s_tp2", HELPER_CCI_N),
+           "_sup20": wsum("_s_up", UPRATIO_N)}
+    close = E.price("close_c")
     f = {}
-    # Weighted means of close (integer weighted sums, one division)
     tw = trima_weights(TRIMA_N)
-    f["trima"] = sq(F.lit(0.1) * sqrt_pos(F.when(F.col("rn") >= TRIMA_N, _lags_weighted("close_c", tw, w)
-                                                  / (float(sum(tw)) * CENTS))))
+    trima = f"(CASE WHEN rn >= {TRIMA_N} THEN {_weighted_lags('close_c', tw, ws)} / {E.d(sum(tw) * CENTS)} END)"
+    f["trima"] = E.sq(f"0.1D * (CASE WHEN {trima} >= 0 THEN sqrt({trima}) END)")
     ww = [WMA_N - k for k in range(WMA_N)]
-    f["wma"] = sq(F.lit(0.1) * sqrt_pos(F.when(F.col("rn") >= WMA_N, _lags_weighted("close_c", ww, w)
-                                                / (float(sum(ww)) * CENTS))))
-    # Running sums (AD in exact decimals, OBV in whole shares)
-    f["adline"] = sq(F.lit(0.005) * F.col("_ad").cast("double") - 0.5)
-    f["obv"] = sq(F.lit(0.001) * (F.col("_obv") / VOLUME_SCALE))
-    # Beta of low returns on high returns over the last 5 returns
-    # (computed in the second stage from per-row returns)
-    # Pearson correlation of high and low over 30 rows, exact sums
+    wma = f"(CASE WHEN rn >= {WMA_N} THEN {_weighted_lags('close_c', ww, ws)} / {E.d(sum(ww) * CENTS)} END)"
+    f["wma"] = E.sq(f"0.1D * (CASE WHEN {wma} >= 0 THEN sqrt({wma}) END)")
+    f["adline"] = E.sq("0.005D * CAST(_ad AS DOUBLE) - 0.5D")
+    f["obv"] = E.sq(f"0.001D * (_obv / {E.d(VOLUME_SCALE)})")
     n = CORREL_N
-    sh, sl = _wsum("_s_h", n, w), _wsum("_s_l", n, w)
-    cov = F.lit(n) * _wsum("_s_hl", n, w) - sh * sl
-    vh = (F.lit(n) * _wsum("_s_h2", n, w) - sh * sh).cast("double")
-    vl = (F.lit(n) * _wsum("_s_l2", n, w) - sl * sl).cast("double")
-    corr = F.when(vh * vl > 0, cov.cast("double") / F.sqrt(vh * vl)).otherwise(
-        F.when(F.col("rn") >= n, F.lit(0.0)))
-    f["correl"] = clip1(F.lit(-3.0) * corr + 3.0)
-    # Linear regression family over 14 rows
-    m, b = _regression(LINREG_N, w)
-    f["linearreg"] = sq(F.lit(0.1) * (b + m * float(LINREG_N - 1)) - 1.0)
-    f["lineangle"] = sq(F.lit(0.1) * (F.atan(m) * (180.0 / math.pi)))
-    f["TSF"] = sq(F.lit(2.0) * (b + m * float(LINREG_N)))
-    f["lineintercept"] = sq(F.lit(0.05) * b)
-    # Population variance / std of close over 5 rows
-    n = VAR_N
-    sc = _wsum("_s_c", n, w)
-    var = (F.lit(n) * _wsum("_s_c2", n, w) - sc * sc) / (float(n * n) * CENTS * CENTS)
-    f["var"] = sq(F.lit(30.0) * var)
-    f["stddev"] = clip1(pow_pos(sqrt_pos(var), 0.25) - 1.0)
-    # Absolute price oscillator with simple means
-    apo = (_wsum("_s_c", APO_FAST, w) / (APO_FAST * CENTS)
-           - _wsum("_s_c", APO_SLOW, w) / (APO_SLOW * CENTS))
-    f["apo"] = clip1(F.lit(0.5) * apo)
-    # Aroon over 15 rows, latest extreme wins ties
-    fr = w.rowsBetween(-AROON_N, 0)
-    hi = F.collect_list("high_c").over(fr)
-    lo = F.collect_list("low_c").over(fr)
-    since_hi = F.array_position(F.reverse(hi), F.array_max(hi)) - 1
-    since_lo = F.array_position(F.reverse(lo), F.array_min(lo)) - 1
-    full = F.col("rn") >= AROON_N + 1
-    up = F.when(full, F.lit(100.0) * (F.lit(AROON_N) - since_hi) / float(AROON_N))
-    dn = F.when(full, F.lit(100.0) * (F.lit(AROON_N) - since_lo) / float(AROON_N))
-    f["ardown"] = F.lit(0.02) * dn - 1.0
-    f["arup"] = F.lit(0.02) * up - 1.0
-    f["arosc"] = F.lit(0.01) * (up - dn)
-    # Balance of power, zero range -> 0
-    rng = F.col("high_c") - F.col("low_c")
-    f["bop"] = F.when(rng != 0, (F.col("close_c") - F.col("open_c")).cast("double") / rng).otherwise(0.0)
-    # Commodity channel index, exact mean deviation on 3*typical price
+    cov = f"({n} * _shl30 - _sh30 * _sl30)"
+    vh = f"CAST({n} * _sh2_30 - _sh30 * _sh30 AS DOUBLE)"
+    vl = f"CAST({n} * _sl2_30 - _sl30 * _sl30 AS DOUBLE)"
+    corr = (f"(CASE WHEN {vh} * {vl} > 0 THEN CAST({cov} AS DOUBLE) / sqrt({vh} * {vl}) "
+            f"WHEN rn >= {n} THEN 0.0D END)")
+    f["correl"] = E.clip(f"-3.0D * {corr} + 3.0D")
+    n = LINREG_N
+    sx, sxx = n * (n - 1) // 2, n * (n - 1) * (2 * n - 1) // 6
+    s_iy = "(rn * _sy14 - _sjy14)"
+    m = f"(({n} * {s_iy} - {sx} * _sy14) / {E.d((sx * sx - n * sxx) * CENTS)})"
+    b = f"((_sy14 / 100.0D - {m} * {E.d(sx)}) / {E.d(n)})"
+    f["linearreg"] = E.sq(f"0.1D * ({b} + {m} * {E.d(n - 1)}) - 1.0D")
+    f["lineangle"] = E.sq(f"0.1D * (atan({m}) * {E.d(180.0 / math.pi)})")
+    f["TSF"] = E.sq(f"2.0D * ({b} + {m} * {E.d(n)})")
+    f["lineintercept"] = E.sq(f"0.05D * {b}")
+    var = f"(({VAR_N} * _sc2_5 - _sc5 * _sc5) / {E.d(VAR_N * VAR_N * CENTS * CENTS)})"
+    f["var"] = E.sq(f"30.0D * {var}")
+    sd = f"(CASE WHEN {var} >= 0 THEN sqrt({var}) END)"
+    f["stddev"] = E.clip(f"(CASE WHEN {sd} >= 0 THEN pow({sd}, 0.25D) END) - 1.0D")
+    apo = f"(_sc12 / {E.d(APO_FAST * CENTS)} - _sc26 / {E.d(APO_SLOW * CENTS)})"
+    f["apo"] = E.clip(f"0.5D * {apo}")
+    since_hi = "(array_position(reverse(_hi15), array_max(_hi15)) - 1)"
+    since_lo = "(array_position(reverse(_lo15), array_min(_lo15)) - 1)"
+    up = f"(CASE WHEN rn >= {AROON_N + 1} THEN 100.0D * ({AROON_N} - {since_hi}) / {E.d(AROON_N)} END)"
+    dn = f"(CASE WHEN rn >= {AROON_N + 1} THEN 100.0D * ({AROON_N} - {since_lo}) / {E.d(AROON_N)} END)"
+    f["ardown"] = f"0.02D * {dn} - 1.0D"
+    f["arup"] = f"0.02D * {up} - 1.0D"
+    f["arosc"] = f"0.01D * ({up} - {dn})"
+    f["bop"] = "(CASE WHEN high_c - low_c <> 0 THEN CAST(close_c - open_c AS DOUBLE) / (high_c - low_c) ELSE 0.0D END)"
     n = CCI_N
-    tp = F.col("high_c") + F.col("low_c") + F.col("close_c")
-    s_tp = _wsum("_s_tp", n, w)
-    tps = F.collect_list(tp).over(w.rowsBetween(-(n - 1), 0))
-    dev = F.aggregate(tps, F.lit(0).cast("bigint"), lambda acc, v: acc + F.abs(F.lit(n) * v - s_tp))
-    cci = F.when(F.col("rn") >= n, F.when(dev != 0, (F.lit(n) * (F.lit(n) * tp - s_tp)).cast("double")
-                                          / (F.lit(0.015) * dev)).otherwise(F.lit(0.0)))
-    f["cci"] = F.lit(0.004) * cci
-    # helpers without a call site in the reference
-    n = ARBR_N
-    f["ar"] = sdiv(_wsum("_s_ho", n, w) / CENTS, F.lit(1.0) + _wsum("_s_ol", n, w) / CENTS) - 1.0
-    f["cr"] = (_wsum("_s_hl_rng", n, w) - _wsum("_s_hl_rng", n, w)) / (2 * CENTS) - 1.0
+    dev = f"aggregate(_tps14, CAST(0 AS BIGINT), (acc, v) -> acc + abs({n} * v - _stp14))"
+    f["cci"] = (f"0.004D * (CASE WHEN rn >= {n} THEN (CASE WHEN {dev} <> 0 THEN "
+                f"CAST({n} * ({n} * {tp3} - _stp14) AS DOUBLE) / (0.015D * {dev}) ELSE 0.0D END) END)")
+    f["ar"] = f"{E.sdiv('_sho26 / 100.0D', '1.0D + _sol26 / 100.0D')} - 1.0D"
+    f["cr"] = "(_srng26 - _srng26) / 200.0D - 1.0D"
     n = HELPER_CCI_N
-    s_n = _wsum("_s_tp", n, w)
-    var_num = F.lit(n) * _wsum("_s_tp2", n, w) - s_n * s_n
-    std = F.sqrt(var_num / float(n * (n - 1)))
-    f["cci_helper"] = sdiv((F.lit(n) * tp - s_n) / float(n), F.lit(0.015) * std)
-    f["force_index"] = (close - F.lag("close_c", FORCE_N).over(w) / CENTS) * (F.col("volume") / VOLUME_SCALE)
-    f["roc"] = sdiv(close - F.lag("close_c", ROC_N).over(w) / CENTS, F.lag("close_c", ROC_N).over(w) / CENTS)
-    f["sunup"] = F.when(F.col("close_c") > F.col("open_c"), F.lit(1)).otherwise(F.lit(0))
-    f["upratio"] = _wsum("_s_up", UPRATIO_N, w) / float(UPRATIO_N)
-    t = s.select(*s.columns, *[v.alias(k) for k, v in f.items()])
-    return _second_stage(t, w)
-
-
-def _second_stage(t: DataFrame, w: WindowSpec) -> DataFrame:
-    """Indicators built from per-row values of the first stage."""
+    std = f"sqrt(({n} * _stp2_20 - _stp20 * _stp20) / {E.d(n * (n - 1))})"
+    f["cci_helper"] = E.sdiv(f"({n} * {tp3} - _stp20) / {E.d(n)}", f"0.015D * {std}")
+    f["force_index"] = f"({close} - {E.lag('close_c', FORCE_N, ws)} / 100.0D) * {vol}"
+    lc = f"({E.lag('close_c', ROC_N, ws)} / 100.0D)"
+    f["roc"] = E.sdiv(f"{close} - {lc}", lc)
+    f["sunup"] = "CASE WHEN close_c > open_c THEN 1 ELSE 0 END"
+    f["upratio"] = f"_sup20 / {E.d(UPRATIO_N)}"
+    hl = "((high_c + low_c) / 100.0D)"
+    r = "(CASE WHEN (high_c - low_c) / 100.0D = 0 THEN 0.0001D ELSE (high_c - low_c) / 100.0D END)"
+    hi1, lo1 = E.lag("high_c", 1, ws), E.lag("low_c", 1, ws)
+    st4 = {"_hpc": "high_c - _pc", "_pcl": "_pc - low_c",
+           "_xr": f"(high_c - {hi1}) / {hi1}", "_yr": f"(low_c - {lo1}) / {lo1}",
+           "_evm": E.sdiv(f"0.5D * ({hl} - {E.lag(hl, 1, ws)})", f"{vol} / {r}")}
+
+    def lagsum(x, k):
+        return _weighted_lags(x, [1] * k, ws)
     g = {}
-    pc = F.col("_pc")
-    # BR needs the previous close: sums of (h - pc) and (pc - l) over 26 rows
-    hpc = F.col("high_c") - pc
-    pcl = pc - F.col("low_c")
-    t = t.select(*t.columns, hpc.alias("_hpc"), pcl.alias("_pcl"),
-                 ((F.col("high_c") - F.lag("high_c", 1).over(w)) / F.lag("high_c", 1).over(w)).alias("_xr"),
-                 ((F.col("low_c") - F.lag("low_c", 1).over(w)) / F.lag("low_c", 1).over(w)).alias("_yr"),
-                 _evm_col(w).alias("_evm"))
     n = ARBR_N
-
-    def lagsum(c, k):
-        return _lags_weighted(c, [1] * k, w)
-    g["br"] = F.when(F.col("rn") >= n + 1, sdiv(lagsum("_hpc", n) / CENTS,
-                                              F.lit(1.0) + lagsum("_pcl", n) / CENTS) - 1.0)
-    # Beta over the last 5 returns (library definition: y = low, x = high)
+    g["br"] = (f"(CASE WHEN rn >= {n + 1} THEN "
+               f"{E.sdiv(lagsum('_hpc', n) + ' / 100.0D', '1.0D + ' + lagsum('_pcl', n) + ' / 100.0D')} - 1.0D END)")
     n = BETA_N
-    x, y = F.col("_xr"), F.col("_yr")
-    sx, sy = lagsum("_xr", n), lagsum("_yr", n)
-    sxx = _sum_of([(x if k == 0 else F.lag(x, k).over(w)) * (x if k == 0 else F.lag(x, k).over(w))
-                   for k in range(n)])
-    sxy = _sum_of([(x if k == 0 else F.lag(x, k).over(w)) * (y if k == 0 else F.lag(y, k).over(w))
-                   for k in range(n)])
-    den = F.lit(float(n)) * sxx - sx * sx
-    beta = F.when(F.col("rn") >= n + 1, F.when(den != 0, (F.lit(float(n)) * sxy - sx * sy) / den)
-                  .otherwise(F.lit(0.0)))
-    g["beta"] = sq(beta)
-    g["evm"] = -(lagsum("_evm", EVM_N) / float(EVM_N))
-    cci = F.col("cci")
-    g["cci_d"] = sq7(sdiv(cci - F.lag(cci, 1).over(w), F.lit(0.1) + F.lag(cci, 1).over(w)))
-    scratch = [c for c in t.columns if c.startswith("_")]
-    return t.select(*t.columns, *[v.alias(k) for k, v in g.items()]).drop(*scratch, "rn")
-
-
-def _sum_of(terms):
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
-def _evm_col(w: WindowSpec) -> Column:
-    """Ease of movement, one bar: 0.5*dm / (volume / range); zero range -> 0.0001."""
-    hl = (F.col("high_c") + F.col("low_c")) / CENTS
-    dm = hl - F.lag(hl, 1).over(w)
-    r = (F.col("high_c") - F.col("low_c")) / CENTS
-    r = F.when(r == 0, F.lit(0.0001)).otherwise(r)
-    br = (F.col("volume") / VOLUME_SCALE) / r
-    return sdiv(F.lit(0.5) * dm, br)
+
+    def lg(x, k):
+        return x if k == 0 else E.lag(x, k, ws)
+    sxs, sys_ = lagsum("_xr", n), lagsum("_yr", n)
+    sxx_ = "(" + " + ".join(f"{lg('_xr', k)} * {lg('_xr', k)}" for k in range(n)) + ")"
+    sxy_ = "(" + " + ".join(f"{lg('_xr', k)} * {lg('_yr', k)}" for k in range(n)) + ")"
+    den = f"({E.d(n)} * {sxx_} - {sxs} * {sxs})"
+    g["beta"] = E.sq(f"(CASE WHEN rn >= {n + 1} THEN (CASE WHEN {den} <> 0 THEN "
+                     f"({E.d(n)} * {sxy_} - {sxs} * {sys_}) / {den} ELSE 0.0D END) END)")
+    g["evm"] = f"-({lagsum('_evm', EVM_N)} / {E.d(EVM_N)})"
+    g["cci_d"] = E.sq7(E.sdiv(f"cci - {E.lag('cci', 1, ws)}", f"0.1D + {E.lag('cci', 1, ws)}"))
+    return st0, st1, st2, f, st4, g
+
+
+def indicator_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.WS) -> DataFrame:
+    """All plain-window indicators of ``trans_features`` plus the helpers.
+
+    Input: clean bars with ``open_c, high_c, low_c, close_c, volume``.
+    """
+    st0, st1, st2, f, st4, g = indicator_stages(ws)
+    t = df
+    for stage in (st0, st1, st2, f, st4, g):
+        t = t.selectExpr("*", *E.alias(stage))
+    scratch = [c for stage in (st0, st1, st2, st4) for c in stage]
+    return t.drop(*scratch)
 
 
 MAIN_COLUMNS = ["trima", "wma", "adline", "obv", "beta", "correl", "linearreg", "lineangle", "var",

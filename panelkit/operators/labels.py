@@ -8,10 +8,11 @@ inner edges at or below the value, JVM-side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS, bool_int, rolling_frame, sdiv, win
+from panelkit.functions import sql as E
 
 # Label horizons (days), classes per label, edge rounding.
 HORIZONS = (2, 4, 7, 10)
@@ -45,23 +46,40 @@ def buy_score(close: Column, remax: Column, remin: Column) -> Column:
             + bool_int(sdiv(rng, close) > 0.05) * bool_int(close < remin + rng / 5.0)).cast("bigint")
 
 
-def label_columns(df: DataFrame, horizons=HORIZONS, r: int = 1, w: WindowSpec | None = None,
-                  keep_raw: bool = False) -> DataFrame:
-    """L1-L4 for every horizon: ``result{h}, resultmax{h}, resultmin{h},
-    resultrel{h}`` and ``resultbuy{h}`` for h > 2."""
-    w = w or win()
-    close = F.col("close_c") / CENTS
-    cols = []
+def label_exprs(horizons=HORIZONS, r: int = 1, ws: str = E.WS) -> dict:
+    """L1-L4 for every horizon as SQL expressions."""
+    close = E.price("close_c")
+    out = {}
+
+    def b(cond):
+        return f"CAST(coalesce({cond}, false) AS INT)"
     for i in horizons:
         h = i * r
-        remax, remin = forward_extrema_cols(w, h)
-        cols += [forward_return(w, h).alias(f"result{i}"),
-                 (sdiv(remax, close) - 1.0).alias(f"resultmax{i}"),
-                 (sdiv(remin, close) - 1.0).alias(f"resultmin{i}"),
-                 ((sdiv(remax, close) - 1.0) + (sdiv(remin, close) - 1.0)).alias(f"resultrel{i}")]
+        fr = E.rows(1, h)
+        remax = f"((CASE WHEN {E.over('count(close_c)', ws, fr)} = {h} THEN {E.over('max(close_c)', ws, fr)} END) / 100.0D)"
+        remin = f"((CASE WHEN {E.over('count(close_c)', ws, fr)} = {h} THEN {E.over('min(close_c)', ws, fr)} END) / 100.0D)"
+        mx = f"({E.sdiv(remax, close)} - 1.0D)"
+        mn = f"({E.sdiv(remin, close)} - 1.0D)"
+        fwd = f"({E.lead('close_c', h, ws)} / 100.0D)"
+        out[f"result{i}"] = f"({E.sdiv(fwd, close)} - 1.0D)"
+        out[f"resultmax{i}"] = mx
+        out[f"resultmin{i}"] = mn
+        out[f"resultrel{i}"] = f"({mx} + {mn})"
         if i > 2:
-            cols.append(buy_score(close, remax, remin).alias(f"resultbuy{i}"))
-    return df.select(*df.columns, *cols)
+            rng = f"({remax} - {remin})"
+            low5 = b(f"{close} < {remin} + {rng} / 5.0D")
+            sig = (f"({low5} * 2 + {b(f'{close} < {remin} + {rng} / 3.0D')} * 2"
+                   f" - {b(f'{close} > {remax} - {rng} / 3.0D')} * 2 - {b(f'{close} > {remax} - {rng} / 5.0D')} * 2)")
+            out[f"resultbuy{i}"] = (f"CAST(4 + {b(E.sdiv(rng, close) + ' > 0.03D')} * {sig}"
+                                    f" + {b(E.sdiv(rng, close) + ' > 0.05D')} * {low5} AS BIGINT)")
+    return out
+
+
+def label_columns(df: DataFrame, horizons=HORIZONS, r: int = 1, w: WindowSpec | None = None,
+                  ws: str = E.WS) -> DataFrame:
+    """L1-L4 for every horizon: ``result{h}, resultmax{h}, resultmin{h},
+    resultrel{h}`` and ``resultbuy{h}`` for h > 2."""
+    return df.selectExpr("*", *E.alias(label_exprs(horizons, r, ws)))
 
 
 def quantile_edges(df: DataFrame, value: str, key: str = "symbol", n: int = N_CLASSES,
@@ -85,33 +103,35 @@ def bin_code(x, edges) -> Column:
     return F.when(x.isNotNull(), F.size(F.filter(edges, lambda e: e <= x)).cast("bigint"))
 
 
+def edges_over(value: str, key: str = "symbol", n: int = N_CLASSES) -> Column:
+    """A1 as a window aggregate over the whole key partition.
+
+    Evaluated on the panel's existing ``key`` partitioning, so the edges need
+    no extra exchange and no join back (a self-join would re-run the whole
+    lineage of the panel)."""
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    pct = F.percentile(F.col(value), probs).over(Window.partitionBy(key))
+    return F.transform(pct, lambda e: F.bround(e, EDGE_DECIMALS))
+
+
 def quantile_class(df: DataFrame, value: str, out: str, key: str = "symbol",
                    n: int = N_CLASSES) -> DataFrame:
     """A1 + A2: per-key decile class of ``value`` over the key's full history."""
-    edges = quantile_edges(df, value, key, n, name=f"_e_{out}")
-    j = df.join(edges, key, "left")
-    return j.withColumn(out, bin_code(value, f"_e_{out}")).drop(f"_e_{out}")
+    e = f"_e_{out}"
+    staged = df.select(*df.columns, edges_over(value, key, n).alias(e))
+    return staged.select(*df.columns, bin_code(value, e).alias(out))
 
 
 def class_labels(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
-    """L5 + L6: ``resultclass{h}`` and ``resultrelclass{h}`` for every horizon.
-
-    All 2*len(horizons) edge sets come from one aggregation and one join.
-    """
-    probs = [i / N_CLASSES for i in range(1, N_CLASSES)]
-    parr = F.array(*[F.lit(p) for p in probs])
-    aggs = []
-    for i in horizons:
-        for src in (f"result{i}", f"resultrel{i}"):
-            aggs.append(F.transform(F.percentile(F.col(src), parr),
-                                    lambda e: F.bround(e, EDGE_DECIMALS)).alias(f"_e_{src}"))
-    edges = df.groupBy(key).agg(*aggs)
-    j = df.join(edges, key, "left")
+    """L5 + L6: ``resultclass{h}`` and ``resultrelclass{h}`` for every horizon,
+    all edge sets in one window pass over the symbol partition."""
+    srcs = [s for i in horizons for s in (f"result{i}", f"resultrel{i}")]
+    staged = df.select(*df.columns, *[edges_over(s, key).alias(f"_e_{s}") for s in srcs])
     out = []
     for i in horizons:
         out.append(bin_code(f"result{i}", f"_e_result{i}").alias(f"resultclass{i}"))
         out.append(bin_code(f"resultrel{i}", f"_e_resultrel{i}").alias(f"resultrelclass{i}"))
-    return j.select(*df.columns, *out)
+    return staged.select(*df.columns, *out)
 
 
 def label_scale(df: DataFrame, cols, factor: float = 0.1) -> DataFrame:

@@ -329,7 +329,8 @@ def lowpass(x, wn: float = LOWPASS_WN, pad: int = LOWPASS_PAD):
 
 # ---------------------------------------------------------------- Spark glue
 
-RAW_COLUMNS = ["_dif", "_dea", "_hist", "_tema", "_t3", "_natr", "_adosc", "_adx", "_adxr", "_sar"]
+RAW_COLUMNS = ["_dif", "_dea", "_hist", "_hist_chg", "_tema", "_t3", "_natr", "_adosc", "_adx",
+               "_adxr", "_sar"]
 
 
 def _nullable(vals):
@@ -344,7 +345,9 @@ def _stock_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
     v = [int(x) for x in pdf["volume"]]
     dif, dea, hist = macd(c)
     a, ar = adx(h, lo, c)
-    cols = {"_dif": dif, "_dea": dea, "_hist": hist, "_tema": tema(c), "_t3": t3(c),
+    chg = [None] + [None if x is None or y is None else x - y for x, y in zip(hist[1:], hist[:-1])]
+    cols = {"_dif": dif, "_dea": dea, "_hist": hist, "_hist_chg": chg[:len(hist)],
+            "_tema": tema(c), "_t3": t3(c),
             "_natr": natr(h, lo, c), "_adosc": adosc(h, lo, c, v), "_adx": a, "_adxr": ar,
             "_sar": [None if s is None else s / 100.0 for s in sar(h, lo)]}
     for k, vals in cols.items():
@@ -355,21 +358,22 @@ def _stock_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
 def recurrence_columns(df: DataFrame, key: str = "symbol") -> DataFrame:
     """Append the raw recurrence outputs (``RAW_COLUMNS``) to every bar.
 
-    One exchange on ``key``; the kernel sorts each group by date itself.
+    Needs ``key`` clustering: on a panel that is already partitioned by
+    ``key`` (after the window stages) it adds no exchange.  The kernel sorts
+    each group by date itself and passes every input column through.
     """
     schema = StructType(df.schema.fields + [StructField(c, DoubleType()) for c in RAW_COLUMNS])
     return df.groupBy(key).applyInPandas(_stock_kernel, schema)
 
 
-def recurrence_features(df: DataFrame, w=None) -> DataFrame:
-    """T1, T2, T5, T6, T8, T18-T20 as final (scaled, clipped) features."""
-    w = w or win()
-    r = recurrence_columns(df)
+def recurrence_finals(w=None) -> dict:
+    """Scaled / clipped features from the raw recurrence columns (projections
+    only: the histogram's day-over-day change comes from the kernel)."""
     hist = F.col("_hist")
-    feats = {
+    return {
         "dif": clip1(F.lit(0.7) * F.col("_dif")),
         "dea": clip1(F.lit(0.7) * F.col("_dea")),
-        "hist_d": clip1(F.lit(4.0) * (hist - F.lag(hist, 1).over(w))),
+        "hist_d": clip1(F.lit(4.0) * F.col("_hist_chg")),
         "hist": clip1(hist),
         "tema": sq(F.lit(0.1) * F.sqrt(F.col("_tema"))),
         "t3": sq(F.lit(0.1) * F.sqrt(F.col("_t3"))),
@@ -379,8 +383,14 @@ def recurrence_features(df: DataFrame, w=None) -> DataFrame:
         "adx": clip1(F.lit(0.015) * F.col("_adx")),
         "adxr": clip1(F.lit(0.015) * F.col("_adxr")),
     }
+
+
+def recurrence_features(df: DataFrame, w=None) -> DataFrame:
+    """T1, T2, T5, T6, T8, T18-T20 as final (scaled, clipped) features."""
+    w = w or win()
+    r = recurrence_columns(df)
     return r.select(*[c for c in r.columns if c not in RAW_COLUMNS],
-                    *[v.alias(k) for k, v in feats.items()])
+                    *[v.alias(k) for k, v in recurrence_finals(w).items()])
 
 
 RECURRENCE_COLUMNS = ["dif", "dea", "hist_d", "hist", "tema", "t3", "natr", "adosc", "sar", "adx", "adxr"]

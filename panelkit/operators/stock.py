@@ -1,6 +1,6 @@
 """Stock-level valuation and price/volume features.
 
-Plan shape: three staged ``select``s over one window spec.  Stage 1 takes the
+Plan shape: staged ``selectExpr``s over one window spec.  Stage 1 takes the
 row number, running sums of integer cents/shares, close lags and the bounded
 min/max frames; stage 2 turns running sums into rolling means with one offset
 lookup each; stage 3 builds every ratio and its day-over-day change (a lag of
@@ -10,13 +10,10 @@ sort of the first, and none re-aggregates a sliding buffer for sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, WindowSpec
 
-from panelkit.functions import (CENTS, clip1, ln_pos, pow_pos, rolling_frame,
-                                rolling_sum_prefix, sdiv, sq, sq7, sqrt_pos, win)
-
-UNBOUNDED = Window.unboundedPreceding
+from panelkit.functions import CENTS
+from panelkit.functions import sql as E
 
 # Window lengths and scale factors of the stock features.
 SMA_NS = (5, 10, 20, 40, 80)
@@ -39,8 +36,21 @@ INTERMEDIATES = ["max20", "max60", "max120", "min20", "min60", "min120", "sma5",
 
 def prices(df: DataFrame) -> DataFrame:
     """Price columns in currency from integer cents."""
-    return df.select(*df.columns, *[(F.col(f"{c}_c") / CENTS).alias(c)
-                                    for c in ("open", "high", "low", "close")])
+    return df.selectExpr("*", *[f"{E.price(c + '_c')} AS {c}" for c in ("open", "high", "low", "close")])
+
+
+def valuation_exprs() -> dict:
+    """V1-V6 as SQL expressions over the clean bar columns."""
+    close = E.price("close_c")
+    flow = E.sdiv(f"1.0E-8D * {close} * CAST(volume AS DOUBLE)", "turn")
+    return {
+        "flowmkt": E.sq7(f"(CASE WHEN {flow} > 0 THEN ln({flow}) END)"),
+        "everyprofit": E.sq7(E.sdiv("10.0D", "peTTM")),
+        "turn": E.sq7("(CASE WHEN turn / 10.0D >= 0 THEN pow(turn / 10.0D, 0.2D) END)"),
+        "everypb": E.sq7(E.sdiv("2.0D", "pbMRQ")),
+        "eversale": E.sq7(E.sdiv("2.0D", "(CASE WHEN psTTM >= 0 THEN sqrt(psTTM) END)")),
+        "evermoney": E.sq7(E.sdiv("20.0D", "pcfNcfTTM")),
+    }
 
 
 def valuation_features(df: DataFrame) -> DataFrame:
@@ -49,97 +59,78 @@ def valuation_features(df: DataFrame) -> DataFrame:
     Division by zero gives NULL, then 0 from the fill (the reference gets
     inf and a saturated arctan; documented deviation).
     """
-    close = F.col("close_c") / CENTS
-    turn = F.col("turn")
-    new = {
-        "flowmkt": sq7(ln_pos(sdiv(F.lit(1e-8) * close * F.col("volume"), turn))),
-        "everyprofit": sq7(sdiv(F.lit(10.0), F.col("peTTM"))),
-        "turn": sq7(pow_pos(turn / 10.0, 0.2)),
-        "everypb": sq7(sdiv(F.lit(2.0), F.col("pbMRQ"))),
-        "eversale": sq7(sdiv(F.lit(2.0), sqrt_pos(F.col("psTTM")))),
-        "evermoney": sq7(sdiv(F.lit(20.0), F.col("pcfNcfTTM"))),
-    }
-    keep = [c for c in df.columns if c not in new]
-    out = df.select(*keep, *[v.alias(k) for k, v in new.items()])
-    return out.fillna(0.0, subset=list(new))
+    new = valuation_exprs()
+    keep = [E.q(c) for c in df.columns if c not in new]
+    return df.selectExpr(*keep, *[f"coalesce({v}, 0.0D) AS {k}" for k, v in new.items()])
 
 
-def _stage1(df: DataFrame, w: WindowSpec) -> DataFrame:
-    run = w.rowsBetween(UNBOUNDED, 0)
-    close = F.col("close_c") / CENTS
+def price_volume_exprs(ws: str = E.WS):
+    """The three expression stages of F1-F18 (scratch names start with ``_``)."""
     lags = sorted({1} | {n for _, n in RET_K.values()})
-    cols = [
-        F.row_number().over(w).alias("rn"),
-        F.sum("close_c").over(run).alias("_cs_close"),
-        F.sum("volume").over(run).alias("_cs_vol"),
-        *[(F.lag("close_c", n).over(w) / CENTS).alias(f"_lag{n}") for n in lags],
-    ]
-    base = df.select(*df.columns, *cols)
-    ext = []
+    st1 = {"rn": E.over("row_number()", ws),
+           "_cs_close": E.running_sum("close_c", ws),
+           "_cs_vol": E.running_sum("volume", ws),
+           **{f"_lag{n}": f"(CAST({E.lag('close_c', n, ws)} AS DOUBLE) / 100.0D)" for n in lags}}
+    st1b = {"_close": E.price("close_c")}
     for n in EXTREMA_NS:
-        ext.append(rolling_frame(F.max, "high_c", w, -n, -1).alias(f"_max{n}_c"))
-        ext.append(rolling_frame(F.min, "low_c", w, -n, -1).alias(f"_min{n}_c"))
-    return base.select(*base.columns, *ext, close.alias("_close"))
-
-
-def _stage2(df: DataFrame, w: WindowSpec) -> DataFrame:
-    cols = [(rolling_sum_prefix("_cs_close", n, w) / (CENTS * n)).alias(f"sma{n}") for n in SMA_NS]
+        st1b[f"_max{n}_c"] = f"(CASE WHEN rn >= {n + 1} THEN {E.over('max(high_c)', ws, E.rows(-n, -1))} END)"
+        st1b[f"_min{n}_c"] = f"(CASE WHEN rn >= {n + 1} THEN {E.over('min(low_c)', ws, E.rows(-n, -1))} END)"
     vns = sorted(set(VOL_NS) | {a for a, _ in VOL_CROSS.values()} | {b for _, b in VOL_CROSS.values()})
-    cols += [(rolling_sum_prefix("_cs_vol", n, w) / (VOLUME_SCALE * n)).alias(f"_vm{n}") for n in vns]
-    return df.select(*df.columns, *cols)
-
-
-def price_volume_features(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
-    """F1-F18 on clean bars (integer cents, whole shares).
-
-    Input needs ``symbol, trade_date, open_c, high_c, low_c, close_c, volume,
-    amount``.  Output keeps the P10 intermediates; ``drop_intermediates``
-    removes them.
-    """
-    w = w or win()
-    s = _stage2(_stage1(df, w), w)
-    close, lag1 = F.col("_close"), F.col("_lag1")
-    vol = F.col("volume") / VOLUME_SCALE
-    amt = F.col("amount") / VOLUME_SCALE
-    f = {}
-    f["preclose"] = lag1
-    f["pctChg"] = clip1(sdiv(F.lit(8.0) * (close - lag1), lag1))
+    st2 = {**{f"sma{n}": f"({E.prefix_sum('_cs_close', n, ws)} / {E.d(CENTS * n)})" for n in SMA_NS},
+           **{f"_vm{n}": f"({E.prefix_sum('_cs_vol', n, ws)} / {E.d(VOLUME_SCALE * n)})" for n in vns}}
+    close, lag1 = "_close", "_lag1"
+    vol = f"(CAST(volume AS DOUBLE) / {E.d(VOLUME_SCALE)})"
+    amt = f"(amount / {E.d(VOLUME_SCALE)})"
+    f = {"preclose": lag1,
+         "pctChg": E.clip(E.sdiv(f"8.0D * ({close} - {lag1})", lag1))}
     for name, (k, n) in RET_K.items():
-        f[name] = clip1(F.lit(float(k)) * sdiv(close, F.col(f"_lag{n}")) - float(k))
-    f["avg_price"] = amt / (F.lit(0.01) + vol)
+        f[name] = E.clip(f"{E.d(k)} * {E.sdiv(close, f'_lag{n}')} - {E.d(k)}")
+    f["avg_price"] = f"{amt} / (0.01D + {vol})"
     for n in EXTREMA_NS:
-        f[f"max{n}"] = F.col(f"_max{n}_c") / CENTS
-        f[f"min{n}"] = F.col(f"_min{n}_c") / CENTS
-        f[f"{n}_min"] = clip1(sdiv(close, F.col(f"_min{n}_c") / CENTS) - 0.9)
-        f[f"{n}_max"] = clip1(sdiv(F.lit(2.0) * close, F.col(f"_max{n}_c") / CENTS) - 2.0)
+        mx, mn = f"(CAST(_max{n}_c AS DOUBLE) / 100.0D)", f"(CAST(_min{n}_c AS DOUBLE) / 100.0D)"
+        f[f"max{n}"] = mx
+        f[f"min{n}"] = mn
+        f[f"{n}_min"] = E.clip(f"{E.sdiv(close, mn)} - 0.9D")
+        f[f"{n}_max"] = E.clip(f"{E.sdiv(f'2.0D * {close}', mx)} - 2.0D")
     for n, k in SLOPE_K.items():
-        sma = F.col(f"sma{n}")
-        prev = F.lag(sma, 1).over(w)
-        f[f"{n}_d"] = clip1(sdiv(F.lit(float(k)) * (sma - prev), prev))
+        prev = E.lag(f"sma{n}", 1, ws)
+        f[f"{n}_d"] = E.clip(E.sdiv(f"{E.d(k)} * (sma{n} - {prev})", prev))
     for n, k in DEV_K.items():
-        f[f"r{n}"] = clip1(sdiv(F.lit(float(k)) * close, F.col(f"sma{n}")) - float(k))
+        f[f"r{n}"] = E.clip(f"{E.sdiv(f'{E.d(k)} * {close}', f'sma{n}')} - {E.d(k)}")
     for name, (a, b, k) in CROSS.items():
-        raw = sdiv(F.lit(float(k)) * F.col(f"sma{a}"), F.col(f"sma{b}")) - float(k)
+        raw = f"({E.sdiv(f'{E.d(k)} * sma{a}', f'sma{b}')} - {E.d(k)})"
         if name in CROSS_D:
-            f[f"{name}_d"] = clip1(F.lit(float(CROSS_D[name])) * (raw - F.lag(raw, 1).over(w)))
-        f[name] = clip1(raw)
-    f["day_price"] = sdiv(F.lit(0.5) * ((F.col("open_c") / CENTS) + close), vol)
+            f[f"{name}_d"] = E.clip(f"{E.d(CROSS_D[name])} * ({raw} - {E.lag(raw, 1, ws)})")
+        f[name] = E.clip(raw)
+    f["day_price"] = E.sdiv(f"0.5D * ({E.price('open_c')} + {close})", vol)
     for n in VOL_NS:
-        raw = (F.lit(10.0) * vol) / (F.lit(0.1) + F.col(f"_vm{n}"))
-        f[f"v{n}_d"] = sq(F.lit(0.1) * (raw - F.lag(raw, 1).over(w)))
-        f[f"v{n}"] = sq(F.lit(0.1) * raw)
+        raw = f"((10.0D * {vol}) / (0.1D + _vm{n}))"
+        f[f"v{n}_d"] = E.sq(f"0.1D * ({raw} - {E.lag(raw, 1, ws)})")
+        f[f"v{n}"] = E.sq(f"0.1D * {raw}")
     for name, (a, b) in VOL_CROSS.items():
-        raw = (F.lit(10.0) * F.col(f"_vm{a}")) / (F.lit(0.1) + F.col(f"_vm{b}"))
-        f[f"{name}_d"] = sq(raw - F.lag(raw, 1).over(w))
-        f[name] = sq(F.lit(0.1) * raw)
-    f["highratio"] = clip1(sdiv(F.lit(10.0) * (F.col("high_c") / CENTS), lag1) - 10.2)
-    f["lowratio"] = clip1(sdiv(F.lit(10.0) * (F.col("low_c") / CENTS), lag1) - 9.8)
-    f["openratio"] = clip1(sdiv(F.lit(20.0) * (F.col("open_c") / CENTS), lag1) - 20.0)
+        raw = f"((10.0D * _vm{a}) / (0.1D + _vm{b}))"
+        f[f"{name}_d"] = E.sq(f"({raw} - {E.lag(raw, 1, ws)})")
+        f[name] = E.sq(f"0.1D * {raw}")
+    f["highratio"] = E.clip(f"{E.sdiv('10.0D * ' + E.price('high_c'), lag1)} - 10.2D")
+    f["lowratio"] = E.clip(f"{E.sdiv('10.0D * ' + E.price('low_c'), lag1)} - 9.8D")
+    f["openratio"] = E.clip(f"{E.sdiv('20.0D * ' + E.price('open_c'), lag1)} - 20.0D")
     f["volume"] = vol
     f["amount"] = amt
-    scratch = [c for c in s.columns if c.startswith("_") or c in f]
-    keep = [c for c in s.columns if c not in scratch]
-    return s.select(*keep, *[v.alias(k) for k, v in f.items()])
+    return st1, st1b, st2, f
+
+
+def price_volume_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.WS) -> DataFrame:
+    """F1-F18 on clean bars (integer cents, whole shares).
+
+    Input needs ``symbol, trade_date, open_c, high_c, low_c, close_c, volume,
+    amount``.  Output keeps the P10 intermediates; ``drop_intermediates``
+    removes them.  ``volume``/``amount`` come out scaled to millions.
+    """
+    st1, st1b, st2, f = price_volume_exprs(ws)
+    s = df.selectExpr("*", *E.alias(st1)).selectExpr("*", *E.alias(st1b)).selectExpr("*", *E.alias(st2))
+    scratch = {c for c in (*st1, *st1b, *st2) if c.startswith("_") or c == "rn"}
+    keep = [E.q(c) for c in s.columns if c not in scratch and c not in f]
+    return s.selectExpr(*keep, *E.alias(f))
 
 
 def drop_intermediates(df: DataFrame) -> DataFrame:

@@ -71,7 +71,8 @@ def select_out(src: str, cols, types=None, key: str = KEY) -> str:
     types = types or {}
     parts = []
     for c in cols:
-        parts.append(f'"{c}"' if c in types else f'{r6(chr(34) + c + chr(34))} AS "{c}"')
+        quoted = f'"{c}"'
+        parts.append(quoted if c in types else f"{r6(quoted)} AS {quoted}")
     return f"SELECT {key}, {', '.join(parts)} FROM {src}"
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS, clip1, r6, rolling_sum_prefix, sdiv, sq, sq7, win
+from panelkit.functions import sql as E
 from panelkit.operators import clean as C
 from panelkit.operators import index as I
 from panelkit.operators import indicators as T
@@ -16,18 +17,19 @@ from panelkit.operators import labels as L
 from panelkit.operators import recurrences as R
 from panelkit.operators import stock as S
 from panelkit.operators import windows as W
+from panelkit.plans import features as FT
 from panelkit.sources import fixtures as X
 
 KEY = ["symbol", "trade_date"]
 
 
 def out(df: DataFrame, cols, key=KEY) -> DataFrame:
-    """Project ``key + cols`` and round every double to 6 places."""
+    """Project ``key + cols`` and round every double to 6 places (one call)."""
     types = dict(df.dtypes)
-    sel = [F.col(k) for k in key]
+    sel = [E.q(k) for k in key]
     for c in cols:
-        sel.append(r6(F.col(c)).alias(c) if types[c] == "double" else F.col(c))
-    return df.select(*sel)
+        sel.append(f"{E.r6(E.q(c))} AS {E.q(c)}" if types[c] == "double" else E.q(c))
+    return df.selectExpr(*sel)
 
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,6 +314,7 @@ def q_index_macd(spark, sf):
     return out(R.index_macd(X.index_bars(spark, sf)), ["zsdif", "zsdea", "zshist_d", "zshist"], key=IKEY)
 
 
+
 def q_lowpass_filter(spark, sf):
     """T33 + W7: zero-phase low-pass of close against the centred 10-day mean."""
     c = clean(spark, sf)
@@ -368,5 +371,14 @@ QUERIES = {
 }
 
 
+def q_feature_table(spark, sf):
+    """The stored feature table: 138 features + 11 labels (S7's payload)."""
+    ft = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf))
+    return out(ft, FT.FEATURE_COLUMNS + FT.LABEL_COLUMNS)
+
+
+QUERIES["feature_table"] = q_feature_table
+
+
 def flagship(spark, sf):
-    return q_ma_class(spark, sf)
+    return q_feature_table(spark, sf)
