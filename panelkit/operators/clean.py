@@ -126,3 +126,25 @@ def approx_amount(df: DataFrame) -> DataFrame:
     ohlc = (F.col("open_c") + F.col("close_c") + F.col("high_c") + F.col("low_c")) / 100.0
     return df.withColumn("amount", F.lit(0.25) * ohlc * F.col("volume"))
 
+
+
+def global_index(df: DataFrame, order: str, name: str = "idx") -> DataFrame:
+    """0-based position of each row in ``order`` across the whole frame,
+    without moving all rows into one task.
+
+    A range-partitioned sort splits the keys over tasks; each task numbers
+    its rows, and a table of per-partition counts (one row per partition,
+    a proven bound) gives every partition its offset.
+    """
+    srt = df.repartitionByRange(order).withColumn("_pid", F.spark_partition_id())
+    local = srt.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid").orderBy(order)) - 1)
+    counts = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col("_off") + F.col("_loc")).drop("_pid", "_loc", "_off"))
+
+
+def symbol_chunks(symbols: DataFrame, size: int = 1000, key: str = "symbol") -> DataFrame:
+    """Chunk id of each symbol in code order (chunks of ``size``)."""
+    return global_index(symbols.select(key).distinct(), key).select(
+        key, F.floor(F.col("idx") / size).cast("bigint").alias("chunk"))

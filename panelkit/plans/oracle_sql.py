@@ -642,7 +642,71 @@ SQL = {
 }
 
 
+# ------------------------------------------------------------ S*, P*, O*, A4
+
+PREFIX = "CASE WHEN starts_with(symbol, '6') THEN 'sh.' || symbol ELSE 'sz.' || symbol END"
+
+
+def _p_change():
+    prev = f"(CAST({lag('close_c')} AS DOUBLE) / 100)"
+    pc = sdiv(f"10.0 * ((CAST(close_c AS DOUBLE) / 100) - {prev})", prev)
+    return with_base(f"SELECT {KEY}, {r6(pc)} AS p_change FROM bars WHERE volume > 0")
+
+
+def _scan_unadjusted():
+    px = ", ".join(f"{r6(f'CAST({p}_c AS DOUBLE) / 100')} AS {p}" for p in ("open", "high", "low", "close"))
+    return with_base(f"""SELECT {KEY}, {PREFIX} AS code, {px},
+  {r6(f"CAST({lag('close_c')} AS DOUBLE) / 100")} AS preclose, volume,
+  {r6('CAST(amount_c AS DOUBLE) / 100')} AS amount FROM bars""")
+
+
+SIMPLE = {
+    "symbol_master": f"SELECT symbol, {PREFIX} AS code FROM symbols ORDER BY symbol",
+    "exchange_prefix": f"SELECT symbol, {PREFIX} AS code FROM (SELECT DISTINCT symbol FROM clean)",
+    "incremental_symbols": "SELECT symbol FROM symbols WHERE symbol NOT IN (SELECT symbol FROM stored_symbols)",
+    "symbols_present": f"SELECT {KEY}, close_c FROM clean WHERE symbol IN (SELECT symbol FROM stored_symbols)",
+    "exclude_board": "SELECT symbol FROM symbols WHERE substr(symbol, 1, 3) <> '688'",
+    "min_history": """SELECT symbol, count(*) AS n_rows FROM clean
+  WHERE symbol IN (SELECT symbol FROM raw_bars GROUP BY symbol HAVING count(*) > 50)
+  GROUP BY symbol HAVING count(*) > 450""",
+    "symbol_counts": "SELECT symbol, count(*) AS n_rows FROM clean GROUP BY symbol",
+    "warmup_trim": f"SELECT {KEY}, close_c FROM (SELECT *, row_number() OVER ({WS}) AS rn FROM clean) WHERE rn > 120",
+    "stride_sample": f"SELECT {KEY}, close_c FROM (SELECT *, row_number() OVER ({WS}) AS rn FROM clean) WHERE (rn - 1) % 3 = 0",
+    "first_symbols": "SELECT symbol FROM symbols ORDER BY symbol LIMIT 2",
+    "tail_rows": f"""SELECT {KEY}, close_c FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) AS back FROM clean) WHERE back <= 100""",
+    "symbol_chunks": """SELECT symbol, CAST(floor((row_number() OVER (ORDER BY symbol) - 1) / 1000) AS BIGINT) AS chunk
+  FROM (SELECT DISTINCT symbol FROM clean)""",
+}
+
+
+def _simple(sql):
+    return lambda: with_base(sql)
+
+
+def _relative_labels():
+    wi = "PARTITION BY index_code ORDER BY trade_date"
+    ic = "(CAST(close_c AS DOUBLE) / 100)"
+    szs = []
+    for n in (1, 2, 4, 8, 15, 30):
+        prev = f"(CAST({lag('close_c', n, wi)} AS DOUBLE) / 100)"
+        szs.append(f"({sdiv('40.0 * ' + ic, prev)} - 40.0) AS szpctchg{n}")
+    idx_fwd = sdiv(f"CAST({lead('close_c', 5, wi)} AS DOUBLE) / 100", ic)
+    fwd = sdiv(f"CAST({lead('close_c', 5)} AS DOUBLE) / 100", ic)
+    amount = "0.25 * (CAST(open_c + close_c + high_c + low_c AS DOUBLE) / 100.0) * volume"
+    extra = f"""ix AS (SELECT trade_date, {idx_fwd} AS _idx_fwd, {', '.join(szs)} FROM index_bars),
+rl AS (SELECT c.*, {amount} AS amount2, {fwd} AS _fwd FROM clean c),
+rj AS (SELECT rl.*, rl._fwd - ix._idx_fwd AS result, ix.* EXCLUDE (trade_date, _idx_fwd)
+       FROM rl LEFT JOIN ix USING (trade_date))"""
+    cols = ["amount", "result", *[f"szpctchg{n}" for n in (1, 2, 4, 8, 15, 30)]]
+    body = f"""SELECT {KEY}, {', '.join(f'{r6(c)} AS {c}' for c in cols)}, resultclass
+FROM ({class_sql('(SELECT * EXCLUDE (amount) RENAME (amount2 AS amount) FROM rj)', 'result', 'resultclass')})
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in cols)} AND resultclass IS NOT NULL"""
+    return with_base(body, extra)
+
+
 def oracle() -> dict[str, str]:
     from panelkit.plans import oracle_recur
-    merged = {**SQL, **oracle_recur.SQL}
+    merged = {**SQL, **oracle_recur.SQL, "p_change": _p_change, "scan_unadjusted": _scan_unadjusted,
+              "relative_labels": _relative_labels, **{k: _simple(v) for k, v in SIMPLE.items()}}
     return {k: v() for k, v in merged.items()}

@@ -382,3 +382,134 @@ QUERIES["feature_table"] = q_feature_table
 
 def flagship(spark, sf):
     return q_feature_table(spark, sf)
+
+
+# ---------------------------------------------------------------- S*, P*, O*, A4
+
+def q_p_change(spark, sf):
+    """S3: simple bars, traded days only, 10x daily change."""
+    w = win()
+    b = X.bars(spark, sf).filter(F.col("volume") > 0)
+    c = F.col("close_c") / CENTS
+    prev = F.lag("close_c", 1).over(w) / CENTS
+    return out(b.select(*KEY, sdiv(F.lit(10.0) * (c - prev), prev).alias("p_change")), ["p_change"])
+
+
+def q_scan_unadjusted(spark, sf):
+    """S4 (+P1): unadjusted bars with exchange code and previous close."""
+    w = win()
+    b = C.exchange_prefix(X.bars(spark, sf), out="code")
+    cols = {p: F.col(f"{p}_c") / CENTS for p in ("open", "high", "low", "close")}
+    df = b.select(*KEY, "code", *[v.alias(k) for k, v in cols.items()],
+                  (F.lag("close_c", 1).over(w) / CENTS).alias("preclose"), "volume",
+                  (F.col("amount_c") / CENTS).alias("amount"))
+    return out(df, ["code", "open", "high", "low", "close", "preclose", "volume", "amount"])
+
+
+def q_symbol_master(spark, sf):
+    """S6 + O2 + P1: the symbol master sorted by code."""
+    s = C.exchange_prefix(X.symbols(spark, sf), out="code").select("symbol", "code")
+    return s.orderBy("symbol")
+
+
+def q_exchange_prefix(spark, sf):
+    """P1 on the bars' symbols."""
+    b = clean(spark, sf).select("symbol").distinct()
+    return C.exchange_prefix(b, out="code")
+
+
+def q_incremental_symbols(spark, sf):
+    """Symbols still to process (left-anti join with stored ones)."""
+    return C.symbols_missing(X.symbols(spark, sf).select("symbol"), X.stored_symbols(spark, sf))
+
+
+def q_symbols_present(spark, sf):
+    """Bars of symbols with stored data (left-semi join)."""
+    return clean(spark, sf).join(X.stored_symbols(spark, sf), "symbol", "left_semi").select(*KEY, "close_c")
+
+
+def q_exclude_board(spark, sf):
+    """Symbols outside the excluded board."""
+    return C.exclude_board(X.symbols(spark, sf)).select("symbol")
+
+
+def q_min_history(spark, sf):
+    """P7 + P8: symbols with > 50 feed rows and > 450 clean rows, with their counts."""
+    g = C.min_history(C.clean_bars_counted(X.raw_bars(spark, sf)), min_clean=450,
+                      count_col="_n_raw", min_raw=50)
+    return g.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_symbol_counts(spark, sf):
+    """A4: clean bars per symbol (partial aggregation)."""
+    return C.history_counts(clean(spark, sf))
+
+
+def q_warmup_trim(spark, sf):
+    """Bars after each symbol's first 120."""
+    return C.warmup_trim(clean(spark, sf)).select(*KEY, "close_c")
+
+
+def q_stride_sample(spark, sf):
+    """Every 3rd bar per symbol."""
+    return C.stride_sample(clean(spark, sf), 3).select(*KEY, "close_c")
+
+
+def q_first_symbols(spark, sf):
+    """O3: the first two symbols of the master (the limit is the operator)."""
+    return X.symbols(spark, sf).select("symbol").orderBy("symbol").limit(2)
+
+
+def q_tail_rows(spark, sf):
+    """The last 100 bars of each symbol."""
+    w = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
+    c = clean(spark, sf).withColumn("_back", F.row_number().over(w))
+    return c.filter(F.col("_back") <= 100).select(*KEY, "close_c")
+
+
+def q_symbol_chunks(spark, sf):
+    """Chunk of 1,000 symbols each symbol belongs to (all symbols, one job)."""
+    return C.symbol_chunks(clean(spark, sf), 1000)
+
+
+# ---------------------------------------------------------------- L7, L8, P16
+
+def q_relative_labels(spark, sf):
+    """P16 + L7 + L8: amount from OHLC, 5-day return relative to the index,
+    lagged index changes, per-symbol decile class; rows with gaps dropped."""
+    w = win()
+    days = 5
+    ib = X.index_bars(spark, sf)
+    wi = win(("index_code",))
+    idx_close = F.col("close_c") / CENTS
+    ix = ib.select("trade_date",
+                   sdiv(F.lead("close_c", days).over(wi) / CENTS, idx_close).alias("_idx_fwd"),
+                   *[(sdiv(F.lit(40.0) * idx_close, F.lag("close_c", n).over(wi) / CENTS) - 40.0)
+                     .alias(f"szpctchg{n}") for n in (1, 2, 4, 8, 15, 30)])
+    c = C.approx_amount(clean(spark, sf))
+    close = F.col("close_c") / CENTS
+    c = c.select(*c.columns, sdiv(F.lead("close_c", days).over(w) / CENTS, close).alias("_fwd"))
+    j = c.join(F.broadcast(ix), "trade_date", "left")
+    j = j.withColumn("result", F.col("_fwd") - F.col("_idx_fwd"))
+    cls = L.quantile_class(j, "result", "resultclass")
+    cols = ["amount", "result", *[f"szpctchg{n}" for n in (1, 2, 4, 8, 15, 30)], "resultclass"]
+    return out(cls.dropna(subset=cols), cols)
+
+
+QUERIES.update({
+    "p_change": q_p_change,
+    "scan_unadjusted": q_scan_unadjusted,
+    "symbol_master": q_symbol_master,
+    "exchange_prefix": q_exchange_prefix,
+    "incremental_symbols": q_incremental_symbols,
+    "symbols_present": q_symbols_present,
+    "exclude_board": q_exclude_board,
+    "min_history": q_min_history,
+    "symbol_counts": q_symbol_counts,
+    "warmup_trim": q_warmup_trim,
+    "stride_sample": q_stride_sample,
+    "first_symbols": q_first_symbols,
+    "tail_rows": q_tail_rows,
+    "symbol_chunks": q_symbol_chunks,
+    "relative_labels": q_relative_labels,
+})
