@@ -705,8 +705,128 @@ WHERE {' AND '.join(f'{c} IS NOT NULL' for c in cols)} AND resultclass IS NOT NU
     return with_base(body, extra)
 
 
+# ------------------------------------------------------------ D*, U*, E*
+
+def dlit(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def seq_ctes(with_index: bool = False) -> str:
+    base = stock_ctes() + ",\n" + labels_cte("stock_feat") + ",\n" + classes_cte()
+    src = "classed"
+    extra = ""
+    if with_index:
+        base += ",\n" + enrich_ctes("classed")
+        src = "enriched"
+        extra = ", zsr5"
+    px = ", ".join(f"CAST({p}_c AS DOUBLE) / 100 AS {p}" for p in ("close", "open", "high", "low"))
+    return base + f""",
+sb0 AS (SELECT symbol, trade_date, {px}, r5, r20, v5, resultclass4{extra}
+        FROM (SELECT *, row_number() OVER ({WS}) AS _rn FROM {src}) WHERE _rn > 120),
+sb AS (SELECT *, row_number() OVER ({WS}) AS n2, lead(trade_date) OVER ({WS}) AS nxt,
+              CAST({lead('resultclass4')} AS DOUBLE) * 0.1 AS label FROM sb0),
+ends AS (SELECT symbol, trade_date AS end_date, n2, label FROM sb WHERE n2 >= 10 AND nxt IS NOT NULL),
+win AS (SELECT e.symbol, e.end_date, CAST(b.n2 - (e.n2 - 9) AS BIGINT) AS pos, b.* EXCLUDE (symbol, label)
+        FROM ends e JOIN sb b ON b.symbol = e.symbol AND b.n2 BETWEEN e.n2 - 9 AND e.n2),
+splits AS (SELECT symbol, end_date, CASE WHEN back <= 10 THEN 'predict' WHEN back <= 100 THEN 'test' ELSE 'train' END AS split
+           FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY end_date DESC) AS back FROM ends))"""
+
+
+SKEY = "symbol, end_date, pos"
+
+
+def _seq(body, with_index=False):
+    return lambda: with_base(body, seq_ctes(with_index))
+
+
+def first_in_window(c: str) -> str:
+    return f"first_value({c}) OVER (PARTITION BY symbol, end_date ORDER BY pos)"
+
+
+def _anchor_sql() -> str:
+    fc = first_in_window("close")
+    cols = ", ".join(f"{r6(f'10.0 * {p} / (0.01 + {fc}) - 10.0')} AS {p}" for p in ("close", "open", "high", "low"))
+    return f"SELECT {SKEY}, trade_date, {cols} FROM win"
+
+
+def _norm_sql() -> str:
+    cols = ", ".join(f"{r6(f'1.0 * {c} / NULLIF({first_in_window(c)}, 0) - 1.0')} AS {c}" for c in ("close", "v5"))
+    return f"SELECT {SKEY}, trade_date, {cols} FROM win"
+
+
+NULL_ANY = "(close IS NULL OR r5 IS NULL OR v5 IS NULL OR zsr5 IS NULL)"
+SEQ_SQL = {
+    "sequence_windows": (f"SELECT {SKEY}, trade_date, {r6('close')} AS close, {r6('r5')} AS r5, "
+                         f"{r6('v5')} AS v5 FROM win", False),
+    "sequence_anchor": (_anchor_sql(), False),
+    "sequence_norm": (_norm_sql(), False),
+    "sequence_labels": (f"SELECT symbol, end_date, {r6('label')} AS label FROM ends", False),
+    "chrono_split": ("SELECT symbol, end_date, split FROM splits", False),
+    "union_windows": ("SELECT symbol, end_date, split FROM splits", False),
+    "reject_null_symbols": (f"""SELECT symbol, CAST(max(CASE WHEN split = 'train' AND {NULL_ANY} THEN 1 ELSE 0 END) AS INTEGER) AS rejected
+FROM win JOIN splits USING (symbol, end_date) GROUP BY symbol""", True),
+    "collect_panel": ("""SELECT symbol, split, count(*) AS n_windows FROM splits
+WHERE symbol IN (SELECT symbol FROM stored_symbols)
+  AND symbol IN (SELECT symbol FROM sb0 GROUP BY symbol HAVING count(*) > 300)
+GROUP BY symbol, split""", False),
+    "union_predictions": (f"""SELECT s.symbol, s.end_date, s.split, {r6('0.5 + 0.4 * b.r20')} AS prediction
+FROM splits s JOIN sb0 b ON b.symbol = s.symbol AND b.trade_date = s.end_date
+WHERE s.split IN ('test', 'predict')""", False),
+}
+
+
+def eval_ctes() -> str:
+    t1 = dlit(0.75 * 0.7)
+
+    def ratio(a, b):
+        return f"(CASE WHEN ({b}) > 0 THEN ({a}) / ({b}) ELSE 0.0 END)"
+    return stock_ctes() + ",\n" + labels_cte("stock_feat") + ",\n" + classes_cte() + f""",
+eb AS (SELECT symbol, trade_date, CAST(close_c AS DOUBLE) / 100 AS close, 0.5 + 0.4 * r20 AS prediction,
+              CAST(resultclass4 AS DOUBLE) * 0.1 AS truth FROM classed),
+ev AS (SELECT *, CAST(prediction > 0.7 AS INTEGER) AS p1, CAST(truth > {t1} AS INTEGER) AS t1
+       FROM eb WHERE prediction IS NOT NULL AND truth IS NOT NULL),
+agg AS (SELECT count(*) AS n, avg(abs(prediction - truth)) AS mae,
+               avg((prediction - truth) * (prediction - truth)) AS mse,
+               sum(p1) AS np1, sum(t1) AS nt1, sum(p1 * t1) AS b1, sum((1 - p1) * (1 - t1)) AS b0 FROM ev),
+mets AS (
+  SELECT *, sqrt(mse) AS rmse,
+    ({ratio("b1", "nt1")} * pres1 + {ratio("b0", "n - nt1")} * pres0) / (pres1 + pres0) AS ref_precision,
+    ({ratio("b1", "np1")} * pres1 + {ratio("b0", "n - np1")} * pres0) / (pres1 + pres0) AS precision,
+    (np1 * {ratio("2.0 * b1", "np1 + nt1")} + (n - np1) * {ratio("2.0 * b0", "(n - np1) + (n - nt1)")}) / n AS ref_f1_weighted,
+    (nt1 * {ratio("2.0 * b1", "np1 + nt1")} + (n - nt1) * {ratio("2.0 * b0", "(n - np1) + (n - nt1)")}) / n AS f1_weighted,
+    CASE WHEN np1 > 0 THEN b1 / np1 END AS topacc
+  FROM (SELECT *, CAST(np1 + nt1 > 0 AS INTEGER) AS pres1, CAST((n - np1) + (n - nt1) > 0 AS INTEGER) AS pres0 FROM agg))"""
+
+
+def _eval(cols):
+    sel = ", ".join(c if c == "n" else f"{r6(c)} AS {c}" for c in cols)
+    return lambda: with_base(f"SELECT {sel} FROM mets", eval_ctes())
+
+
+def _series_long():
+    fr = frame(-4, 5)
+    cm = f"CASE WHEN count(close) OVER {fr} = 10 THEN avg(close) OVER {fr} END"
+    parts = [f"SELECT {KEY}, '{c}' AS series, {r6(c)} AS value FROM eb2" for c in ("close", "cmean10", "prediction", "truth")]
+    return with_base(" UNION ALL ".join(parts), eval_ctes() + f",\neb2 AS (SELECT *, {cm} AS cmean10 FROM eb)")
+
+
+def _eval_threshold():
+    return with_base(f"SELECT {KEY}, p1 AS pred_class, t1 AS true_class FROM ev", eval_ctes())
+
+
+EVAL_SQL = {
+    "eval_mae": _eval(["n", "mae"]),
+    "eval_rmse": _eval(["rmse"]),
+    "eval_confusion": _eval(["ref_precision", "precision", "ref_f1_weighted", "f1_weighted"]),
+    "eval_topacc": _eval(["topacc"]),
+    "eval_threshold": _eval_threshold,
+    "series_long": _series_long,
+}
+
+
 def oracle() -> dict[str, str]:
     from panelkit.plans import oracle_recur
     merged = {**SQL, **oracle_recur.SQL, "p_change": _p_change, "scan_unadjusted": _scan_unadjusted,
-              "relative_labels": _relative_labels, **{k: _simple(v) for k, v in SIMPLE.items()}}
+              "relative_labels": _relative_labels, **{k: _simple(v) for k, v in SIMPLE.items()},
+              **{k: _seq(v, ix) for k, (v, ix) in SEQ_SQL.items()}, **EVAL_SQL}
     return {k: v() for k, v in merged.items()}

@@ -17,7 +17,11 @@ from panelkit.operators import labels as L
 from panelkit.operators import recurrences as R
 from panelkit.operators import stock as S
 from panelkit.operators import windows as W
+from panelkit.operators import evaluate as EV
+from panelkit.operators import models as MD
+from panelkit.operators import sequences as SQ
 from panelkit.plans import features as FT
+from panelkit.sources import sinks as SK
 from panelkit.sources import fixtures as X
 
 KEY = ["symbol", "trade_date"]
@@ -513,3 +517,180 @@ QUERIES.update({
     "symbol_chunks": q_symbol_chunks,
     "relative_labels": q_relative_labels,
 })
+
+
+# ---------------------------------------------------------------- D*, U*, P14
+
+SEQ = 10
+SKEY = ["symbol", "end_date", "pos"]
+
+
+def _seq_base(spark, sf, with_index=False):
+    """Stored-table stand-in for the trainers: stock features and labels on
+    clean bars, index features optional, warm-up rows trimmed."""
+    w = win()
+    pv = S.price_volume_features(clean(spark, sf), w)
+    lab = L.class_labels(L.label_columns(pv, horizons=(4,), w=w), horizons=(4,))
+    if with_index:
+        lab = I.enrich(lab, I.index_features(X.index_bars(spark, sf)), w=w)
+    t = lab.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 120)
+    prices = [(F.col(f"{p}_c") / CENTS).alias(p) for p in ("close", "open", "high", "low")]
+    extra = ["zsr5"] if with_index else []
+    return t.select(*KEY, *prices, "r5", "r20", "v5", "resultclass4", *extra)
+
+
+def _exploded(wdf):
+    e = SQ.explode_windows(wdf)
+    return e.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+def q_sequence_windows(spark, sf):
+    """10-row windows of (close, r5, v5), long form."""
+    wdf = SQ.sequence_windows(_seq_base(spark, sf), ["close", "r5", "v5"], SEQ)
+    return out(_exploded(wdf), ["trade_date", "close", "r5", "v5"], key=SKEY)
+
+
+def q_sequence_anchor(spark, sf):
+    """In-window OHLC relative to the window's first close."""
+    wdf = SQ.anchor_relative(SQ.sequence_windows(_seq_base(spark, sf), ["close", "open", "high", "low"], SEQ))
+    return out(_exploded(wdf), ["trade_date", "close", "open", "high", "low"], key=SKEY)
+
+
+def q_sequence_norm(spark, sf):
+    """D3: every window column relative to its first row (x/first - 1)."""
+    wdf = SQ.first_row_norm(SQ.sequence_windows(_seq_base(spark, sf), ["close", "v5"], SEQ), ["close", "v5"])
+    return out(_exploded(wdf), ["trade_date", "close", "v5"], key=SKEY)
+
+
+def _window_ends(base, seq=SEQ):
+    w = win()
+    return (base.select("*", F.row_number().over(w).alias("_n"), F.lead("trade_date", 1).over(w).alias("_next"),
+                        (F.lead("resultclass4", 1).over(w) * 0.1).alias("label"))
+            .filter((F.col("_n") >= seq) & F.col("_next").isNotNull())
+            .withColumnRenamed("trade_date", "end_date"))
+
+
+def q_sequence_labels(spark, sf):
+    """Each window's label is the next row's class x 0.1."""
+    return out(_window_ends(_seq_base(spark, sf)), ["label"], key=["symbol", "end_date"])
+
+
+def _split(spark, sf, with_index=False):
+    base = _seq_base(spark, sf, with_index)
+    cols = ["close", "r5", "v5"] + (["zsr5"] if with_index else [])
+    return SQ.chrono_split(SQ.sequence_windows(base, cols, SEQ)), base
+
+
+def q_chrono_split(spark, sf):
+    """Last 10 windows predict, 90 before test, the rest train."""
+    s, _ = _split(spark, sf)
+    return s.select("symbol", "end_date", "split")
+
+
+def q_reject_null_symbols(spark, sf):
+    """Symbols whose training windows hold a missing (index) feature."""
+    s, _ = _split(spark, sf, with_index=True)
+    kept = SQ.reject_null_symbols(s).select("symbol").distinct().withColumn("rejected", F.lit(0))
+    allsym = s.select("symbol").distinct()
+    return allsym.join(kept, "symbol", "left").select(
+        "symbol", F.coalesce("rejected", F.lit(1)).cast("int").alias("rejected"))
+
+
+def q_collect_panel(spark, sf):
+    """The stacked panel after the gates P8, P13, P14: windows per symbol and split."""
+    s, base = _split(spark, sf)
+    s = SQ.reject_null_symbols(s)
+    s = C.symbols_present(s, X.stored_symbols(spark, sf))
+    big = C.history_counts(base).filter(F.col("n_rows") > 300).select("symbol")
+    s = s.join(big, "symbol", "left_semi")
+    return s.groupBy("symbol", "split").agg(F.count(F.lit(1)).alias("n_windows"))
+
+
+def q_union_windows(spark, sf):
+    """train/test/predict frames stacked with unionByName."""
+    s, _ = _split(spark, sf)
+    s = s.select("symbol", "end_date", "split")
+    parts = [s.filter(F.col("split") == x).drop("split") for x in ("train", "test", "predict")]
+    return SQ.union_splits(*parts)
+
+
+def q_union_predictions(spark, sf):
+    """Test and predict scores concatenated (closed-form score 0.5+0.4*r20)."""
+    s, base = _split(spark, sf)
+    pred = base.select("symbol", F.col("trade_date").alias("end_date"),
+                       (F.lit(0.5) + F.lit(0.4) * F.col("r20")).alias("prediction"))
+    sp = s.select("symbol", "end_date", "split").join(pred, ["symbol", "end_date"])
+    test = sp.filter(F.col("split") == "test").drop("split").withColumn("split", F.lit("test"))
+    new = sp.filter(F.col("split") == "predict").drop("split").withColumn("split", F.lit("predict"))
+    return out(test.unionByName(new), ["split", "prediction"], key=["symbol", "end_date"])
+
+
+# ---------------------------------------------------------------- A3, E*
+
+def _eval_base(spark, sf):
+    w = win()
+    pv = S.price_volume_features(clean(spark, sf), w)
+    lab = L.class_labels(L.label_columns(pv, horizons=(4,), w=w), horizons=(4,))
+    return lab.select(*KEY, (F.col("close_c") / CENTS).alias("close"),
+                      (F.lit(0.5) + F.lit(0.4) * F.col("r20")).alias("prediction"),
+                      (F.col("resultclass4") * 0.1).alias("truth"))
+
+
+def _metric_query(cols):
+    def q(spark, sf):
+        return out(EV.metrics(_eval_base(spark, sf)), cols, key=[])
+    return q
+
+
+def q_eval_threshold(spark, sf):
+    """Thresholded classes per scored bar."""
+    b = _eval_base(spark, sf).filter(F.col("prediction").isNotNull() & F.col("truth").isNotNull())
+    p1, t1 = EV.threshold()
+    return b.select(*KEY, p1, t1)
+
+
+def q_series_long(spark, sf):
+    """Close, centred mean, score and truth as one long table."""
+    b = _eval_base(spark, sf)
+    b = b.withColumn("cmean10", W.centered_mean("close", win(), 10))
+    return out(EV.series_long(b, ["close", "cmean10", "prediction", "truth"]), ["series", "value"])
+
+
+# ---------------------------------------------------------------- M*, S8
+
+def q_fit_predict(spark, sf):
+    """M1 + M2: fit a Huber regressor on all training windows, score test and predict."""
+    s, base = _split(spark, sf)
+    labels = _window_ends(base).select("symbol", "end_date", "label")
+    data = s.join(labels, ["symbol", "end_date"], "left")
+    flat, names = MD.flatten_windows(data, ["close", "r5", "v5"], SEQ)
+    model = MD.fit(flat.filter(F.col("split") == "train"), names, "label")
+    scored = MD.score(model, flat.filter(F.col("split") != "train"))
+    return out(scored.select("symbol", "end_date", "split", "label", "prediction"),
+               ["split", "label", "prediction"], key=["symbol", "end_date"])
+
+
+def q_feature_catalog(spark, sf):
+    """Stored columns with position, type and non-null count."""
+    return SK.feature_catalog(q_feature_table(spark, sf))
+
+
+QUERIES.update({
+    "sequence_windows": q_sequence_windows,
+    "sequence_anchor": q_sequence_anchor,
+    "sequence_norm": q_sequence_norm,
+    "sequence_labels": q_sequence_labels,
+    "chrono_split": q_chrono_split,
+    "reject_null_symbols": q_reject_null_symbols,
+    "collect_panel": q_collect_panel,
+    "union_windows": q_union_windows,
+    "union_predictions": q_union_predictions,
+    "eval_mae": _metric_query(["n", "mae"]),
+    "eval_rmse": _metric_query(["rmse"]),
+    "eval_confusion": _metric_query(["ref_precision", "precision", "ref_f1_weighted", "f1_weighted"]),
+    "eval_topacc": _metric_query(["topacc"]),
+    "eval_threshold": q_eval_threshold,
+    "series_long": q_series_long,
+    "fit_predict": q_fit_predict,
+    "feature_catalog": q_feature_catalog,
+})
