@@ -48,6 +48,8 @@ def indicator_stages(ws: str = E.WS):
             "_s_hl": "high_c * low_c", "_s_tp": tp3, "_s_tp2": f"{tp3} * {tp3}",
             "_s_ho": "high_c - open_c", "_s_ol": "open_c - low_c", "_s_rng": "high_c - low_c",
             "_s_up": "CASE WHEN close_c > open_c THEN 1 ELSE 0 END", "_obv": obv_term, "_ad": ad_term}
+    sums["_s_hpc"] = "high_c - _pc"
+    sums["_s_pcl"] = "_pc - low_c"
     st1 = {k: E.running_sum(v, ws) for k, v in sums.items()}
 
     def wsum(x, n):
@@ -62,14 +64,21 @@ def indicator_stages(ws: str = E.WS):
            "_lo15": E.over("collect_list(low_c)", ws, E.rows(-AROON_N, 0)),
            "_sho26": wsum("_s_ho", ARBR_N), "_sol26": wsum("_s_ol", ARBR_N), "_srng26": wsum("_s_rng", ARBR_N),
            "_stp20": wsum("_s_tp", HELPER_CCI_N), "_stp2_20": wsum("_s_tp2", HELPER_CCI_N),
-           "_sup20": wsum("_s_up", UPRATIO_N)}
+           "_sup20": wsum("_s_up", UPRATIO_N),
+           "_s15": wsum("_s_c", TRIMA_N // 2),
+           "_swjc": wsum("_s_jc", WMA_N), "_swc": wsum("_s_c", WMA_N)}
+    # TRIMA(30) = SMA16(SMA15): its weighted sum is a 16-row sum of 15-row sums
+    st2b = {"_p15": E.running_sum("_s15", ws)}
     close = E.price("close_c")
     f = {}
     tw = trima_weights(TRIMA_N)
-    trima = f"(CASE WHEN rn >= {TRIMA_N} THEN {_weighted_lags('close_c', tw, ws)} / {E.d(sum(tw) * CENTS)} END)"
+    trima_sum = f"(_p15 - coalesce({E.lag('_p15', TRIMA_N // 2 + 1, ws)}, 0))"
+    trima = f"(CASE WHEN rn >= {TRIMA_N} THEN {trima_sum} / {E.d(sum(tw) * CENTS)} END)"
     f["trima"] = E.sq(f"0.1D * (CASE WHEN {trima} >= 0 THEN sqrt({trima}) END)")
     ww = [WMA_N - k for k in range(WMA_N)]
-    wma = f"(CASE WHEN rn >= {WMA_N} THEN {_weighted_lags('close_c', ww, ws)} / {E.d(sum(ww) * CENTS)} END)"
+    # sum_k (n-k) x[t-k] = sum_j (j - (t-n)) x_j over the window = S(jx) - (t-n) S(x)
+    wma_sum = f"(_swjc - (rn - {WMA_N}) * _swc)"
+    wma = f"(CASE WHEN rn >= {WMA_N} THEN {wma_sum} / {E.d(sum(ww) * CENTS)} END)"
     f["wma"] = E.sq(f"0.1D * (CASE WHEN {wma} >= 0 THEN sqrt({wma}) END)")
     f["adline"] = E.sq("0.005D * CAST(_ad AS DOUBLE) - 0.5D")
     f["obv"] = E.sq(f"0.001D * (_obv / {E.d(VOLUME_SCALE)})")
@@ -129,7 +138,7 @@ def indicator_stages(ws: str = E.WS):
     g = {}
     n = ARBR_N
     g["br"] = (f"(CASE WHEN rn >= {n + 1} THEN "
-               f"{E.sdiv(lagsum('_hpc', n) + ' / 100.0D', '1.0D + ' + lagsum('_pcl', n) + ' / 100.0D')} - 1.0D END)")
+               f"{E.sdiv(E.prefix_sum('_s_hpc', n, ws) + ' / 100.0D', '1.0D + ' + E.prefix_sum('_s_pcl', n, ws) + ' / 100.0D')} - 1.0D END)")
     n = BETA_N
 
     def lg(x, k):
@@ -142,7 +151,7 @@ def indicator_stages(ws: str = E.WS):
                      f"({E.d(n)} * {sxy_} - {sxs} * {sys_}) / {den} ELSE 0.0D END) END)")
     g["evm"] = f"-({lagsum('_evm', EVM_N)} / {E.d(EVM_N)})"
     g["cci_d"] = E.sq7(E.sdiv(f"cci - {E.lag('cci', 1, ws)}", f"0.1D + {E.lag('cci', 1, ws)}"))
-    return st0, st1, st2, f, st4, g
+    return st0, st1, st2, st2b, f, st4, g
 
 
 def indicator_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.WS) -> DataFrame:
@@ -150,11 +159,11 @@ def indicator_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.W
 
     Input: clean bars with ``open_c, high_c, low_c, close_c, volume``.
     """
-    st0, st1, st2, f, st4, g = indicator_stages(ws)
+    st0, st1, st2, st2b, f, st4, g = indicator_stages(ws)
     t = df
-    for stage in (st0, st1, st2, f, st4, g):
+    for stage in (st0, st1, st2, st2b, f, st4, g):
         t = t.selectExpr("*", *E.alias(stage))
-    scratch = [c for stage in (st0, st1, st2, st4) for c in stage]
+    scratch = [c for stage in (st0, st1, st2, st2b, st4) for c in stage]
     return t.drop(*scratch)
 
 

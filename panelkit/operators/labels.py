@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from panelkit.functions import CENTS, bool_int, rolling_frame, sdiv, win
+from panelkit.functions import CENTS, sdiv
 from panelkit.functions import sql as E
 
 # Label horizons (days), classes per label, edge rounding.
@@ -30,22 +30,6 @@ def forward_return(w: WindowSpec, h: int) -> Column:
     return sdiv(F.lead("close_c", h).over(w) / CENTS, close) - 1.0
 
 
-def forward_extrema_cols(w: WindowSpec, h: int):
-    """L2: best / worst close over the next ``h`` rows, in currency."""
-    remax = rolling_frame(F.max, "close_c", w, 1, h) / CENTS
-    remin = rolling_frame(F.min, "close_c", w, 1, h) / CENTS
-    return remax, remin
-
-
-def buy_score(close: Column, remax: Column, remin: Column) -> Column:
-    """L4: integer buy score; rows without a future window score 4."""
-    rng = remax - remin
-    sig = (bool_int(close < remin + rng / 5.0) * 2 + bool_int(close < remin + rng / 3.0) * 2
-           - bool_int(close > remax - rng / 3.0) * 2 - bool_int(close > remax - rng / 5.0) * 2)
-    return (F.lit(4) + bool_int(sdiv(rng, close) > 0.03) * sig
-            + bool_int(sdiv(rng, close) > 0.05) * bool_int(close < remin + rng / 5.0)).cast("bigint")
-
-
 def label_exprs(horizons=HORIZONS, r: int = 1, ws: str = E.WS) -> dict:
     """L1-L4 for every horizon as SQL expressions."""
     close = E.price("close_c")
@@ -55,9 +39,13 @@ def label_exprs(horizons=HORIZONS, r: int = 1, ws: str = E.WS) -> dict:
         return f"CAST(coalesce({cond}, false) AS INT)"
     for i in horizons:
         h = i * r
-        fr = E.rows(1, h)
-        remax = f"((CASE WHEN {E.over('count(close_c)', ws, fr)} = {h} THEN {E.over('max(close_c)', ws, fr)} END) / 100.0D)"
-        remin = f"((CASE WHEN {E.over('count(close_c)', ws, fr)} = {h} THEN {E.over('min(close_c)', ws, fr)} END) / 100.0D)"
+        # next h closes via leads (shared across horizons); full iff the h-th exists
+        leads = ", ".join(E.lead("close_c", k, ws) for k in range(1, h + 1))
+        full = f"{E.lead('close_c', h, ws)} IS NOT NULL"
+        remax = f"((CASE WHEN {full} THEN greatest({leads}) END) / 100.0D)" if h > 1 else \
+            f"(CAST({E.lead('close_c', 1, ws)} AS DOUBLE) / 100.0D)"
+        remin = f"((CASE WHEN {full} THEN least({leads}) END) / 100.0D)" if h > 1 else \
+            f"(CAST({E.lead('close_c', 1, ws)} AS DOUBLE) / 100.0D)"
         mx = f"({E.sdiv(remax, close)} - 1.0D)"
         mn = f"({E.sdiv(remin, close)} - 1.0D)"
         fwd = f"({E.lead('close_c', h, ws)} / 100.0D)"

@@ -71,10 +71,19 @@ def price_volume_exprs(ws: str = E.WS):
            "_cs_close": E.running_sum("close_c", ws),
            "_cs_vol": E.running_sum("volume", ws),
            **{f"_lag{n}": f"(CAST({E.lag('close_c', n, ws)} AS DOUBLE) / 100.0D)" for n in lags}}
-    st1b = {"_close": E.price("close_c")}
-    for n in EXTREMA_NS:
-        st1b[f"_max{n}_c"] = f"(CASE WHEN rn >= {n + 1} THEN {E.over('max(high_c)', ws, E.rows(-n, -1))} END)"
-        st1b[f"_min{n}_c"] = f"(CASE WHEN rn >= {n + 1} THEN {E.over('min(low_c)', ws, E.rows(-n, -1))} END)"
+    # prior 20-row extrema from a frame; 60 and 120 rows are composed from
+    # them with offsets (max is idempotent), so each row visits 20 rows, not 200
+    st1b = {"_close": E.price("close_c"),
+            "_max20_c": f"(CASE WHEN rn >= 21 THEN {E.over('max(high_c)', ws, E.rows(-20, -1))} END)",
+            "_min20_c": f"(CASE WHEN rn >= 21 THEN {E.over('min(low_c)', ws, E.rows(-20, -1))} END)"}
+    st1c = {}
+    for fn, c in (("greatest", "_max"), ("least", "_min")):
+        st1c[f"{c}60_c"] = (f"(CASE WHEN rn >= 61 THEN {fn}({c}20_c, {E.lag(c + '20_c', 20, ws)}, "
+                            f"{E.lag(c + '20_c', 40, ws)}) END)")
+    st1d = {}
+    for fn, c in (("greatest", "_max"), ("least", "_min")):
+        st1d[f"{c}120_c"] = f"(CASE WHEN rn >= 121 THEN {fn}({c}60_c, {E.lag(c + '60_c', 60, ws)}) END)"
+    st1b_all = [st1b, st1c, st1d]
     vns = sorted(set(VOL_NS) | {a for a, _ in VOL_CROSS.values()} | {b for _, b in VOL_CROSS.values()})
     st2 = {**{f"sma{n}": f"({E.prefix_sum('_cs_close', n, ws)} / {E.d(CENTS * n)})" for n in SMA_NS},
            **{f"_vm{n}": f"({E.prefix_sum('_cs_vol', n, ws)} / {E.d(VOLUME_SCALE * n)})" for n in vns}}
@@ -116,7 +125,7 @@ def price_volume_exprs(ws: str = E.WS):
     f["openratio"] = E.clip(f"{E.sdiv('20.0D * ' + E.price('open_c'), lag1)} - 20.0D")
     f["volume"] = vol
     f["amount"] = amt
-    return st1, st1b, st2, f
+    return st1, st1b_all, st2, f
 
 
 def price_volume_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.WS) -> DataFrame:
@@ -126,9 +135,12 @@ def price_volume_features(df: DataFrame, w: WindowSpec | None = None, ws: str =
     amount``.  Output keeps the P10 intermediates; ``drop_intermediates``
     removes them.  ``volume``/``amount`` come out scaled to millions.
     """
-    st1, st1b, st2, f = price_volume_exprs(ws)
-    s = df.selectExpr("*", *E.alias(st1)).selectExpr("*", *E.alias(st1b)).selectExpr("*", *E.alias(st2))
-    scratch = {c for c in (*st1, *st1b, *st2) if c.startswith("_") or c == "rn"}
+    st1, st1b_all, st2, f = price_volume_exprs(ws)
+    s = df.selectExpr("*", *E.alias(st1))
+    for stage in st1b_all:
+        s = s.selectExpr("*", *E.alias(stage))
+    s = s.selectExpr("*", *E.alias(st2))
+    scratch = {c for c in (*st1, *[k for st in st1b_all for k in st], *st2) if c.startswith("_") or c == "rn"}
     keep = [E.q(c) for c in s.columns if c not in scratch and c not in f]
     return s.selectExpr(*keep, *E.alias(f))
 

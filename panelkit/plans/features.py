@@ -67,6 +67,8 @@ def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.0
     w = win()
     c = C.min_history(C.clean_bars_counted(raw), min_clean=min_clean, count_col="_n_raw",
                       min_raw=min_raw)
+    # F2 rescales ``volume`` to millions; the recurrence kernels need whole shares
+    c = c.withColumn("_shares", F.col("volume"))
     ind = T.indicator_features(S.valuation_features(c), w)
     lab = L.label_columns(S.price_volume_features(ind, w), w=w)
     enr = I.enrich(lab, index_table(index_bars), index_code=index_code, start=start, end=end, w=w)
@@ -75,7 +77,7 @@ def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.0
     rec_names = set(R.recurrence_finals())
     keep = [n for n in FEATURE_COLUMNS + LABEL_COLUMNS if n not in rec_names and n not in prices]
     narrow = classed.select("symbol", "trade_date", "_rn", "open_c", "high_c", "low_c",
-                            "close_c", "volume", *keep)
+                            "close_c", F.col("_shares").alias("volume"), *keep)
     rec = R.recurrence_columns(narrow)
     trimmed = rec.filter(F.col("_rn") > warmup)
     finals = R.recurrence_finals()

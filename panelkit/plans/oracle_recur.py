@@ -35,34 +35,34 @@ def _x(t="b"):
     return f"(CAST({t}.close_c AS DOUBLE) / 100)"
 
 
-def macd_ctes(key="symbol"):
+def macd_ctes(key="symbol", rb="rb", p="m"):
     kf, ks, k9 = _k(12), _k(26), _k(9)
-    return f"""m_seed AS (
+    return f"""{p}_seed AS (
   SELECT {key}, CAST(sum(close_c) FILTER (WHERE rn BETWEEN 15 AND 26) AS DOUBLE) / 1200.0 AS fast,
          CAST(sum(close_c) FILTER (WHERE rn <= 26) AS DOUBLE) / 2600.0 AS slow
-  FROM rb GROUP BY {key} HAVING max(rn) >= 34),
-m_ema AS (
-  SELECT {key}, 26 AS rn, fast, slow FROM m_seed
+  FROM {rb} GROUP BY {key} HAVING max(rn) >= 34),
+{p}_ema AS (
+  SELECT {key}, 26 AS rn, fast, slow FROM {p}_seed
   UNION ALL
   SELECT e.{key}, b.rn, (({_x()} - e.fast) * {kf}) + e.fast, (({_x()} - e.slow) * {ks}) + e.slow
-  FROM m_ema e JOIN rb b ON b.{key} = e.{key} AND b.rn = e.rn + 1),
-m_dif AS (SELECT {key}, rn, fast - slow AS dif FROM m_ema),
-m_sig AS (
+  FROM {p}_ema e JOIN {rb} b ON b.{key} = e.{key} AND b.rn = e.rn + 1),
+{p}_dif AS (SELECT {key}, rn, fast - slow AS dif FROM {p}_ema),
+{p}_sig AS (
   SELECT {key}, 34 AS rn, list_reduce(list(dif ORDER BY rn), lambda a, c: a + c) / 9.0 AS dea
-  FROM m_dif WHERE rn <= 34 GROUP BY {key}
+  FROM {p}_dif WHERE rn <= 34 GROUP BY {key}
   UNION ALL
   SELECT s.{key}, d.rn, ((d.dif - s.dea) * {k9}) + s.dea
-  FROM m_sig s JOIN m_dif d ON d.{key} = s.{key} AND d.rn = s.rn + 1),
-macd_raw AS (
+  FROM {p}_sig s JOIN {p}_dif d ON d.{key} = s.{key} AND d.rn = s.rn + 1),
+{p}_raw AS (
   SELECT b.*, CASE WHEN s.dea IS NOT NULL THEN d.dif END AS _dif, s.dea AS _dea, d.dif - s.dea AS _hist
-  FROM rb b LEFT JOIN m_dif d USING ({key}, rn) LEFT JOIN m_sig s USING ({key}, rn))"""
+  FROM {rb} b LEFT JOIN {p}_dif d USING ({key}, rn) LEFT JOIN {p}_sig s USING ({key}, rn))"""
 
 
 def _macd():
     h = "_hist"
     body = f"""SELECT symbol, trade_date, {r6(clip('0.7 * _dif'))} AS dif, {r6(clip('0.7 * _dea'))} AS dea,
   {r6(clip(f'4.0 * ({h} - lag({h}) OVER ({WS}))'))} AS hist_d, {r6(clip(h))} AS hist FROM macd_raw"""
-    return with_base(body, rb_cte() + ",\n" + macd_ctes(), recursive=True)
+    return with_base(body.replace("FROM macd_raw", "FROM m_raw"), rb_cte() + ",\n" + macd_ctes(), recursive=True)
 
 
 def _index_macd():
@@ -70,7 +70,8 @@ def _index_macd():
     wi = "PARTITION BY index_code ORDER BY trade_date"
     body = f"""SELECT index_code, trade_date, {r6(clip('0.01 * _dif'))} AS zsdif, {r6(clip('0.01 * _dea'))} AS zsdea,
   {r6(clip(f'0.1 * ({h} - lag({h}) OVER ({wi}))'))} AS zshist_d, {r6(clip('0.02 * ' + h))} AS zshist FROM macd_raw"""
-    return with_base(body, rb_cte("index_bars", "index_code") + ",\n" + macd_ctes("index_code"), recursive=True)
+    return with_base(body.replace("FROM macd_raw", "FROM m_raw"),
+                     rb_cte("index_bars", "index_code") + ",\n" + macd_ctes("index_code"), recursive=True)
 
 
 def _ema_chain(name, src, col, seed_rn, k):
@@ -84,10 +85,9 @@ def _ema_chain(name, src, col, seed_rn, k):
   FROM {name} p JOIN {src} x ON x.symbol = p.symbol AND x.rn = p.rn + 1)"""
 
 
-def _tema():
+def _tema_ctes():
     k = _k(30)
-    ctes = rb_cte() + f""",
-t_e1 AS (
+    return f"""t_e1 AS (
   SELECT symbol, 30 AS rn, CAST(sum(close_c) AS DOUBLE) / 3000.0 AS e FROM rb WHERE rn <= 30
   GROUP BY symbol HAVING count(*) = 30
   UNION ALL
@@ -97,15 +97,18 @@ t_e1 AS (
 tema_raw AS (
   SELECT symbol, rn, e3.e + ((3.0 * e1.e) - (3.0 * e2.e)) AS _tema
   FROM t_e3 e3 JOIN t_e2 e2 USING (symbol, rn) JOIN t_e1 e1 USING (symbol, rn))"""
+
+
+def _tema():
+    ctes = rb_cte() + ",\n" + _tema_ctes()
     body = f"""SELECT symbol, trade_date, {r6(sq('0.1 * sqrt(_tema)'))} AS tema
 FROM rb LEFT JOIN tema_raw USING (symbol, rn)"""
     return with_base(body, ctes, recursive=True)
 
 
-def _t3():
+def _t3_ctes():
     k, k1 = _k(5), _k1(5)
-    ctes = rb_cte() + f""",
-t3_e1 AS (
+    return f"""t3_e1 AS (
   SELECT symbol, 5 AS rn, CAST(sum(close_c) AS DOUBLE) / 500.0 AS e FROM rb WHERE rn <= 5
   GROUP BY symbol HAVING count(*) = 5 AND max(n) >= 25
   UNION ALL
@@ -120,14 +123,17 @@ t3_e3 AS (
   FROM t3_e2 WHERE rn <= 13 GROUP BY symbol HAVING count(*) = 5
   UNION ALL
   SELECT p.symbol, x.rn, ({k} * x.e) + ({k1} * p.e) FROM t3_e3 p JOIN t3_e2 x ON x.symbol = p.symbol AND x.rn = p.rn + 1)"""
+
+
+def _t3():
+    ctes = rb_cte() + ",\n" + _t3_ctes()
     body = f"""SELECT symbol, trade_date, {r6(sq('0.1 * sqrt(CASE WHEN rn >= 25 THEN e END)'))} AS t3
 FROM rb LEFT JOIN t3_e3 USING (symbol, rn)"""
     return with_base(body, ctes, recursive=True)
 
 
-def _natr():
-    ctes = rb_cte() + f""",
-n_tr AS (
+def _natr_ctes():
+    return f"""n_tr AS (
   SELECT symbol, rn, close_c, greatest(high_c - low_c, abs(high_c - pc), abs(low_c - pc)) AS tr
   FROM (SELECT *, lag(close_c) OVER ({WS}) AS pc FROM rb)),
 n_atr AS (
@@ -135,18 +141,21 @@ n_atr AS (
   GROUP BY symbol HAVING count(*) = 14
   UNION ALL
   SELECT a.symbol, t.rn, ((a.atr * 13) + t.tr) / 14.0 FROM n_atr a JOIN n_tr t ON t.symbol = a.symbol AND t.rn = a.rn + 1)"""
+
+
+def _natr():
+    ctes = rb_cte() + ",\n" + _natr_ctes()
     natr = "(CASE WHEN close_c <> 0 THEN (atr / close_c) * 100.0 ELSE 0.0 END)"
     body = f"""SELECT symbol, trade_date, {r6(clip(f'-0.2 + 0.1 * {natr}'))} AS natr
 FROM rb LEFT JOIN n_atr USING (symbol, rn)"""
     return with_base(body, ctes, recursive=True)
 
 
-def _adosc():
+def _adosc_ctes():
     kf, ks, kf1, ks1 = _k(3), _k(10), _k1(3), _k1(10)
     term = ("CASE WHEN high_c - low_c > 0 THEN CAST((close_c - low_c) - (high_c - close_c) AS DOUBLE) / (high_c - low_c)"
             " * (CAST(volume AS DOUBLE) / 1000000.0) ELSE 0.0 END")
-    ctes = rb_cte() + f""",
-ao_t AS (SELECT symbol, rn, {term} AS term FROM rb),
+    return f"""ao_t AS (SELECT symbol, rn, {term} AS term FROM rb),
 ao AS (
   SELECT symbol, 1 AS rn, CAST(term AS DOUBLE) AS ad, CAST(term AS DOUBLE) AS fast,
          CAST(term AS DOUBLE) AS slow FROM ao_t WHERE rn = 1
@@ -154,15 +163,18 @@ ao AS (
   SELECT a.symbol, t.rn, a.ad + t.term, ({kf} * (a.ad + t.term)) + ({kf1} * a.fast),
          ({ks} * (a.ad + t.term)) + ({ks1} * a.slow)
   FROM ao a JOIN ao_t t ON t.symbol = a.symbol AND t.rn = a.rn + 1)"""
+
+
+def _adosc():
+    ctes = rb_cte() + ",\n" + _adosc_ctes()
     body = f"""SELECT symbol, trade_date, {r6(sq('0.1 * (CASE WHEN rn >= 10 THEN fast - slow END)'))} AS adosc
 FROM rb LEFT JOIN ao USING (symbol, rn)"""
     return with_base(body, ctes, recursive=True)
 
 
-def _adx():
+def _adx_ctes():
     tiny = "1e-8"
-    ctes = rb_cte() + f""",
-x_b AS (
+    return f"""x_b AS (
   SELECT symbol, rn,
     CASE WHEN dl > 0 AND dh < dl THEN 0 WHEN dh > 0 AND dh > dl THEN dh ELSE 0 END AS dp,
     CASE WHEN dl > 0 AND dh < dl THEN dl ELSE 0 END AS dm,
@@ -194,12 +206,16 @@ adx_raw AS (
   SELECT symbol, rn, adx AS _adx,
          CASE WHEN rn >= 41 THEN (adx + lag(adx, 13) OVER (PARTITION BY symbol ORDER BY rn)) / 2.0 END AS _adxr
   FROM x_r)"""
+
+
+def _adx():
+    ctes = rb_cte() + ",\n" + _adx_ctes()
     body = f"""SELECT symbol, trade_date, {r6(clip('0.015 * _adx'))} AS adx, {r6(clip('0.015 * _adxr'))} AS adxr
 FROM rb LEFT JOIN adx_raw USING (symbol, rn)"""
     return with_base(body, ctes, recursive=True)
 
 
-def _sar():
+def _sar_ctes():
     def step(is_long, stop, ep, pl, ph, nl, nh):
         sw_l = f"({is_long} AND {nl} <= {stop})"
         sw_s = f"((NOT {is_long}) AND {nh} >= {stop})"
@@ -212,8 +228,7 @@ def _sar():
                     f"ELSE greatest({stop}, {ph}, {nh}) END")
         return new_long, new_stop, new_ep, out
     nl_, ns_, ne_, out_ = step("r.is_long", "r.stop", "r.ep", "r.lo", "r.hi", "b.low_c", "b.high_c")
-    ctes = rb_cte() + f""",
-s_init AS (
+    return f"""s_init AS (
   SELECT a.symbol, NOT ((a.low_c - b.low_c) > 0 AND (b.high_c - a.high_c) < (a.low_c - b.low_c)) AS is_long,
          a.low_c AS l0, a.high_c AS h0, b.low_c AS l1, b.high_c AS h1
   FROM rb a JOIN rb b ON a.symbol = b.symbol AND a.rn = 1 AND b.rn = 2),
@@ -224,6 +239,10 @@ s_r AS (
   UNION ALL
   SELECT r.symbol, b.rn, {nl_}, {ns_}, {ne_}, b.low_c, b.high_c, {out_}
   FROM s_r r JOIN rb b ON b.symbol = r.symbol AND b.rn = r.rn + 1)"""
+
+
+def _sar():
+    ctes = rb_cte() + ",\n" + _sar_ctes()
     body = f"""SELECT symbol, trade_date, {r6(sq('0.1 * (CAST(out AS DOUBLE) / 100)'))} AS sar
 FROM rb LEFT JOIN s_r USING (symbol, rn)"""
     return with_base(body, ctes, recursive=True)

@@ -78,7 +78,7 @@ def select_out(src: str, cols, types=None, key: str = KEY) -> str:
 
 # ------------------------------------------------------------ stock chain
 
-def stock_ctes() -> str:
+def stock_ctes(src: str = "clean") -> str:
     """CTEs ``st1``..``stock_feat`` from ``clean`` (F1-F18), mirroring the Spark stages."""
     ext = []
     for n in (20, 60, 120):
@@ -87,7 +87,7 @@ def stock_ctes() -> str:
     lags = ", ".join(f"{lag('close_c', n)} / 100.0 AS _lag{n}" for n in (1, 2, 5, 8, 15))
     st1 = f"""st1 AS (
   SELECT *, CAST(close_c AS DOUBLE) / 100 AS _close, {lags}
-  FROM (SELECT *, row_number() OVER ({WS}) AS rn FROM clean)),
+  FROM (SELECT *, row_number() OVER ({WS}) AS rn FROM {src})),
 st1b AS (SELECT *, {', '.join(ext)} FROM st1)"""
     smas = ", ".join(f"{roll_mean('close_c', n, 100.0)} AS sma{n}" for n in (5, 10, 20, 40, 80))
     vms = ", ".join(f"{roll_mean('volume', n, 1e6)} AS _vm{n}" for n in (3, 5, 9, 10, 20, 40, 50, 80))
@@ -825,8 +825,10 @@ EVAL_SQL = {
 
 
 def oracle() -> dict[str, str]:
-    from panelkit.plans import oracle_recur
-    merged = {**SQL, **oracle_recur.SQL, "p_change": _p_change, "scan_unadjusted": _scan_unadjusted,
+    from panelkit.plans import oracle_full, oracle_recur
+    from panelkit.plans.features import STOCK_COLUMNS
+    merged = {"feature_table": oracle_full.feature_table_sql,
+              "stock_features": lambda: oracle_full.feature_table_sql(["close", "open", "low", "high", *STOCK_COLUMNS]),**SQL, **oracle_recur.SQL, "p_change": _p_change, "scan_unadjusted": _scan_unadjusted,
               "relative_labels": _relative_labels, **{k: _simple(v) for k, v in SIMPLE.items()},
               **{k: _seq(v, ix) for k, (v, ix) in SEQ_SQL.items()}, **EVAL_SQL}
     return {k: v() for k, v in merged.items()}

@@ -381,7 +381,15 @@ def q_feature_table(spark, sf):
     return out(ft, FT.FEATURE_COLUMNS + FT.LABEL_COLUMNS)
 
 
+def q_stock_features(spark, sf):
+    """P10 + P11: the per-stock feature set after the intermediate and
+    valuation/raw-label drops (``getStockCharacter`` + trim)."""
+    ft = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf))
+    return out(ft, ["close", "open", "low", "high", *FT.STOCK_COLUMNS])
+
+
 QUERIES["feature_table"] = q_feature_table
+QUERIES["stock_features"] = q_stock_features
 
 
 def flagship(spark, sf):
