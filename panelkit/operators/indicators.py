@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS
 from panelkit.functions import sql as E
@@ -33,7 +34,7 @@ def _weighted_lags(x: str, weights, ws: str) -> str:
     return "(" + " + ".join(f"{x if k == 0 else E.lag(x, k, ws)} * {wt}" for k, wt in enumerate(weights)) + ")"
 
 
-def indicator_stages(ws: str = E.WS):
+def indicator_stages(ws: str = E.WS, home: str | None = None):
     """Expression stages: (row number + previous close, running sums,
     window sums, indicators, second-stage indicators)."""
     st0 = {"rn": E.over("row_number()", ws), "_pc": E.lag("close_c", 1, ws)}
@@ -51,6 +52,13 @@ def indicator_stages(ws: str = E.WS):
     sums["_s_hpc"] = "high_c - _pc"
     sums["_s_pcl"] = "_pc - low_c"
     st1 = {k: E.running_sum(v, ws) for k, v in sums.items()}
+    if home is not None:
+        # segmented plan: the two running sums from the first row count home
+        # rows only and add the totals of all earlier segments (``_off_*``)
+        st1["_obv"] = f"(_off_obv + {E.running_sum(f'CASE WHEN {home} THEN {obv_term} ELSE 0 END', ws)})"
+        # (37,12) operands keep the sum at scale 12 (a 38-digit sum would lose a digit)
+        run_ad = E.running_sum(f"CASE WHEN {home} THEN {ad_term} ELSE 0 END", ws)
+        st1["_ad"] = f"(CAST(_off_ad AS DECIMAL(37,12)) + CAST({run_ad} AS DECIMAL(37,12)))"
 
     def wsum(x, n):
         return E.prefix_sum(x, n, ws)
@@ -154,17 +162,44 @@ def indicator_stages(ws: str = E.WS):
     return st0, st1, st2, st2b, f, st4, g
 
 
-def indicator_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.WS) -> DataFrame:
+def running_terms() -> dict:
+    """Per-row increments of the two running sums from a symbol's first row."""
+    vol = f"(CAST(volume AS DOUBLE) / {E.d(VOLUME_SCALE)})"
+    return {
+        "obv": ("CASE WHEN _pc IS NULL THEN volume WHEN close_c > _pc THEN volume "
+                "WHEN close_c < _pc THEN -volume ELSE 0 END"),
+        "ad": (f"CAST(CASE WHEN high_c - low_c <> 0 THEN CAST((close_c - low_c) - (high_c - close_c) AS DOUBLE)"
+               f" / (high_c - low_c) * {vol} ELSE 0.0D END AS DECIMAL(38,12))"),
+    }
+
+
+def segment_offsets(seg: DataFrame, ws: str, key: str = "symbol") -> DataFrame:
+    """``_off_obv`` / ``_off_ad``: totals of the running-sum increments over
+    the home rows of all earlier segments (exact: integers and decimals).
+    One small aggregate per (symbol, segment), joined back on those keys."""
+    terms = running_terms()
+    t = seg.selectExpr("*", f"{E.lag('close_c', 1, ws)} AS _pc")
+    tot = (t.filter("_home").groupBy(key, "_seg")
+           .agg(*[F.sum(F.expr(v)).alias(f"_tot_{k}") for k, v in terms.items()]))
+    before = Window.partitionBy(key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(key, "_seg", *[F.coalesce(F.sum(f"_tot_{k}").over(before), F.lit(0)).alias(f"_off_{k}")
+                                     for k in terms])
+    return seg.join(offs, [key, "_seg"], "left")
+
+
+def indicator_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.WS,
+                       home: str | None = None) -> DataFrame:
     """All plain-window indicators of ``trans_features`` plus the helpers.
 
-    Input: clean bars with ``open_c, high_c, low_c, close_c, volume``.
+    Input: clean bars with ``open_c, high_c, low_c, close_c, volume``.  On a
+    segmented frame pass ``home`` and add ``segment_offsets`` first.
     """
-    st0, st1, st2, st2b, f, st4, g = indicator_stages(ws)
+    st0, st1, st2, st2b, f, st4, g = indicator_stages(ws, home)
     t = df
     for stage in (st0, st1, st2, st2b, f, st4, g):
         t = t.selectExpr("*", *E.alias(stage))
     scratch = [c for stage in (st0, st1, st2, st2b, st4) for c in stage]
-    return t.drop(*scratch)
+    return t.drop(*scratch, "_off_obv", "_off_ad")
 
 
 MAIN_COLUMNS = ["trima", "wma", "adline", "obv", "beta", "correl", "linearreg", "lineangle", "var",

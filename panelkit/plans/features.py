@@ -11,7 +11,7 @@ joined back by symbol.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS, win
@@ -21,6 +21,7 @@ from panelkit.operators import indicators as T
 from panelkit.operators import labels as L
 from panelkit.operators import recurrences as R
 from panelkit.operators import stock as S
+from panelkit.plans import segments as G
 
 # The reference's stored column set (fixed values), in its order.
 BASE_COLUMNS = ["close", "open", "low", "high", "turn", "isST", "flowmkt", "everyprofit",
@@ -58,21 +59,37 @@ def index_table(index_bars: DataFrame) -> DataFrame:
 
 def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.000001",
                   min_raw: int = 50, min_clean: int = 300, warmup: int = WARMUP_ROWS,
-                  start: str = "1990-01-01", end: str | None = None) -> DataFrame:
+                  start: str = "1990-01-01", end: str | None = None,
+                  seg_rows: int | None = None) -> DataFrame:
     """Raw feed strings + index bars -> the stored feature table.
 
     P2-P4/P6 clean, P7 gate, V1-V6, recurrences, T plain windows, F1-F18,
     L1-L6, J1 + I1-I13, P9 warm-up trim, P10/P11 column drops.
+
+    ``seg_rows``: run every bounded-lookback stage on halo segments of that
+    many rows instead of whole symbol histories (for symbols whose history
+    is too long for one task; ``segments.max_history`` tells).  Results are
+    identical.
     """
     w = win()
     c = C.min_history(C.clean_bars_counted(raw), min_clean=min_clean, count_col="_n_raw",
                       min_raw=min_raw)
     # F2 rescales ``volume`` to millions; the recurrence kernels need whole shares
-    c = c.withColumn("_shares", F.col("volume"))
-    ind = T.indicator_features(S.valuation_features(c), w)
-    lab = L.label_columns(S.price_volume_features(ind, w), w=w)
-    enr = I.enrich(lab, index_table(index_bars), index_code=index_code, start=start, end=end, w=w)
-    classed = L.class_labels(enr.withColumn("_rn", F.row_number().over(w)))
+    c = S.valuation_features(c.withColumn("_shares", F.col("volume")))
+    idx = index_table(index_bars)
+    if seg_rows is None:
+        ind = T.indicator_features(c, w)
+        lab = L.label_columns(S.price_volume_features(ind, w), w=w)
+        enr = I.enrich(lab, idx, index_code=index_code, start=start, end=end, w=w)
+        staged = enr.withColumn("_rn", F.row_number().over(w))
+    else:
+        ws, sw = G.SEG_WS, Window.partitionBy("symbol", "_seg").orderBy("trade_date")
+        seg = T.segment_offsets(G.segment(G.row_numbers(c), seg_rows), ws)
+        ind = T.indicator_features(seg, ws=ws, home="_home")
+        lab = L.label_columns(S.price_volume_features(ind, ws=ws), ws=ws)
+        enr = I.enrich(lab, idx, index_code=index_code, start=start, end=end, w=sw)
+        staged = enr.filter(F.col("_home")).drop("_seg", "_home").withColumnRenamed("_grn", "_rn")
+    classed = L.class_labels(staged)
     prices = {p: F.col(f"{p}_c") / CENTS for p in ("close", "open", "low", "high")}
     rec_names = set(R.recurrence_finals())
     keep = [n for n in FEATURE_COLUMNS + LABEL_COLUMNS if n not in rec_names and n not in prices]

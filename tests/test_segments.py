@@ -47,3 +47,12 @@ def test_segments_match_plain_plan(spark, sf):
     cols = [x for x in plain.columns if x not in KEY and x not in UNBOUNDED]
     _same(plain.select(*KEY, *[F.col(f"`{x}`") for x in cols]),
           seg.select(*KEY, *[F.col(f"`{x}`") for x in cols]), cols)
+
+
+def test_segmented_feature_table_is_identical(spark, sf):
+    from panelkit.plans import features as FT
+    raw, ib = X.raw_bars(spark, sf), X.index_bars(spark, sf)
+    plain = FT.feature_table(raw, ib)
+    seg = FT.feature_table(raw, ib, seg_rows=150)
+    cols = FT.FEATURE_COLUMNS + FT.LABEL_COLUMNS
+    _same(plain, seg, cols)
