@@ -125,3 +125,60 @@ def class_labels(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataF
 def label_scale(df: DataFrame, cols, factor: float = 0.1) -> DataFrame:
     """Labels x 0.1 for the model targets."""
     return df.select(*[(F.col(c) * factor).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def exact_quantile_edges(df: DataFrame, value: str, key="symbol", n: int = N_CLASSES,
+                         name: str = "edges", parts: int | None = None) -> DataFrame:
+    """A1 without gathering a key's values in one task (hot keys).
+
+    A range-partitioned sort on (key, value) splits a large key over many
+    tasks; each task ranks its rows, per-(key, partition) counts (a small
+    table) turn local ranks into global ones, and only the two order
+    statistics around each quantile position are picked.  Interpolation is
+    ``(hi - pos) * v_lo + (pos - lo) * v_hi`` with ``pos = (n - 1) * p``, the
+    formula of Spark's exact ``percentile``, so the edges are identical.
+    ``key`` may be a list of grouping columns.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    srt = v.repartitionByRange(parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
+    local = srt.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy("_v")) - 1)
+    cnt = srt.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = cnt.select(*keys, "_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                      F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
+    ranked = local.join(offs, [*keys, "_pid"]).select(*keys, (F.col("_off") + F.col("_loc")).alias("_rank"), "_v")
+    probs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(i / n).alias("p")) for i in range(1, n)])
+    need = (offs.select(*keys, "_n").distinct().select(*keys, F.explode(probs).alias("q"), "_n")
+            .select(*keys, F.col("q.i").alias("_i"), ((F.col("_n") - 1) * F.col("q.p")).alias("_pos")))
+    need = need.select("*", F.floor("_pos").alias("_lo"), F.ceil("_pos").alias("_hi"))
+    lo = ranked.select(*keys, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
+    hi = ranked.select(*keys, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
+    picked = need.join(lo, [*keys, "_lo"]).join(hi, [*keys, "_hi"])
+    interp = F.when((F.col("_hi") == F.col("_lo")) | (F.col("_vhi") == F.col("_vlo")), F.col("_vlo")).otherwise(
+        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
+    edges = picked.select(*keys, "_i", F.bround(interp, EDGE_DECIMALS).alias("_e"))
+    return edges.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_e"))), lambda s: s["_e"]).alias(name))
+
+
+def class_labels_exact(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
+    """L5 + L6 with ``exact_quantile_edges`` (segmented, hot-key plans).
+
+    All label columns are stacked into one long frame, so every edge set
+    comes from a single range-partitioned sort; the edge table (one row per
+    key) is joined back by key."""
+    srcs = [s for i in horizons for s in (f"result{i}", f"resultrel{i}")]
+    stacked = df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(s).alias("_which"), F.col(s).alias("_val")) for s in srcs])).alias("_x"))
+    long = stacked.select(key, "_x._which", "_x._val")
+    edges = exact_quantile_edges(long, "_val", [key, "_which"], name="_edges")
+    wide = edges.groupBy(key).pivot("_which", srcs).agg(F.first("_edges"))
+    wide = wide.select(key, *[F.col(s).alias(f"_e_{s}") for s in srcs])
+    j = df.join(wide, key, "left")
+    cols = []
+    for i in horizons:
+        cols.append(bin_code(f"result{i}", f"_e_result{i}").alias(f"resultclass{i}"))
+        cols.append(bin_code(f"resultrel{i}", f"_e_resultrel{i}").alias(f"resultrelclass{i}"))
+    return j.select(*df.columns, *cols)

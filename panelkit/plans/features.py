@@ -22,6 +22,7 @@ from panelkit.operators import labels as L
 from panelkit.operators import recurrences as R
 from panelkit.operators import stock as S
 from panelkit.plans import segments as G
+from panelkit.session import checkpoint_dir
 
 # The reference's stored column set (fixed values), in its order.
 BASE_COLUMNS = ["close", "open", "low", "high", "turn", "isST", "flowmkt", "everyprofit",
@@ -89,7 +90,14 @@ def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.0
         lab = L.label_columns(S.price_volume_features(ind, ws=ws), ws=ws)
         enr = I.enrich(lab, idx, index_code=index_code, start=start, end=end, w=sw)
         staged = enr.filter(F.col("_home")).drop("_seg", "_home").withColumnRenamed("_grn", "_rn")
-    classed = L.class_labels(staged)
+    if seg_rows is None:
+        classed = L.class_labels(staged)
+    else:
+        # the edges read the panel a second time: cut the lineage in the
+        # shared checkpoint folder, then rank without per-symbol tasks
+        checkpoint_dir(staged.sparkSession)
+        staged = staged.checkpoint(eager=True)
+        classed = L.class_labels_exact(staged)
     prices = {p: F.col(f"{p}_c") / CENTS for p in ("close", "open", "low", "high")}
     rec_names = set(R.recurrence_finals())
     keep = [n for n in FEATURE_COLUMNS + LABEL_COLUMNS if n not in rec_names and n not in prices]

@@ -56,3 +56,13 @@ def test_segmented_feature_table_is_identical(spark, sf):
     seg = FT.feature_table(raw, ib, seg_rows=150)
     cols = FT.FEATURE_COLUMNS + FT.LABEL_COLUMNS
     _same(plain, seg, cols)
+
+
+def test_exact_quantiles_match_percentile(spark, sf):
+    c = C.clean_bars(X.raw_bars(spark, sf))
+    lab = L.label_columns(c, horizons=(4,))
+    a = L.quantile_edges(lab, "result4").withColumnRenamed("edges", "a")
+    b = L.exact_quantile_edges(lab, "result4", parts=16).withColumnRenamed("edges", "b")
+    j = a.join(b, "symbol")
+    assert j.count() == a.count() == 10
+    assert j.filter(F.col("a") != F.col("b")).count() == 0
