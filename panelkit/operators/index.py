@@ -45,7 +45,8 @@ def index_window() -> WindowSpec:
     return Window.partitionBy("index_code").orderBy("trade_date")
 
 
-def index_features(ib: DataFrame, w: WindowSpec | None = None, ws: str = WI) -> DataFrame:
+def index_features(ib: DataFrame, w: WindowSpec | None = None, ws: str = WI,
+                   keep=()) -> DataFrame:
     """I1-I11 plus the raw I12 ratios (``_raw_zsv3_9`` ...), one row per index day."""
     st1 = {"rn": E.over("row_number()", ws), "_cs": E.running_sum("close_c", ws),
            "_cv": E.running_sum("volume", ws),
@@ -84,7 +85,7 @@ def index_features(ib: DataFrame, w: WindowSpec | None = None, ws: str = WI) ->
         f[f"_raw_{name}"] = f"((10.0D * _vm{a}) / (0.1D + _vm{b}))"
     t = ib.select("index_code", "trade_date", "close_c", "high_c", "low_c", "volume")
     t = t.selectExpr("*", *E.alias(st1)).selectExpr("*", *E.alias(ext)).selectExpr("*", *E.alias(st2))
-    return t.selectExpr("index_code", "trade_date", *E.alias(f))
+    return t.selectExpr("index_code", "trade_date", *keep, *E.alias(f))
 
 
 def date_span_rows(start: str, end: str | None) -> int:

@@ -399,19 +399,22 @@ RECURRENCE_COLUMNS = ["dif", "dea", "hist_d", "hist", "tema", "t3", "natr", "ado
 def _index_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
     dif, dea, hist = macd([int(v) for v in pdf["close_c"]])
-    out = pd.DataFrame({"index_code": pdf["index_code"], "trade_date": pdf["trade_date"]})
-    out["_dif"], out["_dea"], out["_hist"] = _nullable(dif), _nullable(dea), _nullable(hist)
-    return out
+    pdf["_dif"], pdf["_dea"], pdf["_hist"] = _nullable(dif), _nullable(dea), _nullable(hist)
+    return pdf
+
 
+def index_macd(ib: DataFrame, passthrough: bool = False) -> DataFrame:
+    """MACD of the index close on the index calendar, scaled and clipped.
 
-def index_macd(ib: DataFrame) -> DataFrame:
-    """MACD of the index close on the index calendar, scaled and clipped."""
-    schema = StructType([ib.schema["index_code"], ib.schema["trade_date"],
-                         *[StructField(c, DoubleType()) for c in ("_dif", "_dea", "_hist")]])
-    r = ib.select("index_code", "trade_date", "close_c").groupBy("index_code").applyInPandas(_index_kernel, schema)
+    With ``passthrough`` every input column is kept (the index feature table
+    flows through the kernel, so the index bars are derived once)."""
+    src = ib if passthrough else ib.select("index_code", "trade_date", "close_c")
+    schema = StructType(src.schema.fields + [StructField(c, DoubleType()) for c in ("_dif", "_dea", "_hist")])
+    r = src.groupBy("index_code").applyInPandas(_index_kernel, schema)
     w = win(("index_code",))
     hist = F.col("_hist")
-    return r.select("index_code", "trade_date",
+    keep = [c for c in src.columns if c != "close_c"] if passthrough else ["index_code", "trade_date"]
+    return r.select(*keep,
                     clip1(F.lit(0.01) * F.col("_dif")).alias("zsdif"),
                     clip1(F.lit(0.01) * F.col("_dea")).alias("zsdea"),
                     clip1(F.lit(0.1) * (hist - F.lag(hist, 1).over(w))).alias("zshist_d"),

@@ -54,8 +54,7 @@ WARMUP_ROWS = 120
 
 def index_table(index_bars: DataFrame) -> DataFrame:
     """Index-calendar features (I1-I11, raw I12 ratios, I13), one row per day."""
-    return I.index_features(index_bars).join(R.index_macd(index_bars),
-                                             ["index_code", "trade_date"], "left")
+    return R.index_macd(I.index_features(index_bars, keep=("close_c",)), passthrough=True)
 
 
 def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.000001",
