@@ -86,3 +86,11 @@ JOIN enriched e ON e.symbol = g.symbol AND e.trade_date = g.trade_date
 LEFT JOIN im i ON i.trade_date = g.trade_date
 WHERE rc.rn > 120"""
     return with_base(body, ctes, recursive=True)
+
+
+def load_features_sql() -> str:
+    """S9 on top of the full table: row gate, close, labels x 0.1."""
+    ys = ", ".join(f'{r6(f"CAST({c} AS DOUBLE) * 0.1")} AS y_{c}' for c in LABEL_COLUMNS)
+    return f"""SELECT symbol, trade_date, close, {ys}
+FROM ({feature_table_sql()}) ft
+WHERE symbol IN (SELECT symbol FROM ({feature_table_sql()}) x GROUP BY symbol HAVING count(*) > 1)"""

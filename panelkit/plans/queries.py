@@ -388,8 +388,19 @@ def q_stock_features(spark, sf):
     return out(ft, ["close", "open", "low", "high", *FT.STOCK_COLUMNS])
 
 
+def q_load_features(spark, sf):
+    """The trainers' view of the stored table — symbols with more than one
+    row, the close column, and the labels x 0.1 as targets (``y_*``)."""
+    ft = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf))
+    n = F.count(F.lit(1)).over(Window.partitionBy("symbol"))
+    g = ft.withColumn("_n", n).filter(F.col("_n") > 1)
+    ys = [(F.col(c) * 0.1).alias(f"y_{c}") for c in FT.LABEL_COLUMNS]
+    return out(g.select(*KEY, "close", *ys), ["close", *[f"y_{c}" for c in FT.LABEL_COLUMNS]])
+
+
 QUERIES["feature_table"] = q_feature_table
 QUERIES["stock_features"] = q_stock_features
+QUERIES["load_features"] = q_load_features
 
 
 def flagship(spark, sf):
