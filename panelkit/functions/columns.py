@@ -20,8 +20,7 @@ CENTS = 100.0
 
 __all__ = [
     "SQ", "SQ7", "CENTS", "col", "clip1", "sq", "sq7", "sdiv", "r6", "win",
-    "rolling_sum_prefix", "rolling_frame", "diff", "pow_pos", "sqrt_pos",
-    "ln_pos", "bool_int",
+    "rolling_sum_prefix", "rolling_frame", "diff",
 ]
 
 
@@ -94,23 +93,3 @@ def rolling_frame(fn, x, w: WindowSpec, start: int, end: int, rn: str = "rn",
         return F.when(F.col(rn) >= first_needed, fn(col(x)).over(frame))
     need = need or n
     return F.when(F.count(col(x)).over(frame) == need, fn(col(x)).over(frame))
-
-
-def pow_pos(x, p: float) -> Column:
-    x = col(x)
-    return F.when(x >= 0, F.pow(x, F.lit(p)))
-
-
-def sqrt_pos(x) -> Column:
-    x = col(x)
-    return F.when(x >= 0, F.sqrt(x))
-
-
-def ln_pos(x) -> Column:
-    x = col(x)
-    return F.when(x > 0, F.log(x))
-
-
-def bool_int(cond: Column) -> Column:
-    """pandas-style boolean to int: NULL comparisons count as False."""
-    return F.coalesce(cond, F.lit(False)).cast("int")

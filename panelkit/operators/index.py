@@ -41,10 +41,6 @@ INDEX_LEVEL_COLS = (["szpctchg1", *RET]
 JOINED_COLS = [*VOL_CROSS, *[f"{k}_d" for k in VOL_CROSS]]
 
 
-def index_window() -> WindowSpec:
-    return Window.partitionBy("index_code").orderBy("trade_date")
-
-
 def index_features(ib: DataFrame, w: WindowSpec | None = None, ws: str = WI,
                    keep=()) -> DataFrame:
     """I1-I11 plus the raw I12 ratios (``_raw_zsv3_9`` ...), one row per index day."""

@@ -122,11 +122,6 @@ def class_labels(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataF
     return staged.select(*df.columns, *out)
 
 
-def label_scale(df: DataFrame, cols, factor: float = 0.1) -> DataFrame:
-    """Labels x 0.1 for the model targets."""
-    return df.select(*[(F.col(c) * factor).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 def exact_quantile_edges(df: DataFrame, value: str, key="symbol", n: int = N_CLASSES,
                          name: str = "edges", parts: int | None = None) -> DataFrame:
     """A1 without gathering a key's values in one task (hot keys).

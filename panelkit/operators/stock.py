@@ -34,11 +34,6 @@ INTERMEDIATES = ["max20", "max60", "max120", "min20", "min60", "min120", "sma5",
                  "day_price"]
 
 
-def prices(df: DataFrame) -> DataFrame:
-    """Price columns in currency from integer cents."""
-    return df.selectExpr("*", *[f"{E.price(c + '_c')} AS {c}" for c in ("open", "high", "low", "close")])
-
-
 def valuation_exprs() -> dict:
     """V1-V6 as SQL expressions over the clean bar columns."""
     close = E.price("close_c")
