@@ -828,6 +828,7 @@ def oracle() -> dict[str, str]:
     from panelkit.plans import oracle_full, oracle_recur
     from panelkit.plans.features import STOCK_COLUMNS
     merged = {"feature_table": oracle_full.feature_table_sql,
+              "export_dataset": oracle_full.feature_table_sql,
               "load_features": oracle_full.load_features_sql,
               "stock_features": lambda: oracle_full.feature_table_sql(["close", "open", "low", "high", *STOCK_COLUMNS]),**SQL, **oracle_recur.SQL, "p_change": _p_change, "scan_unadjusted": _scan_unadjusted,
               "relative_labels": _relative_labels, **{k: _simple(v) for k, v in SIMPLE.items()},

@@ -398,9 +398,22 @@ def q_load_features(spark, sf):
     return out(g.select(*KEY, "close", *ys), ["close", *[f"y_{c}" for c in FT.LABEL_COLUMNS]])
 
 
+def q_export_dataset(spark, sf):
+    """The feature table packaged as zstd Parquet in the shared
+    checkpoint folder, read back (the round trip must keep every row)."""
+    import os
+    import uuid
+
+    from panelkit.session import checkpoint_dir
+    path = os.path.join(checkpoint_dir(spark), f"export-{uuid.uuid4().hex}")
+    SK.export_dataset(q_feature_table(spark, sf), path)
+    return spark.read.parquet(path)
+
+
 QUERIES["feature_table"] = q_feature_table
 QUERIES["stock_features"] = q_stock_features
 QUERIES["load_features"] = q_load_features
+QUERIES["export_dataset"] = q_export_dataset
 
 
 def flagship(spark, sf):
