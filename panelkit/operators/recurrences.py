@@ -337,12 +337,20 @@ def _nullable(vals):
     return pd.array(vals, dtype="Float64")
 
 
+def _date_ordered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows of one group in date order.  After the window stages they already
+    are, so the (wide) frame is only re-sorted when it is not."""
+    if pdf["trade_date"].is_monotonic_increasing:
+        return pdf
+    return pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
+
+
 def _stock_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
-    h = [int(v) for v in pdf["high_c"]]
-    lo = [int(v) for v in pdf["low_c"]]
-    c = [int(v) for v in pdf["close_c"]]
-    v = [int(x) for x in pdf["volume"]]
+    pdf = _date_ordered(pdf)
+    h = pdf["high_c"].astype("int64").tolist()
+    lo = pdf["low_c"].astype("int64").tolist()
+    c = pdf["close_c"].astype("int64").tolist()
+    v = pdf["volume"].astype("int64").tolist()
     dif, dea, hist = macd(c)
     a, ar = adx(h, lo, c)
     chg = [None] + [None if x is None or y is None else x - y for x, y in zip(hist[1:], hist[:-1])]
@@ -350,17 +358,17 @@ def _stock_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
             "_tema": tema(c), "_t3": t3(c),
             "_natr": natr(h, lo, c), "_adosc": adosc(h, lo, c, v), "_adx": a, "_adxr": ar,
             "_sar": [None if s is None else s / 100.0 for s in sar(h, lo)]}
-    for k, vals in cols.items():
-        pdf[k] = _nullable(vals)
-    return pdf
+    new = pd.DataFrame({k: _nullable(vals) for k, vals in cols.items()}, index=pdf.index)
+    return pd.concat([pdf, new], axis=1)
 
 
 def recurrence_columns(df: DataFrame, key: str = "symbol") -> DataFrame:
     """Append the raw recurrence outputs (``RAW_COLUMNS``) to every bar.
 
     Needs ``key`` clustering: on a panel that is already partitioned by
-    ``key`` (after the window stages) it adds no exchange.  The kernel sorts
-    each group by date itself and passes every input column through.
+    ``key`` (after the window stages) it adds no exchange.  The kernel keeps
+    each group in date order (re-sorting only if needed) and passes every
+    input column through.
     """
     schema = StructType(df.schema.fields + [StructField(c, DoubleType()) for c in RAW_COLUMNS])
     return df.groupBy(key).applyInPandas(_stock_kernel, schema)
