@@ -50,6 +50,10 @@ STOCK_COLUMNS = ["pctChg", "pctChg2", "pctChg4", "pctChg8", "pctChg15", "pctChg3
 FEATURE_COLUMNS = BASE_COLUMNS + INDEX_COLUMNS + STOCK_COLUMNS
 LABEL_COLUMNS = list(L.LABEL_COLUMNS)
 WARMUP_ROWS = 120
+# ``seg_rows="auto"``: segment when one symbol's history exceeds this many
+# rows, into segments of ``AUTO_SEG_ROWS`` rows.
+AUTO_THRESHOLD = 1_000_000
+AUTO_SEG_ROWS = 250_000
 
 
 def index_table(index_bars: DataFrame) -> DataFrame:
@@ -60,7 +64,7 @@ def index_table(index_bars: DataFrame) -> DataFrame:
 def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.000001",
                   min_raw: int = 50, min_clean: int = 300, warmup: int = WARMUP_ROWS,
                   start: str = "1990-01-01", end: str | None = None,
-                  seg_rows: int | None = None) -> DataFrame:
+                  seg_rows: int | str | None = None) -> DataFrame:
     """Raw feed strings + index bars -> the stored feature table.
 
     P2-P4/P6 clean, P7 gate, V1-V6, recurrences, T plain windows, F1-F18,
@@ -68,14 +72,17 @@ def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.0
 
     ``seg_rows``: run every bounded-lookback stage on halo segments of that
     many rows instead of whole symbol histories (for symbols whose history
-    is too long for one task; ``segments.max_history`` tells).  Results are
-    identical.
+    is too long for one task).  ``"auto"`` measures the longest history with
+    one small aggregation and segments only beyond ``AUTO_THRESHOLD`` rows.
+    Results are identical either way.
     """
     w = win()
     c = C.min_history(C.clean_bars_counted(raw), min_clean=min_clean, count_col="_n_raw",
                       min_raw=min_raw)
     # F2 rescales ``volume`` to millions; the recurrence kernels need whole shares
     c = S.valuation_features(c.withColumn("_shares", F.col("volume")))
+    if seg_rows == "auto":
+        seg_rows = AUTO_SEG_ROWS if G.max_history(c) > AUTO_THRESHOLD else None
     idx = index_table(index_bars)
     if seg_rows is None:
         ind = T.indicator_features(c, w)

@@ -66,3 +66,10 @@ def test_exact_quantiles_match_percentile(spark, sf):
     j = a.join(b, "symbol")
     assert j.count() == a.count() == 10
     assert j.filter(F.col("a") != F.col("b")).count() == 0
+
+
+def test_auto_segmentation_stays_per_symbol_for_daily_bars(spark, sf):
+    from panelkit.plans import features as FT
+    raw, ib = X.raw_bars(spark, sf), X.index_bars(spark, sf)
+    plan = FT.feature_table(raw, ib, seg_rows="auto")._jdf.queryExecution().executedPlan().toString()
+    assert "_seg" not in plan
