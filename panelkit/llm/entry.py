@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from panelkit.llm import quality_rules, secrets
+from panelkit.llm import byte_bpe, packing, quality_model, quality_rules, secrets, sharding, token_files
 
 QUERIES = {
+    "op1_byte_bpe": byte_bpe.op1_byte_bpe,
+    "op4_quality_model": quality_model.op4_quality_model,
+    "op5_sharding": sharding.op5_sharding,
+    "op7_token_files": token_files.op7_token_files,
+    "op8_packing": packing.op8_packing,
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
