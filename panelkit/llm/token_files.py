@@ -172,7 +172,7 @@ def read_tokens(blocks: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def lookup(blocks: DataFrame, dictionary: DataFrame, doc_id: int) -> DataFrame:
     """One document's rows: the table's statistics skip other blocks, the index other frames."""
-    near = blocks.where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id))
+    near = blocks.where((F.col("first_doc").isNull() | (F.col("first_doc") <= doc_id)) & (F.col("last_doc") >= doc_id))
     return read_tokens(near, dictionary).where(F.col("doc_id") == doc_id)
 
 
