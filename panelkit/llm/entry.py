@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from panelkit.llm import byte_bpe, packing, quality_model, quality_rules, secrets, sharding, token_files
+from panelkit.llm import byte_bpe, embedding_links, near_text, packing, quality_model, quality_rules, secrets, sharding, token_files
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
+    "op2_order_minhash": near_text.op2_order_minhash,
+    "op3_embedding_links": embedding_links.op3_embedding_links,
     "op4_quality_model": quality_model.op4_quality_model,
     "op5_sharding": sharding.op5_sharding,
     "op7_token_files": token_files.op7_token_files,
@@ -15,5 +17,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_order_minhash": near_text.op2_order_minhash,
+    "op3_embedding_links": embedding_links.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }
