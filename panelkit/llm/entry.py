@@ -17,7 +17,6 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op2_order_minhash": near_text.op2_order_minhash,
     "op3_embedding_links": embedding_links.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }
