@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelkit.llm import byte_bpe, embedding_links, near_text, packing, quality_model, quality_rules, secrets, sharding, token_files
+from panelkit.llm import byte_bpe, embedding_links, near_text, packing, quality_model, quality_rules, repeats, secrets, sharding, token_files
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.op1_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_embedding_links": embedding_links.op3_embedding_links,
     "op4_quality_model": quality_model.op4_quality_model,
     "op5_sharding": sharding.op5_sharding,
+    "op6_suffix_repeats": repeats.op6_suffix_repeats,
     "op7_token_files": token_files.op7_token_files,
     "op8_packing": packing.op8_packing,
     "op9_secret_scans": secrets.op9_secret_scans,
