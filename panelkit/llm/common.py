@@ -44,6 +44,11 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The rows with __row, written: numbers that no later change of the input's partitions moves."""
+    return written(df.withColumn("__row", F.monotonically_increasing_id()), "numbered", compression="zstd")
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python process: tables loaded once per worker, not per task."""
     return sys.__dict__.setdefault("_panelkit_llm_state", {})

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import map_rows, slim_texts, table, written
+from panelkit.llm.common import map_rows, numbered, slim_texts, table, written
 from panelkit.llm.components import components
 
 SHINGLE = 5  # words
@@ -136,7 +136,8 @@ def sketches(df: DataFrame) -> DataFrame:
             entries = sketch(kmers(w)).view(np.int64).tolist() if len(w) else []
             yield row, doc_id, xxhash.xxh3_128_digest(b" ".join(text.encode("utf-8", "surrogatepass").split())), len(w), entries, raw
 
-    docs = slim_texts(df.withColumn("row", F.monotonically_increasing_id()), "row", "doc_id")
+    docs = df if "__row" in df.columns else df.withColumn("__row", F.monotonically_increasing_id())
+    docs = slim_texts(docs, "__row", "doc_id")
     return written(map_rows(docs, run, "row long, doc_id long, digest binary, n long, entries array<long>, words binary"), "order-minhash", compression="zstd")
 
 
@@ -233,8 +234,9 @@ def classes(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def deduplicate(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows that stay, all columns as they are."""
-    keep = classes(df, similarity).where("kept").select(F.col("row").alias("__row"))
-    return df.withColumn("__row", F.monotonically_increasing_id()).join(keep, "__row", "left_semi").drop("__row")
+    rows = numbered(df)
+    keep = classes(rows, similarity).where("kept").select(F.col("row").alias("__row"))
+    return rows.join(keep, "__row", "left_semi").select(*df.columns)
 
 
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import map_rows, slim_texts, table, written
+from panelkit.llm.common import map_rows, numbered, slim_texts, table, written
 from panelkit.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 100  # bytes
@@ -117,12 +117,12 @@ def _by_key(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(key[0]).sortWithinPartitions(*key)
 
 
-def _documents(numbered: DataFrame) -> DataFrame:
+def _documents(rows: DataFrame) -> DataFrame:
     """block, row, doc_id, text."""
-    return slim_texts(numbered, "__row", "doc_id").select(F.shiftright("__row", BLOCK_BITS).alias("block"), F.col("__row").alias("row"), "doc_id", "text")
+    return slim_texts(rows, "__row", "doc_id").select(F.shiftright("__row", BLOCK_BITS).alias("block"), F.col("__row").alias("row"), "doc_id", "text")
 
 
-def repeated_anchors(numbered: DataFrame, buckets: int) -> DataFrame:
+def repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
     """block, kind 0, payload: the anchors of a block that two texts hold or one holds twice (hash * 2 + hot)."""
     def send(rows):
         import xxhash
@@ -170,11 +170,11 @@ def repeated_anchors(numbered: DataFrame, buckets: int) -> DataFrame:
                 if len(part):
                     yield int(block[part[0]]), 0, np.unique(anchor[part] << np.uint64(1) | hot[part].astype(np.uint64)).tobytes()
 
-    sent = map_rows(_documents(numbered), send, "bucket int, block long, payload binary")
+    sent = map_rows(_documents(rows), send, "bucket int, block long, payload binary")
     return map_rows(_by_key(sent, "bucket"), settle, "block long, kind int, payload binary")
 
 
-def candidates(numbered: DataFrame, anchors: DataFrame, copies: DataFrame) -> DataFrame:
+def candidates(rows: DataFrame, anchors: DataFrame, copies: DataFrame) -> DataFrame:
     """block, payload, bytes: the block's documents that hold repeated anchors, with the runs of these; written.
 
     copies: row of each later copy of a whole text, which has no say.
@@ -206,7 +206,7 @@ def candidates(numbered: DataFrame, anchors: DataFrame, copies: DataFrame) -> Da
             work = [docs[i] for i in used], text.astype(np.int32), at.astype(np.int32), count.astype(np.uint8), anchor, hot
             yield block, press.compress(pickle.dumps(work)), int(count.sum()) + (LENGTH - 1) * len(count)
 
-    docs = map_rows(_documents(numbered), pack, "block long, kind int, payload binary")
+    docs = map_rows(_documents(rows), pack, "block long, kind int, payload binary")
     later = copies.select(F.shiftright("row", BLOCK_BITS).alias("block"), F.lit(1).alias("kind"), F.col("row").alias("payload"))
 
     def as_bytes(rows):
@@ -344,25 +344,20 @@ def _add_up(work: DataFrame, masks: DataFrame, with_text: bool) -> DataFrame:
     return map_rows(_by_key(both, "block", "kind"), run, "row long, n_removed long, n_spans long, sha256 string, kept binary")
 
 
-def number(df: DataFrame) -> DataFrame:
-    """The rows with __row, written: numbers that no later change of the input's partitions moves."""
-    return written(df.withColumn("__row", F.monotonically_increasing_id()), "repeat-rows", compression="zstd")
-
-
-def repeats(numbered: DataFrame, with_text: bool = False) -> DataFrame:
+def repeats(rows: DataFrame, with_text: bool = False) -> DataFrame:
     """row, doc_id, n_bytes, n_removed, n_spans, sha256 of the bytes kept; with_text: kept, null where nothing was removed.
 
-    Null texts are empty.  Null doc_ids come first; rows of one doc_id are ordered by row number, and repeated
+    rows: as ``numbered`` gives them.  Null texts are empty.  Null doc_ids come first; rows of one doc_id are ordered by row number, and repeated
     rows are documents of their own, so later ones are removed whole (if LENGTH bytes or longer).
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = written(numbered.select(F.col("__row").alias("row"), "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole")), "repeat-documents")
+    base = written(rows.select(F.col("__row").alias("row"), "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole")), "repeat-documents")
     order = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "row")
     firsts = base.where(F.col("n_bytes") >= LENGTH).groupBy("whole").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1").select("whole", F.col("f.row").alias("first"))
     copies = written(base.join(firsts, "whole").where("row != first").select("row"), "repeat-copies")
     total = base.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    anchors = repeated_anchors(numbered, max(16, total // BUCKET_BYTES))
-    work = candidates(numbered, anchors, copies)
+    anchors = repeated_anchors(rows, max(16, total // BUCKET_BYTES))
+    work = candidates(rows, anchors, copies)
     spans = work.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     masks = _settle_spans(_send_spans(work, max(16, spans // SHARD_BYTES)))
     changed = _add_up(work, masks, with_text).withColumnRenamed("sha256", "rest")
@@ -381,20 +376,20 @@ def remove_repeats(df: DataFrame) -> DataFrame:
 
     Characters that a cut leaves in part are dropped whole.  Texts without repeats stay as they are, null ones null.
     """
-    numbered = number(df)
-    kept = repeats(numbered, with_text=True).where("kept IS NOT NULL").select(F.col("row").alias("__row"), F.col("kept").alias("__kept"))
+    rows = numbered(df)
+    kept = repeats(rows, with_text=True).where("kept IS NOT NULL").select(F.col("row").alias("__row"), F.col("kept").alias("__kept"))
 
     @F.pandas_udf("string")
     def text(raw):
         import pandas as pd
         return pd.Series([None if b is None else bytes(b).decode("utf-8", "ignore") for b in raw], dtype=object)
 
-    out = numbered.join(kept, "__row", "left").withColumn("text", F.coalesce(text("__kept"), F.col("text")))
+    out = rows.join(kept, "__row", "left").withColumn("text", F.coalesce(text("__kept"), F.col("text")))
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*df.columns)
 
 
 def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = repeats(number(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    got = repeats(numbered(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("sha256").alias("kept_sha256"))
