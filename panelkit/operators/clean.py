@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.session import cut
+
 
 PRICE_FIELDS = ("open", "high", "low", "close")
 VALUE_FIELDS = ("turn", "amount", "peTTM", "pbMRQ", "psTTM", "pcfNcfTTM", "isST")
@@ -23,26 +25,55 @@ def exchange_prefix(df: DataFrame, code: str = "symbol", out: str = "bs_code") -
                          .otherwise(F.concat(F.lit("sz."), c)))
 
 
-def parse_raw_bars(raw: DataFrame) -> DataFrame:
-    """P2 + P3: drop suspended days on the raw strings, then cast.
+def traded():
+    """The day was no suspension (volume '0' or '' as a string; a missing volume is none of these)."""
+    return F.coalesce(~F.col("volume").isin("0", ""), F.lit(True))
+
+
+def fill_missing(raw: DataFrame, key=("symbol", "date")) -> DataFrame:
+    """P5, first fill: a NULL field of the feed becomes '0' before any gate, as in the reference.
+
+    So a bar without a valuation field stays (with 0), one without a volume counts as traded with volume 0, and one
+    without a price has price 0, which every ratio guards against.
+    """
+    return raw.select(*[F.col(c) if c in key or c.startswith("_") else F.coalesce(F.col(c), F.lit("0")).alias(c) for c in raw.columns])
 
-    ``volume`` of '0' or '' is a suspension; the comparison happens on the
-    string, before the cast.  Prices come back as integer cents so that all
-    later window sums are exact.
+
+def unreadable_fields(raw: DataFrame, key=("symbol", "date")) -> DataFrame:
+    """field, n_null, n_blank, n_unreadable: what the feed lacks, one partial aggregation."""
+    fields = [c for c in raw.columns if c not in key]
+    one = [F.struct(F.lit(c).alias("field"), F.col(c).alias("v")) for c in fields]
+    v = F.col("v")
+    return (raw.select(F.explode(F.array(*one)).alias("x")).select("x.field", "x.v").groupBy("field")
+            .agg(F.count_if(v.isNull()).alias("n_null"), F.count_if(v == "").alias("n_blank"),
+                 F.count_if((v != "") & v.try_cast("double").isNull()).alias("n_unreadable")))
+
+
+def typed_bars(raw: DataFrame) -> DataFrame:
+    """P2-P4, P6 as a flag: every row of the feed, filled and cast, with ``_ok`` for those that pass the gates.
+
+    ``volume`` of '0' or '' is a suspension; the comparison happens on the string, before the cast.  Prices come
+    back as integer cents so that all later window sums are exact.  A blank or unreadable field other than volume
+    counts as missing, thus 0 (``unreadable_fields`` reports them); only a bar without symbol or date is incomplete.
     """
-    kept = raw.filter((F.col("volume") != "0") & (F.col("volume") != ""))
+    raw = fill_missing(raw.withColumn("_traded", traded()))
 
     def num(c):
-        return F.col(c).try_cast("double")
+        return F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
 
-    extra = [c for c in raw.columns if c.startswith("_")]
-    return kept.select(
-        "symbol", *extra,
-        F.col("date").cast("date").alias("trade_date"),
+    t = raw.select(
+        "symbol", *[c for c in raw.columns if c.startswith("_") and c != "_traded"],
+        F.col("date").try_cast("date").alias("trade_date"),
         *[F.round(num(c) * 100).cast("bigint").alias(f"{c}_c") for c in PRICE_FIELDS],
         num("volume").cast("bigint").alias("volume"),
         *[num(c).alias(c) for c in VALUE_FIELDS],
-    )
+        F.col("_traded").alias("_ok"))
+    return t.withColumn("_ok", F.col("_ok") & (F.col("psTTM") > 0) & F.col("symbol").isNotNull() & F.col("trade_date").isNotNull())
+
+
+def parse_raw_bars(raw: DataFrame) -> DataFrame:
+    """P2 + P3: drop suspended days on the raw strings, then cast."""
+    return typed_bars(raw.filter(traded())).drop("_ok")
 
 
 def positive_ps(df: DataFrame) -> DataFrame:
@@ -51,46 +82,52 @@ def positive_ps(df: DataFrame) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop bars with any missing field."""
+    """Drop rows with any missing field."""
     return df.dropna(how="any")
 
 
 def clean_bars(raw: DataFrame) -> DataFrame:
-    """S1 + P2-P4 + P6: raw feed strings to typed, gated bars."""
-    return drop_incomplete(positive_ps(parse_raw_bars(raw)))
+    """S1 + P2-P6: raw feed strings to typed, gated bars."""
+    return typed_bars(raw).filter("_ok").drop("_ok")
 
 
-def clean_bars_counted(raw: DataFrame) -> DataFrame:
-    """``clean_bars`` that also carries the feed row count ``_n_raw``."""
-    counted = with_feed_count(raw)
-    parsed = parse_raw_bars(counted.select(*raw.columns, "_n_raw"))
-    return drop_incomplete(positive_ps(parsed))
+def clean_index(raw: DataFrame, min_raw: int = 50) -> DataFrame:
+    """The index feed's strings to typed bars: filled, without days of volume '0' or '', and only for index
+    codes with more than ``min_raw`` feed rows."""
+    t = fill_missing(raw.filter(traded()), ("index_code", "date"))
 
+    def num(c):
+        return F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
 
-def history_counts(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """A4: rows per key as a partial aggregation (map-side combine)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    big = raw.groupBy("index_code").agg(F.count("*").alias("n")).filter(F.col("n") > min_raw).select("index_code")
+    typed = t.select(
+        "index_code", F.col("date").try_cast("date").alias("trade_date"),
+        *[F.round(num(c) * 100).cast("bigint").alias(f"{c}_c") for c in PRICE_FIELDS],
+        num("volume").cast("bigint").alias("volume"), num("amount").alias("amount"))
+    return typed.filter("trade_date IS NOT NULL").join(big, "index_code", "left_semi")
 
 
-def min_history(clean: DataFrame, min_clean: int = 300, key: str = "symbol",
-                count_col: str | None = None, min_raw: int = 50) -> DataFrame:
-    """Keep keys with more than ``min_clean`` clean rows (and, when
-    ``count_col`` carries the feed's row count, more than ``min_raw`` of those).
+def gated_bars(raw: DataFrame, min_raw: int = 50, min_clean: int = 300) -> DataFrame:
+    """S1 + P2-P8: clean bars of the symbols with more than ``min_raw`` feed rows and ``min_clean`` clean ones.
 
-    Counted with a window over the key partition, so the gate shares the
-    exchange of the per-symbol stages that follow instead of a join back.
+    The typed feed is written once; the counts are a partial aggregation of it, not a window, so filters and casts
+    come before any shuffle and a hot symbol is never gathered.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    cond = F.col("_n_clean") > min_clean
-    if count_col is not None:
-        cond = cond & (F.col(count_col) > min_raw)
-    out = clean.withColumn("_n_clean", n).filter(cond).drop("_n_clean")
-    return out.drop(count_col) if count_col else out
+    typed = cut(typed_bars(raw), "typed-bars")
+    n = typed.groupBy("symbol").agg(F.count("*").alias("n_raw"), F.count_if("_ok").alias("n_clean"))
+    keep = n.filter((F.col("n_raw") > min_raw) & (F.col("n_clean") > min_clean)).select("symbol")
+    return typed.filter("_ok").drop("_ok").join(keep, "symbol", "left_semi")
+
+
+def history_counts(df: DataFrame, key: str = "symbol") -> DataFrame:
+    """A4: rows per key as a partial aggregation (map-side combine)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def with_feed_count(raw: DataFrame, key: str = "symbol", name: str = "_n_raw") -> DataFrame:
-    """Rows per key in the raw feed (before any filter), as a column."""
-    return raw.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(key)))
+def min_history(clean: DataFrame, min_clean: int = 300, key: str = "symbol") -> DataFrame:
+    """Keep keys with more than ``min_clean`` rows: counts by partial aggregation, then a semi join."""
+    n = history_counts(clean, key).filter(F.col("n_rows") > min_clean).select(key)
+    return clean.join(n, key, "left_semi")
 
 
 def warmup_trim(df: DataFrame, rows: int = 120, w=None) -> DataFrame:
@@ -129,19 +166,17 @@ def approx_amount(df: DataFrame) -> DataFrame:
 
 
 def global_index(df: DataFrame, order: str, name: str = "idx") -> DataFrame:
-    """0-based position of each row in ``order`` across the whole frame,
-    without moving all rows into one task.
+    """0-based position of each row in the order of a string column across the whole frame.
 
-    A range-partitioned sort splits the keys over tasks; each task numbers
-    its rows, and a table of per-partition counts (one row per partition,
-    a proven bound) gives every partition its offset.
+    Rows are blocked by the column's first characters, so a row's block is a function of its value; rows are
+    numbered inside their block, and the counts of the blocks before it (a small table) are added.
     """
-    srt = df.repartitionByRange(order).withColumn("_pid", F.spark_partition_id())
-    local = srt.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid").orderBy(order)) - 1)
-    counts = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_loc")).drop("_pid", "_loc", "_off"))
+    t = df.withColumn("_blk", F.substring(order, 1, 4))
+    counts = t.groupBy("_blk").agg(F.count("*").alias("_cnt"))
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_blk", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    local = t.withColumn("_loc", F.row_number().over(Window.partitionBy("_blk").orderBy(order)) - 1)
+    return local.join(offsets, "_blk").withColumn(name, F.col("_off") + F.col("_loc")).drop("_blk", "_loc", "_off")
 
 
 def symbol_chunks(symbols: DataFrame, size: int = 1000, key: str = "symbol") -> DataFrame:

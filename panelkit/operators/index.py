@@ -1,22 +1,19 @@
 """Market-index features (I1-I12) and the stock <- index enrichment.
 
 Index features are computed on the index's own calendar (window per
-``index_code``), then left-joined to stock rows on the trade date.  The
-index side holds at most one row per calendar day per index code, so its
-size is bounded by the scan's date range: it is broadcast behind that static
-check, and joined by shuffle beyond it.  I12's day-over-day changes are taken
-*after* the join, on the stock's own rows.
+``index_code``), then those of one index code are left-joined to stock rows on
+the trade date.  I12's day-over-day changes are taken *after* the join, on the
+stock's own rows.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS, sq, win
 from panelkit.functions import sql as E
+from panelkit.plans import segments as G
 
 # The index feature constants.
 RET = {"szpctchg2": (19, 2, 2), "szpctchg4": (10, 2, 4), "szpctchg8": (10, 4, 8),
@@ -29,9 +26,7 @@ VOL_D_K = {5: 0.2, 10: 0.1, 20: 0.2, 40: 0.2, 80: 0.2}
 VOL_CROSS = {"zsv3_9": (3, 9), "zsv5_20": (5, 20), "zsv9_50": (9, 50)}
 EXTREMA_NS = (20, 60, 120)
 WI = "PARTITION BY index_code ORDER BY trade_date"
-
-# Broadcast bound: one row per calendar day per index code.
-MAX_BROADCAST_ROWS = 2_000_000
+INDEX_CODE = "sh.000001"  # the index that stocks are joined to unless another is asked for
 
 INDEX_LEVEL_COLS = (["szpctchg1", *RET]
                     + [f"zs{n}_min" for n in EXTREMA_NS] + [f"zs{n}_max" for n in EXTREMA_NS]
@@ -79,36 +74,24 @@ def index_features(ib: DataFrame, w: WindowSpec | None = None, ws: str = WI,
         f[f"zsv{n}"] = E.sq(f"0.2D * ((10.0D * {vol}) / (0.1D + _vm{n}))")
     for name, (a, b) in VOL_CROSS.items():
         f[f"_raw_{name}"] = f"((10.0D * _vm{a}) / (0.1D + _vm{b}))"
-    t = ib.select("index_code", "trade_date", "close_c", "high_c", "low_c", "volume")
-    t = t.selectExpr("*", *E.alias(st1)).selectExpr("*", *E.alias(ext)).selectExpr("*", *E.alias(st2))
+    t = ib.selectExpr("*", *E.alias(st1)).selectExpr("*", *E.alias(ext)).selectExpr("*", *E.alias(st2))
     return t.selectExpr("index_code", "trade_date", *keep, *E.alias(f))
 
 
-def date_span_rows(start: str, end: str | None) -> int:
-    """Static bound on rows of a daily table over ``[start, end]``."""
-    a = dt.date.fromisoformat(start)
-    b = dt.date.fromisoformat(end) if end else dt.date.today()
-    return (b - a).days + 1
+def segmented_features(ib: DataFrame, keep=()) -> DataFrame:
+    """``index_features`` on halo segments of the index calendar, so that no task holds a whole history."""
+    seg = G.segment(ib if "_grn" in ib.columns else G.row_numbers(ib, "index_code"), G.SEG_ROWS)
+    return index_features(seg, ws=G.spec("index_code"), keep=(*keep, "_home")).filter("_home").drop("_home")
 
 
-def enrich(stock: DataFrame, idx: DataFrame, index_code: str | None = None,
-           start: str = "1990-01-01", end: str | None = None,
-           w: WindowSpec | None = None) -> DataFrame:
-    """J1 + I12: left equi-join of index features onto stock rows by date.
+def enrich(stock: DataFrame, idx: DataFrame, index_code: str = INDEX_CODE, w: WindowSpec | None = None) -> DataFrame:
+    """J1 + I12: left equi-join of one index's features onto stock rows by date.
 
-    The index side is broadcast when its static bound (days in range) is
-    under ``MAX_BROADCAST_ROWS``; otherwise a regular shuffle join is planned.
-    Missing index days give NULL features (pandas NaN).
+    Missing index days give NULL features (pandas NaN).  No date range is applied here; which side to broadcast,
+    if any, is the optimizer's choice from the real sizes.
     """
     w = w or win()
-    if index_code is not None:
-        idx = idx.filter(F.col("index_code") == index_code)
-    idx = idx.filter(F.col("trade_date").between(F.lit(start).cast("date"),
-                                                 F.lit(end).cast("date") if end else F.current_date()))
-    idx = idx.drop("index_code")
-    if date_span_rows(start, end) <= MAX_BROADCAST_ROWS:
-        idx = F.broadcast(idx)
-    j = stock.join(idx, "trade_date", "left")
+    j = stock.join(idx.filter(F.col("index_code") == index_code).drop("index_code"), "trade_date", "left")
     extra = []
     for name in VOL_CROSS:
         raw = F.col(f"_raw_{name}")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS
 from panelkit.functions import sql as E
+from panelkit.plans import segments as G
 
 VOLUME_SCALE = 1e6
 # Indicator periods.
@@ -138,7 +139,9 @@ def indicator_stages(ws: str = E.WS, home: str | None = None):
     r = "(CASE WHEN (high_c - low_c) / 100.0D = 0 THEN 0.0001D ELSE (high_c - low_c) / 100.0D END)"
     hi1, lo1 = E.lag("high_c", 1, ws), E.lag("low_c", 1, ws)
     st4 = {"_hpc": "high_c - _pc", "_pcl": "_pc - low_c",
-           "_xr": f"(high_c - {hi1}) / {hi1}", "_yr": f"(low_c - {lo1}) / {lo1}",
+           # a zero price has no return: 0, as for a flat day
+           "_xr": f"CASE WHEN {hi1} IS NULL THEN NULL ELSE coalesce({E.sdiv(f'high_c - {hi1}', hi1)}, 0.0D) END",
+           "_yr": f"CASE WHEN {lo1} IS NULL THEN NULL ELSE coalesce({E.sdiv(f'low_c - {lo1}', lo1)}, 0.0D) END",
            "_evm": E.sdiv(f"0.5D * ({hl} - {E.lag(hl, 1, ws)})", f"{vol} / {r}")}
 
     def lagsum(x, k):
@@ -173,18 +176,16 @@ def running_terms() -> dict:
     }
 
 
-def segment_offsets(seg: DataFrame, ws: str, key: str = "symbol") -> DataFrame:
-    """``_off_obv`` / ``_off_ad``: totals of the running-sum increments over
-    the home rows of all earlier segments (exact: integers and decimals).
-    One small aggregate per (symbol, segment), joined back on those keys."""
-    terms = running_terms()
-    t = seg.selectExpr("*", f"{E.lag('close_c', 1, ws)} AS _pc")
+def segment_offsets(numbered: DataFrame, seg_rows: int, key: str = "symbol") -> DataFrame:
+    """(key, _seg, _off_obv, _off_ad): totals of the running-sum increments over all earlier segments (exact:
+    integers and decimals), from bars with ``_grn``; one small row per key and segment."""
+    ws, terms = G.spec(key), running_terms()
+    narrow = numbered.select(key, "trade_date", "_grn", "high_c", "low_c", "close_c", "volume")
+    t = G.segment(narrow, seg_rows).selectExpr("*", f"{E.lag('close_c', 1, ws)} AS _pc")
     tot = (t.filter("_home").groupBy(key, "_seg")
            .agg(*[F.sum(F.expr(v)).alias(f"_tot_{k}") for k, v in terms.items()]))
     before = Window.partitionBy(key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(key, "_seg", *[F.coalesce(F.sum(f"_tot_{k}").over(before), F.lit(0)).alias(f"_off_{k}")
-                                     for k in terms])
-    return seg.join(offs, [key, "_seg"], "left")
+    return tot.select(key, "_seg", *[F.coalesce(F.sum(f"_tot_{k}").over(before), F.lit(0)).alias(f"_off_{k}") for k in terms])
 
 
 def indicator_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.WS,
@@ -200,9 +201,3 @@ def indicator_features(df: DataFrame, w: WindowSpec | None = None, ws: str = E.W
         t = t.selectExpr("*", *E.alias(stage))
     scratch = [c for stage in (st0, st1, st2, st2b, st4) for c in stage]
     return t.drop(*scratch, "_off_obv", "_off_ad")
-
-
-MAIN_COLUMNS = ["trima", "wma", "adline", "obv", "beta", "correl", "linearreg", "lineangle", "var",
-                "TSF", "lineintercept", "stddev", "apo", "ardown", "arup", "arosc", "bop", "cci",
-                "cci_d"]
-HELPER_COLUMNS = ["ar", "br", "cr", "cci_helper", "evm", "force_index", "roc", "sunup", "upratio"]

@@ -1,9 +1,8 @@
 """Forward-looking labels and per-symbol quantile classes.
 
 Edges (A1) are exact interpolating percentiles per symbol over its whole
-history, computed as one grouped aggregation and joined back on the symbol
-(no per-symbol loop, no driver round trip).  Bin assignment (A2) counts the
-inner edges at or below the value, JVM-side.
+history, found from counts of values and joined back on the symbol.  Bin
+assignment (A2) counts the inner edges at or below the value, JVM-side.
 """
 
 from __future__ import annotations
@@ -13,17 +12,24 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import CENTS, sdiv
 from panelkit.functions import sql as E
+from panelkit.session import cut
 
 # Label horizons (days), classes per label, edge rounding.
 HORIZONS = (2, 4, 7, 10)
 BUY_HORIZONS = (4, 7, 10)
 N_CLASSES = 10
 EDGE_DECIMALS = 3
+BUCKETS = 256  # per unit of value; only for ranking, no effect on results
 # The labels that survive the column drop (P11), in the reference's order.
 LABEL_COLUMNS = (["resultbuy4", "resultbuy7", "resultbuy10"]
                  + [f"result{k}class{h}" for h in HORIZONS for k in ("", "rel")])
 
 
+def label_columns_of(horizons) -> list[str]:
+    """The stored labels for other horizons, in the same order."""
+    return [f"resultbuy{h}" for h in horizons if h > 2] + [f"result{k}class{h}" for h in horizons for k in ("", "rel")]
+
+
 def forward_return(w: WindowSpec, h: int) -> Column:
     """L1: ``close.shift(-h)/close - 1``."""
     close = F.col("close_c") / CENTS
@@ -70,16 +76,34 @@ def label_columns(df: DataFrame, horizons=HORIZONS, r: int = 1, w: WindowSpec |
     return df.selectExpr("*", *E.alias(label_exprs(horizons, r, ws)))
 
 
-def quantile_edges(df: DataFrame, value: str, key: str = "symbol", n: int = N_CLASSES,
-                   name: str = "edges") -> DataFrame:
-    """A1: per key, the ``n-1`` inner edges ``round_half_even(quantile(i/n), 3)``.
+def quantile_edges(df: DataFrame, value: str, key="symbol", n: int = N_CLASSES, name: str = "edges") -> DataFrame:
+    """A1: per key, the ``n-1`` inner edges ``round_half_even(quantile(i/n), 3)``; NULL values are ignored.
 
-    NULL values are ignored (the reference drops NaN first).
+    No key's values are gathered: equal values are counted (a partial aggregation), counts are added up per bucket
+    of ``1 / BUCKETS`` (a small table), and inside each bucket over its different values.  So every value knows the
+    ranks it takes, and only those at the quantiles' two order statistics are picked.  The interpolation
+    ``(hi - pos) * v_lo + (pos - lo) * v_hi`` with ``pos = (n - 1) * p`` is that of Spark's exact ``percentile``.
+    ``key`` may be a list.
     """
-    probs = [i / n for i in range(1, n)]
-    pct = F.percentile(F.col(value), F.array(*[F.lit(p) for p in probs]))
-    return (df.filter(F.col(value).isNotNull()).groupBy(key)
-            .agg(F.transform(pct, lambda e: F.bround(e, EDGE_DECIMALS)).alias(name)))
+    keys = [key] if isinstance(key, str) else list(key)
+    values = cut(df.select(*keys, F.col(value).alias("_v")).filter("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count("*").alias("_c")), "value-counts")
+    values = values.withColumn("_b", F.floor(F.col("_v") * BUCKETS).cast("long"))
+    order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = values.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc")).select(
+        *keys, "_b", F.coalesce(F.sum("_bc").over(order), F.lit(0)).alias("_before"), F.sum("_bc").over(Window.partitionBy(*keys)).alias("_n"))
+    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("_end", F.sum("_c").over(inside)).join(buckets, [*keys, "_b"])
+    first, end = F.col("_before") + F.col("_end") - F.col("_c"), F.col("_before") + F.col("_end")
+    at = lambda i: (F.col("_n") - 1) * F.lit(i / n)
+    taken = lambda rank: (rank >= first) & (rank < end)
+    picks = F.array(*[F.when(taken(side(at(i))), F.struct(F.lit(i).alias("i"), F.lit(s).alias("s"), at(i).alias("pos")))
+                      for i in range(1, n) for s, side in (("lo", F.floor), ("hi", F.ceil))])
+    found = ranked.select(*keys, "_v", F.explode(F.filter(picks, lambda x: x.isNotNull())).alias("x"))
+    pair = found.groupBy(*keys, F.col("x.i").alias("i")).agg(
+        F.max(F.col("x.pos")).alias("pos"), F.max(F.when(F.col("x.s") == "lo", F.col("_v"))).alias("lo"), F.max(F.when(F.col("x.s") == "hi", F.col("_v"))).alias("hi"))
+    pos = F.col("pos")
+    edge = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise((F.ceil(pos) - pos) * F.col("lo") + (pos - F.floor(pos)) * F.col("hi"))
+    return pair.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.bround(edge, EDGE_DECIMALS).alias("e")))), lambda x: x["e"]).alias(name))
 
 
 def bin_code(x, edges) -> Column:
@@ -91,89 +115,34 @@ def bin_code(x, edges) -> Column:
     return F.when(x.isNotNull(), F.size(F.filter(edges, lambda e: e <= x)).cast("bigint"))
 
 
-def edges_over(value: str, key: str = "symbol", n: int = N_CLASSES) -> Column:
-    """A1 as a window aggregate over the whole key partition.
-
-    Evaluated on the panel's existing ``key`` partitioning, so the edges need
-    no extra exchange and no join back (a self-join would re-run the whole
-    lineage of the panel)."""
-    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    pct = F.percentile(F.col(value), probs).over(Window.partitionBy(key))
-    return F.transform(pct, lambda e: F.bround(e, EDGE_DECIMALS))
-
-
 def quantile_class(df: DataFrame, value: str, out: str, key: str = "symbol",
                    n: int = N_CLASSES) -> DataFrame:
-    """A1 + A2: per-key decile class of ``value`` over the key's full history."""
-    e = f"_e_{out}"
-    staged = df.select(*df.columns, edges_over(value, key, n).alias(e))
-    return staged.select(*df.columns, bin_code(value, e).alias(out))
+    """A1 + A2: per-key decile class of ``value`` over the key's full history.  ``df`` is written once and read twice."""
+    df = cut(df, "to-classify")
+    edges = quantile_edges(df, value, key, n, name="_edges")
+    return df.join(edges, key, "left").select(*df.columns, bin_code(value, "_edges").alias(out))
 
 
-def class_labels(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
-    """L5 + L6: ``resultclass{h}`` and ``resultrelclass{h}`` for every horizon,
-    all edge sets in one window pass over the symbol partition."""
+def edge_table(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
+    """(key, _e_result{h}, _e_resultrel{h}): the edges of all label values, one row per key, from one set of counts."""
     srcs = [s for i in horizons for s in (f"result{i}", f"resultrel{i}")]
-    staged = df.select(*df.columns, *[edges_over(s, key).alias(f"_e_{s}") for s in srcs])
+    stacked = df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(s).alias("_which"), F.col(s).alias("_val")) for s in srcs])).alias("_x"))
+    edges = quantile_edges(stacked.select(key, "_x._which", "_x._val"), "_val", [key, "_which"], name="_edges")
+    return edges.groupBy(key).agg(*[F.max(F.when(F.col("_which") == s, F.col("_edges"))).alias(f"_e_{s}") for s in srcs])
+
+
+def class_columns(df: DataFrame, edges: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
+    """L5 + L6: ``resultclass{h}`` and ``resultrelclass{h}`` from a table of edges."""
     out = []
     for i in horizons:
         out.append(bin_code(f"result{i}", f"_e_result{i}").alias(f"resultclass{i}"))
         out.append(bin_code(f"resultrel{i}", f"_e_resultrel{i}").alias(f"resultrelclass{i}"))
-    return staged.select(*df.columns, *out)
-
+    return df.join(edges, key, "left").select(*df.columns, *out)
 
-def exact_quantile_edges(df: DataFrame, value: str, key="symbol", n: int = N_CLASSES,
-                         name: str = "edges", parts: int | None = None) -> DataFrame:
-    """A1 without gathering a key's values in one task (hot keys).
 
-    A range-partitioned sort on (key, value) splits a large key over many
-    tasks; each task ranks its rows, per-(key, partition) counts (a small
-    table) turn local ranks into global ones, and only the two order
-    statistics around each quantile position are picked.  Interpolation is
-    ``(hi - pos) * v_lo + (pos - lo) * v_hi`` with ``pos = (n - 1) * p``, the
-    formula of Spark's exact ``percentile``, so the edges are identical.
-    ``key`` may be a list of grouping columns.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    v = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    srt = v.repartitionByRange(parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
-    local = srt.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy("_v")) - 1)
-    cnt = srt.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = cnt.select(*keys, "_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
-                      F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
-    ranked = local.join(offs, [*keys, "_pid"]).select(*keys, (F.col("_off") + F.col("_loc")).alias("_rank"), "_v")
-    probs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(i / n).alias("p")) for i in range(1, n)])
-    need = (offs.select(*keys, "_n").distinct().select(*keys, F.explode(probs).alias("q"), "_n")
-            .select(*keys, F.col("q.i").alias("_i"), ((F.col("_n") - 1) * F.col("q.p")).alias("_pos")))
-    need = need.select("*", F.floor("_pos").alias("_lo"), F.ceil("_pos").alias("_hi"))
-    lo = ranked.select(*keys, F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = ranked.select(*keys, F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    picked = need.join(lo, [*keys, "_lo"]).join(hi, [*keys, "_hi"])
-    interp = F.when((F.col("_hi") == F.col("_lo")) | (F.col("_vhi") == F.col("_vlo")), F.col("_vlo")).otherwise(
-        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
-    edges = picked.select(*keys, "_i", F.bround(interp, EDGE_DECIMALS).alias("_e"))
-    return edges.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_e"))), lambda s: s["_e"]).alias(name))
-
-
-def class_labels_exact(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
-    """L5 + L6 with ``exact_quantile_edges`` (segmented, hot-key plans).
-
-    All label columns are stacked into one long frame, so every edge set
-    comes from a single range-partitioned sort; the edge table (one row per
-    key) is joined back by key."""
-    srcs = [s for i in horizons for s in (f"result{i}", f"resultrel{i}")]
-    stacked = df.select(key, F.explode(F.array(*[
-        F.struct(F.lit(s).alias("_which"), F.col(s).alias("_val")) for s in srcs])).alias("_x"))
-    long = stacked.select(key, "_x._which", "_x._val")
-    edges = exact_quantile_edges(long, "_val", [key, "_which"], name="_edges")
-    wide = edges.groupBy(key).pivot("_which", srcs).agg(F.first("_edges"))
-    wide = wide.select(key, *[F.col(s).alias(f"_e_{s}") for s in srcs])
-    j = df.join(wide, key, "left")
-    cols = []
-    for i in horizons:
-        cols.append(bin_code(f"result{i}", f"_e_result{i}").alias(f"resultclass{i}"))
-        cols.append(bin_code(f"resultrel{i}", f"_e_resultrel{i}").alias(f"resultrelclass{i}"))
-    return j.select(*df.columns, *cols)
+def class_labels(df: DataFrame, horizons=HORIZONS, key: str = "symbol", until=None) -> DataFrame:
+    """L5 + L6 for every horizon.  ``until``: take the edges from bars up to that date only (no look ahead)."""
+    df = cut(df, "to-classify")
+    seen = df if until is None else df.filter(F.col("trade_date") <= F.lit(until))
+    return class_columns(df, edge_table(seen, horizons, key), horizons, key)

@@ -1,14 +1,17 @@
-"""Recurrence indicators.
-
-These are sequential by nature (each value feeds the next), so they run as
-one grouped-map pass: ``groupBy(key).applyInPandas`` hands each symbol's
-rows (sorted by date inside the task) to small Python kernels that compute
-every recurrence in one sweep.  The group is one symbol's daily history,
-whose size is bounded by the trading calendar.
-
-Seeds and update orders follow the published definitions of the indicator
-library the reference calls; the DuckDB oracles replay the same steps in
-recursive CTEs.
+"""Recurrence indicators.
+
+The linear ones are native block scans.  For ``y = a * y[-1] + u`` the value
+is ``a^p * sum(u * a^-p)`` over the rows so far, one running sum in Spark.
+Histories are cut into blocks of ``BLOCK`` rows that also hold the ``HALO``
+rows before them: a start value of any kind weighs ``a^HALO`` there, below
+1e-25 for every period used, beyond what a double can hold, so a block needs
+nothing from the blocks before its halo and no task holds a whole history.
+Chains (the average of an average) are one scan after the other on the same
+sorted blocks.  Seeds lie in a history's first rows, which the first blocks
+see whole.
+
+The parabolic stop (T18) has no such form: it jumps and never forgets for
+sure.  It alone is a grouped map, of three columns per key.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from panelkit.functions import clip1, sq, win
+from panelkit.functions import clip1, sq
+from panelkit.functions import sql as E
+from panelkit.plans import segments as G
 
 # Periods of the recurrence indicators.
 MACD_FAST, MACD_SLOW, MACD_SIGNAL = 12, 26, 9
@@ -30,6 +34,10 @@ LOWPASS_WN, LOWPASS_PAD = 0.1, 6
 VOLUME_SCALE = 1e6
 TINY = 1e-8  # the library's zero test
 
+# Rows of a block and of its halo.  Powers run over +-BLOCK rows: 0.5^-900 still fits a double.
+BLOCK = HALO = 900
+CUT = 10  # T34: bars left out of the refitted filter
+
 
 def _k(n: int) -> float:
     return 2.0 / (n + 1)
@@ -44,217 +52,156 @@ def lowpass_coefficients(wn: float = LOWPASS_WN):
     return b0, b0, a1
 
 
-# ---------------------------------------------------------------- kernels
-# Each kernel takes python lists (one symbol, date order) and returns lists
-# with None where the indicator is not yet defined.
+# ---------------------------------------------------------------- block scans
 
 
-def macd(close_c):
-    """MACD(12, 26, 9): (dif, dea, hist), visible from row 33."""
-    n = len(close_c)
-    out = [None] * n
-    s = MACD_SLOW - 1
-    if n <= s + MACD_SIGNAL - 1:
-        return out, out, out
-    kf, ks, k9 = _k(MACD_FAST), _k(MACD_SLOW), _k(MACD_SIGNAL)
-    fast = sum(close_c[s - MACD_FAST + 1:s + 1]) / (100.0 * MACD_FAST)
-    slow = sum(close_c[0:s + 1]) / (100.0 * MACD_SLOW)
-    difs = [fast - slow]
-    for t in range(s + 1, n):
-        x = close_c[t] / 100.0
-        fast = ((x - fast) * kf) + fast
-        slow = ((x - slow) * ks) + slow
-        difs.append(fast - slow)
-    dif, dea, hist = [None] * n, [None] * n, [None] * n
-    first = s + MACD_SIGNAL - 1
-    acc = 0.0
-    for v in difs[:MACD_SIGNAL]:
-        acc = acc + v
-    sig = acc / float(MACD_SIGNAL)
-    for t in range(first, n):
-        d = difs[t - s]
-        if t > first:
-            sig = ((d - sig) * k9) + sig
-        dif[t], dea[t], hist[t] = d, sig, d - sig
-    return dif, dea, hist
-
-
-def _ema_series(x, start, period):
-    """Library EMA of a float series defined from index ``start``: seeded with
-    the sequential mean of x[start..start+period-1]; returns (first, values)."""
-    k = _k(period)
-    first = start + period - 1
-    if first >= len(x):
-        return first, []
-    acc = 0.0
-    for v in x[start:first + 1]:
-        acc = acc + v
-    e = acc / float(period)
-    vals = [e]
-    for t in range(first + 1, len(x)):
-        e = ((x[t] - e) * k) + e
-        vals.append(e)
-    return first, vals
-
-
-def tema(close_c):
-    """TEMA(30) = e3 + (3*e1 - 3*e2), visible from row 87."""
-    n = len(close_c)
-    out = [None] * n
-    p = TEMA_N
-    if n < 3 * p - 2:
-        return out
-    k = _k(p)
-    e1 = sum(close_c[:p]) / (100.0 * p)
-    s1 = [e1]
-    for t in range(p, n):
-        e1 = ((close_c[t] / 100.0 - e1) * k) + e1
-        s1.append(e1)
-    f2, s2 = _ema_series(s1, 0, p)
-    f3, s3 = _ema_series(s2, 0, p)
-    base = p - 1
-    for j, e3 in enumerate(s3):
-        t = base + f2 + f3 + j
-        a = s1[f2 + f3 + j]
-        b = s2[f3 + j]
-        out[t] = e3 + ((3.0 * a) - (3.0 * b))
-    return out
+def block_spec(key: str) -> str:
+    return f"PARTITION BY {key}, _seg ORDER BY trade_date"
 
 
-def t3(close_c):
-    """T3(5, vfactor=0) = triple EMA5 with the library's seeding, from row 24."""
-    n = len(close_c)
-    out = [None] * n
-    p = T3_N
-    if n < 6 * (p - 1) + 1:
-        return out
-    k, k1 = _k(p), 1.0 - _k(p)
-    x = [c / 100.0 for c in close_c]
-    e1 = sum(close_c[:p]) / (100.0 * p)
-    t = p
-    acc = e1
-    for _ in range(p - 1):
-        e1 = (k * x[t]) + (k1 * e1)
-        acc = acc + e1
-        t += 1
-    e2 = acc / p
-    acc = e2
-    for _ in range(p - 1):
-        e1 = (k * x[t]) + (k1 * e1)
-        e2 = (k * e1) + (k1 * e2)
-        acc = acc + e2
-        t += 1
-    e3 = acc / p
-    first = 6 * (p - 1)
-    while t < n:
-        e1 = (k * x[t]) + (k1 * e1)
-        e2 = (k * e1) + (k1 * e2)
-        e3 = (k * e2) + (k1 * e3)
-        if t >= first:
-            out[t] = e3
-        t += 1
-    return out
+def blocks(df: DataFrame, key: str, fwd: int = 0) -> DataFrame:
+    """Rows dealt to blocks with halos; adds ``_grn`` (row of the key), ``_seg``, ``_home`` and ``_p``, the
+    place in the block counted from its middle."""
+    numbered = df if "_grn" in df.columns else G.row_numbers(df, key)
+    cut = G.segment(numbered, BLOCK, back=HALO, fwd=fwd)
+    return cut.selectExpr("*", f"CAST({E.over('row_number()', block_spec(key))} - {BLOCK} AS DOUBLE) AS _p")
 
 
-def _true_range(h, l, pc):
-    return max(h - l, abs(h - pc), abs(l - pc))
+def scan(u: str, a: float, ws: str, p: str = "_p") -> str:
+    """``y = a * y[-1] + u``, from 0 before the block's first row."""
+    return f"(pow({E.d(a)}, {p}) * {E.running_sum(f'({u}) * pow({E.d(a)}, -{p})', ws)})"
 
 
-def natr(high_c, low_c, close_c):
-    """NATR(14) = 100 * ATR / close, Wilder ATR seeded by the mean TR of rows 1-14."""
-    n = len(close_c)
-    out = [None] * n
-    p = NATR_N
-    if n <= p:
-        return out
-    trs = [None] + [_true_range(high_c[t], low_c[t], close_c[t - 1]) for t in range(1, n)]
-    atr = sum(trs[1:p + 1]) / float(p)
-    for t in range(p, n):
-        if t > p:
-            atr = ((atr * (p - 1)) + trs[t]) / float(p)
-        out[t] = (atr / close_c[t]) * 100.0 if close_c[t] != 0 else 0.0
-    return out
+def seeded(x: str, seed: str, row: int, k: float) -> str:
+    """The inputs of an average with weight ``k`` that starts with ``seed`` at the key's ``row``.
+
+    Where a block starts later, its first value stands in for what came before.
+    """
+    return (f"CASE WHEN _grn < {row} THEN 0.0D WHEN _grn = {row} THEN {seed} "
+            f"WHEN _p = {E.d(1 - BLOCK)} THEN {x} ELSE {E.d(k)} * ({x}) END")
+
+
+def _mean(total: str, n: int, ws: str, scale: float = 1.0) -> str:
+    """Mean of the last ``n`` rows from a running sum."""
+    return f"(({total} - coalesce({E.lag(total, n, ws)}, 0)) / {E.d(n * scale)})"
+
+
+def _ema(x: str, seed: str, row: int, n: int, ws: str) -> str:
+    return scan(seeded(x, seed, row, _k(n)), 1.0 - _k(n), ws)
 
 
-def ad_terms(high_c, low_c, close_c, volume):
-    """Accumulation/distribution increments (volume in millions)."""
-    out = []
-    for h, l, c, v in zip(high_c, low_c, close_c, volume):
-        r = h - l
-        out.append(float((c - l) - (h - c)) / r * (v / VOLUME_SCALE) if r > 0 else 0.0)
-    return out
+def _wilder(x: str, seed: str, row: int, n: int, ws: str, k: float | None = None) -> str:
+    return scan(seeded(x, seed, row, 1.0 / n if k is None else k), 1.0 - 1.0 / n, ws)
+
+
+def _shown(x: str, row: int) -> str:
+    return f"CASE WHEN _grn >= {row} THEN {x} END"
+
+
+def _macd(ws):
+    c, s = E.price("close_c"), MACD_SLOW
+    return [
+        {"_cs": E.running_sum("close_c", ws)},
+        {"_f": _ema(c, _mean("_cs", MACD_FAST, ws, 100.0), s, MACD_FAST, ws), "_s": _ema(c, _mean("_cs", MACD_SLOW, ws, 100.0), s, MACD_SLOW, ws)},
+        {"_d": _shown("_f - _s", s)},
+        {"_ds": E.running_sum("_d", ws)},
+        {"_g": _ema("_d", _mean("_ds", MACD_SIGNAL, ws), s + MACD_SIGNAL - 1, MACD_SIGNAL, ws)},
+        {"_dif": _shown("_d", s + MACD_SIGNAL - 1), "_dea": _shown("_g", s + MACD_SIGNAL - 1), "_hist": _shown("_d - _g", s + MACD_SIGNAL - 1)},
+        {"_hist_chg": f"_hist - {E.lag('_hist', 1, ws)}"},
+    ]
 
 
-def adosc(high_c, low_c, close_c, volume):
-    """ADOSC(3, 10): EMA3(AD) - EMA10(AD), both seeded with the first AD; from row 9."""
-    n = len(close_c)
-    out = [None] * n
-    if n == 0:
-        return out
-    kf, ks = _k(ADOSC_FAST), _k(ADOSC_SLOW)
-    terms = ad_terms(high_c, low_c, close_c, volume)
-    ad = 0.0 + terms[0]
-    fast = slow = ad
-    for t in range(1, n):
-        ad = ad + terms[t]
-        fast = (kf * ad) + ((1.0 - kf) * fast)
-        slow = (ks * ad) + ((1.0 - ks) * slow)
-        if t >= ADOSC_SLOW - 1:
-            out[t] = fast - slow
-    return out
+def _triple(ws, n, names, out, row, combine):
+    """Three averages in a chain, each seeded by the mean of its input's first ``n`` values."""
+    a, b, c = names
+    first = [n, 2 * n - 1, 3 * n - 2]
+    return [
+        {f"{a}s": E.running_sum("close_c", ws)},
+        {a: _ema(E.price("close_c"), _mean(f"{a}s", n, ws, 100.0), first[0], n, ws)},
+        {f"{b}s": E.running_sum(_shown(a, first[0]), ws)},
+        {b: _ema(a, _mean(f"{b}s", n, ws), first[1], n, ws)},
+        {f"{c}s": E.running_sum(_shown(b, first[1]), ws)},
+        {c: _ema(b, _mean(f"{c}s", n, ws), first[2], n, ws)},
+        {out: _shown(combine, row)},
+    ]
+
+
+def _tema(ws):
+    return _triple(ws, TEMA_N, ("_e1", "_e2", "_e3"), "_tema", 3 * TEMA_N - 2, "_e3 + (3.0D * _e1 - 3.0D * _e2)")
+
+
+def _t3(ws):
+    return _triple(ws, T3_N, ("_t1", "_t2", "_t3c"), "_t3", 6 * (T3_N - 1) + 1, "_t3c")
+
+
+def _true_range(ws):
+    pc = E.lag("close_c", 1, ws)
+    return f"CASE WHEN {pc} IS NOT NULL THEN CAST(greatest(high_c - low_c, abs(high_c - {pc}), abs(low_c - {pc})) AS DOUBLE) END"
 
 
-def _dm(h, ph, l, pl):
-    dp, dm = h - ph, pl - l
-    if dm > 0 and dp < dm:
-        return 0, dm
-    if dp > 0 and dp > dm:
-        return dp, 0
-    return 0, 0
-
-
-def adx(high_c, low_c, close_c):
-    """ADX(14) and ADXR(14) with Wilder smoothing; ADX from row 27, ADXR from 40."""
-    n = len(close_c)
-    adx_out, adxr_out = [None] * n, [None] * n
-    p = ADX_N
-    if n < 2 * p:
-        return adx_out, adxr_out
-    pdm = mdm = tr = 0.0
-    for t in range(1, p):
-        dp, dm = _dm(high_c[t], high_c[t - 1], low_c[t], low_c[t - 1])
-        pdm, mdm = pdm + dp, mdm + dm
-        tr = tr + _true_range(high_c[t], low_c[t], close_c[t - 1])
-
-    def step(t, pdm, mdm, tr):
-        dp, dm = _dm(high_c[t], high_c[t - 1], low_c[t], low_c[t - 1])
-        pdm = (pdm - (pdm / p)) + dp
-        mdm = (mdm - (mdm / p)) + dm
-        tr = (tr - (tr / p)) + _true_range(high_c[t], low_c[t], close_c[t - 1])
-        dx = None
-        if not (-TINY < tr < TINY):
-            mdi = 100.0 * (mdm / tr)
-            pdi = 100.0 * (pdm / tr)
-            s = mdi + pdi
-            if not (-TINY < s < TINY):
-                dx = 100.0 * (abs(mdi - pdi) / s)
-        return pdm, mdm, tr, dx
-
-    sum_dx = 0.0
-    for t in range(p, 2 * p):
-        pdm, mdm, tr, dx = step(t, pdm, mdm, tr)
-        if dx is not None:
-            sum_dx = sum_dx + dx
-    a = sum_dx / p
-    adx_out[2 * p - 1] = a
-    for t in range(2 * p, n):
-        pdm, mdm, tr, dx = step(t, pdm, mdm, tr)
-        if dx is not None:
-            a = ((a * (p - 1)) + dx) / p
-        adx_out[t] = a
-    for t in range(2 * p - 1 + p - 1, n):
-        adxr_out[t] = (adx_out[t] + adx_out[t - (p - 1)]) / 2.0
-    return adx_out, adxr_out
+def _natr(ws):
+    n = NATR_N
+    return [
+        {"_tr": _true_range(ws)},
+        {"_trs": E.running_sum("_tr", ws)},
+        {"_atr": _wilder("coalesce(_tr, 0.0D)", f"_trs / {E.d(n)}", n + 1, n, ws)},
+        {"_natr": _shown("CASE WHEN close_c <> 0 THEN _atr / close_c * 100.0D ELSE 0.0D END", n + 1)},
+    ]
+
+
+def _adosc(ws):
+    """The line may start anywhere: a constant shifts both averages alike."""
+    term = (f"CASE WHEN high_c - low_c > 0 THEN CAST((close_c - low_c) - (high_c - close_c) AS DOUBLE) / (high_c - low_c)"
+            f" * (volume / {E.d(VOLUME_SCALE)}) ELSE 0.0D END")
+    return [
+        {"_line": E.running_sum(term, ws)},
+        {"_af": _ema("_line", "_line", 1, ADOSC_FAST, ws), "_as": _ema("_line", "_line", 1, ADOSC_SLOW, ws)},
+        {"_adosc": _shown("_af - _as", ADOSC_SLOW)},
+    ]
+
+
+def _adx(ws):
+    n = ADX_N
+    up, down = f"(high_c - {E.lag('high_c', 1, ws)})", f"({E.lag('low_c', 1, ws)} - low_c)"
+    sums = {x: _wilder(f"coalesce({x}0, 0.0D)", f"{x}t", n, n, ws, k=1.0) for x in ("_pdm", "_mdm", "_wtr")}
+    total = "(100.0D * (_mdm / _wtr) + 100.0D * (_pdm / _wtr))"
+    zero = f"abs(_wtr) < {E.d(TINY)}"
+    return [
+        {"_pdm0": f"CAST(CASE WHEN {up} > 0 AND {up} > {down} THEN {up} ELSE 0 END AS DOUBLE)",
+         "_mdm0": f"CAST(CASE WHEN {down} > 0 AND {up} < {down} THEN {down} ELSE 0 END AS DOUBLE)", "_wtr0": _true_range(ws)},
+        {f"{x}t": E.running_sum(f"{x}0", ws) for x in ("_pdm", "_mdm", "_wtr")},
+        sums,
+        {"_dx": f"CASE WHEN _grn <= {n} OR {zero} THEN NULL WHEN abs({total}) < {E.d(TINY)} THEN NULL "
+                f"ELSE 100.0D * (abs(100.0D * (_mdm / _wtr) - 100.0D * (_pdm / _wtr)) / {total}) END"},
+        # a day without a reading leaves the average as it is: the scan's place counts readings only
+        {"_dxs": E.running_sum("_dx", ws), "_q": f"CAST({E.over('count(_dx)', ws, E.rows('u', 0))} - {BLOCK} AS DOUBLE)"},
+        {"_dxa": scan(f"CASE WHEN _grn < {2 * n} THEN 0.0D WHEN _grn = {2 * n} THEN coalesce(_dxs, 0.0D) / {E.d(n)} WHEN _dx IS NULL THEN 0.0D "
+                      f"WHEN _q = {E.d(1 - BLOCK)} THEN _dx ELSE _dx / {E.d(n)} END", 1.0 - 1.0 / n, ws, "_q")},
+        {"_adx": _shown("_dxa", 2 * n)},
+        {"_adxr": _shown(f"(_adx + {E.lag('_adx', n - 1, ws)}) / 2.0D", 3 * n - 1)},
+    ]
+
+
+#: By group: the stages and the raw columns they give.
+GROUPS = {
+    "macd": (_macd, ["_dif", "_dea", "_hist", "_hist_chg"]), "tema": (_tema, ["_tema"]), "t3": (_t3, ["_t3"]),
+    "natr": (_natr, ["_natr"]), "adosc": (_adosc, ["_adosc"]), "adx": (_adx, ["_adx", "_adxr"]),
+}
+RAW_COLUMNS = ["_dif", "_dea", "_hist", "_hist_chg", "_tema", "_t3", "_natr", "_adosc", "_adx", "_adxr", "_sar"]
+
+
+def linear_columns(df: DataFrame, which=tuple(GROUPS), key: str = "symbol") -> DataFrame:
+    """``df`` with the raw columns of the wanted groups: one exchange to (key, block), one sort, scans on it."""
+    ws = block_spec(key)
+    t = blocks(df, key)
+    stages = [GROUPS[g][0](ws) for g in which]
+    for i in range(max(map(len, stages))):  # the groups' i-th stages share one projection
+        t = t.selectExpr("*", *E.alias({k: v for s in stages if i < len(s) for k, v in s[i].items()}))
+    out = [c for g in which for c in GROUPS[g][1]]
+    return t.filter("_home").select(*df.columns, *out)
+
+
+# ---------------------------------------------------------------- the stop
 
 
 def sar(high_c, low_c):
@@ -303,80 +250,28 @@ def sar(high_c, low_c):
     return out
 
 
-def lowpass(x, wn: float = LOWPASS_WN, pad: int = LOWPASS_PAD):
-    """Zero-phase first-order low-pass (forward-backward, odd padding)."""
-    n = len(x)
-    if n <= pad:
-        return [None] * n
-    b0, b1, a1 = lowpass_coefficients(wn)
-    front = [2.0 * x[0] - x[i] for i in range(pad, 0, -1)]
-    back = [2.0 * x[-1] - x[n - 2 - i] for i in range(pad)]
-    ext = front + list(x) + back
-
-    def run(seq):
-        z = (1.0 - b0) * seq[0]
-        ys = []
-        for v in seq:
-            y = (b0 * v) + z
-            z = (b1 * v) - (a1 * y)
-            ys.append(y)
-        return ys
-
-    fwd = run(ext)
-    bwd = run(fwd[::-1])[::-1]
-    return bwd[pad:pad + n]
-
-
-# ---------------------------------------------------------------- Spark glue
-
-RAW_COLUMNS = ["_dif", "_dea", "_hist", "_hist_chg", "_tema", "_t3", "_natr", "_adosc", "_adx",
-               "_adxr", "_sar"]
-
-
-def _nullable(vals):
-    return pd.array(vals, dtype="Float64")
-
-
-def _date_ordered(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one group in date order.  After the window stages they already
-    are, so the (wide) frame is only re-sorted when it is not."""
-    if pdf["trade_date"].is_monotonic_increasing:
-        return pdf
-    return pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
-
-
-def _stock_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = _date_ordered(pdf)
-    h = pdf["high_c"].astype("int64").tolist()
-    lo = pdf["low_c"].astype("int64").tolist()
-    c = pdf["close_c"].astype("int64").tolist()
-    v = pdf["volume"].astype("int64").tolist()
-    dif, dea, hist = macd(c)
-    a, ar = adx(h, lo, c)
-    chg = [None] + [None if x is None or y is None else x - y for x, y in zip(hist[1:], hist[:-1])]
-    cols = {"_dif": dif, "_dea": dea, "_hist": hist, "_hist_chg": chg[:len(hist)],
-            "_tema": tema(c), "_t3": t3(c),
-            "_natr": natr(h, lo, c), "_adosc": adosc(h, lo, c, v), "_adx": a, "_adxr": ar,
-            "_sar": [None if s is None else s / 100.0 for s in sar(h, lo)]}
-    new = pd.DataFrame({k: _nullable(vals) for k, vals in cols.items()}, index=pdf.index)
-    return pd.concat([pdf, new], axis=1)
-
-
-def recurrence_columns(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """Append the raw recurrence outputs (``RAW_COLUMNS``) to every bar.
-
-    Needs ``key`` clustering: on a panel that is already partitioned by
-    ``key`` (after the window stages) it adds no exchange.  The kernel keeps
-    each group in date order (re-sorting only if needed) and passes every
-    input column through.
-    """
-    schema = StructType(df.schema.fields + [StructField(c, DoubleType()) for c in RAW_COLUMNS])
-    return df.groupBy(key).applyInPandas(_stock_kernel, schema)
+def _sar_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
+    stops = sar(pdf["high_c"].astype("int64").tolist(), pdf["low_c"].astype("int64").tolist())
+    pdf["_sar"] = pd.array([None if s is None else s / 100.0 for s in stops], dtype="Float64")
+    return pdf.drop(columns=["high_c", "low_c"])
+
+
+def sar_column(df: DataFrame, key: str = "symbol") -> DataFrame:
+    """T18 as (key, trade_date, _sar); one key's two price columns are one task's."""
+    kinds = dict(df.dtypes)
+    return df.select(key, "trade_date", "high_c", "low_c").groupBy(key).applyInPandas(_sar_kernel, f"{key} {kinds[key]}, trade_date date, _sar double")
+
+
+def recurrence_columns(df: DataFrame, which=(*GROUPS, "sar"), key: str = "symbol") -> DataFrame:
+    """Append the raw outputs of the wanted groups to every bar."""
+    linear = [g for g in which if g != "sar"]
+    out = linear_columns(df, linear, key) if linear else df
+    return out.join(sar_column(df, key), [key, "trade_date"], "left") if "sar" in which else out
 
 
-def recurrence_finals(w=None) -> dict:
-    """Scaled / clipped features from the raw recurrence columns (projections
-    only: the histogram's day-over-day change comes from the kernel)."""
+def recurrence_finals() -> dict:
+    """Scaled / clipped features from the raw recurrence columns (projections only)."""
     hist = F.col("_hist")
     return {
         "dif": clip1(F.lit(0.7) * F.col("_dif")),
@@ -393,57 +288,78 @@ def recurrence_finals(w=None) -> dict:
     }
 
 
-def recurrence_features(df: DataFrame, w=None) -> DataFrame:
-    """T1, T2, T5, T6, T8, T18-T20 as final (scaled, clipped) features."""
-    w = w or win()
-    r = recurrence_columns(df)
-    return r.select(*[c for c in r.columns if c not in RAW_COLUMNS],
-                    *[v.alias(k) for k, v in recurrence_finals(w).items()])
-
-
+#: By group: its final features.
+FINALS = {"macd": ["dif", "dea", "hist_d", "hist"], "tema": ["tema"], "t3": ["t3"], "natr": ["natr"], "adosc": ["adosc"], "sar": ["sar"], "adx": ["adx", "adxr"]}
 RECURRENCE_COLUMNS = ["dif", "dea", "hist_d", "hist", "tema", "t3", "natr", "adosc", "sar", "adx", "adxr"]
 
 
-def _index_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
-    dif, dea, hist = macd([int(v) for v in pdf["close_c"]])
-    pdf["_dif"], pdf["_dea"], pdf["_hist"] = _nullable(dif), _nullable(dea), _nullable(hist)
-    return pdf
+def recurrence_features(df: DataFrame, which=tuple(FINALS), key: str = "symbol") -> DataFrame:
+    """The wanted groups' final (scaled, clipped) features beside the columns of ``df``; nothing else is computed."""
+    r, finals = recurrence_columns(df, which, key), recurrence_finals()
+    return r.select(*df.columns, *[finals[c].alias(c) for g in which for c in FINALS[g]])
 
 
 def index_macd(ib: DataFrame, passthrough: bool = False) -> DataFrame:
     """MACD of the index close on the index calendar, scaled and clipped.
 
-    With ``passthrough`` every input column is kept (the index feature table
-    flows through the kernel, so the index bars are derived once)."""
+    With ``passthrough`` every input column but the close is kept, so the index bars are derived once."""
     src = ib if passthrough else ib.select("index_code", "trade_date", "close_c")
-    schema = StructType(src.schema.fields + [StructField(c, DoubleType()) for c in ("_dif", "_dea", "_hist")])
-    r = src.groupBy("index_code").applyInPandas(_index_kernel, schema)
-    w = win(("index_code",))
-    hist = F.col("_hist")
-    keep = [c for c in src.columns if c != "close_c"] if passthrough else ["index_code", "trade_date"]
-    return r.select(*keep,
-                    clip1(F.lit(0.01) * F.col("_dif")).alias("zsdif"),
-                    clip1(F.lit(0.01) * F.col("_dea")).alias("zsdea"),
-                    clip1(F.lit(0.1) * (hist - F.lag(hist, 1).over(w))).alias("zshist_d"),
-                    clip1(F.lit(0.02) * hist).alias("zshist"))
+    keep = [c for c in src.columns if c != "close_c"]
+    return linear_columns(src, ("macd",), "index_code").select(
+        *keep,
+        clip1(F.lit(0.01) * F.col("_dif")).alias("zsdif"),
+        clip1(F.lit(0.01) * F.col("_dea")).alias("zsdea"),
+        clip1(F.lit(0.1) * F.col("_hist_chg")).alias("zshist_d"),
+        clip1(F.lit(0.02) * F.col("_hist")).alias("zshist"))
 
 
-def _lowpass_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
-    x = [int(v) / 100.0 for v in pdf["close_c"]]
-    full = lowpass(x)
-    cut = lowpass(x[:-10]) + [None] * min(10, len(x)) if len(x) > 10 else [None] * len(x)
-    out = pd.DataFrame({"symbol": pdf["symbol"], "trade_date": pdf["trade_date"]})
-    out["close"] = x
-    out["lowpass"] = _nullable(full)
-    out["lowpass_cut"] = _nullable(cut)
-    return out
+# ---------------------------------------------------------------- zero-phase low-pass
+
+
+def _filtered(x: str, before: str) -> str:
+    """The filter's inputs from its series and the value before."""
+    b0, b1, _ = lowpass_coefficients()
+    return f"({E.d(b0)} * {x} + {E.d(b1)} * {before})"
+
+
+def _through(values: list[str]) -> str:
+    """The filter's last output over a short list of expressions, started at rest on the first."""
+    _, _, a1 = lowpass_coefficients()
+    y = values[0]
+    for before, x in zip(values, values[1:]):
+        y = f"({_filtered(x, before)} + {E.d(-a1)} * {y})"
+    return y
 
 
 def lowpass_filter(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """T33 + T34: zero-phase low-pass of close per symbol, and the same filter
-    refitted without the last 10 bars (``lowpass_cut``, NULL on those bars)."""
-    schema = StructType([df.schema[key], df.schema["trade_date"],
-                         *[StructField(c, DoubleType()) for c in ("close", "lowpass", "lowpass_cut")]])
-    return df.select(key, "trade_date", "close_c").groupBy(key).applyInPandas(_lowpass_kernel, schema)
+    """T33 + T34: zero-phase low-pass of close per key, and the same filter refitted without the last ``CUT`` bars
+    (``lowpass_cut``, NULL on those bars).
+
+    Forward and backward scans over blocks with halos on both sides.  The odd extension at either end is six
+    values, whose effect is an expression of the end's seven bars.  NULL for histories of six bars or fewer.
+    """
+    a = -lowpass_coefficients()[2]
+    pad, ws = LOWPASS_PAD, block_spec(key)
+    back_ws = f"PARTITION BY {key}, _seg ORDER BY trade_date DESC"
+    bars = G.row_numbers(df.select(key, "trade_date", "close_c"), key)
+    sizes = bars.groupBy(key).agg(F.count("*").alias("_n"))
+    t = blocks(bars.join(sizes, key), key, fwd=HALO)
+    x = E.price("close_c")
+    t = t.selectExpr("*", f"{x} AS close")
+    lead, lag = (lambda c, k: E.lead(c, k, ws)), (lambda c, k: E.lag(c, k, ws))
+    head = _through([*[f"(2.0D * close - {lead('close', i)})" for i in range(pad, 0, -1)], "close"])
+    t = t.selectExpr("*", f"{head} AS _head", f"{lag('close', 1)} AS _before")
+    u = (f"CASE WHEN _grn = 1 THEN _head WHEN _p = {E.d(1 - BLOCK)} THEN close ELSE {_filtered('close', '_before')} END")
+    t = t.selectExpr("*", f"{scan(u, a, ws)} AS _fwd")
+    t = t.selectExpr("*", f"{lead('_fwd', 1)} AS _next", *[f"(2.0D * close - {lag('close', i)}) AS _x{i}" for i in range(1, pad + 1)])
+    # at an end: the forward filter goes on over the extension, the backward one comes back
+    t = t.selectExpr("*", f"{_filtered('_x1', 'close')} + {E.d(a)} * _fwd AS _f1")
+    for i in range(2, pad + 1):
+        t = t.selectExpr("*", f"{_filtered(f'_x{i}', f'_x{i - 1}')} + {E.d(a)} * _f{i - 1} AS _f{i}")
+    t = t.selectExpr("*", f"{_through([*[f'_f{i}' for i in range(pad, 0, -1)], '_fwd'])} AS _tail")
+    t = t.selectExpr("*", f"CAST({E.over('row_number()', back_ws)} - {BLOCK} AS DOUBLE) AS _bp")
+    for name, last in (("lowpass", "_n"), ("lowpass_cut", f"(_n - {CUT})")):
+        u = (f"CASE WHEN _grn > {last} THEN 0.0D WHEN _grn = {last} THEN _tail WHEN _bp = {E.d(1 - BLOCK)} THEN _fwd "
+             f"ELSE {_filtered('_fwd', '_next')} END")
+        t = t.selectExpr("*", f"CASE WHEN {last} > {pad} AND _grn <= {last} THEN {scan(u, a, back_ws, '_bp')} END AS {name}")
+    return t.filter("_home").select(key, "trade_date", "close", "lowpass", "lowpass_cut")

@@ -20,20 +20,22 @@ PREDICT_WINDOWS, TEST_WINDOWS = 10, 90
 
 
 def sequence_windows(df: DataFrame, cols, seq: int = SEQ_SINGLE, r: int = 1,
-                     key: str = "symbol") -> DataFrame:
-    """One row per window end with ``seq`` rows of ``cols`` as an array of
-    structs.  Windows start every ``r`` rows from the first and must have a
-    successor row (``range(0, L - seq, r)``)."""
+                     key: str = "symbol", labels=(), factor: float = 0.1) -> DataFrame:
+    """D1 (+D4, L9): one row per window end with ``seq`` rows of ``cols`` as an array of structs, and the *next* row's
+    ``labels`` x ``factor``, all from one window.
+
+    Windows start every ``r`` rows from the first and must have a successor row (``range(0, L - seq, r)``)."""
     w = win((key,))
     frame = w.rowsBetween(-(seq - 1), 0)
     items = F.struct(F.col("trade_date"), *[F.col(c) for c in cols])
-    t = df.select(key, "trade_date", *cols,
+    t = df.select(key, "trade_date",
                   F.row_number().over(w).alias("_rn"),
                   F.lead("trade_date", 1).over(w).alias("_next"),
+                  *[(F.lead(c, 1).over(w) * factor).alias(c) for c in labels],
                   F.collect_list(items).over(frame).alias("window"))
     start = F.col("_rn") - seq  # 0-based index of the window's first row
     keep = (F.size("window") == seq) & F.col("_next").isNotNull() & (start % r == 0)
-    return t.filter(keep).select(key, F.col("trade_date").alias("end_date"), (start).alias("k"), "window")
+    return t.filter(keep).select(key, F.col("trade_date").alias("end_date"), (start).alias("k"), "window", *labels)
 
 
 def explode_windows(wdf: DataFrame, key: str = "symbol") -> DataFrame:
@@ -64,13 +66,6 @@ def first_row_norm(wdf: DataFrame, cols, scale: float = 1.0) -> DataFrame:
     return wdf.withColumn("window", F.transform("window", rel))
 
 
-def window_labels(df: DataFrame, label_cols, key: str = "symbol", factor: float = 0.1) -> DataFrame:
-    """D4 (+L9): the label of a window is the *next* row's label, x ``factor``."""
-    w = win((key,))
-    return df.select(key, F.col("trade_date").alias("end_date"),
-                     *[(F.lead(c, 1).over(w) * factor).alias(c) for c in label_cols])
-
-
 def chrono_split(wdf: DataFrame, key: str = "symbol", predict: int = PREDICT_WINDOWS,
                  test: int = TEST_WINDOWS) -> DataFrame:
     """Last ``predict`` windows = predict, the ``test`` before = test, rest = train."""
@@ -80,13 +75,20 @@ def chrono_split(wdf: DataFrame, key: str = "symbol", predict: int = PREDICT_WIN
     return wdf.withColumn("split", split)
 
 
+def has_null(wdf: DataFrame):
+    """Whether a window holds a NULL in any of its fields."""
+    fields = _fields(wdf)
+    return F.exists("window", lambda s: F.exists(F.array(*[s[f].cast("double") for f in fields]), lambda v: v.isNull()))
+
+
+def null_symbols(wdf: DataFrame, key: str = "symbol") -> DataFrame:
+    """(key, rejected): 1 where any training window holds a NULL feature; one partial aggregation."""
+    return wdf.select(key, (has_null(wdf) & (F.col("split") == "train")).cast("int").alias("_bad")).groupBy(key).agg(F.max("_bad").alias("rejected"))
+
+
 def reject_null_symbols(wdf: DataFrame, key: str = "symbol") -> DataFrame:
-    """Drop a symbol when any training window holds a NULL feature."""
-    def has_null(s):
-        return F.exists(F.array(*[s[f] for f in _fields(wdf)]), lambda v: v.isNull())
-    bad_window = F.exists("window", has_null) & (F.col("split") == "train")
-    flag = F.max(bad_window.cast("int")).over(Window.partitionBy(key))
-    return wdf.withColumn("_bad", flag).filter(F.col("_bad") == 0).drop("_bad")
+    """Drop a symbol when any training window holds a NULL feature.  Reads ``wdf`` twice: cut its lineage before."""
+    return wdf.join(null_symbols(wdf, key).filter("rejected = 1").select(key), key, "left_anti")
 
 
 def _fields(wdf: DataFrame):

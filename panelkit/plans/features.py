@@ -1,12 +1,10 @@
 """The full feature table: 138 features + 11 labels per (symbol, date).
 
-Plan shape (see ``explain``): one exchange of the clean bars on ``symbol``;
-the recurrence kernels run on that partitioning (narrow rows through Arrow),
-then one sort by (symbol, date) serves every window stage — indicators,
-stock features, labels and the post-join index changes.  The index side is
-computed on its own calendar and broadcast (bounded by the date range); the
-decile edges are one grouped aggregation on the already-partitioned panel,
-joined back by symbol.
+Plan shape (see ``explain``): the gated bars are numbered and written once.
+Recurrences run on blocks of them, the parabolic stop on two price columns;
+then one exchange on (symbol, segment) and one sort serve every window stage:
+indicators, stock features, labels and the index changes after the join.
+The decile edges come from counts of label values, one row per symbol.
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.functions import CENTS, win
+from panelkit.functions import CENTS
 from panelkit.operators import clean as C
 from panelkit.operators import index as I
 from panelkit.operators import indicators as T
@@ -22,7 +20,7 @@ from panelkit.operators import labels as L
 from panelkit.operators import recurrences as R
 from panelkit.operators import stock as S
 from panelkit.plans import segments as G
-from panelkit.session import checkpoint_dir
+from panelkit.session import cut
 
 # The reference's stored column set (fixed values), in its order.
 BASE_COLUMNS = ["close", "open", "low", "high", "turn", "isST", "flowmkt", "everyprofit",
@@ -50,70 +48,54 @@ STOCK_COLUMNS = ["pctChg", "pctChg2", "pctChg4", "pctChg8", "pctChg15", "pctChg3
 FEATURE_COLUMNS = BASE_COLUMNS + INDEX_COLUMNS + STOCK_COLUMNS
 LABEL_COLUMNS = list(L.LABEL_COLUMNS)
 WARMUP_ROWS = 120
-# ``seg_rows="auto"``: segment when one symbol's history exceeds this many
-# rows, into segments of ``AUTO_SEG_ROWS`` rows.
-AUTO_THRESHOLD = 1_000_000
-AUTO_SEG_ROWS = 250_000
 
 
 def index_table(index_bars: DataFrame) -> DataFrame:
-    """Index-calendar features (I1-I11, raw I12 ratios, I13), one row per day."""
-    return R.index_macd(I.index_features(index_bars, keep=("close_c",)), passthrough=True)
+    """Index-calendar features (I1-I11, raw I12 ratios, I13), one row per day; the numbered bars are written once."""
+    bars = cut(G.row_numbers(index_bars, "index_code"), "index-bars")
+    return R.index_macd(I.segmented_features(bars, keep=("close_c", "_grn")), passthrough=True).drop("_grn")
 
 
-def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = "sh.000001",
+def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = I.INDEX_CODE,
                   min_raw: int = 50, min_clean: int = 300, warmup: int = WARMUP_ROWS,
-                  start: str = "1990-01-01", end: str | None = None,
-                  seg_rows: int | str | None = None) -> DataFrame:
+                  horizons=L.HORIZONS, labels=None, r: int = 1, edges_until=None,
+                  with_features: bool = True, seg_rows: int = G.SEG_ROWS) -> DataFrame:
     """Raw feed strings + index bars -> the stored feature table.
 
-    P2-P4/P6 clean, P7 gate, V1-V6, recurrences, T plain windows, F1-F18,
-    L1-L6, J1 + I1-I13, P9 warm-up trim, P10/P11 column drops.
+    P2-P8 cleaning and gates, recurrences, V1-V6, T plain windows, F1-F18, L1-L6, J1 + I1-I13, P9 warm-up trim,
+    P10/P11 column drops.
 
-    ``seg_rows``: run every bounded-lookback stage on halo segments of that
-    many rows instead of whole symbol histories (for symbols whose history
-    is too long for one task).  ``"auto"`` measures the longest history with
-    one small aggregation and segments only beyond ``AUTO_THRESHOLD`` rows.
-    Results are identical either way.
+    ``horizons``: label horizons; ``r``: bars per day; ``labels``: names of the stored labels (any of L1-L6 for
+    these horizons; default: buy scores and classes); ``edges_until``: class edges from bars up to that date only;
+    ``with_features=False``: prices and labels alone, untrimmed (the reference's no-feature path).
+
+    One plan at every size: bars are numbered once and written; window stages run on segments of ``seg_rows`` rows
+    with halos, recurrences on blocks, so no task holds a symbol, and results do not depend on where a cut falls.
     """
-    w = win()
-    c = C.min_history(C.clean_bars_counted(raw), min_clean=min_clean, count_col="_n_raw",
-                      min_raw=min_raw)
-    # F2 rescales ``volume`` to millions; the recurrence kernels need whole shares
-    c = S.valuation_features(c.withColumn("_shares", F.col("volume")))
-    if seg_rows == "auto":
-        seg_rows = AUTO_SEG_ROWS if G.max_history(c) > AUTO_THRESHOLD else None
-    idx = index_table(index_bars)
-    if seg_rows is None:
-        ind = T.indicator_features(c, w)
-        lab = L.label_columns(S.price_volume_features(ind, w), w=w)
-        enr = I.enrich(lab, idx, index_code=index_code, start=start, end=end, w=w)
-        staged = enr.withColumn("_rn", F.row_number().over(w))
-    else:
-        ws, sw = G.SEG_WS, Window.partitionBy("symbol", "_seg").orderBy("trade_date")
-        seg = T.segment_offsets(G.segment(G.row_numbers(c), seg_rows), ws)
-        ind = T.indicator_features(seg, ws=ws, home="_home")
-        lab = L.label_columns(S.price_volume_features(ind, ws=ws), ws=ws)
-        enr = I.enrich(lab, idx, index_code=index_code, start=start, end=end, w=sw)
-        staged = enr.filter(F.col("_home")).drop("_seg", "_home").withColumnRenamed("_grn", "_rn")
-    if seg_rows is None:
-        classed = L.class_labels(staged)
-    else:
-        # the edges read the panel a second time: cut the lineage in the
-        # shared checkpoint folder, then rank without per-symbol tasks
-        checkpoint_dir(staged.sparkSession)
-        staged = staged.checkpoint(eager=True)
-        classed = L.class_labels_exact(staged)
+    labels = list(labels or L.label_columns_of(horizons))
+    ahead = max(horizons) * r
+    bars = cut(G.row_numbers(C.gated_bars(raw, min_raw, min_clean)), "numbered-bars")
+    ws, w = G.SEG_WS, Window.partitionBy("symbol", "_seg").orderBy("trade_date")
+    fwd = max(G.HALO_FWD, ahead)
+    closes = G.segment(bars.select("symbol", "trade_date", "_grn", "close_c"), seg_rows, back=0, fwd=fwd)
+    values = L.label_columns(closes, horizons, r, ws=ws).filter("_home")
+    edges = L.edge_table(values if edges_until is None else values.filter(F.col("trade_date") <= F.lit(edges_until)), horizons)
     prices = {p: F.col(f"{p}_c") / CENTS for p in ("close", "open", "low", "high")}
-    rec_names = set(R.recurrence_finals())
-    keep = [n for n in FEATURE_COLUMNS + LABEL_COLUMNS if n not in rec_names and n not in prices]
-    narrow = classed.select("symbol", "trade_date", "_rn", "open_c", "high_c", "low_c",
-                            "close_c", F.col("_shares").alias("volume"), *keep)
-    rec = R.recurrence_columns(narrow)
-    trimmed = rec.filter(F.col("_rn") > warmup)
+    if not with_features:
+        plain = L.label_columns(G.segment(bars, seg_rows, back=0, fwd=fwd), horizons, r, ws=ws).filter("_home")
+        classed = L.class_columns(plain, edges, horizons)
+        return classed.select("symbol", "trade_date", *[v.alias(k) for k, v in prices.items()], *[F.col(n) for n in labels])
     finals = R.recurrence_finals()
+    rec = R.recurrence_columns(bars)
+    rec = rec.select(*bars.columns, *[v.alias(f"_final_{k}") for k, v in finals.items()])
+    seg = G.segment(S.valuation_features(rec), seg_rows, fwd=fwd)
+    seg = seg.join(T.segment_offsets(bars, seg_rows), ["symbol", "_seg"], "left")
+    ind = T.indicator_features(seg, ws=ws, home="_home")
+    lab = L.label_columns(S.price_volume_features(ind, ws=ws), horizons, r, ws=ws)
+    enr = I.enrich(lab, index_table(index_bars), index_code=index_code, w=w)
+    kept = enr.filter(F.col("_home") & (F.col("_grn") > warmup))
+    classed = L.class_columns(kept, edges, horizons)
     cols = [F.col("symbol"), F.col("trade_date")]
     for n in FEATURE_COLUMNS:
-        cols.append(prices[n].alias(n) if n in prices else finals[n].alias(n) if n in finals else F.col(n))
-    cols += [F.col(n) for n in LABEL_COLUMNS]
-    return trimmed.select(*cols)
+        cols.append(prices[n].alias(n) if n in prices else F.col(f"_final_{n}").alias(n) if n in finals else F.col(n))
+    return classed.select(*cols, *[F.col(n) for n in labels])

@@ -33,7 +33,7 @@ def _pstr(c: str) -> str:
 
 
 def _num(c: str) -> str:
-    return f"TRY_CAST({c} AS DOUBLE)"
+    return f"coalesce(TRY_CAST({c} AS DOUBLE), 0.0)"
 
 
 BASE_CTES = f"""
@@ -84,7 +84,7 @@ parsed AS (
          {_num('turn')} AS turn, {_num('amount')} AS amount,
          {_num('peTTM')} AS peTTM, {_num('pbMRQ')} AS pbMRQ, {_num('psTTM')} AS psTTM,
          {_num('pcfNcfTTM')} AS pcfNcfTTM, {_num('isST')} AS isST
-  FROM raw_bars WHERE volume <> '0' AND volume <> ''),
+  FROM raw_bars WHERE volume IS NULL OR volume NOT IN ('0', '')),
 clean AS (
   SELECT * FROM parsed
   WHERE psTTM > 0 AND COLUMNS(*) IS NOT NULL),

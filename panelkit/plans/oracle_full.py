@@ -4,11 +4,21 @@ chain over one gated source, joined on (symbol, trade_date), trimmed."""
 from __future__ import annotations
 
 from panelkit.plans import oracle_recur as RC
-from panelkit.plans.features import FEATURE_COLUMNS, LABEL_COLUMNS
 from panelkit.plans.oracle_base import with_base
-from panelkit.plans.oracle_sql import (classes_cte, clip, enrich_ctes, indicator_ctes, labels_cte, r6,
+from panelkit.plans.oracle_sql import (LABEL_COLUMNS, classes_cte, clip, enrich_ctes, indicator_ctes, labels_cte, r6,
                                        sq, stock_ctes, valuation_sql)
 
+# The stored columns in their order, stated here for themselves so that a lost or misplaced one shows.
+STORED = """
+close open low high turn isST flowmkt everyprofit everypb eversale evermoney szpctchg1 szpctchg2 szpctchg4 szpctchg8 szpctchg15 szpctchg30 zs20_min
+zs60_min zs120_min zs20_max zs60_max zs120_max zs5_d zs10_d zs20_d zs40_d zs80_d zsr5 zsr10 zsr20 zsr40 zsr80 zsr5_20_d zsr10_40_d zsr20_80_d zsr5_20
+zsr10_40 zsr20_80 zsr5_40 zsv3_9 zsv5_20 zsv9_50 zsv5_d zsv10_d zsv20_d zsv40_d zsv80_d zsv3_9_d zsv5_20_d zsv9_50_d zsv5 zsv10 zsv20 zsv40 zsv80
+zsdif zsdea zshist_d zshist pctChg pctChg2 pctChg4 pctChg8 pctChg15 pctChg30 20_min 60_min 120_min 20_max 60_max 120_max 5_d 10_d 20_d 40_d 80_d r5
+r10 r20 r40 r80 r5_20_d r10_40_d r20_80_d r5_20 r10_40 r20_80 r5_40 v5 v10 v20 v40 v80 v3_9 v5_20 v9_50 v5_d v10_d v20_d v40_d v80_d v3_9_d v5_20_d
+v9_50_d dif dea hist hist_d highratio lowratio openratio tema trima wma t3 natr adline adosc obv beta correl linearreg lineangle var TSF lineintercept
+stddev sar adx adxr apo ardown arup arosc bop cci cci_d
+""".split()
+
 WI = "PARTITION BY index_code ORDER BY trade_date"
 PRICES = ("close", "open", "low", "high")
 VALUATION = ["turn", "flowmkt", "everyprofit", "everypb", "eversale", "evermoney"]
@@ -18,6 +28,10 @@ REC = ["dif", "dea", "hist", "hist_d", "tema", "t3", "natr", "adosc", "sar", "ad
 IMACD = ["zsdif", "zsdea", "zshist_d", "zshist"]
 
 
+def stored_columns() -> list[str]:
+    return list(STORED)
+
+
 def feature_table_sql(columns=None) -> str:
     gated = """gated AS (
   SELECT * FROM clean
@@ -67,7 +81,7 @@ def feature_table_sql(columns=None) -> str:
         src[c] = f"rc.{c}"
     sel = []
     wanted = set(columns) if columns is not None else None
-    for c in FEATURE_COLUMNS:
+    for c in STORED:
         if wanted is not None and c not in wanted:
             continue
         expr = src.get(c, f'e."{c}"' if c.startswith(("szpct", "zs")) else f's."{c}"')

@@ -155,8 +155,8 @@ def class_sql(src: str, value: str, out: str, key: str = "symbol") -> str:
 # ------------------------------------------------------------ queries
 
 def _scan_bars():
-    cols = "open_c, high_c, low_c, close_c, volume, amount_c, turn, peTTM, pbMRQ, psTTM, pcfNcfTTM, isST"
-    return with_base(f"SELECT {KEY}, {cols} FROM bars WHERE trade_date BETWEEN DATE '1990-01-01' AND current_date")
+    cols = "open_c, high_c, low_c, close_c, CASE WHEN _q % 29 = 0 THEN 0 ELSE volume END AS volume, CAST(amount_c AS DOUBLE) / 100 AS amount, turn, peTTM, pbMRQ, psTTM, pcfNcfTTM, CAST(isST AS DOUBLE) AS isST"
+    return with_base(f"SELECT {KEY}, {cols} FROM bars WHERE trade_date BETWEEN DATE '1993-01-01' AND DATE '1996-12-31'")
 
 
 def _clean_bars():
@@ -402,10 +402,10 @@ def _index_volume_joined():
 HORIZONS = (2, 4, 7, 10)
 
 
-def labels_cte(src: str = "clean", name: str = "labeled") -> str:
+def labels_cte(src: str = "clean", name: str = "labeled", horizons=HORIZONS) -> str:
     close = "(CAST(close_c AS DOUBLE) / 100)"
     cols = []
-    for h in HORIZONS:
+    for h in horizons:
         remax = f"(CAST({fwd_ext('max', 'close_c', h)} AS DOUBLE) / 100)"
         remin = f"(CAST({fwd_ext('min', 'close_c', h)} AS DOUBLE) / 100)"
         mx = f"({sdiv(remax, close)} - 1.0)"
@@ -425,10 +425,10 @@ def labels_cte(src: str = "clean", name: str = "labeled") -> str:
     return f"{name} AS (SELECT *, {', '.join(cols)} FROM {src})"
 
 
-def classes_cte(src: str = "labeled", name: str = "classed", key: str = "symbol") -> str:
+def classes_cte(src: str = "labeled", name: str = "classed", key: str = "symbol", horizons=HORIZONS, seen: str = "TRUE") -> str:
     probs = ", ".join(repr(i / 10) for i in range(1, 10))
     aggs, outs = [], []
-    for h in HORIZONS:
+    for h in horizons:
         for v in (f"result{h}", f"resultrel{h}"):
             aggs.append(f"list_transform(quantile_cont({v}, [{probs}]), lambda x: round_even(x, 3)) AS e_{v}")
         outs.append(f"CASE WHEN s.result{h} IS NULL THEN NULL ELSE CAST(len(list_filter(e.e_result{h}, "
@@ -437,7 +437,7 @@ def classes_cte(src: str = "labeled", name: str = "classed", key: str = "symbol"
                     f"lambda x: x <= s.resultrel{h})) AS BIGINT) END AS resultrelclass{h}")
     return f"""{name} AS (
   SELECT s.*, {', '.join(outs)}
-  FROM {src} s LEFT JOIN (SELECT {key}, {', '.join(aggs)} FROM {src} GROUP BY {key}) e USING ({key}))"""
+  FROM {src} s LEFT JOIN (SELECT {key}, {', '.join(aggs)} FROM {src} WHERE {seen} GROUP BY {key}) e USING ({key}))"""
 
 
 def _labels_q(cols, ints=(), classes=False):
@@ -562,7 +562,8 @@ def indicator_ctes(src: str = "clean") -> str:
     t1 = f"""ind1 AS (
   SELECT *, {feats},
     high_c - {pc} AS _hpc, {pc} - low_c AS _pcl,
-    CAST(high_c - {hi_l} AS DOUBLE) / {hi_l} AS _xr, CAST(low_c - {lo_l} AS DOUBLE) / {lo_l} AS _yr,
+    CASE WHEN {hi_l} IS NULL THEN NULL WHEN {hi_l} = 0 THEN 0.0 ELSE CAST(high_c - {hi_l} AS DOUBLE) / {hi_l} END AS _xr,
+    CASE WHEN {lo_l} IS NULL THEN NULL WHEN {lo_l} = 0 THEN 0.0 ELSE CAST(low_c - {lo_l} AS DOUBLE) / {lo_l} END AS _yr,
     {evm} AS _evm
   FROM (SELECT *, row_number() OVER ({WS}) AS rn, {lag('close_c')} AS _pc FROM {src}))"""
     n = 26
@@ -711,32 +712,51 @@ def dlit(x: float) -> str:
     return f"CAST('{x!r}' AS DOUBLE)"
 
 
-def seq_ctes(with_index: bool = False) -> str:
-    base = stock_ctes() + ",\n" + labels_cte("stock_feat") + ",\n" + classes_cte()
-    src = "classed"
-    extra = ""
-    if with_index:
-        base += ",\n" + enrich_ctes("classed")
-        src = "enriched"
-        extra = ", zsr5"
-    px = ", ".join(f"CAST({p}_c AS DOUBLE) / 100 AS {p}" for p in ("close", "open", "high", "low"))
-    return base + f""",
-sb0 AS (SELECT symbol, trade_date, {px}, r5, r20, v5, resultclass4{extra}
-        FROM (SELECT *, row_number() OVER ({WS}) AS _rn FROM {src}) WHERE _rn > 120),
+SEQ_COLUMNS = ["close", "open", "low", "high", "zsr5", "r5", "r20", "v5"]
+
+
+def seq_ctes(columns=tuple(SEQ_COLUMNS)) -> str:
+    """sb (rows of the stored table), ends, win and splits of windows of 10 rows."""
+    from panelkit.plans.oracle_full import feature_table_sql
+    return f"""sb0 AS (SELECT * FROM ({feature_table_sql([*columns, *LABEL_COLUMNS])}) ft),
 sb AS (SELECT *, row_number() OVER ({WS}) AS n2, lead(trade_date) OVER ({WS}) AS nxt,
-              CAST({lead('resultclass4')} AS DOUBLE) * 0.1 AS label FROM sb0),
-ends AS (SELECT symbol, trade_date AS end_date, n2, label FROM sb WHERE n2 >= 10 AND nxt IS NOT NULL),
-win AS (SELECT e.symbol, e.end_date, CAST(b.n2 - (e.n2 - 9) AS BIGINT) AS pos, b.* EXCLUDE (symbol, label)
-        FROM ends e JOIN sb b ON b.symbol = e.symbol AND b.n2 BETWEEN e.n2 - 9 AND e.n2),
-splits AS (SELECT symbol, end_date, CASE WHEN back <= 10 THEN 'predict' WHEN back <= 100 THEN 'test' ELSE 'train' END AS split
-           FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY end_date DESC) AS back FROM ends))"""
+              {", ".join(f"CAST({lead(c)} AS DOUBLE) * 0.1 AS y_{c}" for c in LABEL_COLUMNS)} FROM sb0),
+ends AS (SELECT *, trade_date AS end_date FROM sb WHERE n2 >= 10 AND nxt IS NOT NULL),
+splits AS (SELECT *, CASE WHEN back <= 10 THEN 'predict' WHEN back <= 100 THEN 'test' ELSE 'train' END AS split
+           FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY end_date DESC) AS back FROM ends)),
+win AS (SELECT e.symbol, e.end_date, e.split, CAST(b.n2 - (e.n2 - 9) AS BIGINT) AS pos, b.* EXCLUDE (symbol)
+        FROM splits e JOIN sb b ON b.symbol = e.symbol AND b.n2 BETWEEN e.n2 - 9 AND e.n2)"""
 
 
 SKEY = "symbol, end_date, pos"
 
 
-def _seq(body, with_index=False):
-    return lambda: with_base(body, seq_ctes(with_index))
+def _seq(body):
+    return lambda: with_base(body, seq_ctes())
+
+
+def _sequence_all():
+    from panelkit.plans.oracle_full import feature_table_sql, stored_columns
+    names = stored_columns()
+    parts = []
+    for seq in (10, 50):
+        # sum over the window of (place + 1) x value = sum of (n2 - first + 1) x value
+        fr = frame(-(seq - 1), 0)
+        cols = ", ".join(f'{r6(f"""sum(n2 * "{c}") OVER {fr} - (n2 - {seq}) * sum("{c}") OVER {fr}""")} AS "{c}"' for c in names)
+        parts.append(f"SELECT * EXCLUDE (n2, nxt) FROM (SELECT symbol, trade_date AS end_date, {seq} AS seq, n2, nxt, {cols} FROM s1) WHERE n2 >= {seq} AND nxt IS NOT NULL")
+    return (f"WITH s0 AS (SELECT * FROM ({feature_table_sql()}) ft), s1 AS (SELECT *, row_number() OVER ({WS}) AS n2, lead(trade_date) OVER ({WS}) AS nxt FROM s0) "
+            + " UNION ALL ".join(parts))
+
+
+def _fit_predict():
+    from panelkit.plans.oracle_full import stored_columns
+    names = stored_columns()
+    null = " OR ".join(f'"{c}" IS NULL' for c in names)
+    pairs = ", ".join(f"('{c}', y_{c})" for c in LABEL_COLUMNS)
+    return with_base(f"""SELECT s.symbol, s.end_date, s.split, u.label, {r6('u.truth')} AS truth, CAST(NOT nulls AS INTEGER) AS predicted
+FROM (SELECT s.*, f.nulls FROM splits s JOIN (SELECT symbol, trade_date, bool_or({null}) OVER {frame(-9, 0)} AS nulls FROM sb) f
+        ON f.symbol = s.symbol AND f.trade_date = s.end_date) s, LATERAL (VALUES {pairs.replace('y_', 's.y_')}) u(label, truth)
+WHERE s.split <> 'train'""", seq_ctes(names))
 
 
 def first_in_window(c: str) -> str:
@@ -755,39 +775,39 @@ def _norm_sql() -> str:
 
 
 NULL_ANY = "(close IS NULL OR r5 IS NULL OR v5 IS NULL OR zsr5 IS NULL)"
+REJECTED = f"SELECT symbol, CAST(max(CASE WHEN split = 'train' AND {NULL_ANY} THEN 1 ELSE 0 END) AS INTEGER) AS rejected FROM win GROUP BY symbol"
 SEQ_SQL = {
-    "sequence_windows": (f"SELECT {SKEY}, trade_date, {r6('close')} AS close, {r6('r5')} AS r5, "
-                         f"{r6('v5')} AS v5 FROM win", False),
-    "sequence_anchor": (_anchor_sql(), False),
-    "sequence_norm": (_norm_sql(), False),
-    "sequence_labels": (f"SELECT symbol, end_date, {r6('label')} AS label FROM ends", False),
-    "chrono_split": ("SELECT symbol, end_date, split FROM splits", False),
-    "union_windows": ("SELECT symbol, end_date, split FROM splits", False),
-    "reject_null_symbols": (f"""SELECT symbol, CAST(max(CASE WHEN split = 'train' AND {NULL_ANY} THEN 1 ELSE 0 END) AS INTEGER) AS rejected
-FROM win JOIN splits USING (symbol, end_date) GROUP BY symbol""", True),
-    "collect_panel": ("""SELECT symbol, split, count(*) AS n_windows FROM splits
+    "sequence_windows": f"SELECT {SKEY}, trade_date, {r6('close')} AS close, {r6('r5')} AS r5, {r6('v5')} AS v5 FROM win",
+    "sequence_anchor": _anchor_sql(),
+    "sequence_norm": _norm_sql(),
+    "sequence_labels": f"SELECT symbol, end_date, {r6('y_resultclass4')} AS label FROM ends",
+    "chrono_split": "SELECT symbol, end_date, split FROM splits",
+    "union_windows": "SELECT symbol, end_date, split FROM splits",
+    "reject_null_symbols": REJECTED,
+    "collect_panel": f"""SELECT symbol, split, count(*) AS n_windows FROM splits
 WHERE symbol IN (SELECT symbol FROM stored_symbols)
   AND symbol IN (SELECT symbol FROM sb0 GROUP BY symbol HAVING count(*) > 300)
-GROUP BY symbol, split""", False),
-    "union_predictions": (f"""SELECT s.symbol, s.end_date, s.split, {r6('0.5 + 0.4 * b.r20')} AS prediction
-FROM splits s JOIN sb0 b ON b.symbol = s.symbol AND b.trade_date = s.end_date
-WHERE s.split IN ('test', 'predict')""", False),
+  AND symbol NOT IN (SELECT symbol FROM ({REJECTED}) WHERE rejected = 1)
+GROUP BY symbol, split""",
+    "union_predictions": f"SELECT symbol, end_date, split, {r6('0.5 + 0.4 * r20')} AS prediction FROM splits WHERE split IN ('test', 'predict')",
 }
 
 
-def eval_ctes() -> str:
+def metrics_ctes() -> str:
+    """ev (thresholded test windows, one row per label) and mets (one row per label)."""
     t1 = dlit(0.75 * 0.7)
+    pairs = ", ".join(f"('{c}', s.y_{c})" for c in LABEL_COLUMNS)
 
     def ratio(a, b):
         return f"(CASE WHEN ({b}) > 0 THEN ({a}) / ({b}) ELSE 0.0 END)"
-    return stock_ctes() + ",\n" + labels_cte("stock_feat") + ",\n" + classes_cte() + f""",
-eb AS (SELECT symbol, trade_date, CAST(close_c AS DOUBLE) / 100 AS close, 0.5 + 0.4 * r20 AS prediction,
-              CAST(resultclass4 AS DOUBLE) * 0.1 AS truth FROM classed),
+    return seq_ctes() + f""",
+el AS (SELECT s.symbol, s.end_date, 0.5 + 0.4 * s.r20 AS prediction, u.label, u.truth
+       FROM splits s, LATERAL (VALUES {pairs}) u(label, truth) WHERE s.split = 'test'),
 ev AS (SELECT *, CAST(prediction > 0.7 AS INTEGER) AS p1, CAST(truth > {t1} AS INTEGER) AS t1
-       FROM eb WHERE prediction IS NOT NULL AND truth IS NOT NULL),
-agg AS (SELECT count(*) AS n, avg(abs(prediction - truth)) AS mae,
+       FROM el WHERE prediction IS NOT NULL AND truth IS NOT NULL),
+agg AS (SELECT label, count(*) AS n, avg(abs(prediction - truth)) AS mae,
                avg((prediction - truth) * (prediction - truth)) AS mse,
-               sum(p1) AS np1, sum(t1) AS nt1, sum(p1 * t1) AS b1, sum((1 - p1) * (1 - t1)) AS b0 FROM ev),
+               sum(p1) AS np1, sum(t1) AS nt1, sum(p1 * t1) AS b1, sum((1 - p1) * (1 - t1)) AS b0 FROM ev GROUP BY label),
 mets AS (
   SELECT *, sqrt(mse) AS rmse,
     ({ratio("b1", "nt1")} * pres1 + {ratio("b0", "n - nt1")} * pres0) / (pres1 + pres0) AS ref_precision,
@@ -800,18 +820,24 @@ mets AS (
 
 def _eval(cols):
     sel = ", ".join(c if c == "n" else f"{r6(c)} AS {c}" for c in cols)
-    return lambda: with_base(f"SELECT {sel} FROM mets", eval_ctes())
+    return lambda: with_base(f"SELECT label, {sel} FROM mets", metrics_ctes())
+
+
+def series_ctes() -> str:
+    return stock_ctes() + ",\n" + labels_cte("stock_feat") + ",\n" + classes_cte() + f""",
+eb AS (SELECT symbol, trade_date, CAST(close_c AS DOUBLE) / 100 AS close, 0.5 + 0.4 * r20 AS prediction,
+              CAST(resultclass4 AS DOUBLE) * 0.1 AS truth FROM classed)"""
 
 
 def _series_long():
     fr = frame(-4, 5)
     cm = f"CASE WHEN count(close) OVER {fr} = 10 THEN avg(close) OVER {fr} END"
     parts = [f"SELECT {KEY}, '{c}' AS series, {r6(c)} AS value FROM eb2" for c in ("close", "cmean10", "prediction", "truth")]
-    return with_base(" UNION ALL ".join(parts), eval_ctes() + f",\neb2 AS (SELECT *, {cm} AS cmean10 FROM eb)")
+    return with_base(" UNION ALL ".join(parts), series_ctes() + f",\neb2 AS (SELECT *, {cm} AS cmean10 FROM eb)")
 
 
 def _eval_threshold():
-    return with_base(f"SELECT {KEY}, p1 AS pred_class, t1 AS true_class FROM ev", eval_ctes())
+    return with_base("SELECT symbol, end_date, label, p1 AS pred_class, t1 AS true_class FROM ev", metrics_ctes())
 
 
 EVAL_SQL = {
@@ -824,6 +850,94 @@ EVAL_SQL = {
 }
 
 
+# ------------------------------------------------------------ feeds with missing fields
+
+def missing_ctes() -> str:
+    gone = {"peTTM": 31, "volume": 43, "low": 41, "high": 47, "psTTM": 53}
+    cols = []
+    for c in ("close", "open", "low", "high", "turn", "volume", "amount", "peTTM", "pbMRQ", "psTTM", "pcfNcfTTM", "isST"):
+        e = f"r.{c}"
+        if c in gone:
+            e = f"CASE WHEN b._q % {gone[c]} = 0 THEN NULL ELSE {e} END"
+        if c == "pbMRQ":
+            e = f"CASE WHEN b._q % 37 = 0 THEN '' ELSE {e} END"
+        if c == "turn":
+            e = f"CASE WHEN b._q % 59 = 0 THEN 'n/a' ELSE {e} END"
+        cols.append(f"{e} AS {c}")
+
+    def num(c):
+        return f"coalesce(TRY_CAST({c} AS DOUBLE), 0.0)"
+    return f"""raw_missing AS (SELECT r.symbol, r.date, {", ".join(cols)} FROM raw_bars r JOIN bars b ON b.symbol = r.symbol AND CAST(b.trade_date AS VARCHAR) = r.date),
+clean_missing AS (
+  SELECT * FROM (
+    SELECT symbol, CAST(date AS DATE) AS trade_date, {", ".join(f"CAST(round({num(p)} * 100) AS BIGINT) AS {p}_c" for p in ("open", "high", "low", "close"))},
+           CAST({num("volume")} AS BIGINT) AS volume, {", ".join(f"{num(c)} AS {c}" for c in ("turn", "amount", "peTTM", "pbMRQ", "psTTM", "pcfNcfTTM", "isST"))}
+    FROM raw_missing WHERE volume IS NULL OR volume NOT IN ('0', '')) WHERE psTTM > 0)"""
+
+
+def _unreadable():
+    fields = ("close", "open", "low", "high", "turn", "volume", "amount", "peTTM", "pbMRQ", "psTTM", "pcfNcfTTM", "isST")
+    return with_base(" UNION ALL ".join(
+        f"SELECT '{c}' AS field, count(*) FILTER ({c} IS NULL) AS n_null, count(*) FILTER ({c} = '') AS n_blank, "
+        f"count(*) FILTER ({c} <> '' AND TRY_CAST({c} AS DOUBLE) IS NULL) AS n_unreadable FROM raw_missing" for c in fields), missing_ctes())
+
+
+def _clean_index():
+    return with_base(f"""SELECT {IKEY}, open_c, high_c, low_c, close_c, volume, {r6("CAST(amount_c AS DOUBLE) / 100")} AS amount FROM index_bars
+WHERE (trade_date - DATE '1970-01-01') % 53 <> 0 AND (trade_date - DATE '1970-01-01') % 59 <> 0 AND volume <> 0
+  AND (SELECT count(*) FROM index_bars) > 50""")
+
+
+GATED = """gated AS (
+  SELECT * FROM clean
+  WHERE symbol IN (SELECT symbol FROM raw_bars GROUP BY symbol HAVING count(*) > 50)
+    AND symbol IN (SELECT symbol FROM clean GROUP BY symbol HAVING count(*) > 300))"""
+
+
+def _labels_h69():
+    h = (2, 4, 6, 9)
+    names = [f"resultbuy{i}" for i in h if i > 2] + [f"result{k}class{i}" for i in h for k in ("", "rel")]
+    doubles = [f"result{m}{i}" for i in h for m in ("max", "min")]
+    sel = ", ".join([*names, *[f"{r6(c)} AS {c}" for c in doubles]])
+    return with_base(f"SELECT {KEY}, CAST(close_c AS DOUBLE) / 100 AS close, {sel} FROM classed",
+                     ",\n".join([GATED, labels_cte("gated", horizons=h), classes_cte(horizons=h)]))
+
+
+def _labels_train_edges():
+    return with_base(f"SELECT {KEY}, {', '.join(LABEL_COLUMNS)} FROM classed",
+                     ",\n".join([GATED, labels_cte("gated"), classes_cte(seen="trade_date <= DATE '1996-06-30'")]))
+
+
+def _feature_sink():
+    from panelkit.plans.oracle_full import feature_table_sql
+    return f"""WITH ft AS (SELECT * FROM ({feature_table_sql(["close"])}) x), st AS ({with_base("SELECT symbol FROM stored_symbols")})
+SELECT symbol, count(*) AS n_rows, CASE WHEN symbol IN (SELECT symbol FROM st) THEN 0 ELSE 1 END AS run, count(*) AS n_stored FROM ft GROUP BY symbol"""
+
+
+def _feature_catalog():
+    from panelkit.plans.oracle_full import feature_table_sql, stored_columns
+    ints = set(LABEL_COLUMNS)
+    names = [*stored_columns(), *LABEL_COLUMNS]
+    parts = [f"""SELECT {i + 2} AS position, '{c}' AS name, '{"bigint" if c in ints else "double"}' AS dtype, count("{c}") AS non_null FROM ft""" for i, c in enumerate(names)]
+    return f"WITH ft AS (SELECT * FROM ({feature_table_sql()}) x) " + " UNION ALL ".join(parts)
+
+
+MORE_SQL = {
+    "clean_bars_missing": lambda: with_base(select_out("clean_missing", ["open_c", "high_c", "low_c", "close_c", "volume", "turn", "amount", "peTTM", "pbMRQ", "psTTM", "pcfNcfTTM", "isST"],
+                                                       types={c: None for c in ("open_c", "high_c", "low_c", "close_c", "volume")}), missing_ctes()),
+    "unreadable_fields": _unreadable,
+    "valuation_missing": lambda: with_base(select_out("val", ["flowmkt", "everyprofit", "turn", "everypb", "eversale", "evermoney"]), missing_ctes() + f", val AS ({valuation_sql('clean_missing')})"),
+    "beta_missing": lambda: with_base(select_out("indicators", ["beta"]), missing_ctes() + ", " + indicator_ctes("clean_missing")),
+    "clean_index": _clean_index,
+    "labels_h69": _labels_h69,
+    "labels_train_edges": _labels_train_edges,
+    "feature_sink": _feature_sink,
+    "feature_catalog": _feature_catalog,
+    "sequence_all": _sequence_all,
+    "fit_predict": _fit_predict,
+}
+
+
 def oracle() -> dict[str, str]:
     from panelkit.plans import oracle_full, oracle_recur
     from panelkit.plans.features import STOCK_COLUMNS
@@ -832,5 +946,5 @@ def oracle() -> dict[str, str]:
               "load_features": oracle_full.load_features_sql,
               "stock_features": lambda: oracle_full.feature_table_sql(["close", "open", "low", "high", *STOCK_COLUMNS]),**SQL, **oracle_recur.SQL, "p_change": _p_change, "scan_unadjusted": _scan_unadjusted,
               "relative_labels": _relative_labels, **{k: _simple(v) for k, v in SIMPLE.items()},
-              **{k: _seq(v, ix) for k, (v, ix) in SEQ_SQL.items()}, **EVAL_SQL}
+              **{k: _seq(v) for k, v in SEQ_SQL.items()}, **EVAL_SQL, **MORE_SQL}
     return {k: v() for k, v in merged.items()}

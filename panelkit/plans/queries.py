@@ -21,6 +21,8 @@ from panelkit.operators import evaluate as EV
 from panelkit.operators import models as MD
 from panelkit.operators import sequences as SQ
 from panelkit.plans import features as FT
+from panelkit.session import cut, shared_path
+from panelkit.sources import readers as RD
 from panelkit.sources import sinks as SK
 from panelkit.sources import fixtures as X
 
@@ -43,13 +45,48 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- step 1
 
 
+FEED = [f for f in RD.STOCK_FIELDS if f != "preclose"]
+
+
+def feed(spark, name: str, df: DataFrame) -> str:
+    """Where ``df`` lies as a file feed: written for the query at hand."""
+    path = shared_path(spark, f"feed-{name}")
+    df.write.parquet(path)
+    return path
+
+
 def q_scan_bars(spark, sf):
-    """S1 + O1: typed bars in a date range (range covers the history)."""
-    b = X.bars(spark, sf).filter(F.col("trade_date").between(F.lit("1990-01-01").cast("date"),
-                                                             F.current_date()))
-    cols = ["open_c", "high_c", "low_c", "close_c", "volume", "amount_c", "turn", "peTTM",
-            "pbMRQ", "psTTM", "pcfNcfTTM", "isST"]
-    return out(b, cols)
+    """S1 + S5 + O1: the feed's bars in a date range, which the scan pushes down."""
+    path = feed(spark, "bars", X.raw_bars(spark, sf))
+    got = C.typed_bars(RD.read_feed(spark, path, FEED, start="1993-01-01", end="1996-12-31"))
+    cols = ["open_c", "high_c", "low_c", "close_c", "volume", "amount", "turn", "peTTM", "pbMRQ", "psTTM", "pcfNcfTTM", "isST"]
+    return out(got, cols)
+
+
+def q_clean_bars_missing(spark, sf):
+    """P2-P6 on a feed with missing fields: filled with 0 before the gates, no bar lost for them."""
+    c = C.clean_bars(X.raw_bars_missing(spark, sf))
+    return out(c, [x for x in c.columns if x not in KEY])
+
+
+def q_unreadable_fields(spark, sf):
+    """How many fields of the feed are NULL, blank or no number."""
+    return C.unreadable_fields(X.raw_bars_missing(spark, sf))
+
+
+def q_valuation_missing(spark, sf):
+    """V1-V6 + P5 where fields are missing."""
+    return out(S.valuation_features(C.clean_bars(X.raw_bars_missing(spark, sf))), VALUATION)
+
+
+def q_beta_missing(spark, sf):
+    """T10 where prices are missing, so zero."""
+    return out(T.indicator_features(C.clean_bars(X.raw_bars_missing(spark, sf))), ["beta"])
+
+
+def q_clean_index(spark, sf):
+    """The index feed's strings, its suspension filter and row gate."""
+    return out(C.clean_index(X.raw_index(spark, sf)), ["open_c", "high_c", "low_c", "close_c", "volume", "amount"], key=IKEY)
 
 
 def q_clean_bars(spark, sf):
@@ -212,7 +249,7 @@ INDEX_GROUPS = {
 
 def _index_group(cols):
     def q(spark, sf):
-        return out(I.index_features(X.index_bars(spark, sf)), cols, key=IKEY)
+        return out(I.segmented_features(X.index_bars(spark, sf)), cols, key=IKEY)
     return q
 
 
@@ -224,13 +261,13 @@ def q_scan_index(spark, sf):
 
 def q_index_enrich(spark, sf):
     """Every index level feature joined onto clean stock rows."""
-    j = I.enrich(clean(spark, sf), I.index_features(X.index_bars(spark, sf)))
+    j = I.enrich(clean(spark, sf), I.segmented_features(X.index_bars(spark, sf)))
     return out(j, list(I.INDEX_LEVEL_COLS))
 
 
 def q_index_volume_joined(spark, sf):
     """Index volume ratios whose change is taken on the stock's rows."""
-    j = I.enrich(clean(spark, sf), I.index_features(X.index_bars(spark, sf)))
+    j = I.enrich(clean(spark, sf), I.segmented_features(X.index_bars(spark, sf)))
     return out(j, I.JOINED_COLS)
 
 
@@ -307,9 +344,10 @@ REC_GROUPS = {
 }
 
 
-def _rec_group(cols):
+def _rec_group(group, cols):
     def q(spark, sf):
-        return out(R.recurrence_features(clean(spark, sf)), cols)
+        bars = clean(spark, sf).select(*KEY, "high_c", "low_c", "close_c", "volume")
+        return out(R.recurrence_features(bars, (group,)), cols)
     return q
 
 
@@ -321,11 +359,9 @@ def q_index_macd(spark, sf):
 
 def q_lowpass_filter(spark, sf):
     """T33 + W7: zero-phase low-pass of close against the centred 10-day mean."""
-    c = clean(spark, sf)
-    lp = R.lowpass_filter(c)
-    cm = c.select(*KEY, W.centered_mean(F.col("close_c") / CENTS, win(), 10).alias("cmean10"))
-    j = lp.join(cm, KEY)
-    return out(j, ["close", "lowpass", "cmean10"])
+    lp = R.lowpass_filter(clean(spark, sf))
+    lp = lp.select("*", W.centered_mean("close", win(), 10).alias("cmean10"))
+    return out(lp, ["close", "lowpass", "cmean10"])
 
 
 def q_filter_revision(spark, sf):
@@ -368,7 +404,7 @@ QUERIES = {
     "quantile_class": q_quantile_class,
     "label_matrix": q_label_matrix,
     **{k: _ind_group(v) for k, v in IND_GROUPS.items()},
-    **{k: _rec_group(v) for k, v in REC_GROUPS.items()},
+    **{k: _rec_group(k, v) for k, v in REC_GROUPS.items()},
     "index_macd": q_index_macd,
     "lowpass_filter": q_lowpass_filter,
     "filter_revision": q_filter_revision,
@@ -388,12 +424,28 @@ def q_stock_features(spark, sf):
     return out(ft, ["close", "open", "low", "high", *FT.STOCK_COLUMNS])
 
 
+_STORES: dict[tuple, str] = {}
+
+
+def store(spark, sf) -> str:
+    """Where the feature table of these bars is stored (S7): written once per application, read by the trainers' queries."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        path = shared_path(spark, "features")
+        SK.write_features(q_feature_table(spark, sf), path)
+        _STORES[key] = path
+    return _STORES[key]
+
+
+def panel(spark, sf, min_cols: int = 20) -> DataFrame:
+    """The stored features through the trainers' gates."""
+    return RD.load_features(spark, store(spark, sf), min_rows=1, min_cols=min_cols)
+
+
 def q_load_features(spark, sf):
-    """The trainers' view of the stored table — symbols with more than one
+    """The trainers' view of the stored table: symbols with more than one
     row, the close column, and the labels x 0.1 as targets (``y_*``)."""
-    ft = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf))
-    n = F.count(F.lit(1)).over(Window.partitionBy("symbol"))
-    g = ft.withColumn("_n", n).filter(F.col("_n") > 1)
+    g = panel(spark, sf)
     ys = [(F.col(c) * 0.1).alias(f"y_{c}") for c in FT.LABEL_COLUMNS]
     return out(g.select(*KEY, "close", *ys), ["close", *[f"y_{c}" for c in FT.LABEL_COLUMNS]])
 
@@ -401,11 +453,7 @@ def q_load_features(spark, sf):
 def q_export_dataset(spark, sf):
     """The feature table packaged as zstd Parquet in the shared
     checkpoint folder, read back (the round trip must keep every row)."""
-    import os
-    import uuid
-
-    from panelkit.session import checkpoint_dir
-    path = os.path.join(checkpoint_dir(spark), f"export-{uuid.uuid4().hex}")
+    path = shared_path(spark, "export")
     SK.export_dataset(q_feature_table(spark, sf), path)
     return spark.read.parquet(path)
 
@@ -416,6 +464,42 @@ QUERIES["load_features"] = q_load_features
 QUERIES["export_dataset"] = q_export_dataset
 
 
+def q_feature_sink(spark, sf):
+    """A first run stores some symbols, a second the rest, a third finds nothing to do; per symbol the rows that
+    the reader sees and the run they are from."""
+    path = shared_path(spark, "sink")
+    ft = RD.latest_runs(spark.read.parquet(store(spark, sf)))
+    SK.write_features(C.symbols_present(ft, X.stored_symbols(spark, sf)), path, run=0)
+    for run in (1, 2):
+        SK.write_features(SK.incremental(ft, SK.stored_symbols(spark, path)), path, run=run)
+    rows = spark.read.parquet(path)
+    seen = RD.load_features(spark, path, min_rows=0).groupBy("symbol").agg(F.count("*").alias("n_rows"))
+    runs = rows.groupBy("symbol").agg(F.max("run").cast("int").alias("run"), F.count("*").alias("n_stored"))
+    return seen.join(runs, "symbol")
+
+
+def q_labels_h69(spark, sf):
+    """L1-L6 for other horizons, with the min and max labels, without features (the reference's second path)."""
+    h = (2, 4, 6, 9)
+    names = [*L.label_columns_of(h), *[f"result{m}{i}" for i in h for m in ("max", "min")]]
+    t = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf), horizons=h, labels=names, with_features=False)
+    return out(t, ["close", *names])
+
+
+def q_labels_train_edges(spark, sf):
+    """L5 + L6 with edges from the bars up to a date only."""
+    t = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf), edges_until="1996-06-30", with_features=False)
+    return out(t, FT.LABEL_COLUMNS)
+
+
+QUERIES["feature_sink"] = q_feature_sink
+QUERIES["labels_h69"] = q_labels_h69
+QUERIES["labels_train_edges"] = q_labels_train_edges
+for _name, _q in (("clean_bars_missing", q_clean_bars_missing), ("unreadable_fields", q_unreadable_fields), ("valuation_missing", q_valuation_missing),
+                  ("beta_missing", q_beta_missing), ("clean_index", q_clean_index)):
+    QUERIES[_name] = _q
+
+
 def flagship(spark, sf):
     return q_feature_table(spark, sf)
 
@@ -432,20 +516,24 @@ def q_p_change(spark, sf):
 
 
 def q_scan_unadjusted(spark, sf):
-    """S4 (+P1): unadjusted bars with exchange code and previous close."""
-    w = win()
+    """S4 (+P1): the unadjusted half of a feed that holds both, with exchange code and the feed's previous close."""
     b = C.exchange_prefix(X.bars(spark, sf), out="code")
-    cols = {p: F.col(f"{p}_c") / CENTS for p in ("open", "high", "low", "close")}
-    df = b.select(*KEY, "code", *[v.alias(k) for k, v in cols.items()],
-                  (F.lag("close_c", 1).over(w) / CENTS).alias("preclose"), "volume",
-                  (F.col("amount_c") / CENTS).alias("amount"))
+    text = {p: (F.col(f"{p}_c") / CENTS).cast("string") for p in ("open", "high", "low", "close", "amount")}
+    text["preclose"] = (F.lag("close_c", 1).over(win()) / CENTS).cast("string")
+    plain = b.select("symbol", F.col("trade_date").cast("string").alias("date"), "code", *[v.alias(k) for k, v in text.items()],
+                     F.col("volume").cast("string").alias("volume"), F.lit("3").alias(RD.ADJUST_FIELD))
+    other = plain.withColumn("close", F.lit("0")).withColumn(RD.ADJUST_FIELD, F.lit("2"))
+    got = RD.read_feed(spark, feed(spark, "adjusted", plain.unionByName(other)), RD.UNADJUSTED_FIELDS, adjust="3")
+    number = [F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "preclose", "amount")]
+    df = got.select("symbol", F.col("date").cast("date").alias("trade_date"), "code", *number, F.col("volume").cast("bigint").alias("volume"))
     return out(df, ["code", "open", "high", "low", "close", "preclose", "volume", "amount"])
 
 
 def q_symbol_master(spark, sf):
-    """S6 + O2 + P1: the symbol master sorted by code."""
-    s = C.exchange_prefix(X.symbols(spark, sf), out="code").select("symbol", "code")
-    return s.orderBy("symbol")
+    """S6 + O2 + P1: the symbol master sorted by code, stored and read back."""
+    path = shared_path(spark, "master")
+    SK.write_symbol_master(C.exchange_prefix(X.symbols(spark, sf), out="code").select("symbol", "code"), path)
+    return spark.read.schema("symbol string, code string").option("header", "true").csv(path)
 
 
 def q_exchange_prefix(spark, sf):
@@ -456,7 +544,8 @@ def q_exchange_prefix(spark, sf):
 
 def q_incremental_symbols(spark, sf):
     """Symbols still to process (left-anti join with stored ones)."""
-    return C.symbols_missing(X.symbols(spark, sf).select("symbol"), X.stored_symbols(spark, sf))
+    stored = SK.stored_symbols(spark, feed(spark, "stored", X.stored_symbols(spark, sf)))
+    return C.symbols_missing(X.symbols(spark, sf).select("symbol"), stored)
 
 
 def q_symbols_present(spark, sf):
@@ -471,8 +560,7 @@ def q_exclude_board(spark, sf):
 
 def q_min_history(spark, sf):
     """P7 + P8: symbols with > 50 feed rows and > 450 clean rows, with their counts."""
-    g = C.min_history(C.clean_bars_counted(X.raw_bars(spark, sf)), min_clean=450,
-                      count_col="_n_raw", min_raw=50)
+    g = C.gated_bars(X.raw_bars(spark, sf), min_raw=50, min_clean=450)
     return g.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -525,7 +613,7 @@ def q_relative_labels(spark, sf):
     c = C.approx_amount(clean(spark, sf))
     close = F.col("close_c") / CENTS
     c = c.select(*c.columns, sdiv(F.lead("close_c", days).over(w) / CENTS, close).alias("_fwd"))
-    j = c.join(F.broadcast(ix), "trade_date", "left")
+    j = c.join(ix, "trade_date", "left")
     j = j.withColumn("result", F.col("_fwd") - F.col("_idx_fwd"))
     cls = L.quantile_class(j, "result", "resultclass")
     cols = ["amount", "result", *[f"szpctchg{n}" for n in (1, 2, 4, 8, 15, 30)], "resultclass"]
@@ -557,18 +645,12 @@ SEQ = 10
 SKEY = ["symbol", "end_date", "pos"]
 
 
-def _seq_base(spark, sf, with_index=False):
-    """Stored-table stand-in for the trainers: stock features and labels on
-    clean bars, index features optional, warm-up rows trimmed."""
-    w = win()
-    pv = S.price_volume_features(clean(spark, sf), w)
-    lab = L.class_labels(L.label_columns(pv, horizons=(4,), w=w), horizons=(4,))
-    if with_index:
-        lab = I.enrich(lab, I.index_features(X.index_bars(spark, sf)), w=w)
-    t = lab.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 120)
-    prices = [(F.col(f"{p}_c") / CENTS).alias(p) for p in ("close", "open", "high", "low")]
-    extra = ["zsr5"] if with_index else []
-    return t.select(*KEY, *prices, "r5", "r20", "v5", "resultclass4", *extra)
+SEQ_COLUMNS = ["close", "open", "high", "low", "r5", "r20", "v5", "zsr5"]
+
+
+def _seq_base(spark, sf):
+    """What the trainers read: the stored table's columns that the sequence queries show, and all its labels."""
+    return panel(spark, sf).select(*KEY, *SEQ_COLUMNS, *FT.LABEL_COLUMNS)
 
 
 def _exploded(wdf):
@@ -594,67 +676,56 @@ def q_sequence_norm(spark, sf):
     return out(_exploded(wdf), ["trade_date", "close", "v5"], key=SKEY)
 
 
-def _window_ends(base, seq=SEQ):
-    w = win()
-    return (base.select("*", F.row_number().over(w).alias("_n"), F.lead("trade_date", 1).over(w).alias("_next"),
-                        (F.lead("resultclass4", 1).over(w) * 0.1).alias("label"))
-            .filter((F.col("_n") >= seq) & F.col("_next").isNotNull())
-            .withColumnRenamed("trade_date", "end_date"))
+def q_sequence_all(spark, sf):
+    """D1 over every stored feature, windows of 10 and of 50 rows: per window the sum of place x value of each feature."""
+    parts = []
+    for seq in (SEQ, 50):
+        e = _exploded(SQ.sequence_windows(panel(spark, sf), FT.FEATURE_COLUMNS, seq))
+        sums = [F.sum((F.col("pos") + 1) * F.col(f"`{c}`")).alias(c) for c in FT.FEATURE_COLUMNS]
+        parts.append(e.groupBy("symbol", "end_date").agg(*sums).withColumn("seq", F.lit(seq)))
+    return out(parts[0].unionByName(parts[1]), FT.FEATURE_COLUMNS, key=["symbol", "end_date", "seq"])
 
 
-def q_sequence_labels(spark, sf):
-    """Each window's label is the next row's class x 0.1."""
-    return out(_window_ends(_seq_base(spark, sf)), ["label"], key=["symbol", "end_date"])
+def _split(spark, sf, cols=("close", "r5", "v5"), labels=()):
+    return SQ.chrono_split(SQ.sequence_windows(_seq_base(spark, sf), list(cols), SEQ, labels=labels))
 
 
-def _split(spark, sf, with_index=False):
-    base = _seq_base(spark, sf, with_index)
-    cols = ["close", "r5", "v5"] + (["zsr5"] if with_index else [])
-    return SQ.chrono_split(SQ.sequence_windows(base, cols, SEQ)), base
+def q_sequence_labels(spark, sf):
+    """Each window's label is the next row's class x 0.1."""
+    s = _split(spark, sf, labels=["resultclass4"])
+    return out(s.select("symbol", "end_date", F.col("resultclass4").alias("label")), ["label"], key=["symbol", "end_date"])
 
 
 def q_chrono_split(spark, sf):
     """Last 10 windows predict, 90 before test, the rest train."""
-    s, _ = _split(spark, sf)
-    return s.select("symbol", "end_date", "split")
+    return _split(spark, sf).select("symbol", "end_date", "split")
+
+
+GATED = ("close", "r5", "v5", "zsr5")
 
 
 def q_reject_null_symbols(spark, sf):
     """Symbols whose training windows hold a missing (index) feature."""
-    s, _ = _split(spark, sf, with_index=True)
-    kept = SQ.reject_null_symbols(s).select("symbol").distinct().withColumn("rejected", F.lit(0))
-    allsym = s.select("symbol").distinct()
-    return allsym.join(kept, "symbol", "left").select(
-        "symbol", F.coalesce("rejected", F.lit(1)).cast("int").alias("rejected"))
+    return SQ.null_symbols(_split(spark, sf, GATED))
 
 
 def q_collect_panel(spark, sf):
     """The stacked panel after the gates P8, P13, P14: windows per symbol and split."""
-    s, base = _split(spark, sf)
-    s = SQ.reject_null_symbols(s)
-    s = C.symbols_present(s, X.stored_symbols(spark, sf))
-    big = C.history_counts(base).filter(F.col("n_rows") > 300).select("symbol")
-    s = s.join(big, "symbol", "left_semi")
+    base = C.symbols_present(C.min_history(_seq_base(spark, sf), 300), X.stored_symbols(spark, sf))
+    s = SQ.reject_null_symbols(cut(SQ.chrono_split(SQ.sequence_windows(base, list(GATED), SEQ)), "windows"))
     return s.groupBy("symbol", "split").agg(F.count(F.lit(1)).alias("n_windows"))
 
 
 def q_union_windows(spark, sf):
-    """train/test/predict frames stacked with unionByName."""
-    s, _ = _split(spark, sf)
-    s = s.select("symbol", "end_date", "split")
-    parts = [s.filter(F.col("split") == x).drop("split") for x in ("train", "test", "predict")]
-    return SQ.union_splits(*parts)
+    """Train, test and predict windows as one frame, told apart by a column."""
+    return _split(spark, sf).select("symbol", "end_date", "split")
 
 
 def q_union_predictions(spark, sf):
-    """Test and predict scores concatenated (closed-form score 0.5+0.4*r20)."""
-    s, base = _split(spark, sf)
-    pred = base.select("symbol", F.col("trade_date").alias("end_date"),
-                       (F.lit(0.5) + F.lit(0.4) * F.col("r20")).alias("prediction"))
-    sp = s.select("symbol", "end_date", "split").join(pred, ["symbol", "end_date"])
-    test = sp.filter(F.col("split") == "test").drop("split").withColumn("split", F.lit("test"))
-    new = sp.filter(F.col("split") == "predict").drop("split").withColumn("split", F.lit("predict"))
-    return out(test.unionByName(new), ["split", "prediction"], key=["symbol", "end_date"])
+    """Test and predict scores in one frame (closed-form score 0.5+0.4*r20 of the window's last row)."""
+    s = _split(spark, sf, ["r20"]).filter("split != 'train'")
+    score = F.lit(0.5) + F.lit(0.4) * F.element_at("window", -1)["r20"]
+    return out(s.select("symbol", "end_date", "split", score.alias("prediction")), ["split", "prediction"], key=["symbol", "end_date"])
 
 
 # ---------------------------------------------------------------- A3, E*
@@ -668,17 +739,25 @@ def _eval_base(spark, sf):
                       (F.col("resultclass4") * 0.1).alias("truth"))
 
 
+def _eval_windows(spark, sf):
+    """E1-E5's rows: per test window and label the closed-form score and the truth, the next row's label x 0.1."""
+    s = _split(spark, sf, ["r20"], labels=FT.LABEL_COLUMNS).filter("split = 'test'")
+    score = F.lit(0.5) + F.lit(0.4) * F.element_at("window", -1)["r20"]
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("truth")) for c in FT.LABEL_COLUMNS]))
+    return s.select("symbol", "end_date", score.alias("prediction"), rows.alias("x")).select("symbol", "end_date", "prediction", "x.label", "x.truth")
+
+
 def _metric_query(cols):
     def q(spark, sf):
-        return out(EV.metrics(_eval_base(spark, sf)), cols, key=[])
+        return out(EV.metrics(_eval_windows(spark, sf), group=["label"]), cols, key=["label"])
     return q
 
 
 def q_eval_threshold(spark, sf):
-    """Thresholded classes per scored bar."""
-    b = _eval_base(spark, sf).filter(F.col("prediction").isNotNull() & F.col("truth").isNotNull())
+    """Thresholded classes per test window and label."""
+    b = _eval_windows(spark, sf).filter(F.col("prediction").isNotNull() & F.col("truth").isNotNull())
     p1, t1 = EV.threshold()
-    return b.select(*KEY, p1, t1)
+    return b.select("symbol", "end_date", "label", p1, t1)
 
 
 def q_series_long(spark, sf):
@@ -690,16 +769,25 @@ def q_series_long(spark, sf):
 
 # ---------------------------------------------------------------- M*, S8
 
+def panel_windows(spark, sf):
+    """The stored table's windows as vectors of all features, with all labels and the split."""
+    w = SQ.sequence_windows(panel(spark, sf), FT.FEATURE_COLUMNS, SEQ, labels=FT.LABEL_COLUMNS)
+    return cut(MD.vectors(SQ.chrono_split(w), FT.FEATURE_COLUMNS, SEQ), "training-windows")
+
+
+def predictions(spark, sf):
+    """M1-M3: a regressor per label fitted on all complete training windows, stored, loaded, and applied to the rest."""
+    data = panel_windows(spark, sf)
+    path = shared_path(spark, "model")
+    MD.save(spark, MD.fit(data.filter("split = 'train'"), FT.LABEL_COLUMNS), path)
+    return MD.score(MD.load(spark, path), data.filter("split != 'train'"))
+
+
 def q_fit_predict(spark, sf):
-    """M1 + M2: fit a Huber regressor on all training windows, score test and predict."""
-    s, base = _split(spark, sf)
-    labels = _window_ends(base).select("symbol", "end_date", "label")
-    data = s.join(labels, ["symbol", "end_date"], "left")
-    flat, names = MD.flatten_windows(data, ["close", "r5", "v5"], SEQ)
-    model = MD.fit(flat.filter(F.col("split") == "train"), names, "label")
-    scored = MD.score(model, flat.filter(F.col("split") != "train"))
-    return out(scored.select("symbol", "end_date", "split", "label", "prediction"),
-               ["split", "label", "prediction"], key=["symbol", "end_date"])
+    """M1-M3 per window and label: the truth and whether there is a prediction (its value is for the tests to judge)."""
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("truth"), F.col(f"p_{c}").isNotNull().cast("int").alias("predicted")) for c in FT.LABEL_COLUMNS]))
+    long = predictions(spark, sf).select("symbol", "end_date", "split", rows.alias("x")).select("symbol", "end_date", "split", "x.*")
+    return out(long, ["split", "truth", "predicted"], key=["symbol", "end_date", "label"])
 
 
 def q_feature_catalog(spark, sf):
@@ -709,6 +797,7 @@ def q_feature_catalog(spark, sf):
 
 QUERIES.update({
     "sequence_windows": q_sequence_windows,
+    "sequence_all": q_sequence_all,
     "sequence_anchor": q_sequence_anchor,
     "sequence_norm": q_sequence_norm,
     "sequence_labels": q_sequence_labels,

@@ -18,9 +18,9 @@ ahead at most ``HALO_FWD`` rows, so a history can be cut into segments of
    home rows are kept.  Results equal the unsegmented plan row for row
    (tested), because every frame of a home row lies inside its segment.
 
-Running sums from a symbol's first row (OBV, A/D line) and the recurrence
-kernels are not bounded-lookback; they still need the whole history per
-symbol (see README, open scale item).
+Running sums from a symbol's first row (OBV, A/D line) add the totals of all
+earlier segments (``indicators.segment_offsets``); linear recurrences run on
+blocks of their own (``recurrences``).
 """
 
 from __future__ import annotations
@@ -32,9 +32,16 @@ from pyspark.sql import functions as F
 # and longest lookahead (10-day labels).
 HALO_BACK = 121
 HALO_FWD = 10
+SEG_ROWS = 20_000  # of a segment, at every size
 SEG_WS = "PARTITION BY symbol, _seg ORDER BY trade_date"
 
 
+def spec(key: str) -> str:
+    """The window of a segment."""
+    return f"PARTITION BY {key}, _seg ORDER BY trade_date"
+
+
+
 def row_numbers(df: DataFrame, key: str = "symbol", order: str = "trade_date",
                 name: str = "_grn") -> DataFrame:
     """1-based row number per ``key`` in ``order``, computed block-wise."""
@@ -70,10 +77,3 @@ def segmented(df: DataFrame, stage, seg_rows: int, back: int = HALO_BACK,
     s = segment(row_numbers(df), seg_rows, back, fwd)
     out = stage(s, SEG_WS)
     return out.filter(F.col("_home")).drop("_seg", "_home", "_grn")
-
-
-def max_history(df: DataFrame, key: str = "symbol") -> int:
-    """Largest per-key row count (one small aggregation); decides whether a
-    plan needs segments."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(r[0] or 0)

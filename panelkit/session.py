@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -19,19 +21,23 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # grouped-map kernels stream one Arrow batch per symbol segment
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app: str = "panelkit") -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    b = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEM", "8g"))
-    for k, v in _DEFAULTS.items():
-        b = b.config(k, v)
+def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "panelkit") -> SparkSession:
+    """The running session, or a new one.  Only what neither the caller nor the environment sets is filled in."""
+    b = SparkSession.builder.appName(app)
+    active = SparkSession.getActiveSession()
+    if active is None:
+        conf = SparkConf()
+        if master or not conf.contains("spark.master"):
+            b = b.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+        wanted = {**_DEFAULTS, "spark.driver.memory": os.environ.get("PANELKIT_DRIVER_MEM", "8g"), "spark.sql.shuffle.partitions": "8"}
+        for k, v in wanted.items():
+            if not conf.contains(k):
+                b = b.config(k, v)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -39,14 +45,28 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage (``spark.checkpoint.dir``).
+    """The shared folder for cut lineage (``spark.checkpoint.dir``), read from the session.
 
-    Read from the session; only when it is unset (local tests) a private
-    scratch folder is made and registered.
+    Where it is unset, a local session (tests) gets a scratch folder of its own; on a cluster that is an error, as
+    executors would each write to their own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="panelkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has used yet."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/panelkit/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder and read it back, so that several readers derive it once
+    and a lost executor costs nothing."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

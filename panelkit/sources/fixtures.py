@@ -4,7 +4,8 @@ The reference reads daily bars from a market-data feed.  Here the feed is a
 file scan, and the test bars are derived from ``lineitem`` (one symbol per
 supplier, one bar per supplier and ship date; see FIXTURES.md).  Every step is
 a partial aggregation (map-side combine) followed by one shuffle on the bar
-key, so the derivation scales with ``lineitem`` and never sorts lines.
+key, so the derivation scales with ``lineitem``; first and last price of a day
+are aggregates over an ordering struct, which Spark sorts per task.
 """
 
 from __future__ import annotations
@@ -127,6 +128,26 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_bars_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with fields missing: NULL and blank valuations, NULL volumes and NULL (so zero) prices."""
+    b = bars(spark, sf_dir).select("symbol", F.col("trade_date").cast("string").alias("date"), "_q")
+    q = F.col("_q")
+    gone = {"peTTM": q % 31 == 0, "volume": q % 43 == 0, "low": q % 41 == 0, "high": q % 47 == 0, "psTTM": q % 53 == 0}
+    raw = raw_bars(spark, sf_dir).join(b, ["symbol", "date"])
+    blank = {"pbMRQ": F.when(q % 37 == 0, F.lit("")).otherwise(F.col("pbMRQ")), "turn": F.when(q % 59 == 0, F.lit("n/a")).otherwise(F.col("turn"))}
+    cols = {c: F.when(~g, F.col(c)) for c, g in gone.items()} | blank
+    return raw.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in raw.columns if c != "_q"])
+
+
+def raw_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index feed as strings, with days of blank and of zero volume."""
+    day = F.unix_date("trade_date")
+    vol = F.when(day % 53 == 0, F.lit("")).when(day % 59 == 0, F.lit("0")).otherwise(_num_str("volume"))
+    return index_bars(spark, sf_dir).select("index_code", F.col("trade_date").cast("string").alias("date"),
+                                            *[_price_str(f"{p}_c").alias(p) for p in ("open", "high", "low", "close")],
+                                            vol.alias("volume"), _price_str("amount_c").alias("amount"))
+
+
 def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbol master: one row per supplier key that ever traded."""
     li = _table(spark, sf_dir, "lineitem").select("l_suppkey").distinct()

@@ -2,12 +2,12 @@
 
 The reference pulls bars from a remote market-data client; here the feed is a
 file dataset.  Column list and date range are pushed into the scan (Parquet
-``ReadSchema`` / ``PushedFilters``); price adjustment is a partition column.
+``ReadSchema`` / ``PushedFilters``); price adjustment is a column of the feed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -17,6 +17,7 @@ STOCK_FIELDS = ["date", "close", "open", "preclose", "low", "high", "turn", "vol
 INDEX_FIELDS = ["date", "open", "high", "low", "close", "preclose", "volume", "amount", "pctChg"]
 SIMPLE_FIELDS = ["date", "code", "open", "high", "low", "close", "volume", "amount"]
 UNADJUSTED_FIELDS = ["date", "code", "open", "high", "low", "close", "preclose", "volume", "amount"]
+ADJUST_FIELD = "adjustflag"
 
 
 def string_schema(fields, key: str = "symbol") -> StructType:
@@ -25,26 +26,42 @@ def string_schema(fields, key: str = "symbol") -> StructType:
 
 
 def read_feed(spark: SparkSession, path: str, fields=STOCK_FIELDS, fmt: str = "parquet",
-              start: str | None = None, end: str | None = None, adjust: str | None = None) -> DataFrame:
-    """Scan a raw feed with its fixed field list; the date range
-    (and adjustment) become pushed-down filters."""
-    reader = spark.read.schema(string_schema(fields)) if fmt == "csv" else spark.read
-    df = reader.format(fmt).option("header", "true").load(path) if fmt == "csv" else reader.format(fmt).load(path)
-    if adjust is not None and "adjustflag" in df.columns:
-        df = df.filter(F.col("adjustflag") == adjust)
+              start: str | None = None, end: str | None = None, adjust: str | None = None,
+              key: str = "symbol") -> DataFrame:
+    """Scan a raw feed with its fixed field list; the date range (and adjustment) become pushed-down
+    filters.  Asking for an adjustment of a feed that has none recorded is an error."""
+    extra = [] if adjust is None else [ADJUST_FIELD]
+    if fmt == "csv":
+        df = spark.read.schema(string_schema([*fields, *extra], key)).option("header", "true").csv(path)
+    else:
+        df = spark.read.format(fmt).load(path)
+    if adjust is not None:
+        if ADJUST_FIELD not in df.columns:
+            raise ValueError(f"the feed at {path} has no {ADJUST_FIELD}")
+        df = df.filter(F.col(ADJUST_FIELD) == adjust)
     if start is not None:
         df = df.filter(F.col("date") >= start)
     if end is not None:
         df = df.filter(F.col("date") <= end)
-    return df.select("symbol", *fields)
+    return df.select(key, *fields)
 
 
-def load_features(spark: SparkSession, path: str, min_rows: int = 1, min_cols: int = 0,
-                  label_prefix: str = "result") -> DataFrame:
-    """Stored features with the trainers' gates — the column gate reads
-    the schema (no data), the row gate is a per-symbol window count."""
-    df = spark.read.parquet(path)
+def load_features(spark: SparkSession, path: str, min_rows: int = 1, min_cols: int = 0) -> DataFrame:
+    """Stored features with the trainers' gates.
+
+    Of each symbol the rows of its latest run count.  Too few columns is an error (the reference returns nothing
+    then); the row gate is a partial aggregation and a semi join.
+    """
+    df = latest_runs(spark.read.parquet(path))
     if len(df.columns) <= min_cols:
-        return df.limit(0)
-    n = F.count(F.lit(1)).over(Window.partitionBy("symbol"))
-    return df.withColumn("_n", n).filter(F.col("_n") > min_rows).drop("_n")
+        raise ValueError(f"{len(df.columns)} columns stored; more than {min_cols} are asked for")
+    n = df.groupBy("symbol").agg(F.count("*").alias("_n")).filter(F.col("_n") > min_rows).select("symbol")
+    return df.join(n, "symbol", "left_semi")
+
+
+def latest_runs(df: DataFrame) -> DataFrame:
+    """The rows of each symbol's latest run, without the sink's own columns."""
+    if "run" not in df.columns:
+        return df
+    last = df.groupBy("symbol").agg(F.max("run").alias("run"))
+    return df.join(last, ["symbol", "run"], "left_semi").drop("run", "bucket")

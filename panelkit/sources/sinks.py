@@ -18,11 +18,15 @@ def bucket_of(key: str = "symbol", buckets: int = 64):
     return F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("bucket")
 
 
-def write_features(df: DataFrame, path: str, buckets: int = 64, mode: str = "append") -> None:
-    """Append the feature table, partitioned by a symbol bucket."""
+def write_features(df: DataFrame, path: str, run: int = 0, buckets: int = 64) -> None:
+    """Store one run's feature rows, under the run's number and a symbol bucket.
+
+    A run replaces what an earlier, maybe broken-off, attempt of the same number has left, and nothing else;
+    readers take each symbol's latest run.
+    """
     (df.withColumn("bucket", bucket_of("symbol", buckets))
        .repartition("bucket", "symbol")
-       .write.mode(mode).partitionBy("bucket").parquet(path))
+       .write.mode("overwrite").partitionBy("bucket").parquet(f"{path.rstrip('/')}/run={run}"))
 
 
 def stored_symbols(spark: SparkSession, path: str) -> DataFrame:

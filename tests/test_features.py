@@ -53,9 +53,16 @@ def test_feature_table_shape_and_ranges(spark, sf):
     assert 0 <= cls[0] and cls[1] <= 9
 
 
-def test_feature_table_single_exchange_for_the_panel(spark, sf):
+def test_lineitem_is_read_once_a_side(spark, sf):
+    """The bars and the index are derived once, written numbered, and read from there by every branch of the plan."""
     ft = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf))
-    plan = ft._jdf.queryExecution().executedPlan().toString()
-    # one shuffle of the bars on symbol serves every window stage and the kernel
-    assert plan.count("Exchange hashpartitioning(symbol") == 1
-    assert "BroadcastHashJoin" in plan
+    plan = ft._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "Relation [" in plan
+
+
+def test_index_rows_never_multiply(spark, sf):
+    from panelkit.operators import index as I
+    c = C.clean_bars(X.raw_bars(spark, sf))
+    ib = X.index_bars(spark, sf)
+    two = ib.unionByName(ib.withColumn("index_code", F.lit("sz.399001")))
+    assert I.enrich(c, I.segmented_features(two)).count() == c.count()

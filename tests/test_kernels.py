@@ -2,7 +2,7 @@
 
 import math
 
-from panelkit.operators import recurrences as R
+import plain_kernels as R
 
 
 def const(n, v=1000):

@@ -10,10 +10,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import duck, rows_of  # noqa: E402
 
-SAMPLE = ["clean_bars", "rolling_mean", "stock_returns", "stock_volume", "valuation_features",
-          "index_enrich", "label_buy_score", "label_return_class", "linreg", "cci", "aroon",
-          "macd", "adx", "sar", "tema", "lowpass_filter", "relative_labels", "sequence_anchor",
-          "chrono_split", "eval_confusion", "symbol_chunks", "min_history", "feature_table"]
+from panelkit.plans.oracle_sql import oracle  # noqa: E402
+from panelkit.plans.queries import QUERIES as PANEL_QUERIES  # noqa: E402
+
+NAMES = sorted(set(PANEL_QUERIES) & set(oracle()))
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,7 @@ def con(sf):
     return duck(sf)
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, sf, con, name):
     sdf = E.queries()[name](spark, sf)
     c1, r1 = rows_of(sdf.columns, [tuple(r) for r in sdf.collect()])
@@ -32,10 +32,8 @@ def test_query_matches_oracle(spark, sf, con, name):
     assert r1 == r2
 
 
-def test_every_query_has_an_oracle_or_is_listed():
-    rows_only = {"fit_predict", "feature_catalog"}
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= rows_only, missing
+def test_every_panel_query_has_an_oracle():
+    assert set(PANEL_QUERIES) == set(oracle())
 
 
 def test_entry_smoke(spark):

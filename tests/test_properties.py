@@ -22,7 +22,7 @@ def test_split_sizes(spark, sf):
 
 def test_index_join_preserves_rows(spark, sf):
     c = C.clean_bars(X.raw_bars(spark, sf))
-    e = I.enrich(c, I.index_features(X.index_bars(spark, sf)))
+    e = I.enrich(c, I.segmented_features(X.index_bars(spark, sf)))
     assert e.count() == c.count()
     # missing index days give NULL features, never dropped rows
     assert e.filter(F.col("szpctchg1").isNull()).count() > 0
@@ -41,3 +41,19 @@ def test_suspended_and_blank_volume_dropped(spark, sf):
     c = C.clean_bars(raw)
     assert c.filter(F.col("volume") <= 0).count() == 0
     assert c.filter(F.col("psTTM") <= 0).count() == 0
+
+
+def test_missing_fields_lose_no_bar(spark, sf):
+    raw = X.raw_bars(spark, sf)
+    none = raw.withColumn("peTTM", F.lit(None).cast("string")).withColumn("turn", F.lit("")).withColumn("pbMRQ", F.lit("n/a"))
+    assert C.clean_bars(none).count() == C.clean_bars(raw).count()
+    assert C.clean_bars(raw.withColumn("volume", F.lit(None).cast("string"))).count() == raw.filter("CAST(psTTM AS DOUBLE) > 0").count()
+    row = C.unreadable_fields(none).filter("field = 'pbMRQ'").first()
+    assert (row["n_null"], row["n_blank"], row["n_unreadable"]) == (0, 0, raw.count())
+
+
+def test_beta_of_a_zero_price_is_defined(spark, sf):
+    from panelkit.operators import indicators as T
+    c = C.clean_bars(X.raw_bars(spark, sf))
+    zero = c.withColumn("low_c", F.when(F.dayofmonth("trade_date") == 3, F.lit(0)).otherwise(F.col("low_c")).cast("bigint"))
+    assert T.indicator_features(zero).filter("beta IS NOT NULL").count() > 0
