@@ -12,10 +12,12 @@ overlap), the rest of that text is one segment, so the result stays exact.
 
 from __future__ import annotations
 
+from array import array
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.bpe import Memory, load_ranks, merge, spaced_words
+from panelkit.llm.bpe import Merger, Speller, batches, load_ranks
 from panelkit.llm.common import map_rows, slim_texts, table, tokenizer_path, worker_state
 
 CHUNK, OVERLAP = 32_768, 1_024  # code points
@@ -30,24 +32,11 @@ def _pattern(pattern: str):
     return state["pattern", pattern]
 
 
-def _encoder(path: str, pattern: str) -> tuple[dict, Memory]:
+def _speller(path: str, pattern: str) -> Speller:
     state = worker_state()
     if ("bpe", path, pattern) not in state:
-        import struct
-        ranks, find = load_ranks(path), _pattern(pattern).findall
-        pieces: dict[str, bytes] = {}
-
-        def one(piece: str) -> bytes:
-            if (got := pieces.get(piece)) is None:
-                ids = merge(piece.encode("utf-8", "surrogatepass"), ranks)
-                got = struct.pack(f"<{len(ids)}I", *ids)
-                if len(pieces) >= 300_000:
-                    pieces.clear()
-                if len(piece) <= 200:
-                    pieces[piece] = got
-            return got
-
-        state["bpe", path, pattern] = ranks, Memory(lambda words: [b"".join(map(one, find(w))) for w in words])
+        merger = Merger(load_ranks(path))
+        state["bpe", path, pattern] = Speller(_pattern(pattern).findall, lambda p: array("I", merger.ids(p.encode("utf-8", "surrogatepass"))).tobytes(), 4, entries=120_000)
     return state["bpe", path, pattern]
 
 
@@ -125,11 +114,10 @@ def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, s
     short, long = segments(df, pattern, size, overlap)
 
     def run(rows):
-        _, memory = _encoder(path, pattern)
-        find = _pattern(pattern).findall
-        for row, doc_id, seg, text in rows:
-            words = spaced_words(text)
-            yield row, doc_id, seg, memory.join(find(text) if words is None else words)
+        speller = _speller(path, pattern)
+        for some in batches(rows, most=4_000_000):
+            for (row, doc_id, seg, _), ids in zip(some, speller.many([r[3] for r in some])):
+                yield row, doc_id, seg, ids
 
     schema = "row long, doc_id long, seg int, ids binary"
     one = map_rows(short.select("row", "doc_id", "seg", "text"), run, schema).select("doc_id", "ids")

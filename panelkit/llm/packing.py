@@ -15,22 +15,59 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.bpe import Memory
-from panelkit.llm.common import map_rows, slim_texts, table, tokenizer_path, written
-from panelkit.llm.token_files import _tokenizer, id_width
+from panelkit.llm.bpe import Memory, batches, spell_words
+from panelkit.llm.common import map_rows, slim_texts, table, tokenizer_path, worker_state, written
+from panelkit.llm.token_files import id_width, load_tokenizer, piece_ids
 
 WINDOW = 2_048
 
 
-def text_ids(text: str, memory: Memory) -> bytes:
-    """Serialized ids of a whole text by the library.
+#: Words whose normal form is their lower case, which Python and the library agree on: Latin letters without marks.
+PLAIN = r"[!-~\u00a1-\u012f\u0131-\u017e]+"
+#: Fixed value: the vocabulary's pre-tokens.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n"  # and, here, line ends, which part words
 
-    The vocabulary's pattern drops white space and never reaches across it, so words can be remembered one by one;
+
+def _encode(path: str, width: int):
+    """A function from whole texts to their serialized ids by the library.
+
+    The vocabulary's pattern drops white space and never reaches across it, so words are remembered one by one;
     texts with unprintable characters, where notions of white space differ, go to the library whole.
     """
-    if text.replace("\n", "").isprintable():
-        return memory.join(text.split())
-    return memory.encode_all([text])[0]
+    state = worker_state()
+    if ("word ends", path, width) not in state:
+        import re
+
+        import numpy as np
+        import regex
+        tokenizer = load_tokenizer(path)
+        plain, find, kind = re.compile(PLAIN).fullmatch, regex.compile(PIECES).findall, f"<u{width}"
+        one = piece_ids(tokenizer, width)
+        pieces = Memory(lambda new: [one(p) if p else b"" for p in new])
+
+        def library(texts):
+            return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+        def encode_all(words):
+            known = {w: b"" for w in words}
+            simple = [w for w in words if plain(w)]
+            found = find("\n".join(simple).lower()) if simple else []
+            ids = pieces.each(["" if p == "\n" else p for p in found])
+            ends = [i for i, p in enumerate(found) if p == "\n"]
+            known.update(zip(simple, (b"".join(ids[a + 1:b]) for a, b in zip([-1, *ends], [*ends, len(ids)]))))
+            other = [w for w in words if w and not plain(w)]
+            known.update(zip(other, library(other) if other else ()))
+            return [known[w] for w in words]
+
+        memory = Memory(encode_all)
+
+        def many(texts):
+            lines = [t.replace("\n", " ") for t in texts]
+            spelled = iter(spell_words([t for t in lines if t.isprintable()], memory, width, False))
+            return [next(spelled) if t.isprintable() else library([whole])[0] for t, whole in zip(lines, texts)]
+
+        state["word ends", path, width] = many
+    return state["word ends", path, width]
 
 
 def tokens(df: DataFrame, path: str | None = None, end_id: int = 1) -> DataFrame:
@@ -43,12 +80,13 @@ def tokens(df: DataFrame, path: str | None = None, end_id: int = 1) -> DataFrame
     kind = f"<u{width}"
 
     def run(rows):
-        memory, at = _tokenizer(path, width), 0
+        encode, at = _encode(path, width), 0
         end = end_id.to_bytes(width, "little")
-        for part, doc_id, text in rows:
-            ids = text_ids(text, memory) + end
-            yield part, at, doc_id, len(ids) // width, ids
-            at += len(ids) // width
+        for some in batches(rows):
+            for (part, doc_id, _), ids in zip(some, encode([r[2] for r in some])):
+                n = len(ids) // width + 1
+                yield part, at, doc_id, n, ids + end
+                at += n
 
     docs = slim_texts(df, "doc_id").select(F.spark_partition_id().alias("part"), "doc_id", "text")
     return written(map_rows(docs, run, "part int, place long, doc_id long, n long, ids binary"), "packing-ids", compression="zstd"), kind

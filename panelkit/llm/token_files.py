@@ -21,7 +21,7 @@ import struct
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.bpe import Memory, spaced_words
+from panelkit.llm.bpe import Speller, batches
 from panelkit.llm.common import map_rows, slim_texts, table, tokenizer_path, worker_state, written
 
 MAGIC = b"IDZ1"
@@ -32,39 +32,51 @@ SAMPLE_BYTES = 16_384  # ids of a training document beyond these bytes are left
 DICTIONARY_BYTES = 65_536
 
 
-def _tokenizer(path: str, width: int):
-    state = worker_state()
-    if ("tokenizer", path, width) not in state:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
-        from tokenizers import Tokenizer
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings are ordinary text here
+def load_tokenizer(path: str):
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True  # their strings are ordinary text here
+    return t
+
 
-        def encode_all(texts):
-            kind = f"<u{width}"
-            return [np.array(e.ids, kind).tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+def byte_alphabet() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte: printable Latin-1 as itself, the rest from 256 on."""
+    out, extra = {}, 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 255 and b != 173:
+            out[b] = chr(b)
+        else:
+            out[b], extra = chr(extra), extra + 1
+    return out
 
-        state["tokenizer", path, width] = Memory(encode_all)
-    return state["tokenizer", path, width]
+
+def piece_ids(tokenizer, width: int):
+    """A function from one pre-token to its serialized ids by the library's model."""
+    from array import array
+    model, alphabet, kind = tokenizer.model.tokenize, byte_alphabet(), "H" if width == 2 else "I"
+    return lambda p: array(kind, [t.id for t in model(p.encode().decode("latin-1").translate(alphabet))]).tobytes()
+
+
+def _encode(path: str, width: int):
+    """A function from whole texts to their serialized ids by the library; its memory lives as long as the worker."""
+    state = worker_state()
+    if ("byte level", path, width) not in state:
+        import public_tokenizers
+        import regex
+        state["byte level", path, width] = Speller(regex.compile(public_tokenizers.PATTERN).findall, piece_ids(load_tokenizer(path), width), width).many
+    return state["byte level", path, width]
 
 
 def id_width(path: str) -> int:
     """Bytes of a stored id: 2 where the vocabulary allows it."""
     state = worker_state()
     if ("width", path) not in state:
-        from tokenizers import Tokenizer
-        state["width", path] = 2 if Tokenizer.from_file(path).get_vocab_size() <= 65_536 else 4
+        state["width", path] = 2 if load_tokenizer(path).get_vocab_size() <= 65_536 else 4
     return state["width", path]
 
 
-def text_ids(text: str, memory: Memory) -> bytes:
-    """Serialized ids of a whole text by the library; its words are remembered where cutting at spaces changes nothing."""
-    words = spaced_words(text)
-    return memory.encode_all([text])[0] if words is None else memory.join(words)
-
-
 def train(df: DataFrame, path: str, width: int, end_id: int) -> bytes:
     """The dictionary, from a hash sample of about SAMPLES documents (fewer if there are fewer).
 
@@ -76,9 +88,10 @@ def train(df: DataFrame, path: str, width: int, end_id: int) -> bytes:
     docs = slim_texts(df, "doc_id").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(rate * 1_000_000))
 
     def run(rows):
-        memory = _tokenizer(path, width)
-        for doc_id, text in rows:
-            yield doc_id, (text_ids(text, memory) + end_id.to_bytes(width, "little"))[:SAMPLE_BYTES]
+        encode = _encode(path, width)
+        for some in batches(rows):
+            for (doc_id, _), ids in zip(some, encode([t for _, t in some])):
+                yield doc_id, (ids + end_id.to_bytes(width, "little"))[:SAMPLE_BYTES]
 
     samples = [bytes(r[1]) for r in sorted(map_rows(docs, run, "doc_id long, ids binary").collect(), key=lambda r: (r[0] is not None, r[0] or 0, bytes(r[1])))]
     try:
@@ -124,8 +137,10 @@ def write_tokens(df: DataFrame, path: str | None = None, end_id: int = 0) -> tup
 
     def run(rows):
         import zstandard
-        memory = _tokenizer(path, width)
+        encode = _encode(path, width)
         shared = zstandard.ZstdCompressionDict(raw) if raw else None
+        if shared:
+            shared.precompute_compress(level=1)
         press = zstandard.ZstdCompressor(level=1, dict_data=shared, write_checksum=False)
         end = end_id.to_bytes(width, "little")
         held, size, block, part = [], 0, 0, 0
@@ -133,14 +148,14 @@ def write_tokens(df: DataFrame, path: str | None = None, end_id: int = 0) -> tup
         def done():
             return part, block, held[0][0], held[-1][0], len(held), sum(n for _, n, _ in held), pack_block(held, width, digest)
 
-        for part, doc_id, text in rows:
-            ids = text_ids(text, memory) + end
-            frame = press.compress(ids)
-            held.append((doc_id, len(ids) // width, frame))
-            size += len(frame)
-            if size >= BLOCK_BYTES:
-                yield done()
-                held, size, block = [], 0, block + 1
+        for some in batches(rows):
+            for (part, doc_id, _), ids in zip(some, encode([r[2] for r in some])):
+                frame = press.compress(ids + end)
+                held.append((doc_id, len(ids) // width + 1, frame))
+                size += len(frame)
+                if size >= BLOCK_BYTES:
+                    yield done()
+                    held, size, block = [], 0, block + 1
         if held:
             yield done()
 

@@ -37,9 +37,9 @@ def u32(ids):
 
 
 def test_merge_is_tiktokens(tiktoken_ids):
-    ranks = bpe.load_ranks(tokenizer_path("byte_bpe_50k.tiktoken"))
+    merger = bpe.Merger(bpe.load_ranks(tokenizer_path("byte_bpe_50k.tiktoken")))
     for piece in (" hello", "antidisestablishment", "é", "aaaaaaaaaaaaaaaaaaaa", " " + "ab" * 500, "zqxjkvzqxjkv", "!!!!!!!!!!!!!!!"):
-        assert bpe.merge(piece.encode(), ranks) == tiktoken_ids(piece), piece
+        assert merger.ids(piece.encode()) == merger._long(piece.encode()) == tiktoken_ids(piece), piece
 
 
 @pytest.mark.parametrize("size,overlap", [(32_768, 1_024), (64, 24), (40, 30)])
@@ -70,15 +70,15 @@ def test_stitch_falls_back_to_one_segment():
 
 def test_every_whitespace_and_letter_class_agrees(tiktoken_ids, library):
     """The memory's cut at spaces and the pattern's classes, over code points of every category."""
-    ranks = bpe.load_ranks(tokenizer_path("byte_bpe_50k.tiktoken"))
+    merger = bpe.Merger(bpe.load_ranks(tokenizer_path("byte_bpe_50k.tiktoken")))
     import public_tokenizers as P
     import regex
     find = regex.compile(P.PATTERN).findall
     lib = library("byte_bpe_50k.json")
     text = "".join(f"a{chr(c)}1 {chr(c)} " for c in [*range(1, 0x600), *range(0x2000, 0x2100), *range(0x3000, 0x3050)])
     want = tiktoken_ids(text)
-    assert [i for p in find(text) for i in bpe.merge(p.encode(), ranks)] == want == lib(text)
-    assert bpe.spaced_words("a  b") is None and bpe.spaced_words("a b") is None and bpe.spaced_words(" a b\nc ") == [" a", " b\nc", " "]
+    assert [i for p in find(text) for i in merger.ids(p.encode())] == want == lib(text)
+    assert not any(map(bpe.spaced, ("a  b", "a\u00a0b", "a \nb", "a\n b", "a\tb"))) and bpe.spaced(" a b\nc ")
 
 
 def test_token_files_round_trip(spark, library, monkeypatch):
@@ -169,3 +169,13 @@ def test_op8_query_against_library(spark, sf, library):
         part = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
         assert (r["ids_crc32"], r["doc_tokens"]) == (zlib.crc32(u32(part)), len(ids[r["doc_id"]]))
     assert sum(r["length"] for r in rows) == sum(map(len, ids.values()))
+
+
+def test_piecewise_encoding_is_the_librarys(library):
+    """Every code point of the ranges that words are remembered for, and others, alone and inside words."""
+    bytes_, words = token_files._encode(tokenizer_path("byte_bpe_50k.json"), 4), packing._encode(tokenizer_path("word_bpe_49k.json"), 4)
+    lib_bytes, lib_words = library("byte_bpe_50k.json"), library("word_bpe_49k.json")
+    for c in [*range(1, 0x260), *range(0x300, 0x310), *range(0x390, 0x3D0), 0x1E9E, 0x2028, 0x3000, 0xFB01, 0x1F600]:
+        for text in (chr(c), f"Ab{chr(c)}cD, x{chr(c)}{chr(c)} {chr(c)}1a", f"{chr(c)} {chr(c).upper()}'s 12 {chr(c)}"):
+            assert bytes_([text, text]) == [u32(lib_bytes(text))] * 2, hex(c)
+            assert words([text, ""]) == [u32(lib_words(text)), b""], hex(c)
