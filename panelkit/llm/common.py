@@ -6,15 +6,17 @@ Conventions for all of them: only the named columns are read, so extra columns
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOKENIZER_DIR = None  # where the public tokenizer files lie; None: the installed public_tokenizers
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,20 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+_scopes: dict[str, list[str]] = {}
+_scope = ["queries"]
+
+
+@contextmanager
+def scope(name: str):
+    """Tables that are written inside belong to ``name``, so that ``sweep`` finds them."""
+    _scope.append(name)
+    try:
+        yield
+    finally:
+        _scope.pop()
+
+
 def written(df: DataFrame, name: str, **options) -> DataFrame:
     """Cut the lineage: write to the shared folder, read the table again.
 
@@ -37,11 +53,44 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/panelkit-llm/{name}-{uuid.uuid4().hex}"
+    _scopes.setdefault(_scope[-1], []).append(path)
     writer = df.write.mode("errorifexists")
     for k, v in options.items():
         writer = writer.option(k, v)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    usual = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, "1000")  # texts are long: batches of the usual length would take much memory
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, usual)
+    got = spark.read.schema(df.schema).parquet(path)
+    got.written_path = path
+    return got
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for t in tables:
+        _delete(t.sparkSession, [t.written_path])
+
+
+def sweep(spark: SparkSession, *names: str) -> None:
+    """Delete all tables of these scopes; whatever was made from them must be stored by now."""
+    for n in names:
+        _delete(spark, _scopes.pop(n, []))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished work now: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def numbered(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import written
+from panelkit.llm.common import discard, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,8 +23,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         floor = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(floor, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(small.union(floor.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        old, now = now, written(small.union(floor.select("a", F.col("m").alias("b"))).distinct(), "edges")
         before, mark = mark, _mark(now)
+        discard(old)
         if mark == before:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

@@ -8,7 +8,7 @@ same k-mers are least and stand in the same order, which is sensitive to edit
 similarity, not to common content alone.
 
 Texts that agree in two entries or more are candidates; at a similarity of
-0.8 about 12 of 24 entries agree, and fewer than two with a chance of 1e-6.
+0.8 about 13 of 40 entries agree, and fewer than two with a chance of 2e-6.
 Candidates are verified on their whole word sequences by banded alignment: the
 longest common subsequence L of the labelled shingles inside the band that the
 similarity allows, L / (n + m - L) >= 0.8.
@@ -25,16 +25,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import map_rows, numbered, slim_texts, table, written
+from panelkit.llm.common import discard, map_rows, numbered, release, slim_texts, table, written
 from panelkit.llm.components import components
 
 SHINGLE = 5  # words
 SIMILARITY = 0.8
-ENTRIES = 24  # of a sketch
-SAMPLE = 3  # k-mers of an entry
-SMALL = 32  # a bucket of two entries up to this size is tested pair by pair
+ENTRIES = 40  # of a sketch
+SAMPLE = 5  # k-mers of an entry
+SMALL = 256  # a bucket of two entries or more is tested pair by pair up to this size
 WORD_BYTES = 3  # of a word's hash as kept for the alignment
 SEED = 977
+SALTS = 64
 
 
 def word_hashes(text: str):
@@ -75,16 +76,32 @@ def kmers(words):
     return s
 
 
+def _least(hashed):
+    """Per row the places of its SAMPLE least values; most rows are settled by those under a common bound."""
+    import numpy as np
+    rows, n = hashed.shape
+    if n <= 200:
+        return np.argpartition(hashed, SAMPLE - 1, axis=1)[:, :SAMPLE]
+    row, col = np.nonzero(hashed < np.uint64((1 << 64) // n * 5 * SAMPLE))
+    order = np.lexsort((hashed[row, col], row))
+    row, col = row[order], col[order]
+    count = np.bincount(row, minlength=rows)
+    if count.min() < SAMPLE:
+        return np.argpartition(hashed, SAMPLE - 1, axis=1)[:, :SAMPLE]
+    return col[(np.cumsum(count) - count)[:, None] + np.arange(SAMPLE)]
+
+
 def sketch(s):
     """The ENTRIES entries of the order MinHash of k-mers s."""
     import numpy as np
     rng = np.random.default_rng(SEED)
     factors = rng.integers(0, 1 << 63, ENTRIES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     out = np.arange(ENTRIES, dtype=np.uint64)
-    if len(s) <= SAMPLE:
-        least = np.broadcast_to(np.arange(len(s)), (ENTRIES, len(s)))
+    n = len(s)
+    if n <= SAMPLE:
+        least = np.broadcast_to(np.arange(n), (ENTRIES, n))
     else:
-        least = np.sort(np.argpartition(s[None, :] * factors[:, None], SAMPLE - 1, axis=1)[:, :SAMPLE], axis=1)  # in text order
+        least = np.sort(_least(s[None, :] * factors[:, None]), axis=1)  # in text order
     for i in range(least.shape[1]):
         out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + s[least[:, i]])
     return out
@@ -160,7 +177,9 @@ def _verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
     left = pairs.join(words.select(F.col("row").alias("a"), F.col("words").alias("x")), "a")
     both = left.join(words.select(F.col("row").alias("b"), F.col("words").alias("y")), "b").select("a", "b", "x", "y")
-    return written(map_rows(both, run, "a long, b long"), "similar")
+    found = written(map_rows(both, run, "a long, b long"), "similar")
+    release(pairs.sparkSession)
+    return found
 
 
 def _classed(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -201,6 +220,7 @@ def classes(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = members.where("row != hub").groupBy(F.col("row").alias("a"), F.col("hub").alias("b")).count().where("count > 1").select("a", "b")
     tested = written(pairs, "tested")
     links = _verify(tested, words, similarity)
+    made = [tested, links]
     roots = components(links)
     at = members.select("row", "bucket", "last")
     for depth in range(2, 1_000_000):
@@ -210,23 +230,29 @@ def classes(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         else:  # a hub has met its whole bucket: it is done
             at = mixed.where("row != hub").select("row", "bucket", "last")
         mixed = written(_mixed(_classed(at, roots)), "mixed")
+        made.append(mixed)
         small = mixed.where(F.col("size") <= SMALL).select("bucket", "row", "class")
         other = small.select("bucket", F.col("row").alias("b"), F.col("class").alias("class_b"))
         whole = small.join(other, "bucket").where("row > b AND class != class_b").select(F.col("row").alias("a"), "b")
         large = mixed.where(F.col("size") > SMALL)
         stars = large.where("class != hub_class").select(F.col("row").alias("a"), F.col("hub").alias("b"))
-        pairs = written(whole.union(stars).distinct().join(tested, ["a", "b"], "left_anti"), "tested")
+        made.append(pairs := written(whole.union(stars).distinct().join(tested, ["a", "b"], "left_anti"), "tested"))
         tested = tested.union(pairs)
-        more = _verify(pairs, words, similarity)
+        made.append(more := _verify(pairs, words, similarity))
         links = links.union(more)
-        at = written(large.select("row", "bucket", "last"), "large")
+        made.append(at := written(large.select("row", "bucket", "last"), "large"))
         rest = at.isEmpty()
         if not more.isEmpty():
             roots = components(links)
         if rest:
             break
-    ids = slim.join(node, "digest", "left").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
+    # copies of one text are dealt over SALTS tasks
+    node = node.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    slim = slim.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    ids = slim.join(node, ["digest", "salt"], "left").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     ids = written(ids.select("row", "doc_id", F.coalesce("root", "node", "row").alias("root")), "class-roots")
+    discard(docs, entries, members, *made)
+    release(df.sparkSession)
     first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")
     best = ids.groupBy("root").agg(F.min(first).alias("best"))
     return ids.join(best, "root").select("row", "doc_id", F.col("best.doc_id").alias("class_id"), (F.col("row") == F.col("best.row")).alias("kept"))

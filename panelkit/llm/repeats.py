@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import map_rows, numbered, slim_texts, table, written
+from panelkit.llm.common import map_rows, numbered, release, slim_texts, table, written
 from panelkit.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 100  # bytes
@@ -43,6 +43,7 @@ STEP = 1 << 19  # windows worked on at once; places fit PLACE bits
 PLACE = np.uint64((1 << 20) - 1)
 BUCKET_BYTES = 8_000_000  # of text, per bucket of anchors
 SHARD_BYTES = 2_000_000  # of spans, per suffix array, about
+SALTS = 64
 HOT = 4_096  # different texts that hold an anchor, from which on its windows go one by one
 
 
@@ -354,10 +355,13 @@ def repeats(rows: DataFrame, with_text: bool = False) -> DataFrame:
     base = written(rows.select(F.col("__row").alias("row"), "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole")), "repeat-documents")
     order = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "row")
     firsts = base.where(F.col("n_bytes") >= LENGTH).groupBy("whole").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1").select("whole", F.col("f.row").alias("first"))
-    copies = written(base.join(firsts, "whole").where("row != first").select("row"), "repeat-copies")
+    # a text that very many documents hold is dealt over SALTS tasks
+    salted = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    copies = written(base.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["whole", "salt"]).where("row != first").select("row"), "repeat-copies")
     total = base.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     anchors = repeated_anchors(rows, max(16, total // BUCKET_BYTES))
     work = candidates(rows, anchors, copies)
+    release(rows.sparkSession)
     spans = work.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     masks = _settle_spans(_send_spans(work, max(16, spans // SHARD_BYTES)))
     changed = _add_up(work, masks, with_text).withColumnRenamed("sha256", "rest")
