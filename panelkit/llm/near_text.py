@@ -7,17 +7,19 @@ their hash is one entry of the sketch.  Two texts agree in an entry if the
 same k-mers are least and stand in the same order, which is sensitive to edit
 similarity, not to common content alone.
 
-Texts that agree in two entries or more are candidates; at a similarity of
-0.8 about 13 of 40 entries agree, and fewer than two with a chance of 2e-6.
+Texts that agree in AGREE entries or more are candidates; at a similarity of
+0.8 about 13 of 40 entries agree, and fewer than three with a chance of 3e-5.
 Candidates are verified on their whole word sequences by banded alignment: the
 longest common subsequence L of the labelled shingles inside the band that the
 similarity allows, L / (n + m - L) >= 0.8.
 
-Groups are never expanded into pairs.  A bucket's texts are first tested
-against the bucket's least one.  What that leaves in different classes is
-dealt into buckets of two agreeing entries; small ones are tested whole, large
-ones by their least texts, then of three entries, then again and again with
-other texts until nothing is left to test, so no size loses a link.
+No pair of texts is ever a row but a link or one of the first tests.  First,
+each text is tested against the text that is least in most of its buckets;
+links contract texts to classes.  Then buckets that still hold several classes
+are worked through one by one: candidates between classes, those that agree
+most first, until they are linked or all have been tested; a pair is looked at
+in the first entry it agrees in.  A bucket of more than LARGE texts is dealt by
+the next entries that its texts agree in.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ SHINGLE = 5  # words
 SIMILARITY = 0.8
 ENTRIES = 40  # of a sketch
 SAMPLE = 5  # k-mers of an entry
-SMALL = 256  # a bucket of two entries or more is tested pair by pair up to this size
+AGREE = 3  # entries in which candidates agree at least
+LARGE = 2_048  # texts of a bucket that one task works through
 WORD_BYTES = 3  # of a word's hash as kept for the alignment
 SEED = 977
 SALTS = 64
@@ -107,8 +110,17 @@ def sketch(s):
     return out
 
 
-def aligned(a, b, similarity: float = SIMILARITY) -> bool:
-    """Whether k-mer sequences a and b reach the similarity by an alignment inside the band.
+class Kmers:
+    """The k-mers of a text and, for look-ups, their order."""
+
+    def __init__(self, kmers):
+        self.kmers = kmers
+        self.order = kmers.argsort()
+        self.ranked = kmers[self.order]
+
+
+def aligned(a: Kmers, b: Kmers, similarity: float = SIMILARITY) -> bool:
+    """Whether two k-mer sequences reach the similarity by an alignment inside the band.
 
     An alignment with L matches has n + m - 2L gaps, so one that suffices leaves the diagonal by no more than that.
     K-mers are different within a text, so the longest common subsequence is a longest increasing one.
@@ -117,16 +129,17 @@ def aligned(a, b, similarity: float = SIMILARITY) -> bool:
     from math import ceil
 
     import numpy as np
-    n, m = len(a), len(b)
+    n, m = len(a.kmers), len(b.kmers)
     if not n or not m:
         return False
     need = ceil(similarity * (n + m) / (1 + similarity) - 1e-9)
     if need > min(n, m):
         return False
-    order = np.argsort(a)
-    where = order[np.minimum(np.searchsorted(a, b, sorter=order), n - 1)]
-    at = np.flatnonzero(a[where] == b)
-    pos = where[at]
+    where = np.minimum(a.ranked.searchsorted(b.kmers), n - 1)
+    at = np.flatnonzero(a.ranked[where] == b.kmers)
+    if len(at) < need:
+        return False
+    pos = a.order[where[at]]
     pos = pos[np.abs(pos - at) <= n + m - 2 * need]
     if len(pos) < need:
         return False
@@ -142,32 +155,34 @@ def aligned(a, b, similarity: float = SIMILARITY) -> bool:
     return len(tails) >= need
 
 
+def unpacked(raw: bytes) -> Kmers:
+    """The k-mers from the stored word hashes."""
+    import numpy as np
+    x = np.zeros((len(raw) // WORD_BYTES, 8), np.uint8)
+    x[:, :WORD_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, WORD_BYTES)
+    return Kmers(kmers(x.view("<u8").ravel()))
+
+
 def sketches(df: DataFrame) -> DataFrame:
-    """row, doc_id, digest (of the word sequence), n (words), entries, words: written; one pass over the whole texts."""
+    """row, doc_id, digest (of the word sequence), n (k-mers), entries (64-bit each), words: written; one pass over the whole texts."""
     def run(rows):
         import numpy as np
         import xxhash
         for row, doc_id, text in rows:
             w = word_hashes(text)
             raw = w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
-            entries = sketch(kmers(w)).view(np.int64).tolist() if len(w) else []
-            yield row, doc_id, xxhash.xxh3_128_digest(b" ".join(text.encode("utf-8", "surrogatepass").split())), len(w), entries, raw
+            k = kmers(w)
+            entries = sketch(k).astype("<u8").tobytes() if len(w) else b""
+            yield row, doc_id, xxhash.xxh3_128_digest(b" ".join(text.encode("utf-8", "surrogatepass").split())), len(k), entries, raw
 
     docs = df if "__row" in df.columns else df.withColumn("__row", F.monotonically_increasing_id())
     docs = slim_texts(docs, "__row", "doc_id")
-    return written(map_rows(docs, run, "row long, doc_id long, digest binary, n long, entries array<long>, words binary"), "order-minhash", compression="zstd")
+    return written(map_rows(docs, run, "row long, doc_id long, digest binary, n long, entries binary, words binary"), "order-minhash", compression="zstd")
 
 
 def _verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """The rows (a, b) of ``pairs`` that are similar; words: row, words."""
     def run(rows):
-        import numpy as np
-
-        def unpacked(raw):
-            x = np.zeros((len(raw) // WORD_BYTES, 8), np.uint8)
-            x[:, :WORD_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, WORD_BYTES)
-            return kmers(x.view("<u8").ravel())
-
         last, held = None, None
         for a, b, x, y in rows:
             if b != last:
@@ -182,21 +197,108 @@ def _verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return found
 
 
-def _classed(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """``members`` (row, bucket, ...) with class: the root of their row, the row itself where it has no link yet."""
-    return members.join(classes, F.col("row") == F.col("node"), "left").withColumn("class", F.coalesce("root", "row")).drop("node", "root")
+def _buckets(rows: DataFrame) -> DataFrame:
+    """row, bucket, path of every entry of ``rows`` (row, entries); path: the entries that the bucket's texts agree in."""
+    def run(parts):
+        import numpy as np
+        for row, entries in parts:
+            for i, e in enumerate(_hashed(np.frombuffer(entries, "<u8"))):
+                yield row, e, [i]
 
+    return map_rows(rows.select("row", "entries"), run, "row long, bucket long, path array<int>")
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """The members of buckets that still hold more than one class, with size and hub (the bucket's least row) and its class."""
-    of = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("row", "class")).alias("h"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
-    return members.join(of.select("bucket", "size", F.col("h.row").alias("hub"), F.col("h.class").alias("hub_class")), "bucket")
 
+def _hashed(entries, bucket: int = 0) -> list[int]:
+    """A number per entry that tells its place and value, and the bucket it deepens."""
+    import numpy as np
+    return _mix(_mix(entries + np.arange(len(entries), dtype=np.uint64)) ^ np.uint64(bucket & ((1 << 64) - 1))).view(np.int64).tolist()
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members (row, bucket, path) of buckets that hold more than one class, with class and size of the bucket.
+
+    A text without links is a class of its own.
+    """
+    classed = members.join(roots, F.col("row") == F.col("node"), "left").withColumn("class", F.coalesce("root", "row")).drop("node", "root")
+    of = classed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
+    return classed.join(of.select("bucket", "size"), "bucket")
+
+
+def bucket_links(rows: list[tuple], similarity: float):
+    """The links (row, row) between classes of one bucket, enough to join all that are linked.
+
+    rows: (path, row, class, n, entries, words).  Candidates are tested in order of agreement; a pair whose classes
+    have been joined meanwhile needs no test.
+    """
+    import numpy as np
+    path = list(rows[0][0])
+    sketches_ = np.frombuffer(b"".join(r[4] for r in rows), "<u8").reshape(len(rows), -1)
+    group = np.unique([r[2] for r in rows], return_inverse=True)[1]
+    size = np.array([r[3] for r in rows])
+    pairs = []
+    for b in range(1, len(rows)):
+        near = np.flatnonzero((group[:b] != group[b]) & (np.minimum(size[:b], size[b]) >= similarity * np.maximum(size[:b], size[b])))
+        if len(near):
+            agree = sketches_[near] == sketches_[b]
+            # the bucket's entries must be the first that the two agree in, so that no other bucket has the pair
+            here = (agree.sum(1) >= AGREE) & (agree[:, :path[-1] + 1].sum(1) == len(path))
+            if here.any():
+                pairs.append(np.column_stack([near[here], np.full(here.sum(), b), agree[here].sum(1)]))
+    if not pairs:
+        return
+    pairs = np.concatenate(pairs)
+    up = list(range(int(group.max()) + 1))
+
+    def root(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    known: dict[int, Kmers] = {}
+    group = group.tolist()
+    for a, b, _ in pairs[np.argsort(-pairs[:, 2], kind="stable")].tolist():
+        x, y = root(group[a]), root(group[b])
+        if x == y:
+            continue
+        for k in (a, b):
+            if k not in known:
+                known[k] = unpacked(rows[k][5])
+        if aligned(known[a], known[b], similarity):
+            up[max(x, y)] = min(x, y)
+            yield rows[a][1], rows[b][1]
+
+
+def _work_through(mixed: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the links between classes inside buckets."""
+    rows = mixed.join(docs.select("row", "n", "entries", "words"), "row").select("bucket", "path", "row", "class", "n", "entries", "words")
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket")
+
+    def run(parts):
+        key, held = None, []
+        for bucket, *r in parts:
+            if held and bucket != key:
+                yield from bucket_links(held, similarity)
+                held = []
+            key = bucket
+            held.append(r)
+        if held:
+            yield from bucket_links(held, similarity)
+
+    return written(map_rows(ordered, run, "a long, b long"), "bucket-links")
+
+
+def _deeper(mixed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The members dealt by each later entry as well: row, bucket, path."""
+    def run(rows):
+        import numpy as np
+        for row, bucket, path, entries in rows:
+            for i, e in enumerate(_hashed(np.frombuffer(entries, "<u8"), bucket)):
+                if i > path[-1]:
+                    yield row, e, [*path, i]
 
-def _deeper(mixed: DataFrame, entries: DataFrame) -> DataFrame:
-    """The members dealt by one more agreeing entry, later than those of their bucket: row, bucket, last."""
-    rows = mixed.select("row", "bucket", "last").join(entries, "row")
-    return rows.select("row", "bucket", "last", F.posexplode("entries").alias("at", "entry")).where("at > last").select("row", F.xxhash64("bucket", "at", "entry").alias("bucket"), F.col("at").alias("last"))
+    rows = mixed.select("row", "bucket", "path").join(docs.select("row", "entries"), "row").select("row", "bucket", "path", "entries")
+    return map_rows(rows, run, "row long, bucket long, path array<int>")
 
 
 def classes(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -209,49 +311,30 @@ def classes(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     docs = sketches(df)
     node = docs.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"))
     slim = docs.select("row", "doc_id", "digest")
-    words = docs.select("row", "words")
-    entries = docs.select("row", "digest", "entries").join(node, "digest").where("row = node").select("row", "entries")
-    entries = written(entries, "order-minhash-distinct")
-    flat = entries.select("row", F.posexplode("entries").alias("last", "entry")).select("row", F.xxhash64("last", "entry").alias("bucket"), "last")
+    flat = _buckets(docs.select("row", "digest", "entries").join(node, "digest").where("row = node"))
     sized = flat.groupBy("bucket").agg(F.min("row").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = written(flat.join(sized, "bucket"), "buckets")
-    # first: against the least text of a bucket, where two buckets agree on it; a pair that meets with different
-    # hubs is found below
-    pairs = members.where("row != hub").groupBy(F.col("row").alias("a"), F.col("hub").alias("b")).count().where("count > 1").select("a", "b")
-    tested = written(pairs, "tested")
-    links = _verify(tested, words, similarity)
-    made = [tested, links]
-    roots = components(links)
-    at = members.select("row", "bucket", "last")
-    for depth in range(2, 1_000_000):
-        mixed = _mixed(_classed(at, roots))
-        if depth <= 3:
-            at = _deeper(mixed, entries)
-        else:  # a hub has met its whole bucket: it is done
-            at = mixed.where("row != hub").select("row", "bucket", "last")
-        mixed = written(_mixed(_classed(at, roots)), "mixed")
-        made.append(mixed)
-        small = mixed.where(F.col("size") <= SMALL).select("bucket", "row", "class")
-        other = small.select("bucket", F.col("row").alias("b"), F.col("class").alias("class_b"))
-        whole = small.join(other, "bucket").where("row > b AND class != class_b").select(F.col("row").alias("a"), "b")
-        large = mixed.where(F.col("size") > SMALL)
-        stars = large.where("class != hub_class").select(F.col("row").alias("a"), F.col("hub").alias("b"))
-        made.append(pairs := written(whole.union(stars).distinct().join(tested, ["a", "b"], "left_anti"), "tested"))
-        tested = tested.union(pairs)
-        made.append(more := _verify(pairs, words, similarity))
+    members = written(flat.join(sized.drop("size"), "bucket"), "buckets")
+    # the text that is least in most of a text's buckets, if in enough of them for a candidate
+    often = members.where("row != hub").groupBy("row", "hub").count().where(F.col("count") >= AGREE)
+    first = often.groupBy("row").agg(F.max(F.struct("count", -F.col("hub"))).alias("m")).select(F.col("row").alias("a"), (-F.col("m")["col2"]).alias("b"))
+    made = [members, links := _verify(first, docs.select("row", "words"), similarity)]
+    roots, at = components(links), members.select("row", "bucket", "path")
+    while True:
+        mixed = written(_mixed(at, roots), "mixed")
+        made += [mixed, more := _work_through(mixed.where((F.col("size") <= LARGE) | (F.size("path") >= AGREE)), docs, similarity)]
+        release(df.sparkSession)
         links = links.union(more)
-        made.append(at := written(large.select("row", "bucket", "last"), "large"))
-        rest = at.isEmpty()
-        if not more.isEmpty():
-            roots = components(links)
-        if rest:
+        roots = components(links)
+        large = mixed.where((F.col("size") > LARGE) & (F.size("path") < AGREE))
+        if large.isEmpty():
             break
+        at = _deeper(large, docs)
     # copies of one text are dealt over SALTS tasks
     node = node.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     slim = slim.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
     ids = slim.join(node, ["digest", "salt"], "left").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     ids = written(ids.select("row", "doc_id", F.coalesce("root", "node", "row").alias("root")), "class-roots")
-    discard(docs, entries, members, *made)
+    discard(docs, *made)
     release(df.sparkSession)
     first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")
     best = ids.groupBy("root").agg(F.min(first).alias("best"))

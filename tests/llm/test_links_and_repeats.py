@@ -74,12 +74,12 @@ def test_banded_alignment_is_the_full_one():
         b = list(dict.fromkeys(b))
         n = lcs(a, b)
         want = bool(a and b) and n / (len(a) + len(b) - n) >= 0.8 - 1e-12
-        assert near_text.aligned(np.array(a, np.uint64), np.array(b, np.uint64)) == want, (a, b)
+        assert near_text.aligned(near_text.Kmers(np.array(a, np.uint64)), near_text.Kmers(np.array(b, np.uint64))) == want, (a, b)
 
 
 def brute_classes(rows):
     """rows: (row number, doc_id, text).  All pairs, no sketch."""
-    k = [near_text.kmers(near_text.word_hashes(t or "")) for _, _, t in rows]
+    k = [near_text.Kmers(near_text.kmers(near_text.word_hashes(t or ""))) for _, _, t in rows]
     u = Union()
     for i in range(len(rows)):
         u.find(i)
@@ -118,9 +118,10 @@ def test_near_text_odd_inputs(spark):
     assert left.count() == n and left.columns == odd.docs(spark).columns
 
 
-def test_near_text_hot_families(spark, monkeypatch):
-    """Families larger than SMALL, chains near the limit and a passage that very many texts share."""
-    monkeypatch.setattr(near_text, "SMALL", 4)
+@pytest.mark.parametrize("large", [2_048, 4])
+def test_near_text_hot_families(spark, monkeypatch, large):
+    """Families larger than a bucket may be, chains near the limit and a passage that very many texts share."""
+    monkeypatch.setattr(near_text, "LARGE", large)
     rng = random.Random(11)
     texts = [t for n, e in ((40, 2), (30, 5), (12, 1), (2, 1)) for t in family(rng, n, edits=e)]
     step = family(rng, 1)[0].split()
