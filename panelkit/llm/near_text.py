@@ -337,8 +337,11 @@ def classes(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     discard(docs, *made)
     release(df.sparkSession)
     first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")
-    best = ids.groupBy("root").agg(F.min(first).alias("best"))
-    return ids.join(best, "root").select("row", "doc_id", F.col("best.doc_id").alias("class_id"), (F.col("row") == F.col("best.row")).alias("kept"))
+    best = ids.groupBy("root").agg(F.min(first).alias("best"), F.count("*").alias("n")).where("n > 1")
+    best = best.select("root", "best", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = ids.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(best, ["root", "salt"], "left")
+    alone = F.col("best").isNull()
+    return dealt.select("row", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"), (alone | (F.col("row") == F.col("best.row"))).alias("kept"))
 
 
 def deduplicate(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
