@@ -29,19 +29,20 @@ def _hash52(c: Column) -> Column:
 
 
 def records(df: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, key, tie: all that sharding needs to know of a document.  Null texts count as empty."""
+    """doc_id, size, text_crc32, key, tie, row: all that sharding needs to know of a document.  Null texts count as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
     tie = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return df.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), _hash52(text).alias("key"), _hash52(tie).alias("tie"))
+    return df.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), _hash52(text).alias("key"), _hash52(tie).alias("tie"), F.monotonically_increasing_id().alias("row"))
 
 
 def splitters(recs: DataFrame, total: int) -> list[int]:
     """Boundaries of the ranges: quantiles of a size-weighted sample of about SAMPLES keys.
 
-    A key that is several quantiles gets a range of its own.
+    A key that is several quantiles gets a range of its own.  Rows are drawn by their number, so that repeated ones
+    are not drawn all at once.
     """
     rate = SAMPLES / max(total, 1)
-    u = F.pmod(F.xxhash64("key", "tie", "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    u = F.pmod(F.xxhash64("row"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     drawn = recs.where(u < F.col("size") * rate).select("key", F.greatest(F.lit(1.0), F.col("size") * rate).alias("weight")).collect()
     drawn.sort()
     step, at, bounds, last = sum(w for _, w in drawn) / RANGES, 0.0, {0}, None
@@ -91,7 +92,7 @@ def shard(df: DataFrame, n_shards: int = 8, slack: float = GROUP_SLACK) -> DataF
     sums = celled.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # over cells, not records
     starts = sums.select("cell", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("cell_at"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cell_rank"))
-    inside = Window.partitionBy("cell").orderBy("key", "tie", "doc_id")
+    inside = Window.partitionBy("cell").orderBy("key", "tie", "doc_id", "row")
     placed = written(
         celled.withColumn("at", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("rank", F.row_number().over(inside) - 1)
         .join(starts, "cell").select("doc_id", "size", "text_crc32", "key", (F.col("at") + F.col("cell_at")).alias("at"), (F.col("rank") + F.col("cell_rank")).alias("rank")), "shard-placed")

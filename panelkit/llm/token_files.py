@@ -85,7 +85,8 @@ def train(df: DataFrame, path: str, width: int, end_id: int) -> bytes:
     import zstandard
     n = df.count()
     rate = min(1.0, SAMPLES / max(n, 1))
-    docs = slim_texts(df, "doc_id").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(rate * 1_000_000))
+    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1_000_000_000)) < int(rate * 1_000_000_000)
+    docs = slim_texts(df.where(drawn), "doc_id")
 
     def run(rows):
         encode = _encode(path, width)
