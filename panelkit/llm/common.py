@@ -10,6 +10,7 @@ import gc
 import os
 import sys
 import tempfile
+import time
 import uuid
 from contextlib import contextmanager
 
@@ -88,9 +89,12 @@ def sweep(spark: SparkSession, *names: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished work now: it does so when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of finished work now: it does so when the driver collects its garbage, and
+    the JVM's only goes once Python's is gone."""
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def numbered(df: DataFrame) -> DataFrame:
