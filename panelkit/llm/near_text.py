@@ -13,6 +13,12 @@ Candidates are verified on their whole word sequences by banded alignment: the
 longest common subsequence L of the labelled shingles inside the band that the
 similarity allows, L / (n + m - L) >= 0.8.
 
+An entry of a text with few k-mers holds a large part of them, so that similar
+texts may agree in none.  Pairs of which one has SHORT k-mers or fewer are
+found exactly, by a prefix filter: in any common order of the k-mers, of two
+similar texts the first n - ceil(0.8 n) + 1 share one.  The order puts frequent
+k-mers last; each k-mer of a prefix is a bucket, of which all pairs are tested.
+
 No pair of texts is ever a row but a link or one of the first tests.  First,
 each text is tested against the text that is least in most of its buckets;
 links contract texts to classes.  Then buckets that still hold several classes
@@ -35,6 +41,9 @@ SIMILARITY = 0.8
 ENTRIES = 40  # of a sketch
 SAMPLE = 5  # k-mers of an entry
 AGREE = 3  # entries in which candidates agree at least
+SHORT = 20  # k-mers up to which a text's pairs are found exactly, not by entries
+FREQUENT = 4_096  # k-mers that come last in the order of the prefix filter
+PREFIX = -1  # the path of a prefix's bucket
 LARGE = 2_048  # texts of a bucket that one task works through
 WORD_BYTES = 3  # of a word's hash as kept for the alignment
 SEED = 977
@@ -208,6 +217,32 @@ def _buckets(rows: DataFrame) -> DataFrame:
     return map_rows(rows.select("row", "entries"), run, "row long, bucket long, path array<int>")
 
 
+def _prefix(n: int, similarity: float) -> int:
+    """Of how many first k-mers, in any common order, similar texts share one."""
+    from math import ceil
+    return n - ceil(similarity * n - 1e-9) + 1
+
+
+def _short_buckets(rows: DataFrame, similarity: float) -> DataFrame:
+    """row, bucket, path of the prefix of every text of ``rows`` (row, words)."""
+
+    def every(parts):
+        for _, words in parts:
+            for k in unpacked(words).kmers.view("i8").tolist():
+                yield (k,)
+
+    counted = map_rows(rows, every, "kmer long").groupBy("kmer").count().where("count > 1")
+    last = {r["kmer"]: i for i, r in enumerate(counted.orderBy("count", "kmer", ascending=False).limit(FREQUENT).collect())}
+
+    def run(parts):
+        for row, words in parts:
+            k = unpacked(words).kmers.view("i8").tolist()
+            for x in sorted(k, key=lambda x: (-last.get(x, FREQUENT), x))[:_prefix(len(k), similarity)]:
+                yield row, x, [PREFIX]
+
+    return map_rows(rows, run, "row long, bucket long, path array<int>")
+
+
 def _hashed(entries, bucket: int = 0) -> list[int]:
     """A number per entry that tells its place and value, and the bucket it deepens."""
     import numpy as np
@@ -241,7 +276,7 @@ def bucket_links(rows: list[tuple], similarity: float):
         if len(near):
             agree = sketches_[near] == sketches_[b]
             # the bucket's entries must be the first that the two agree in, so that no other bucket has the pair
-            here = (agree.sum(1) >= AGREE) & (agree[:, :path[-1] + 1].sum(1) == len(path))
+            here = np.ones(len(near), bool) if path == [PREFIX] else (agree.sum(1) >= AGREE) & (agree[:, :path[-1] + 1].sum(1) == len(path))
             if here.any():
                 pairs.append(np.column_stack([near[here], np.full(here.sum(), b), agree[here].sum(1)]))
     if not pairs:
@@ -311,21 +346,27 @@ def classes(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     docs = sketches(df)
     node = docs.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"))
     slim = docs.select("row", "doc_id", "digest")
-    flat = _buckets(docs.select("row", "digest", "entries").join(node, "digest").where("row = node"))
+    texts = docs.select("row", "digest", "n").join(node, "digest").where("row = node").select("row")
+    flat = _buckets(docs.where(F.col("n") > SHORT).join(texts, "row", "left_semi"))
+    # a text similar to a short one has SHORT / similarity k-mers at most
+    short = written(docs.where(F.col("n") * similarity <= SHORT + 1e-9).select("row", "words").join(texts, "row", "left_semi"), "short")
+    flat = flat.union(_short_buckets(short, similarity))
     sized = flat.groupBy("bucket").agg(F.min("row").alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = written(flat.join(sized.drop("size"), "bucket"), "buckets")
     # the text that is least in most of a text's buckets, if in enough of them for a candidate
-    often = members.where("row != hub").groupBy("row", "hub").count().where(F.col("count") >= AGREE)
+    weight = F.when(F.col("path")[0] == PREFIX, AGREE).otherwise(1)
+    often = members.where("row != hub").groupBy("row", "hub").agg(F.sum(weight).alias("count")).where(F.col("count") >= AGREE)
     first = often.groupBy("row").agg(F.max(F.struct("count", -F.col("hub"))).alias("m")).select(F.col("row").alias("a"), (-F.col("m")["col2"]).alias("b"))
-    made = [members, links := _verify(first, docs.select("row", "words"), similarity)]
+    made = [short, members, links := _verify(first, docs.select("row", "words"), similarity)]
     roots, at = components(links), members.select("row", "bucket", "path")
     while True:
         mixed = written(_mixed(at, roots), "mixed")
-        made += [mixed, more := _work_through(mixed.where((F.col("size") <= LARGE) | (F.size("path") >= AGREE)), docs, similarity)]
+        deep = (F.size("path") >= AGREE) | (F.col("path")[0] == PREFIX)
+        made += [mixed, more := _work_through(mixed.where((F.col("size") <= LARGE) | deep), docs, similarity)]
         release(df.sparkSession)
         links = links.union(more)
         roots = components(links)
-        large = mixed.where((F.col("size") > LARGE) & (F.size("path") < AGREE))
+        large = mixed.where((F.col("size") > LARGE) & ~deep)
         if large.isEmpty():
             break
         at = _deeper(large, docs)

@@ -139,6 +139,25 @@ def test_near_text_hot_families(spark, monkeypatch, large):
     assert Counter((r["doc_id"], r["class_id"]) for r in got) == want and sum(r["kept"] for r in got) == n
 
 
+@pytest.mark.parametrize("frequent", [4_096, 0])
+def test_near_text_short_texts(spark, monkeypatch, frequent):
+    """Pairs of 8 to 30 words near the limit, which agree in few entries or in none, and short texts with a common beginning."""
+    monkeypatch.setattr(near_text, "FREQUENT", frequent)
+    rng = random.Random(12)
+    texts = []
+    for n in range(8, 31):
+        for _ in range(12):
+            w = odd.prose(rng, n).split()
+            texts += [" ".join(w), " ".join(rng.choice((w[:-1], w[1:], [*w, "more"], [*w[:-1], "other"])))]
+    texts += [f"the same first words of all texts {odd.prose(rng, rng.randint(1, 4))}" for _ in range(60)]
+    texts = sorted(set(texts))
+    rng.shuffle(texts)
+    want, n = brute_classes([(i, i, t) for i, t in enumerate(texts)])
+    assert n < len(texts) - 100
+    got = near_text.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == want and sum(r["kept"] for r in got) == n
+
+
 def test_op2_query(spark, sf):
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet' ORDER BY doc_id").fetchall()
     want, n = brute_classes([(i, i, t) for i, t in rows])
