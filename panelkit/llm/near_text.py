@@ -8,7 +8,8 @@ same k-mers are least and stand in the same order, which is sensitive to edit
 similarity, not to common content alone.
 
 Texts that agree in AGREE entries or more are candidates; at a similarity of
-0.8 about 13 of 40 entries agree, and fewer than three with a chance of 3e-5.
+0.8 about 15 of 47 entries agree, and fewer than two with a chance of 2e-7 for
+long texts and 2e-6 at most for texts of 21 k-mers and more.
 Candidates are verified on their whole word sequences by banded alignment: the
 longest common subsequence L of the labelled shingles inside the band that the
 similarity allows, L / (n + m - L) >= 0.8.
@@ -38,9 +39,9 @@ from panelkit.llm.components import components
 
 SHINGLE = 5  # words
 SIMILARITY = 0.8
-ENTRIES = 40  # of a sketch
+ENTRIES = 47  # of a sketch
 SAMPLE = 5  # k-mers of an entry
-AGREE = 3  # entries in which candidates agree at least
+AGREE = 2  # entries in which candidates agree at least
 SHORT = 20  # k-mers up to which a text's pairs are found exactly, not by entries
 FREQUENT = 4_096  # k-mers that come last in the order of the prefix filter
 PREFIX = -1  # the path of a prefix's bucket

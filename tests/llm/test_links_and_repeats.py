@@ -158,6 +158,21 @@ def test_near_text_short_texts(spark, monkeypatch, frequent):
     assert Counter((r["doc_id"], r["class_id"]) for r in got) == want and sum(r["kept"] for r in got) == n
 
 
+def test_near_text_recall_by_length():
+    """The worst pairs of every length beyond the exact path are candidates but for 2e-6; the sketch's entries agree as calculated."""
+    from math import ceil, comb
+    for n in range(near_text.SHORT + 1, 300):
+        for m in range(n, int(n / 0.8) + 1):
+            common = ceil(0.8 * (n + m) / 1.8 - 1e-9)
+            p = comb(common, near_text.SAMPLE) / comb(n + m - common, near_text.SAMPLE)
+            assert common > n or sum(comb(near_text.ENTRIES, i) * p**i * (1 - p) ** (near_text.ENTRIES - i) for i in range(near_text.AGREE)) < 2e-6
+    rng, agree = np.random.default_rng(5), []
+    for _ in range(400):
+        k = rng.integers(0, 1 << 63, 25, dtype=np.uint64)
+        agree.append((near_text.sketch(k[:20]) == near_text.sketch(k)).mean())
+    assert abs(np.mean(agree) - comb(20, 5) / comb(25, 5)) < 0.02
+
+
 def test_op2_query(spark, sf):
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet' ORDER BY doc_id").fetchall()
     want, n = brute_classes([(i, i, t) for i, t in rows])
