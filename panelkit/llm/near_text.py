@@ -26,7 +26,9 @@ links contract texts to classes.  Then buckets that still hold several classes
 are worked through one by one: candidates between classes, those that agree
 most first, until they are linked or all have been tested; a pair is looked at
 in the first entry it agrees in.  A bucket of more than LARGE texts is dealt by
-the next entries that its texts agree in.
+the next entry that its texts agree in; if they agree in AGREE entries and are
+still too many, it is cut into blocks, and each pair of blocks is one piece of
+work of LARGE texts or so.
 """
 
 from __future__ import annotations
@@ -261,9 +263,9 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def bucket_links(rows: list[tuple], similarity: float):
-    """The links (row, row) between classes of one bucket, enough to join all that are linked.
+    """The links (row, row) between classes of one bucket, or of two of its blocks, enough to join all that are linked.
 
-    rows: (path, row, class, n, entries, words).  Candidates are tested in order of agreement; a pair whose classes
+    rows: (path, row, class, n, entries, words, block); of two blocks, only pairs between them count.  Candidates are tested in order of agreement; a pair whose classes
     have been joined meanwhile needs no test.
     """
     import numpy as np
@@ -271,9 +273,11 @@ def bucket_links(rows: list[tuple], similarity: float):
     sketches_ = np.frombuffer(b"".join(r[4] for r in rows), "<u8").reshape(len(rows), -1)
     group = np.unique([r[2] for r in rows], return_inverse=True)[1]
     size = np.array([r[3] for r in rows])
+    block = np.array([r[6] for r in rows])
+    within = block.min() == block.max()
     pairs = []
     for b in range(1, len(rows)):
-        near = np.flatnonzero((group[:b] != group[b]) & (np.minimum(size[:b], size[b]) >= similarity * np.maximum(size[:b], size[b])))
+        near = np.flatnonzero((group[:b] != group[b]) & (within | (block[:b] != block[b])) & (np.minimum(size[:b], size[b]) >= similarity * np.maximum(size[:b], size[b])))
         if len(near):
             agree = sketches_[near] == sketches_[b]
             # the bucket's entries must be the first that the two agree in, so that no other bucket has the pair
@@ -306,17 +310,22 @@ def bucket_links(rows: list[tuple], similarity: float):
 
 
 def _work_through(mixed: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): the links between classes inside buckets."""
-    rows = mixed.join(docs.select("row", "n", "entries", "words"), "row").select("bucket", "path", "row", "class", "n", "entries", "words")
-    ordered = rows.repartition("bucket").sortWithinPartitions("bucket")
+    """(a, b): the links between classes inside buckets, large ones block against block."""
+    # blocks of half of LARGE; block i goes with every block j to the piece (least, greatest), with itself to (i, i)
+    blocks = F.when(F.col("size") <= LARGE, 1).otherwise(F.ceil(2 * F.col("size") / LARGE)).cast("int")
+    cut = mixed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("row", "bucket"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select("row", "bucket", "path", "class", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    rows = cut.join(docs.select("row", "n", "entries", "words"), "row").select("bucket", "lo", "hi", "path", "row", "class", "n", "entries", "words", "block")
+    ordered = rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
 
     def run(parts):
         key, held = None, []
-        for bucket, *r in parts:
-            if held and bucket != key:
+        for bucket, lo, hi, *r in parts:
+            if held and (bucket, lo, hi) != key:
                 yield from bucket_links(held, similarity)
                 held = []
-            key = bucket
+            key = bucket, lo, hi
             held.append(r)
         if held:
             yield from bucket_links(held, similarity)

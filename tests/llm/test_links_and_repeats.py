@@ -173,6 +173,18 @@ def test_near_text_recall_by_length():
     assert abs(np.mean(agree) - comb(20, 5) / comb(25, 5)) < 0.02
 
 
+def test_near_text_blocks_of_a_bucket():
+    """Two blocks of one bucket give the pairs between them, one block its own."""
+    rng = random.Random(14)
+    rows = []
+    for i, t in enumerate(t for _ in range(3) for t in family(rng, 2, edits=1)):
+        w = near_text.word_hashes(t)
+        k = near_text.kmers(w)
+        rows.append(([near_text.PREFIX], i, i, len(k), near_text.sketch(k).tobytes(), w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :near_text.WORD_BYTES].tobytes(), int(i > 2)))
+    assert list(near_text.bucket_links(rows, 0.8)) == [(2, 3)]
+    assert list(near_text.bucket_links(rows[:3], 0.8)) == [(0, 1)] and list(near_text.bucket_links(rows[3:], 0.8)) == [(4, 5)]
+
+
 def test_op2_query(spark, sf):
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet' ORDER BY doc_id").fetchall()
     want, n = brute_classes([(i, i, t) for i, t in rows])
