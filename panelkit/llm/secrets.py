@@ -112,12 +112,8 @@ def _inflated(raw: bytes) -> bytes | None:
 
 
 def _as_text(raw: bytes) -> str | None:
-    """Decoded data counts as a layer only if it is UTF-8 without control characters."""
-    try:
-        s = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return s if s and s.replace("\n", "").replace("\t", "").replace("\r", "").isprintable() else None
+    """Decoded data as a layer: one character a byte, so that no byte hides what is beside it; all patterns are ASCII."""
+    return raw.decode("latin-1") or None
 
 
 def _unbase64(part: str) -> str | None:

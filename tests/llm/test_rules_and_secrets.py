@@ -59,6 +59,15 @@ def test_layers_and_their_spans():
     assert ("assign", mixed) in spans(f"see {mixed} there")
 
 
+def test_layers_with_odd_bytes():
+    for odd_byte in ("\u00a0", "\u200b", "\ufeff", "\x00", "\x1b"):
+        packed = base64.b64encode(f"my{odd_byte} {SECRET} ok".encode()).decode()
+        assert ("assign", packed) in spans(f"see {packed} there")
+    for raw in (b"\xff my " + SECRET.encode(), zlib.compress(b"\xff\x00 my " + SECRET.encode() + b" \xfe")):
+        packed = base64.b64encode(raw).decode()
+        assert ("assign", packed) in spans(f"see {packed} there")
+
+
 def test_long_runs_end(spark):
     for text in ("a" * 300_000 + "%", "%" * 100_000, "\\u" * 60_000, "AKIA" * 40_000, "f" * 200_000, "token=" * 30_000, "%41" * 30_000):
         assert set(secrets.base_spans(text)) <= set(secrets.scan(text))
