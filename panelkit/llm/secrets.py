@@ -10,8 +10,9 @@ came from, so a finding deep down is reported as a span of the text itself.
 
 from __future__ import annotations
 
-import base64
 import binascii
+import hashlib
+import itertools
 import re
 import zlib
 
@@ -33,13 +34,13 @@ ASSIGN = re.compile("(" + "|".join(map(_any_case, ("password", "passwd", "secret
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")  # the same spans: a run of the class is matched whole or not at all
-#: Stretches that may decode, by the layer they lead to.
-PERCENT = re.compile(r"[A-Za-z0-9_.~+/:=&?%-]+")  # whole runs, each character read once; those without an escape are passed over
-PERCENT_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
-UNICODE = re.compile(r"[!-~]+")
-UNICODE_ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+#: Stretches that may decode.  Lines of base64 are one stretch; what else stands before or after it is decoded along with it.
+PERCENT_ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})")
+UNICODE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+_C, _LINE = "[A-Za-z0-9+/_-]", r"[ \t]*\r?\n[ \t]*"
+BASE64 = re.compile(f"(?<!{_C})(?:{_C}{{1,15}}{_LINE})?{_C}{{16,}}(?:{_LINE}{_C}{{16,}})*(?:={{1,2}}|{_LINE}{_C}{{1,15}}={{0,2}})?")
+BASE64_LINE = re.compile(f"{_C}+={{0,2}}")
+URL_SAFE = bytes.maketrans(b"-_", b"+/")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -53,96 +54,145 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return [(a, KINDS[k], b) for a, k, b in sorted(found)]
 
 
-def _unescaped(part: str, kind: str):
-    """The decoded characters and, for each, its (start, end) in ``part``; None if nothing decodes."""
-    chars, spans, at = [], [], 0
-    pending: list[tuple[int, int, int]] = []  # bytes of percent escapes that form UTF-8 together
+def _unescaped(text: str, escape) -> tuple | None:
+    """The text with its escapes decoded and, for each character, its start and end in ``text``; None if it has none.
 
-    def flush():
-        if not pending:
-            return
-        raw, n = bytes(b for b, _, _ in pending), 0
-        for c in raw.decode("utf-8", "replace"):
-            used = max(1, len(c.encode())) if c != "�" else 1
-            used = min(used, len(pending) - n)
-            if used <= 0:
-                break
-            chars.append(c)
-            spans.append((pending[n][1], pending[n + used - 1][2]))
-            n += used
-        pending.clear()
-
-    hits = 0
-    for m in ESCAPE.finditer(part):
-        wanted = m.group(1) if kind == "percent" else m.group(2) or m.group(3)
-        if not wanted:
-            continue
-        hits += 1
-        if m.start() > at:
-            flush()
-            chars.extend(part[at:m.start()])
-            spans.extend((i, i + 1) for i in range(at, m.start()))
-        if kind == "percent":
-            pending.append((int(wanted, 16), m.start(), m.end()))
-        else:
-            chars.append(chr(int(wanted, 16)))
-            spans.append((m.start(), m.end()))
+    A percent escape is one character, also if it is one byte of several: all patterns are ASCII.
+    """
+    import numpy as np
+    chars, starts, ends, at = [], [], [], 0
+    for m in escape.finditer(text):
+        chars += [text[at:m.start()], chr(int(m[m.lastindex], 16))]
+        plain = np.arange(at, m.start())
+        starts += [plain, [m.start()]]
+        ends += [plain + 1, [m.end()]]
         at = m.end()
-    flush()
-    if not hits:
+    if not at:
         return None
-    chars.extend(part[at:])
-    spans.extend((i, i + 1) for i in range(at, len(part)))
-    return "".join(chars), spans
+    plain = np.arange(at, len(text))
+    return "".join([*chars, text[at:]]), (np.concatenate([*starts, plain]).astype(int), np.concatenate([*ends, plain + 1]).astype(int))
 
 
-MAX_INFLATED = 64_000_000  # bytes; a compressed layer beyond it is a decompression bomb, not a text
+WINDOW = 64_000_000  # bytes of inflated data that are one layer; more of it is searched in windows that overlap
+OVERLAP = 4_000_000
+STEP = 1 << 20  # bytes inflated at once
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    """The data inside a whole gzip or zlib stream, else None."""
-    if raw[:2] != b"\x1f\x8b" and not (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] * 256 + raw[1]) % 31 == 0):
-        return None
-    try:
-        d = zlib.decompressobj(47)
-        out = d.decompress(raw, MAX_INFLATED)
-        return out if d.eof else None
-    except zlib.error:
-        return None
+def _is_packed(raw: bytes) -> bool:
+    return raw[:2] == b"\x1f\x8b" or len(raw) > 1 and raw[0] & 15 == 8 and raw[0] >> 4 < 8 and (raw[0] * 256 + raw[1]) % 31 == 0
 
 
-def _as_text(raw: bytes) -> str | None:
-    """Decoded data as a layer: one character a byte, so that no byte hides what is beside it; all patterns are ASCII."""
-    return raw.decode("latin-1") or None
+def _inflated(chunks, left: list):
+    """The data inside gzip or zlib streams that follow one another, in parts; what a damaged or cut one gave counts.
 
+    ``left`` gets the bytes of the last chunk that follow the streams, if they end whole.
+    """
+    data, d = b"", None
+    for chunk in chunks:
+        data += chunk
+        while data:
+            if d is None:
+                if not _is_packed(data):
+                    left[:] = [len(data)]
+                    return
+                d = zlib.decompressobj(47)
+            while True:
+                try:
+                    out = d.decompress(data, STEP)
+                except zlib.error:
+                    return
+                data = d.unconsumed_tail
+                if out:
+                    yield out
+                if d.eof or len(out) < STEP:
+                    break
+            if d.eof:
+                left[:] = [len(d.unused_data)]
+                return
+    if d is None:
+        left[:] = [len(data)]
+
+
+def _windows(chunks, seen: frozenset = frozenset()):
+    """Texts of WINDOW bytes, each with the last OVERLAP of the one before; streams inside the stream are inflated too."""
+    first = next(chunks, None)
+    if first is None:
+        return
+    mark = hashlib.blake2b(first).digest()
+    whole = itertools.chain([first], chunks)
+    if _is_packed(first) and mark not in seen:  # else it may be a stream that holds itself
+        yield from _windows(_inflated(whole, []), seen | {mark})
+    else:
+        yield from _cut(whole)
+
+
+def _cut(chunks):
+    held = bytearray()
+    new = False
+    for chunk in chunks:
+        held += chunk
+        new = True
+        if len(held) >= WINDOW:
+            return
+    if new:
+        yield held.decode("latin-1")
 
-def _unbase64(part: str) -> str | None:
-    body = part.rstrip("=").replace("-", "+").replace("_", "/")
-    try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    inner = _inflated(raw)
-    while inner is not None:
-        raw, inner = inner, _inflated(inner)
-    return _as_text(raw)
+
+def _decoded(text: str, m):
+    """(texts, map) of a base64 stretch, at each of its four alignments: the bytes, and what is inflated from any place in them.
+
+    Bytes are read as one character each, so that no byte hides what is beside it.  A finding's span is that of the lines it comes from.
+    """
+    import numpy as np
+    lines = [x.span() for x in BASE64_LINE.finditer(text, m.start(), m.end())]
+    bodies = [text[a:b].rstrip("=") for a, b in lines]
+    body = "".join(bodies).encode().translate(URL_SAFE)
+    line = np.repeat(np.arange(len(lines)), [len(x) for x in bodies])  # of each character
+    starts, ends = np.array([a for a, _ in lines]), np.array([b for _, b in lines])
+    for k in range(4):
+        part = body[k:]
+        part = part[:-1] if len(part) % 4 == 1 else part
+        raw = binascii.a2b_base64(part + b"=" * (-len(part) % 4))
+        if not raw:
+            continue
+        of = np.arange(len(raw)) * 4 // 3 + k
+        lo, hi = line[of], line[np.minimum(of + 1, len(line) - 1)]
+        yield iter([raw.decode("latin-1")]), (starts[lo], ends[hi])
+        at = 0
+        for head in PACKED.finditer(raw):
+            if head.start() < at or not _is_packed(raw[head.start():head.start() + 2]):
+                continue
+            left = []
+            chunks = _inflated(iter([raw[head.start():]]), left)
+            for text_ in _windows(chunks):
+                end = len(raw) - left[0] if left else len(raw)
+                yield iter([text_]), (int(starts[lo[head.start()]]), int(ends[hi[end - 1]]))
+            if left:
+                at = len(raw) - left[0]
+
+
+PACKED = re.compile(rb"\x1f\x8b|[\x08\x18\x28\x38\x48\x58\x68\x78]")
 
 
 def layers(text: str):
-    """(decoded text, spans) of each stretch that decodes; spans: per decoded character its (start, end) in ``text``.
+    """(decoded text, map) of the whole text without its percent or unicode escapes, and of each stretch of base64.
 
-    Base64 and compressed data have no character map: each decoded character stands for the whole stretch.
+    The map: per decoded character its start and its end in ``text``, as two arrays, or one start and end for all.
     """
-    for kind, sign, run, escape in (("percent", "%", PERCENT, PERCENT_ESCAPE), ("unicode", "\\", UNICODE, UNICODE_ESCAPE)):
-        if sign in text and escape.search(text):
-            for m in run.finditer(text):
-                got = _unescaped(m.group(), kind) if escape.search(m.group()) else None
-                if got:
-                    yield got[0], [(a + m.start(), b + m.start()) for a, b in got[1]]
+    for sign, escape in (("%", PERCENT_ESCAPE), ("\\", UNICODE_ESCAPE)):
+        if sign in text and (got := _unescaped(text, escape)):
+            yield got
     for m in BASE64.finditer(text):
-        got = _unbase64(m.group())
-        if got:
-            yield got, [m.span()] * len(got)
+        for texts, to in _decoded(text, m):
+            for x in texts:
+                yield x, to
+
+
+def _mapped(to, a, b):
+    """Where the characters a to b of a layer come from; a and b may be arrays."""
+    if to is None:
+        return a, b
+    return (to[0][a], to[1][b - 1]) if hasattr(to[0], "__len__") else to
 
 
 def scan(text: str) -> list[tuple[int, str, int]]:
@@ -151,17 +201,27 @@ def scan(text: str) -> list[tuple[int, str, int]]:
     seen, work = set(), [(text, None)]  # a content counts as seen at its place only: the same secret elsewhere is another one
     while work:
         layer, at = work.pop()
-        for inner, spans in layers(layer):
-            to = spans if at is None else [(at[a][0], at[b - 1][1]) for a, b in spans]
-            if not inner or (mark := (inner, to[0][0], to[-1][1])) in seen:
+        for inner, own in layers(layer):
+            if not inner:
+                continue
+            to = at if at is not None and not hasattr(at[0], "__len__") else _mapped(at, *own)
+            first, last = _mapped(to, 0, len(inner))
+            mark = (hashlib.blake2b(inner.encode("utf-8", "surrogatepass")).digest(), int(first), int(last))
+            if mark in seen:
                 continue
             seen.add(mark)
             for a, kind, b in base_spans(inner):
-                found.add((to[a][0], kind, to[b - 1][1]))
-            work.append((inner, to))
+                x, y = _mapped(to, a, b)
+                found.add((int(x), kind, int(y)))
+            if SIGNS.search(inner):
+                work.append((inner, to))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[1]), x[2]))
 
 
+#: Without any of these, a layer holds nothing that decodes.
+SIGNS = re.compile(f"%|\\\\|{_C}{{16}}")
+
+
 def find_secrets(df: DataFrame) -> DataFrame:
     """doc_id, base and spans: arrays of (start, kind, end) over code points, end exclusive.
 

@@ -68,6 +68,23 @@ def test_layers_with_odd_bytes():
         assert ("assign", packed) in spans(f"see {packed} there")
 
 
+def test_wide_stretches():
+    for text in ("password%3A hunter2hunter2", 'token%3D"abcdef123', "password\\u003d hunter2hunter2"):
+        assert ("assign", text) in spans(f"see {text} there")
+    rng = random.Random(9)
+    noise = "".join(rng.choice("abcdefghijklmnop qrstuv") for _ in range(400))
+    for width in (64, 76):
+        for end in ("\n", "\r\n", "\n  "):
+            for raw in (f"{'x ' * 20}{SECRET} {noise}".encode(), gzip.compress(f"{noise} {SECRET}".encode())):
+                b = base64.b64encode(raw).decode()
+                wrapped = end.join(b[i:i + width] for i in range(0, len(b), width))
+                assert any(k == "assign" and wrapped.startswith(s[:16]) for k, s in spans(f"see:\n{wrapped}\nthere"))
+    for before in ("/", "/d/", "/dir/", "/dir/e/", "x_y-"):
+        for raw in (SECRET.encode(), gzip.compress(SECRET.encode())):
+            b = base64.b64encode(raw).decode()
+            assert any(k == "assign" and s.endswith(b) for k, s in spans(f"see {before}{b} there")), (before, raw)
+
+
 def test_long_runs_end(spark):
     for text in ("a" * 300_000 + "%", "%" * 100_000, "\\u" * 60_000, "AKIA" * 40_000, "f" * 200_000, "token=" * 30_000, "%41" * 30_000):
         assert set(secrets.base_spans(text)) <= set(secrets.scan(text))
