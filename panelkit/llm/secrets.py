@@ -107,8 +107,7 @@ def _inflated(chunks, left: list):
                 if d.eof or len(out) < STEP:
                     break
             if d.eof:
-                left[:] = [len(d.unused_data)]
-                return
+                data, d = d.unused_data.lstrip(b"\0"), None
     if d is None:
         left[:] = [len(data)]
 
@@ -133,7 +132,9 @@ def _cut(chunks):
         held += chunk
         new = True
         if len(held) >= WINDOW:
-            return
+            yield held.decode("latin-1")
+            del held[:-OVERLAP]
+            new = False
     if new:
         yield held.decode("latin-1")
 

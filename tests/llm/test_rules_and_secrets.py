@@ -85,6 +85,21 @@ def test_wide_stretches():
             assert any(k == "assign" and s.endswith(b) for k, s in spans(f"see {before}{b} there")), (before, raw)
 
 
+def test_inflated_to_the_end(monkeypatch):
+    members = gzip.compress(b"nothing here") + gzip.compress(b"my pass") + gzip.compress(f"word=hunter2hunter2 {KEY}".encode())
+    packed = base64.b64encode(members).decode()
+    assert {("assign", packed), ("access", packed)} <= spans(f"see {packed} there")
+    monkeypatch.setattr(secrets, "WINDOW", 3 * secrets.STEP)
+    monkeypatch.setattr(secrets, "OVERLAP", secrets.STEP)
+    for at in (3 * secrets.STEP - 10, 5 * secrets.STEP - 10, 9 * secrets.STEP):
+        big = b" " * at + SECRET.encode() + b" " * secrets.STEP
+        for z in (gzip.compress(big), zlib.compress(gzip.compress(big))):
+            packed = base64.b64encode(z).decode()
+            assert ("assign", packed) in spans(f"see {packed} there")
+            cut = packed[:len(packed) // 4 * 4 - 8]
+            assert z[:2] != b"\x1f\x8b" or ("assign", cut) in spans(f"see {cut} there")
+
+
 def test_long_runs_end(spark):
     for text in ("a" * 300_000 + "%", "%" * 100_000, "\\u" * 60_000, "AKIA" * 40_000, "f" * 200_000, "token=" * 30_000, "%41" * 30_000):
         assert set(secrets.base_spans(text)) <= set(secrets.scan(text))
