@@ -97,9 +97,18 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """The rows with __row, written: numbers that no later change of the input's partitions moves."""
-    return written(df.withColumn("__row", F.monotonically_increasing_id()), "numbered", compression="zstd")
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` has not got."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, written, so that no later change of the input's partitions moves it; its column."""
+    name = fresh(df, "__row")
+    return written(df.withColumn(name, F.monotonically_increasing_id()), "numbered", compression="zstd"), name
 
 
 def worker_state() -> dict:

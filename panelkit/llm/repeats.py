@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import map_rows, numbered, release, slim_texts, table, written
+from panelkit.llm.common import fresh, map_rows, numbered, release, slim_texts, table, written
 from panelkit.llm.suffix_array import permuted_prefixes, suffix_array
 
 LENGTH = 100  # bytes
@@ -119,8 +119,8 @@ def _by_key(df: DataFrame, *key: str) -> DataFrame:
 
 
 def _documents(rows: DataFrame) -> DataFrame:
-    """block, row, doc_id, text."""
-    return slim_texts(rows, "__row", "doc_id").select(F.shiftright("__row", BLOCK_BITS).alias("block"), F.col("__row").alias("row"), "doc_id", "text")
+    """block, row, doc_id, text of ``rows`` (row, doc_id, text)."""
+    return slim_texts(rows, "row", "doc_id").select(F.shiftright("row", BLOCK_BITS).alias("block"), "row", "doc_id", "text")
 
 
 def repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
@@ -345,14 +345,15 @@ def _add_up(work: DataFrame, masks: DataFrame, with_text: bool) -> DataFrame:
     return map_rows(_by_key(both, "block", "kind"), run, "row long, n_removed long, n_spans long, sha256 string, kept binary")
 
 
-def repeats(rows: DataFrame, with_text: bool = False) -> DataFrame:
+def repeats(rows: DataFrame, number: str, with_text: bool = False) -> DataFrame:
     """row, doc_id, n_bytes, n_removed, n_spans, sha256 of the bytes kept; with_text: kept, null where nothing was removed.
 
-    rows: as ``numbered`` gives them.  Null texts are empty.  Null doc_ids come first; rows of one doc_id are ordered by row number, and repeated
+    rows, number: as ``numbered`` gives them.  Null texts are empty.  Null doc_ids come first; rows of one doc_id are ordered by row number, and repeated
     rows are documents of their own, so later ones are removed whole (if LENGTH bytes or longer).
     """
+    rows = rows.select(F.col(number).alias("row"), "doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = written(rows.select(F.col("__row").alias("row"), "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole")), "repeat-documents")
+    base = written(rows.select("row", "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole")), "repeat-documents")
     order = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "row")
     firsts = base.where(F.col("n_bytes") >= LENGTH).groupBy("whole").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1").select("whole", F.col("f.row").alias("first"))
     # a text that very many documents hold is dealt over SALTS tasks
@@ -380,20 +381,21 @@ def remove_repeats(df: DataFrame) -> DataFrame:
 
     Characters that a cut leaves in part are dropped whole.  Texts without repeats stay as they are, null ones null.
     """
-    rows = numbered(df)
-    kept = repeats(rows, with_text=True).where("kept IS NOT NULL").select(F.col("row").alias("__row"), F.col("kept").alias("__kept"))
+    rows, number = numbered(df)
+    left = fresh(rows, "__kept")
+    kept = repeats(rows, number, with_text=True).where("kept IS NOT NULL").select(F.col("row").alias(number), F.col("kept").alias(left))
 
     @F.pandas_udf("string")
     def text(raw):
         import pandas as pd
         return pd.Series([None if b is None else bytes(b).decode("utf-8", "ignore") for b in raw], dtype=object)
 
-    out = rows.join(kept, "__row", "left").withColumn("text", F.coalesce(text("__kept"), F.col("text")))
+    out = rows.join(kept, number, "left").withColumn("text", F.coalesce(text(left), F.col("text")))
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*df.columns)
+        out = out.withColumn("n_chars", F.when(F.col(left).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return out.drop(number, left)
 
 
 def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = repeats(numbered(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    got = repeats(*numbered(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("sha256").alias("kept_sha256"))

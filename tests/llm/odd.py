@@ -4,7 +4,7 @@ import random
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: A few names that operators use for their outputs or inside.
-CLASH = ("shard", "slot", "key", "tie", "row", "n", "x", "score", "kept", "spans", "ids", "part", "block", "offset", "size", "class_id", "component_id", "bucket", "words", "at", "fold", "start")
+CLASH = ("shard", "slot", "key", "tie", "row", "n", "x", "score", "kept", "spans", "ids", "part", "block", "offset", "size", "class_id", "component_id", "bucket", "words", "at", "fold", "start", "__row", "__kept", "__at")
 
 
 def prose(rng, n):

@@ -158,6 +158,62 @@ def test_near_text_short_texts(spark, monkeypatch, frequent):
     assert Counter((r["doc_id"], r["class_id"]) for r in got) == want and sum(r["kept"] for r in got) == n
 
 
+@pytest.mark.parametrize("large", [2_048, 6])
+def test_near_text_short_texts_with_one_beginning(spark, monkeypatch, large):
+    """A prefix bucket larger than LARGE is dealt by lengths and further k-mers without loss."""
+    monkeypatch.setattr(near_text, "LARGE", large)
+    rng = random.Random(21)
+    begin = odd.prose(rng, 16).split()
+    texts = {" ".join([*begin[:k], *odd.prose(rng, r).split()]) for k in (9, 12, 14, 16) for r in (0, 1, 1, 2, 2, 3, 4) for _ in range(6)}
+    texts |= {" ".join([*odd.prose(rng, r).split(), *begin[:k]]) for k in (12, 16) for r in (0, 1, 2) for _ in range(6)}
+    texts |= {" ".join([*begin[:6], odd.prose(rng, 1), *begin[7:16]]) for _ in range(8)}
+    texts = sorted(texts)
+    rng.shuffle(texts)
+    want, n = brute_classes([(i, i, t) for i, t in enumerate(texts)])
+    got = near_text.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == want and sum(r["kept"] for r in got) == n
+
+
+def bucket_of(texts, path):
+    """Rows of a piece of work as bucket_links takes them, with two entries that all texts agree in."""
+    out = []
+    for i, w in enumerate(texts):
+        entries = np.concatenate([[7, 8], np.arange(near_text.ENTRIES - 2) + 1_000 * (i + 1)]).astype("<u8")
+        raw = w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :near_text.WORD_BYTES].tobytes()
+        out.append((path, i, i, len(w) - 4, entries.tobytes(), raw, 0))
+    return out
+
+
+def test_near_text_work_on_a_full_bucket_is_bounded():
+    """LARGE texts of PIECE words that share a passage but are not similar, and a few that are: under 200 MB and quick."""
+    import time
+    import tracemalloc
+    rng = np.random.default_rng(8)
+    passage = rng.integers(0, 1 << 24, 1_000)
+    texts = [np.concatenate([passage, rng.integers(0, 1 << 24, 900 + i % 100)]) for i in range(near_text.LARGE - 2)]
+    texts += [np.append(texts[3], rng.integers(0, 1 << 24, 50)), np.append(texts[4], texts[5][:40])]
+    rows = bucket_of(texts, [0, 1])
+    tracemalloc.start()
+    began = time.time()
+    got = list(near_text.bucket_links(rows, near_text.SIMILARITY))
+    assert tracemalloc.get_traced_memory()[1] < 200_000_000 and time.time() - began < 120
+    tracemalloc.stop()
+    assert sorted(tuple(sorted(p)) for p in got) == [(3, near_text.LARGE - 2), (4, near_text.LARGE - 1)]
+
+
+def test_bound_is_never_less_than_the_common_kmers():
+    rng = np.random.default_rng(9)
+    for n in (30, 400, 3_000):
+        words = [rng.integers(0, 1 << 24, n).astype(np.uint64) for _ in range(6)]
+        words += [np.concatenate([w[:n // 2], words[0][n // 2:]]) for w in words] + [np.zeros(n, np.uint64)]
+        texts = near_text.Texts([w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :near_text.WORD_BYTES].tobytes() for w in words], np.full(len(words), n - 4))
+        for b in range(1, len(words)):
+            bound = texts.bound(np.arange(b), b)
+            for a in range(b):
+                common = len(np.intersect1d(texts.kmers(a).kmers, texts.kmers(b).kmers))
+                assert common <= bound[a] <= common + n * n // texts.cells
+
+
 def test_near_text_recall_by_length():
     """The worst pairs of every length beyond the exact path are candidates but for 2e-6; the sketch's entries agree as calculated."""
     from math import ceil, comb
@@ -275,7 +331,7 @@ def test_repeats(spark, monkeypatch, hot):
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i))
     want = Counter((rows[i][0], *w) for i, w in zip(order, brute_repeats([(rows[i][1] or "").encode() for i in order])))
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, block string").coalesce(1)
-    got = Counter(tuple(r)[1:] for r in repeats.repeats(numbered(df)).collect())
+    got = Counter(tuple(r)[1:] for r in repeats.repeats(*numbered(df)).collect())
     assert got == want
 
 
@@ -284,9 +340,9 @@ def test_repeats_between_blocks_and_nothing(spark, monkeypatch):
     monkeypatch.setattr(repeats, "STEP", 4_096)
     rows = repeat_cases()
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string").repartition(5)
-    got = Counter(tuple(r)[1:] for r in repeats.repeats(numbered(df)).collect())
+    got = Counter(tuple(r)[1:] for r in repeats.repeats(*numbered(df)).collect())
     assert got == Counter((i, *w) for i, w in enumerate(brute_repeats([(t or "").encode() for _, t in rows])))
-    assert repeats.repeats(numbered(odd.empty(spark))).count() == 0
+    assert repeats.repeats(*numbered(odd.empty(spark))).count() == 0
 
 
 def test_remove_repeats_keeps_the_columns(spark):

@@ -74,7 +74,8 @@ def test_pipeline(spark, sf):
     def step(k, df):
         out = p.STAGES[k][1](spark, df, sf)
         assert out.columns == columns or k == 4
-        return numbered(out).drop("__row")
+        rows, number = numbered(out)
+        return rows.drop(number)
 
     good = step(0, docs)
     got = {r["doc_id"]: r for r in good.collect()}
