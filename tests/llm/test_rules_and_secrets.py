@@ -158,3 +158,30 @@ def test_cascade_verdict_is_independent_of_the_order(spark):
 def test_rules_ask_the_best_first():
     order = quality_rules.order_rules([{"rule": "symbols", "seconds": 1.0, "rejected": 5}, {"rule": "few_words", "seconds": 0.1, "rejected": 5}])
     assert [r.name for r in order[:2]] == ["few_words", "symbols"] and len(order) == len(quality_rules.RULES)
+
+
+def test_cascade_spares_what_lies_behind_a_rejection(spark, monkeypatch):
+    """No document that an earlier rule rejects computes a later rule's statistic; the others do."""
+    asked = spark.sparkContext.accumulator(0)
+    real = quality_rules.STATISTICS["n_commonest"]
+
+    def counted(t):
+        asked.add(1)
+        return real(t)
+
+    monkeypatch.setitem(quality_rules.STATISTICS, "n_commonest", counted)
+    docs = odd.docs(spark)
+    rows = quality_rules.cascade(docs, quality_rules.RULES, ["n_words", "n_repeat_words"]).collect()
+    through = sum(r["rejected_by"] in (None, "one_word") for r in rows)
+    assert asked.value == through and 0 < through < len(rows)
+    t = quality_rules.Text("few words")
+    assert quality_rules.first_rejection(t, quality_rules.RULES) == "few_words" and set(t.known) == {"n_words", "words", "one"}
+
+
+def test_given_statistics_cost_a_rule_nothing(spark):
+    import time
+    from unittest import mock
+    slow = {**quality_rules.STATISTICS, "n_symbols": lambda t: time.sleep(0.02) or 0}
+    with mock.patch.object(quality_rules, "STATISTICS", slow):
+        seconds = [next(m["seconds"] for m in quality_rules.measure(odd.docs(spark), one_in=1, given=g) if m["rule"] == "symbols") for g in ((), ("n_symbols", "n_words"))]
+    assert seconds[0] > 0.02 * len(odd.rows()) > 10 * seconds[1]
