@@ -1,4 +1,4 @@
-"""Byte-level BPE by ranks, and a memory of encoded words shared by the tokenizing operators."""
+"""Byte-level BPE by ranks, and memories of encoded words shared by the tokenizing operators."""
 
 from __future__ import annotations
 
@@ -161,6 +161,82 @@ def spaced(text: str) -> bool:
     return "  " not in text and "\n " not in text and " \n" not in text and text.replace("\n", "").isprintable()
 
 
+class WordTable:
+    """Ids by word, in Arrow and numpy arrays: looked up, gathered and forgotten without Python objects.
+
+    ``encode``: from a list of words to (ids of all, ids per word), two numpy arrays.  Beyond ``most`` bytes only the
+    words of the current texts stay, which moves time, never results.
+    """
+
+    def __init__(self, encode, width: int, most: int = 16_000_000):
+        import numpy as np
+        import pyarrow as pa
+        self.encode, self.kind, self.most = encode, f"<u{width}", most
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.length = np.zeros(0, self.kind), np.zeros(0, np.int64)
+
+    def _places(self, words):
+        """The places of different words in the table, which gets those that it has not."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        if len(new):
+            ids, count = self.encode(new.to_pylist())
+            at[at < 0] = len(self.words) + np.arange(len(new))
+            self.words = pa.concat_arrays([self.words, new])
+            self.ids, self.length = np.concatenate([self.ids, ids.astype(self.kind)]), np.concatenate([self.length, count])
+        return at
+
+    def _gather(self, words, skip=None):
+        """The ids of an Arrow array of words one after the other, and how many each has; ``skip``: places to leave out."""
+        import numpy as np
+        coded = words.dictionary_encode()
+        place = self._places(coded.dictionary)
+        begin = np.cumsum(self.length) - self.length
+        number = coded.indices.to_numpy()
+        take, begin_of = self.length[place], begin[place]
+        take = take[number]
+        if skip is not None:
+            take[skip] = 0
+        done = np.cumsum(take)
+        small = np.int32 if not len(done) or max(done[-1], len(self.ids)) < 1 << 31 else np.int64
+        at = np.repeat((begin_of[number] - (done - take)).astype(small), take)
+        at += np.arange(len(at), dtype=small)
+        out = self.ids[at]
+        if self.words.nbytes + self.ids.nbytes + self.length.nbytes > self.most:
+            self._keep(np.sort(place), begin)
+        return out, take
+
+    def flat(self, words: list[str]):
+        """(ids of all, ids per word) of words that may repeat."""
+        import pyarrow as pa
+        return self._gather(pa.array(words, pa.large_string()))
+
+    def spell(self, texts: list[str], skip_first: bool = False) -> list[bytes]:
+        """Per text, the joined ids of its words between single spaces (all but the first, if so wished)."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if not texts:
+            return []
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        ends = words.offsets.to_numpy()
+        ids, take = self._gather(words.values, ends[:-1] if skip_first else None)
+        cut = (np.concatenate([[0], np.cumsum(take)])[ends] * ids.itemsize).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cut, cut[1:])]
+
+    def _keep(self, place, begin):
+        import numpy as np
+        import pyarrow as pa
+        length = self.length[place]
+        at = np.repeat(begin[place] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        self.words, self.ids, self.length = self.words.take(pa.array(place)), self.ids[at], length
+
+
 class Speller:
     """Serialized ids of texts from those of pre-tokens, by the byte-level pattern.
 

@@ -15,9 +15,9 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.bpe import Memory, batches, spell_words
+from panelkit.llm.bpe import WordTable, batches
 from panelkit.llm.common import map_rows, slim_texts, table, tokenizer_path, worker_state, written
-from panelkit.llm.token_files import id_width, load_tokenizer, piece_ids
+from panelkit.llm.token_files import Library, id_width
 
 WINDOW = 2_048
 
@@ -31,8 +31,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n"  # and, her
 def _encode(path: str, width: int):
     """A function from whole texts to their serialized ids by the library.
 
-    The vocabulary's pattern drops white space and never reaches across it, so words are remembered one by one;
-    texts with unprintable characters, where notions of white space differ, go to the library whole.
+    The vocabulary's pattern drops white space and never reaches across it, so words are encoded once and
+    remembered; texts with unprintable characters, where notions of white space differ, and those with a special
+    token's string go to the library whole.
     """
     state = worker_state()
     if ("word ends", path, width) not in state:
@@ -40,31 +41,34 @@ def _encode(path: str, width: int):
 
         import numpy as np
         import regex
-        tokenizer = load_tokenizer(path)
-        plain, find, kind = re.compile(PLAIN).fullmatch, regex.compile(PIECES).findall, f"<u{width}"
-        one = piece_ids(tokenizer, width)
-        pieces = Memory(lambda new: [one(p) if p else b"" for p in new])
-
-        def library(texts):
-            return [np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-        def encode_all(words):
-            known = {w: b"" for w in words}
-            simple = [w for w in words if plain(w)]
-            found = find("\n".join(simple).lower()) if simple else []
-            ids = pieces.each(["" if p == "\n" else p for p in found])
-            ends = [i for i, p in enumerate(found) if p == "\n"]
-            known.update(zip(simple, (b"".join(ids[a + 1:b]) for a, b in zip([-1, *ends], [*ends, len(ids)]))))
-            other = [w for w in words if w and not plain(w)]
-            known.update(zip(other, library(other) if other else ()))
-            return [known[w] for w in words]
-
-        memory = Memory(encode_all)
+        library, find = Library(path, width), regex.compile(PIECES).findall
+        plain_word, all_plain = re.compile(PLAIN).fullmatch, re.compile(f"(?:{PLAIN}|\n)+").fullmatch
+
+        def simple(words):
+            found = find("\n".join(words).lower())
+            ends = np.fromiter((p == "\n" for p in found), bool, len(found))
+            ids, count = library.pieces.flat(["" if e else p for p, e in zip(found, ends.tolist())])
+            return ids, np.bincount(np.cumsum(ends), count, len(words)).astype(np.int64)
+
+        def words(new):
+            if all_plain("\n".join(new)) and "" not in new:
+                return simple(new)
+            is_plain = np.array([plain_word(w) is not None for w in new])
+            some, rest = [w for w, p in zip(new, is_plain) if p], [w for w, p in zip(new, is_plain) if not p]
+            parts = simple(some) if some else library.each([]), library.each(rest)
+            count = np.empty(len(new), np.int64)
+            count[is_plain], count[~is_plain] = parts[0][1], parts[1][1]
+            ids, owner = np.empty(count.sum(), library.kind), np.repeat(is_plain, count)
+            ids[owner], ids[~owner] = parts[0][0], parts[1][0]
+            return ids, count
+
+        known_words = WordTable(words, width)
 
         def many(texts):
             lines = [t.replace("\n", " ") for t in texts]
-            spelled = iter(spell_words([t for t in lines if t.isprintable()], memory, width, False))
-            return [next(spelled) if t.isprintable() else library([whole])[0] for t, whole in zip(lines, texts)]
+            plain = [t.isprintable() and library.ordinary(t) for t in lines]
+            known = iter(known_words.spell([t for t, p in zip(lines, plain) if p]))
+            return [next(known) if p else library.whole(t) for t, p in zip(texts, plain)]
 
         state["word ends", path, width] = many
     return state["word ends", path, width]

@@ -21,7 +21,7 @@ import struct
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.bpe import Speller, batches
+from panelkit.llm.bpe import WordTable, batches, spaced
 from panelkit.llm.common import map_rows, slim_texts, table, tokenizer_path, worker_state, written
 
 MAGIC = b"IDZ1"
@@ -32,12 +32,13 @@ SAMPLE_BYTES = 16_384  # ids of a training document beyond these bytes are left
 DICTIONARY_BYTES = 65_536
 
 
-def load_tokenizer(path: str):
+def load_tokenizer(path: str, plain_specials: bool = False):
+    """The library's tokenizer; plain_specials: the strings of special tokens are ordinary text."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings are ordinary text here
+    t.encode_special_tokens = plain_specials
     return t
 
 
@@ -52,20 +53,68 @@ def byte_alphabet() -> dict[int, str]:
     return out
 
 
-def piece_ids(tokenizer, width: int):
-    """A function from one pre-token to its serialized ids by the library's model."""
-    from array import array
-    model, alphabet, kind = tokenizer.model.tokenize, byte_alphabet(), "H" if width == 2 else "I"
-    return lambda p: array(kind, [t.id for t in model(p.encode().decode("latin-1").translate(alphabet))]).tobytes()
+class Library:
+    """Whole texts, and pre-tokens one by one, by the library."""
+
+    def __init__(self, path: str, width: int):
+        self.tokenizer, self.kind = load_tokenizer(path), f"<u{width}"
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces = WordTable(self._pieces, width)
+
+    def whole(self, text: str) -> bytes:
+        import numpy as np
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def each(self, texts: list[str]):
+        """(ids of all, ids per text) of whole texts."""
+        import numpy as np
+        ids = [np.frombuffer(self.whole(t), self.kind) for t in texts]
+        return np.concatenate([np.zeros(0, self.kind), *ids]), np.array([len(i) for i in ids], np.int64)
+
+    def ordinary(self, text: str) -> bool:
+        """Whether the text holds none of the strings that the library looks for in whole texts."""
+        return not any(s in text for s in self.special)
+
+    def _pieces(self, pieces: list[str]):
+        """(ids of all, ids per piece) of pre-tokens; an empty one has none."""
+        import numpy as np
+        model, alphabet = self.tokenizer.model.tokenize, byte_alphabet()
+        ids = [[] if p == "" else [t.id for t in model(p.encode().decode("latin-1").translate(alphabet))] for p in pieces]
+        return np.fromiter((i for x in ids for i in x), self.kind), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
 def _encode(path: str, width: int):
-    """A function from whole texts to their serialized ids by the library; its memory lives as long as the worker."""
+    """A function from whole texts to their serialized ids by the library; its memory lives as long as the worker.
+
+    In texts with plain spaces, each word with the space before it is encoded once and remembered; texts with other
+    white space or with a special token's string go to the library whole.
+    """
     state = worker_state()
     if ("byte level", path, width) not in state:
+        import numpy as np
         import public_tokenizers
         import regex
-        state["byte level", path, width] = Speller(regex.compile(public_tokenizers.PATTERN).findall, piece_ids(load_tokenizer(path), width), width).many
+        find, library = regex.compile(public_tokenizers.PATTERN).findall, Library(path, width)
+
+        def words(new):
+            """Of words after a space: in one text, each pre-token that begins with a space begins a word."""
+            found = find(" " + " ".join(new))
+            word = np.cumsum(np.fromiter((p[0] == " " for p in found), bool, len(found))) - 1
+            if word[-1] != len(new) - 1:
+                raise ValueError("words that the pattern does not part at spaces")
+            ids, count = library.pieces.flat(found)
+            return ids, np.bincount(word, count, len(new)).astype(np.int64)
+
+        after, first = WordTable(words, width), WordTable(library.each, width)
+
+        def many(texts):
+            plain = [spaced(t) and library.ordinary(t) for t in texts]
+            some = [t for t, p in zip(texts, plain) if p]
+            heads, rests = first.spell([t.split(" ", 1)[0] for t in some]), after.spell(some, skip_first=True)
+            known = iter(map(bytes.__add__, heads, rests))
+            return [next(known) if p else library.whole(t) for t, p in zip(texts, plain)]
+
+        state["byte level", path, width] = many
     return state["byte level", path, width]
 
 

@@ -49,7 +49,7 @@ class Side:
 
 
 def byte_level(path: str) -> Side:
-    t = load_tokenizer(path)
+    t = load_tokenizer(path, plain_specials=True)
     back = {c: b for b, c in byte_alphabet().items()}
     spelled = [bytes(back[c] for c in p) if all(c in back for c in p) else p.encode() for p in map(t.id_to_token, range(t.get_vocab_size()))]
     return Side(lambda text: t.encode(" " + text, add_special_tokens=False).ids, spelled)

@@ -27,7 +27,6 @@ def library():
 
     def load(name):
         t = Tokenizer.from_file(tokenizer_path(name))
-        t.encode_special_tokens = True
         return lambda s: t.encode(s or "", add_special_tokens=False).ids
     return load
 
@@ -172,10 +171,29 @@ def test_op8_query_against_library(spark, sf, library):
 
 
 def test_piecewise_encoding_is_the_librarys(library):
-    """Every code point of the ranges that words are remembered for, and others, alone and inside words."""
+    """Every code point of the ranges that words are remembered for, and others, alone and inside words; special strings."""
     bytes_, words = token_files._encode(tokenizer_path("byte_bpe_50k.json"), 4), packing._encode(tokenizer_path("word_bpe_49k.json"), 4)
     lib_bytes, lib_words = library("byte_bpe_50k.json"), library("word_bpe_49k.json")
     for c in [*range(1, 0x260), *range(0x300, 0x310), *range(0x390, 0x3D0), 0x1E9E, 0x2028, 0x3000, 0xFB01, 0x1F600]:
         for text in (chr(c), f"Ab{chr(c)}cD, x{chr(c)}{chr(c)} {chr(c)}1a", f"{chr(c)} {chr(c).upper()}'s 12 {chr(c)}"):
             assert bytes_([text, text]) == [u32(lib_bytes(text))] * 2, hex(c)
             assert words([text, ""]) == [u32(lib_words(text)), b""], hex(c)
+    for text in ("a <|endoftext|> b", "<|startoftext|> hi", "x<|endoftext|>y z", "<|endoftext|>", "one two\n<|endoftext|>", "a <|endoftext |> b", "end space ", " start", "l\n", "a b\n\nc d\n"):
+        assert bytes_([text, "plain words"]) == [u32(lib_bytes(text)), u32(lib_bytes("plain words"))], text
+        assert words([text, "plain words"]) == [u32(lib_words(text)), u32(lib_words("plain words"))], text
+
+
+def test_word_tables_forget_without_loss(library):
+    rng = __import__("random").Random(4)
+    lib_bytes, lib_words = library("byte_bpe_50k.json"), library("word_bpe_49k.json")
+    texts = [odd.prose(rng, 60) for _ in range(60)]
+    from panelkit.llm.common import worker_state
+    for name, encode, lib, path in (("byte level", token_files._encode, lib_bytes, "byte_bpe_50k.json"), ("word ends", packing._encode, lib_words, "word_bpe_49k.json")):
+        many = encode(tokenizer_path(path), 2)
+        for cell in many.__closure__:
+            if isinstance(cell.cell_contents, bpe.WordTable):
+                cell.cell_contents.most = 2_000
+        for at in range(0, 60, 5):
+            got = many(texts[at:at + 5] + texts[:2])
+            assert got == [np.array(lib(t), "<u2").tobytes() for t in texts[at:at + 5] + texts[:2]]
+        del worker_state()[name, tokenizer_path(path), 2]
