@@ -210,10 +210,10 @@ class WordTable:
             self._keep(np.sort(place), begin)
         return out, take
 
-    def flat(self, words: list[str]):
-        """(ids of all, ids per word) of words that may repeat."""
+    def flat(self, words):
+        """(ids of all, ids per word) of a list or an Arrow array of words that may repeat."""
         import pyarrow as pa
-        return self._gather(pa.array(words, pa.large_string()))
+        return self._gather(words if isinstance(words, pa.Array) else pa.array(words, pa.large_string()))
 
     def spell(self, texts: list[str], skip_first: bool = False) -> list[bytes]:
         """Per text, the joined ids of its words between single spaces (all but the first, if so wished)."""

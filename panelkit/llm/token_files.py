@@ -56,9 +56,9 @@ def byte_alphabet() -> dict[int, str]:
 class Library:
     """Whole texts, and pre-tokens one by one, by the library."""
 
-    def __init__(self, path: str, width: int):
-        self.tokenizer, self.kind = load_tokenizer(path), f"<u{width}"
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+    def __init__(self, path: str, width: int, plain_specials: bool = False):
+        self.tokenizer, self.kind = load_tokenizer(path, plain_specials), f"<u{width}"
+        self.special = [] if plain_specials else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = WordTable(self._pieces, width)
 
     def whole(self, text: str) -> bytes:
@@ -83,6 +83,20 @@ class Library:
         return np.fromiter((i for x in ids for i in x), self.kind), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
+    def after_spaces(self, words: list[str]):
+        """(ids of all, ids per word) of words after a space, for the byte-level pattern: found in one text, in which
+        each pre-token that begins with a space begins a word."""
+        import numpy as np
+        import public_tokenizers
+        import regex
+        found = regex.findall(public_tokenizers.PATTERN, " " + " ".join(words))  # the module keeps compiled patterns
+        word = np.cumsum(np.fromiter((p[0] == " " for p in found), bool, len(found))) - 1
+        if word[-1] != len(words) - 1:
+            raise ValueError("words that the pattern does not part at spaces")
+        ids, count = self.pieces.flat(found)
+        return ids, np.bincount(word, count, len(words)).astype(np.int64)
+
+
 def _encode(path: str, width: int):
     """A function from whole texts to their serialized ids by the library; its memory lives as long as the worker.
 
@@ -91,21 +105,8 @@ def _encode(path: str, width: int):
     """
     state = worker_state()
     if ("byte level", path, width) not in state:
-        import numpy as np
-        import public_tokenizers
-        import regex
-        find, library = regex.compile(public_tokenizers.PATTERN).findall, Library(path, width)
-
-        def words(new):
-            """Of words after a space: in one text, each pre-token that begins with a space begins a word."""
-            found = find(" " + " ".join(new))
-            word = np.cumsum(np.fromiter((p[0] == " " for p in found), bool, len(found))) - 1
-            if word[-1] != len(new) - 1:
-                raise ValueError("words that the pattern does not part at spaces")
-            ids, count = library.pieces.flat(found)
-            return ids, np.bincount(word, count, len(new)).astype(np.int64)
-
-        after, first = WordTable(words, width), WordTable(library.each, width)
+        library = Library(path, width)
+        after, first = WordTable(library.after_spaces, width), WordTable(library.each, width)
 
         def many(texts):
             plain = [spaced(t) and library.ordinary(t) for t in texts]

@@ -7,8 +7,9 @@ once until none changes; the terminal token that a token then points to labels
 its group, the bytes between two offsets where tokens of both sides end.
 
 Tokens end before a space in both vocabularies, so texts are cut into units
-there (a text with unusual white space is one unit).  Units are encoded, aligned
-and remembered once per worker; documents are lists of units.
+there (a text with unusual white space is one unit).  Ids of units are
+remembered per worker; the different units of a block are aligned together,
+and documents are lists of units.
 
 Links are the pairs of tokens of one group.  Documents are gathered to blocks
 of bounded text, in which id pairs are numbered: a block states each pair once,
@@ -26,43 +27,65 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.bpe import batches
+from panelkit.llm.bpe import WordTable, batches
 from panelkit.llm.common import map_rows, slim_texts, table, tokenizer_path, worker_state, written
-from panelkit.llm.token_files import byte_alphabet, load_tokenizer
+from panelkit.llm.token_files import Library, byte_alphabet
 
-BLOCK = 2_000_000  # characters of a block
+BLOCK = 4_000_000  # characters of a block
 LINKS = 2_000_000  # of a unit; beyond, it is split
-REMEMBERED = 60_000  # units of each of a worker's two generations
-LONGEST = 100  # characters of a unit that is remembered
+TOGETHER = 500  # units that the piece tokenizer gets in one call
 SPACE = "▁"  # fixed value: the piece vocabulary's sign for a space
 
 
 class Side:
-    """One tokenizer: ids of units, bytes of tokens."""
+    """One tokenizer: ids of units and of texts, with the space before them, and the bytes of tokens."""
 
-    def __init__(self, encode, spelled: list[bytes]):
-        """encode: from a text to its ids (the text with the space before it); spelled: the bytes of every id."""
+    def __init__(self, units, text, spelled: list[bytes]):
+        """units: from a list of units to (ids of all, ids per unit); text: from a text to its ids; spelled: the bytes
+        of every id."""
         import numpy as np
-        self.encode, self.spelled = encode, spelled
+        self._units, self.text, self.spelled = units, text, spelled
         self.size = np.array([len(s) for s in spelled], np.int64)
         self.opens = np.array([s[:1] == b" " for s in spelled])
+        self.known = WordTable(self.units, 4)
+
+    def spells(self, ids, text: str) -> bool:
+        return b"".join(map(self.spelled.__getitem__, ids)) == (" " + text).encode("utf-8", "surrogatepass")
+
+    def units(self, units: list[str]):
+        """(ids of all, ids per unit), none for a unit that its tokens don't spell."""
+        import numpy as np
+        ids, count = self._units(units)
+        if not self.spells(ids.tolist(), " ".join(units)):
+            parts = np.split(ids, np.cumsum(count)[:-1])
+            parts = [p if self.spells(p.tolist(), u) else p[:0] for p, u in zip(parts, units)]
+            ids, count = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return ids, count
 
 
 def byte_level(path: str) -> Side:
-    t = load_tokenizer(path, plain_specials=True)
-    back = {c: b for b, c in byte_alphabet().items()}
+    library = Library(path, 4, plain_specials=True)
+    t, back = library.tokenizer, {c: b for b, c in byte_alphabet().items()}
     spelled = [bytes(back[c] for c in p) if all(c in back for c in p) else p.encode() for p in map(t.id_to_token, range(t.get_vocab_size()))]
-    return Side(lambda text: t.encode(" " + text, add_special_tokens=False).ids, spelled)
+    return Side(library.after_spaces, lambda text: t.encode(" " + text, add_special_tokens=False).ids, spelled)
 
 
 def pieces(path: str) -> Side:
+    import numpy as np
     import sentencepiece
     p = sentencepiece.SentencePieceProcessor(model_file=path)
     spelled = []
     for i in range(p.get_piece_size()):
         s = p.id_to_piece(i)
         spelled.append(bytes([int(s[3:5], 16)]) if p.is_byte(i) else s.replace(SPACE, " ").encode())
-    return Side(lambda text: p.encode(text, num_threads=1), spelled)
+
+    def units(some):
+        ids = [np.array(p.encode(" ".join(some[at:at + TOGETHER]), num_threads=1), np.int64) for at in range(0, len(some), TOGETHER)]
+        ids = np.concatenate(ids)
+        return ids, np.bincount(np.cumsum(side.opens[ids]) - 1, minlength=len(some))
+
+    side = Side(units, lambda text: p.encode(text, num_threads=1), spelled)
+    return side
 
 
 def plain(text: str) -> bool:
@@ -109,20 +132,24 @@ class Aligned:
         self.groups = np.bincount(owner, minlength=units)
         self.links = np.bincount(owner, self.count[0] * self.count[1], units).astype(np.int64)
 
-    def spelled(self) -> list[bytes]:
-        """Per unit, its groups as text."""
+    def spelled(self):
+        """(characters, where each unit's end): the units' groups as text, each with a separator behind it."""
         import numpy as np
         (ids_a, ids_b), (ga, gb), (ca, cb) = self.ids, self.group, self.count
-        at_a = np.arange(len(ids_a)) + (np.cumsum(cb) - cb)[ga]
-        at_b = np.arange(len(ids_b)) + np.cumsum(ca)[gb]
         ids, sign = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
-        ids[at_a], ids[at_b] = ids_a, ids_b
-        all_ends = np.cumsum(ca + cb)
-        sign[all_ends - cb - 1], sign[all_ends - 1] = ord("|"), ord(";")
-        text = b"".join(map(b"%d%c".__mod__, zip(ids.tolist(), sign.tolist())))
-        digits = 2 + np.sum(ids[:, None] >= 10 ** np.arange(1, 10), axis=1) if len(ids) else ids
-        cut = np.concatenate([[0], np.cumsum(digits)])[np.concatenate([[0], np.cumsum(self.n[0] + self.n[1])])]
-        return [text[x:y - 1] for x, y in zip(cut.tolist(), cut[1:].tolist())]
+        ids[np.arange(len(ids_a)) + (np.cumsum(cb) - cb)[ga]] = ids_a
+        ids[np.arange(len(ids_b)) + np.cumsum(ca)[gb]] = ids_b
+        ends = np.cumsum(ca + cb)
+        sign[ends - cb - 1], sign[ends - 1] = ord("|"), ord(";")
+        tens = 10 ** np.arange(1, 19)
+        size = np.searchsorted(tens, ids, "right") + 2  # digits and a sign
+        done = np.cumsum(size)
+        text = np.empty(int(done[-1]) if len(done) else 0, np.uint8)
+        text[done - 1] = sign
+        for k in range(int(size.max(initial=1)) - 1):  # the k-th digit from the right
+            has = size > k + 1
+            text[done[has] - 2 - k] = ids[has] // 10 ** k % 10 + ord("0")
+        return text, np.concatenate([[0], done])[np.cumsum(self.n[0] + self.n[1])]
 
     def pairs(self):
         """The links as (first id << 32 | second id), by unit."""
@@ -152,63 +179,33 @@ class Aligned:
 
 
 class Aligner:
-    """Units to aligned units, with a memory of short ones that lives as long as the worker.
-
-    A unit's record: tokens of A, of B, groups, links, groups as text, links as bytes; None if the sides don't both
-    spell it.  The memory has two generations: a full one becomes the old one, from which units in use come back.
-    """
+    """Units and texts to aligned units."""
 
     def __init__(self, first: Side, second: Side):
         self.sides = first, second
-        self.known: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
-
-    def words(self, units: list[str]) -> list[tuple]:
-        """Records of different units of plain texts."""
-        got = [self.known.get(u) or self.old.get(u) for u in units]
-        missing = [u for u, g in zip(units, got) if g is None]
-        fresh = iter(self._fresh(missing) if missing else ())
-        got = [next(fresh) if g is None else g for g in got]
-        if len(self.known) + len(units) > REMEMBERED:
-            self.old, self.known = self.known, {}
-        if len(units) <= 4 * REMEMBERED:
-            self.known.update((u, g) for u, g in zip(units, got) if len(u) <= LONGEST)
-        return got
-
-    def _fresh(self, units):
-        import numpy as np
-        joined = " ".join(units)
-        sides = []
-        for s in self.sides:
-            ids = np.array(s.encode(joined), np.int64)
-            if b"".join(map(s.spelled.__getitem__, ids.tolist())) != (" " + joined).encode():
-                return [self.whole(u) for u in units]
-            sides.append((ids, np.cumsum(s.opens[ids]) - 1))
-        return self._records(Aligned(*self.sides, *sides[0], *sides[1], len(units)))
 
-    def _records(self, aligned):
+    def units(self, units):
+        """(units that both sides spell, these aligned) of an Arrow array of different units of plain texts."""
         import numpy as np
-        pairs = aligned.pairs()
-        cut = np.concatenate([[0], np.cumsum(aligned.links)]).tolist()
-        numbers = (x.tolist() for x in (*aligned.n, aligned.groups, aligned.links))
-        return [(*r, s, pairs[x:y].tobytes()) for *r, s, x, y in zip(*numbers, aligned.spelled(), cut, cut[1:])]
-
-    def aligned(self, text: str) -> Aligned | None:
+        both = [s.known.flat(units) for s in self.sides]
+        good = (both[0][1] > 0) & (both[1][1] > 0)
+        flat = []
+        for ids, count in both:
+            flat += [ids[np.repeat(good, count)].astype(np.int64), np.repeat(np.arange(good.sum()), count[good])]
+        return good, Aligned(*self.sides, *flat, int(good.sum()))
+
+    def text(self, text: str) -> Aligned | None:
         """One text as one unit; None if it is empty or a side doesn't spell it."""
         import numpy as np
         if not text:
             return None
-        sides = []
+        flat = []
         for s in self.sides:
-            ids = s.encode(text)
-            if b"".join(map(s.spelled.__getitem__, ids)) != (" " + text).encode("utf-8", "surrogatepass"):
+            ids = s.text(text)
+            if not s.spells(ids, text):
                 return None
-            sides += [np.array(ids, np.int64), np.zeros(len(ids), np.int64)]
-        return Aligned(*self.sides, *sides, 1)
-
-    def whole(self, text: str) -> tuple | None:
-        got = self.aligned(text)
-        return got and self._records(got)[0]
+            flat += [np.array(ids, np.int64), np.zeros(len(ids), np.int64)]
+        return Aligned(*self.sides, *flat, 1)
 
 
 def _aligner(path_a: str, path_b: str) -> Aligner:
@@ -218,39 +215,37 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return state["aligner", path_a, path_b]
 
 
+def _ranges(begin, many):
+    """begin, begin + 1 and so on, as many as ``many`` says, for each pair of the two."""
+    import numpy as np
+    return np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+
 class Block:
     """Documents as lists of units, units as lists of links, links as numbers of the block's pairs."""
 
-    def __init__(self, records: list):
-        """records: of the first units, None where the sides don't both spell one."""
-        self.records, self.rows, self.held = records, [], []
-
-    def add(self, record: tuple) -> int:
-        """The number of one unit more."""
-        self.records.append(record)
-        return len(self.records) - 1
+    def __init__(self, links, of_unit, rows, sizes, unit):
+        """links: pairs by unit; of_unit: links per unit; rows: the documents; sizes: units of each; unit: these, by document."""
+        self.links, self.of_unit, self.rows, self.sizes, self.unit = links, of_unit, rows, sizes, unit
 
     def packed(self) -> dict:
         import numpy as np
-        links = np.frombuffer(b"".join(r[5] if r else b"" for r in self.records), np.int64)
-        pair, link = np.unique(links, return_inverse=True)
-        of_unit = np.array([r[3] if r else 0 for r in self.records], np.int64)
+        pair, link = np.unique(self.links, return_inverse=True)
+        of_unit, units = self.of_unit, max(1, len(self.of_unit))
         begin = np.cumsum(of_unit) - of_unit
         # a document's different units, then its different pairs
-        unit = np.concatenate([np.sort(np.array(h, np.int64)) for h in self.held])
-        doc = np.repeat(np.arange(len(self.held)), [len(h) for h in self.held])
-        new = np.flatnonzero(np.diff(doc * len(of_unit) + unit, prepend=-1))
-        own, doc_of = unit[new], doc[new]
-        m = of_unit[own]
-        flat = np.repeat(begin[own], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-        key = np.sort(np.repeat(doc_of, m) * max(1, len(pair)) + link[flat])
-        docs = np.bincount(key[np.flatnonzero(np.diff(key, prepend=-1))] % max(1, len(pair)), minlength=len(pair))
+        key = np.sort(np.repeat(np.arange(len(self.sizes)), self.sizes) * units + self.unit)
+        unit = key % units
+        own = key[np.flatnonzero(np.diff(key, prepend=-1))]
+        own, doc_of = own % units, own // units
+        held = np.repeat(doc_of, of_unit[own]) * max(1, len(pair)) + link[_ranges(begin[own], of_unit[own])]
+        held.sort()
+        docs = np.bincount(held[np.flatnonzero(np.diff(held, prepend=-1))] % max(1, len(pair)), minlength=len(pair))
         return self._fields(pair, docs, link, of_unit, unit)
 
     def _fields(self, pair, docs, link, of_unit, unit, weight=b""):
         import numpy as np
-        first = np.zeros(len(unit), bool)
-        sizes = np.array([len(h) for h in self.held], np.int64)
+        first, sizes = np.zeros(len(unit), bool), self.sizes
         first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
         step = np.diff(unit, prepend=0)
         step[first] = unit[first]  # the units of a document rise: their steps compress well
@@ -261,9 +256,8 @@ class Block:
     def slice(cls, row: int, pair, weight):
         """A block of one document with one unit, a range of whose links these are."""
         import numpy as np
-        b, one = cls([]), np.ones(1, np.int64)
-        b.rows, b.held = [row], [[0]]
-        return b._fields(pair, np.ones(len(pair), np.int64), np.arange(len(pair)), one * len(pair), 0 * one, weight.astype("<i8").tobytes())
+        one = np.ones(1, np.int64)
+        return cls(None, None, [row], one, None)._fields(pair, np.ones(len(pair), np.int64), np.arange(len(pair)), one * len(pair), 0 * one, weight.astype("<i8").tobytes())
 
 
 DOC = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string"
@@ -282,38 +276,52 @@ def align(df: DataFrame, path_a: str | None = None, path_b: str | None = None, d
 
     def run(rows):
         import numpy as np
-        aligner = _aligner(path_a, path_b)
+        import pyarrow as pa
+        import pyarrow.compute as pc
         for some in batches(rows, most=BLOCK):
-            spaced = [r[2].split(" ") if plain(r[2]) else None for r in some]
-            number = {u: i for i, u in enumerate(dict.fromkeys(u for s in spaced if s for u in s))}
-            records = aligner.words(list(number))
-            block = Block(list(records))
-            text_of = [r and r[4] for r in records]
-            figures = np.array([r[:4] if r else (0, 0, 0, 0) for r in records], np.int64).reshape(-1, 4)
-            for (row, doc_id, text), parts in zip(some, spaced):
-                spelled, numbers, mine = b"", (0, 0, 0, 0), []
-                if parts is None:
-                    found = aligner.aligned(text)
-                    if found is not None and found.links[0] > LINKS:
+            texts = [r[2] for r in some]
+            is_plain = np.array([plain(t) for t in texts])
+            words = pc.split_pattern(pa.array([t for t, p in zip(texts, is_plain) if p], pa.large_string()), " ")
+            coded = words.values.dictionary_encode()
+            aligner = _aligner(path_a, path_b)
+            good, units = aligner.units(coded.dictionary)
+            code = coded.indices.to_numpy().astype(np.int64)
+            sizes = np.diff(words.offsets.to_numpy())
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            valid = np.bincount(doc, ~good[code], len(sizes)) == 0  # documents all of whose units both sides spell
+            number = np.cumsum(good) - 1
+            kept = valid[doc]
+            unit, doc = number[code[kept]], doc[kept]
+            figures = np.stack([*units.n, units.groups, units.links], 1)
+            totals = np.stack([np.bincount(doc, figures[unit, k], len(sizes)) for k in range(4)], 1).astype(np.int64).tolist()
+            at, sizes = np.cumsum(sizes * valid), sizes * valid
+            spelled, ends = units.spelled()
+            begins = np.concatenate([[0], ends[:-1]])
+            place, plain_rows, more = iter(range(len(sizes))), [], []
+            for (row, doc_id, text), p in zip(some, is_plain.tolist()):
+                numbers, shown = (0, 0, 0, 0), b""
+                if p:
+                    k = next(place)
+                    if valid[k]:
+                        mine = unit[at[k] - sizes[k]:at[k]]
+                        numbers, shown = totals[k], spelled[_ranges(begins[mine], (ends - begins)[mine])][:-1].tobytes()
+                        plain_rows.append(row)
+                elif (found := aligner.text(text)) is not None:
+                    numbers, shown = [int(x[0]) for x in (*found.n, found.groups, found.links)], found.spelled()[0][:-1].tobytes()
+                    if numbers[3] > LINKS:
                         for k, (pair, weight) in enumerate(found.slices()):
                             yield (*[None] * 7, f"{row}.{k}", *Block.slice(row, pair, weight).values())
-                        spelled, numbers = found.spelled()[0], [int(x[0]) for x in (*found.n, found.groups, found.links)]
-                    elif found is not None:
-                        record = aligner._records(found)[0]
-                        spelled, numbers, mine = record[4], record[:4], [block.add(record)]
-                else:
-                    mine = list(map(number.__getitem__, parts))
-                    texts = list(map(text_of.__getitem__, mine))
-                    if None in texts:
-                        mine = []
                     else:
-                        spelled, numbers = b";".join(texts), figures[mine].sum(0).tolist()
-                if mine:
-                    block.rows.append(row)
-                    block.held.append(mine)
-                yield (row, doc_id, *numbers, (hashlib.sha256(spelled).hexdigest() if digest else spelled.decode()) if spelled else "", *nothing)
-            if block.rows:
-                yield (*[None] * 7, str(block.rows[0]), *block.packed().values())
+                        more.append((row, found))
+                yield (row, doc_id, *numbers, (hashlib.sha256(shown).hexdigest() if digest else shown.decode()) if shown else "", *nothing)
+            all_rows = plain_rows + [row for row, _ in more]
+            if all_rows:
+                one = np.ones(1, np.int64)
+                links = np.concatenate([units.pairs(), *(f.pairs() for _, f in more)])
+                of_unit = np.concatenate([units.links, *(f.links for _, f in more)])
+                unit = np.concatenate([unit, len(units.links) + np.arange(len(more))])
+                block = Block(links, of_unit, all_rows, np.concatenate([sizes[valid], *[one] * len(more)]), unit)
+                yield (*[None] * 7, str(all_rows[0]), *block.packed().values())
 
     got = written(map_rows(slim_texts(df.withColumn("__at", F.monotonically_increasing_id()), "__at", "doc_id"), run, f"{DOC}, {BLOCKS}"), "aligned", compression="zstd")
     return got.where("row IS NOT NULL").select(*[c.split()[0] for c in DOC.split(", ")]), got.where("block IS NOT NULL").select(*[c.split()[0] for c in BLOCKS.split(", ")])

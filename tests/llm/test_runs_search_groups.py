@@ -183,11 +183,11 @@ def test_pointers_end_at_the_groups_last_tokens():
     assert set(a.tolist()) == set(b.tolist()) == {0}
 
 
-@pytest.mark.parametrize("links,block,remembered", [(2_000_000, 2_000_000, 60_000), (100, 500, 20)])
-def test_groups_of_odd_documents(spark, monkeypatch, links, block, remembered):
+@pytest.mark.parametrize("links,block,together", [(2_000_000, 4_000_000, 500), (100, 500, 3)])
+def test_groups_of_odd_documents(spark, monkeypatch, links, block, together):
     monkeypatch.setattr(token_groups, "LINKS", links)
     monkeypatch.setattr(token_groups, "BLOCK", block)
-    monkeypatch.setattr(token_groups, "REMEMBERED", remembered)
+    monkeypatch.setattr(token_groups, "TOGETHER", together)
     extra = [(300, " leading", None, None, None), (301, "trailing ", None, None, None), (302, "a▁b and more", None, None, None), (303, "plain ▁", None, None, None), (304, "<s> <unk> </s> <0x41> ­", None, None, None), (305, "x\ny. Zed\n", None, None, None)]
     rows = odd.rows() + extra
     df = spark.createDataFrame(rows, odd.DOCS).repartition(2).select("*", *[F.lit("clash").alias(c) for c in ("row", "groups", "n_a", "block", "pairs", "links")])
