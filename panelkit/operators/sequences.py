@@ -1,103 +1,194 @@
-"""Sequence datasets (D1-D6, P14, P15, U1): fixed-length windows per symbol,
-anchor-relative prices, labels of the row after each window, and the
-chronological split — all as windows over the symbol partition.
-
-A window is identified by its last row.  Its rows come from a bounded frame
-(``rowsBetween(-(seq-1), 0)``), so nothing per symbol is ever collected
-whole.  Arrays are built last, after the features are selected (SURVEY 4.3.6).
+"""Sequence datasets (D1-D6, P14, U1, U2): fixed-length windows per symbol by reference.
+
+The stored panel is kept as dense blocks (``dense_blocks``): per symbol and ROWS
+consecutive rows one row of arrays, one array a column, with the rows before
+and the one row after that windows need.  A window is a block and an offset in
+its arrays, so the table is stored about once, not once per place in a window.
+A block knows its rows' numbers and how many rows its symbol has; so the
+windows' starts (D1), the label after a window (D4) and the chronological split
+(D5) are arithmetic inside a block, and whether a missing feature lies in a
+training window (P14) is one flag a block.  Nothing here orders or shuffles a
+symbol's rows; blocks are bucketed by symbol for what is grouped by it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.functions import win
+from panelkit.functions.sql import q
+from panelkit.plans import segments as G
 
 # Window lengths and split sizes of the reference trainers.
 SEQ_SINGLE, SEQ_PANEL = 10, 50
 PREDICT_WINDOWS, TEST_WINDOWS = 10, 90
+ROWS = 256  # of a block
+BUCKETS = 64  # of the stored blocks
 
 
-def sequence_windows(df: DataFrame, cols, seq: int = SEQ_SINGLE, r: int = 1,
-                     key: str = "symbol", labels=(), factor: float = 0.1) -> DataFrame:
-    """D1 (+D4, L9): one row per window end with ``seq`` rows of ``cols`` as an array of structs, and the *next* row's
-    ``labels`` x ``factor``, all from one window.
-
-    Windows start every ``r`` rows from the first and must have a successor row (``range(0, L - seq, r)``)."""
-    w = win((key,))
-    frame = w.rowsBetween(-(seq - 1), 0)
-    items = F.struct(F.col("trade_date"), *[F.col(c) for c in cols])
-    t = df.select(key, "trade_date",
-                  F.row_number().over(w).alias("_rn"),
-                  F.lead("trade_date", 1).over(w).alias("_next"),
-                  *[(F.lead(c, 1).over(w) * factor).alias(c) for c in labels],
-                  F.collect_list(items).over(frame).alias("window"))
-    start = F.col("_rn") - seq  # 0-based index of the window's first row
-    keep = (F.size("window") == seq) & F.col("_next").isNotNull() & (start % r == 0)
-    return t.filter(keep).select(key, F.col("trade_date").alias("end_date"), (start).alias("k"), "window", *labels)
-
-
-def explode_windows(wdf: DataFrame, key: str = "symbol") -> DataFrame:
-    """Long form of D1: (key, end_date, pos, item fields...)."""
-    e = wdf.select(key, "end_date", F.posexplode("window").alias("pos", "item"))
-    return e.select(key, "end_date", "pos", "item.*")
-
-
-def anchor_relative(wdf: DataFrame, prices=("close", "open", "high", "low")) -> DataFrame:
-    """In-window prices as ``10*p/(0.01 + close_first) - 10``."""
-    first = F.col("window")[0]["close"]
-
-    def rel(s):
-        return F.struct(s["trade_date"].alias("trade_date"),
-                        *[(F.lit(10.0) * s[p] / (F.lit(0.01) + first) - 10.0).alias(p) for p in prices])
-    return wdf.withColumn("window", F.transform("window", rel))
-
-
-def first_row_norm(wdf: DataFrame, cols, scale: float = 1.0) -> DataFrame:
-    """D3: every column relative to the window's first row:
-    ``scale*x/first - scale`` (10 in the single trainer, 1 in the panel one)."""
-    def rel(s):
-        out = [s["trade_date"].alias("trade_date")]
-        for c in cols:
-            first = F.col("window")[0][c]
-            out.append((F.lit(scale) * s[c] / F.when(first != 0, first) - scale).alias(c))
-        return F.struct(*out)
-    return wdf.withColumn("window", F.transform("window", rel))
-
+def dense_blocks(df: DataFrame, features, others=(), back: int = SEQ_PANEL - 1, rows: int = ROWS, key: str = "symbol") -> DataFrame:
+    """key, block, first, n, halo, len, dates, nulls and an array of each of ``features`` and ``others``.
 
-def chrono_split(wdf: DataFrame, key: str = "symbol", predict: int = PREDICT_WINDOWS,
-                 test: int = TEST_WINDOWS) -> DataFrame:
-    """Last ``predict`` windows = predict, the ``test`` before = test, rest = train."""
-    back = F.row_number().over(Window.partitionBy(key).orderBy(F.col("end_date").desc()))
-    split = (F.when(back <= predict, F.lit("predict"))
-             .when(back <= predict + test, F.lit("test")).otherwise(F.lit("train")))
-    return wdf.withColumn("split", split)
+    A block's own rows have the numbers ``first`` to ``first + n - 1`` (from 1) of the key's ``len`` rows in order of
+    trade_date.  Arrays hold ``halo`` rows before them (``back``, or as many as there are) and one row after them, if
+    there is one.  nulls: whether a row has a NULL in any of ``features``.  One exchange, on (key, block).
+    """
+    features, others = list(features), list(others)
+    bad = reduce(lambda a, b: a | b, [F.col(q(c)).isNull() for c in features], F.lit(False))
+    lens = df.groupBy(key).agg(F.count("*").alias("len"))
+    cut = G.segment(G.row_numbers(df.select(key, "trade_date", *map(q, [*features, *others]), bad.alias("nulls")), key), rows, back=min(back, rows), fwd=1)
+    row = F.struct("_grn", F.col("trade_date").alias("dates"), "nulls", *[F.col(q(c)) for c in [*features, *others]])
+    held = cut.groupBy(key, F.col("_seg").alias("block")).agg(F.sort_array(F.collect_list(row)).alias("r"), F.sum(F.col("_home").cast("long")).alias("n"))
+    first = F.col("block") * rows + 1
+    got = held.join(lens, key).where("n > 0")
+    return got.select(key, "block", first.alias("first"), "n", (first - F.col("r")[0]["_grn"]).alias("halo"), "len",
+                      *[F.col("r").getField(c).alias(c) for c in ["dates", "nulls", *features, *others]])
 
 
-def has_null(wdf: DataFrame):
-    """Whether a window holds a NULL in any of its fields."""
-    fields = _fields(wdf)
-    return F.exists("window", lambda s: F.exists(F.array(*[s[f].cast("double") for f in fields]), lambda v: v.isNull()))
+def store_blocks(blocks: DataFrame, path: str, name: str, buckets: int = BUCKETS, key: str = "symbol") -> DataFrame:
+    """The blocks as a table bucketed by ``key`` and sorted: grouping by it needs no exchange."""
+    blocks.write.bucketBy(buckets, key).sortBy(key, "block").option("path", path).format("parquet").saveAsTable(name)
+    return blocks.sparkSession.table(name)
 
 
-def null_symbols(wdf: DataFrame, key: str = "symbol") -> DataFrame:
-    """(key, rejected): 1 where any training window holds a NULL feature; one partial aggregation."""
-    return wdf.select(key, (has_null(wdf) & (F.col("split") == "train")).cast("int").alias("_bad")).groupBy(key).agg(F.max("_bad").alias("rejected"))
+def ends(seq: int, r: int = 1) -> str:
+    """Row numbers of the last rows of a block's windows: every ``r``-th, none without a row after it (``range(0, L - seq, r)``)."""
+    return f"filter(sequence(first, first + n - 1), e -> e >= {seq} AND e < len AND (e - {seq}) % {r} = 0)"
 
 
-def reject_null_symbols(wdf: DataFrame, key: str = "symbol") -> DataFrame:
-    """Drop a symbol when any training window holds a NULL feature.  Reads ``wdf`` twice: cut its lineage before."""
-    return wdf.join(null_symbols(wdf, key).filter("rejected = 1").select(key), key, "left_anti")
+def at(column: str, row: str) -> str:
+    """The value of a column at a row number."""
+    return f"{q(column)}[CAST({row} - first + halo AS INT)]"
 
 
-def _fields(wdf: DataFrame):
-    st = wdf.schema["window"].dataType.elementType
-    return [f.name for f in st.fields if f.name != "trade_date"]
+def split_of(seq: int, r: int = 1, predict: int = PREDICT_WINDOWS, test: int = TEST_WINDOWS) -> str:
+    """The split of the window that ends with row ``e``: the last ``predict`` windows, the ``test`` before them, the rest."""
+    left = f"((len - 1 - {seq}) div {r} - (e - {seq}) div {r})"  # windows after it
+    return f"CASE WHEN {left} < {predict} THEN 'predict' WHEN {left} < {predict + test} THEN 'test' ELSE 'train' END"
 
 
-def union_splits(train: DataFrame, test: DataFrame, predict: DataFrame) -> DataFrame:
-    """Stack separately built split frames (``unionByName``)."""
-    return (train.withColumn("split", F.lit("train"))
-            .unionByName(test.withColumn("split", F.lit("test")))
-            .unionByName(predict.withColumn("split", F.lit("predict"))))
+def window_ends(blocks: DataFrame, seq: int = SEQ_SINGLE, r: int = 1, last=(), labels=(), factor: float = 0.1,
+                predict: int = PREDICT_WINDOWS, test: int = TEST_WINDOWS, key: str = "symbol") -> DataFrame:
+    """D1 + D4 + D5 without the windows' rows: key, end_date, k, split, has_null, ``last`` (columns at the window's last
+    row) and ``labels`` (at the row after the window, times ``factor``)."""
+    fields = {"end_date": at("dates", "e"), "k": f"e - {seq}", "split": split_of(seq, r, predict, test),
+              "has_null": f"exists(slice(nulls, CAST(e - first + halo AS INT) - {seq - 2}, {seq}), x -> x)",
+              **{c: at(c, "e") for c in last}, **{c: f"{at(c, 'e + 1')} * {float(factor)!r}D" for c in labels}}
+    made = ", ".join(f"'{n}', {x}" for n, x in fields.items())
+    return blocks.selectExpr(key, f"inline(transform({ends(seq, r)}, e -> named_struct({made})))")
+
+
+def window_rows(blocks: DataFrame, values: dict, seq: int = SEQ_SINGLE, r: int = 1, key: str = "symbol") -> DataFrame:
+    """D1 in long form: key, end_date, pos, trade_date and ``values``: name -> SQL over ``row`` (number of the row at
+    ``pos``) and ``begin`` (of the window's first row)."""
+    place = f"e - {seq - 1} + p"
+    fields = {"end_date": at("dates", "e"), "pos": "CAST(p AS BIGINT)", "trade_date": at("dates", place),
+              **{c: x.replace("{row}", f"({place})").replace("{begin}", f"(e - {seq - 1})") for c, x in values.items()}}
+    made = ", ".join(f"'{n}', {x}" for n, x in fields.items())
+    return blocks.selectExpr(key, f"inline(flatten(transform({ends(seq, r)}, e -> transform(sequence(0, {seq - 1}), p -> named_struct({made})))))")
+
+
+def sequence_windows(blocks: DataFrame, cols, seq: int = SEQ_SINGLE, r: int = 1) -> DataFrame:
+    """D1 in long form: the rows of every window as they are."""
+    return window_rows(blocks, {c: at(c, "{row}") for c in cols}, seq, r)
+
+
+def anchor_relative(blocks: DataFrame, prices=("close", "open", "high", "low"), seq: int = SEQ_SINGLE, r: int = 1) -> DataFrame:
+    """D2 in long form: in-window prices as ``10*p/(0.01 + close_first) - 10``."""
+    return window_rows(blocks, {p: f"10.0D * {at(p, '{row}')} / (0.01D + {at('close', '{begin}')}) - 10.0D" for p in prices}, seq, r)
+
+
+def first_row_norm(blocks: DataFrame, cols, scale: float = 1.0, seq: int = SEQ_SINGLE, r: int = 1) -> DataFrame:
+    """D3 in long form: every column relative to the window's first row, ``scale*x/first - scale`` (10 in the single
+    trainer, 1 in the panel one); NULL where that is 0 or NULL."""
+    s = f"{float(scale)!r}D"
+    return window_rows(blocks, {c: f"{s} * {at(c, '{row}')} / NULLIF({at(c, '{begin}')}, 0.0D) - {s}" for c in cols}, seq, r)
+
+
+def null_symbols(blocks: DataFrame, seq: int = SEQ_SINGLE, r: int = 1, predict: int = PREDICT_WINDOWS, test: int = TEST_WINDOWS, key: str = "symbol") -> DataFrame:
+    """(key, rejected) of the keys that have a window: 1 where any feature is NULL in any training window.
+
+    Row g lies in a training window if the first window that ends at g or later is one and begins at g or before.
+    """
+    j = f"greatest(0, CAST(ceil((first + i - {seq}) / {r}) AS BIGINT))"
+    inside = f"{j} <= (len - 1 - {seq}) div {r} - {predict + test} AND {seq} + {j} * {r} < first + i + {seq}"
+    bad = f"exists(sequence(0L, n - 1), i -> nulls[CAST(halo + i AS INT)] AND {inside})"
+    return blocks.where(F.col("len") > seq).selectExpr(key, f"CAST({bad} AS INT) AS bad").groupBy(key).agg(F.max("bad").alias("rejected"))
+
+
+def reject_null_symbols(blocks: DataFrame, seq: int = SEQ_SINGLE, r: int = 1, key: str = "symbol") -> DataFrame:
+    """The blocks of the symbols that are not rejected."""
+    return blocks.join(null_symbols(blocks, seq, r, key=key).where("rejected = 1").select(key), key, "left_anti")
+
+
+def union_splits(**splits: DataFrame) -> DataFrame:
+    """Separately stored frames stacked by column name, told apart by ``split``."""
+    named = [df.drop("split").withColumn("split", F.lit(name)) for name, df in splits.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def matrices(batch, fields, seq: int, r: int = 1, labels=(), factor: float = 0.1):
+    """For each block of an Arrow batch: (its row in the batch, numbers of its windows' last rows, windows, label rows).
+
+    windows: an array (window, place, field), a view on the block; label rows: (window, label).  NULL is NaN.
+    """
+    import numpy as np
+
+    def arrays(names):
+        return [(c.offsets.to_numpy(), c.flatten().to_numpy(zero_copy_only=False)) for c in map(batch.column, names)]
+
+    x, y = arrays(fields), arrays(labels)
+    begin = x[0][0] - x[0][0][0]
+    values = np.stack([v.astype(float) for _, v in x], 1)
+    targets = np.stack([v.astype(float) * factor for _, v in y], 1) if y else np.zeros((len(values), 0))
+    first, n, halo, total = (batch.column(c).to_numpy() for c in ("first", "n", "halo", "len"))
+    for i in range(batch.num_rows):
+        e = np.arange(max(first[i], seq), min(first[i] + n[i], total[i]))
+        e = e[(e - seq) % r == 0]
+        if not len(e):
+            continue
+        at_end = e - first[i] + halo[i]
+        rows = values[begin[i]:begin[i + 1]]
+        seen = np.lib.stride_tricks.sliding_window_view(rows, seq, axis=0).transpose(0, 2, 1)
+        yield i, e, seen[at_end - seq + 1], targets[begin[i]:begin[i + 1]][at_end + 1]
+
+
+def window_digest(blocks: DataFrame, fields, seq: int, scale: float | None = None, r: int = 1, key: str = "symbol") -> DataFrame:
+    """key, end_date and per field the sum over the window of (place from 1) x value.
+
+    The values as they are (D1; a NULL adds nothing, a window of NULLs gives NULL), or with ``scale`` relative to the
+    window's first row (D3; NULL if any is).  Places are added in order, so that the sum is one in every engine.
+    """
+    fields = list(fields)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            keys, dates, out = [], [], []
+            all_dates = batch.column("dates")
+            for i, e, x, _ in matrices(batch, fields, seq, r):
+                first, halo = batch.column("first")[i].as_py(), batch.column("halo")[i].as_py()
+                total = None
+                base = np.where(x[:, 0] == 0, np.nan, x[:, 0])
+                for p in range(seq):
+                    term = (p + 1) * (np.nan_to_num(x[:, p]) if scale is None else scale * x[:, p] / base - scale)
+                    total = term if total is None else total + term
+                if scale is None:
+                    total = np.where(np.isnan(x).all(1), np.nan, total)
+                out.append(total)
+                keys += [batch.column(key)[i].as_py()] * len(e)
+                dates.append(all_dates[i].values.take(pa.array(e - first + halo)))
+            if out:
+                flat = np.concatenate(out)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.concat_arrays(dates), *[pa.array(c, mask=np.isnan(c)) for c in flat.T]], [key, "end_date", *fields])
+
+    schema = f"{key} string, end_date date, " + ", ".join(f"{q(c)} double" for c in fields)
+    return blocks.select(key, "first", "n", "halo", "len", "dates", *map(q, fields)).mapInArrow(run, schema)
+
+
+def drop_blocks(spark: SparkSession, name: str) -> None:
+    """Forget a stored table; its files belong to whoever named the path."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -769,26 +769,54 @@ def _anchor_sql() -> str:
     return f"SELECT {SKEY}, trade_date, {cols} FROM win"
 
 
-def _norm_sql() -> str:
+def _norm_rows_sql() -> str:
     cols = ", ".join(f"{r6(f'1.0 * {c} / NULLIF({first_in_window(c)}, 0) - 1.0')} AS {c}" for c in ("close", "v5"))
     return f"SELECT {SKEY}, trade_date, {cols} FROM win"
 
 
-NULL_ANY = "(close IS NULL OR r5 IS NULL OR v5 IS NULL OR zsr5 IS NULL)"
-REJECTED = f"SELECT symbol, CAST(max(CASE WHEN split = 'train' AND {NULL_ANY} THEN 1 ELSE 0 END) AS INTEGER) AS rejected FROM win GROUP BY symbol"
+def _sequence_norm():
+    """Every stored column at both scales: the ten places' terms added in order, from lags."""
+    from panelkit.plans.oracle_full import feature_table_sql, stored_columns
+    names = stored_columns()
+
+    def back(c, k):
+        return f'lag("{c}", {k}) OVER ({WS})' if k else f'"{c}"'
+
+    lags = ", ".join(f'{back(c, k)} AS "{c}_{k}"' for c in names for k in range(10))
+    parts = []
+    for scale in ("1", "10"):
+        cols = []
+        for c in names:
+            terms = [f'{p + 1} * ({scale}.0::DOUBLE * "{c}_{9 - p}" / NULLIF("{c}_9", 0) - {scale}.0::DOUBLE)' for p in range(10)]
+            cols.append(f'{r6(" + ".join(terms))} AS "{c}"')
+        parts.append(f"SELECT symbol, trade_date AS end_date, {scale} AS scale, {', '.join(cols)} FROM s2 WHERE n2 >= 10 AND nxt IS NOT NULL")
+    return (f"WITH s0 AS (SELECT * FROM ({feature_table_sql()}) ft), s2 AS (SELECT symbol, trade_date, row_number() OVER ({WS}) AS n2, lead(trade_date) OVER ({WS}) AS nxt, {lags} FROM s0) "
+            + " UNION ALL ".join(parts))
+
+
+def _all_features(body):
+    """A query on the sequence CTEs over every stored column."""
+    def sql():
+        from panelkit.plans.oracle_full import stored_columns
+        names = stored_columns()
+        null = " OR ".join(f'"{c}" IS NULL' for c in names)
+        rejected = f"SELECT symbol, CAST(max(CASE WHEN split = 'train' AND ({null}) THEN 1 ELSE 0 END) AS INTEGER) AS rejected FROM win GROUP BY symbol"
+        return with_base(body.format(rejected=rejected), seq_ctes(names))
+    return sql
+
+
+COLLECTED = """SELECT symbol, split, count(*) AS n_windows FROM splits
+WHERE symbol IN (SELECT symbol FROM stored_symbols)
+  AND symbol IN (SELECT symbol FROM sb0 GROUP BY symbol HAVING count(*) > 300)
+  AND symbol NOT IN (SELECT symbol FROM ({rejected}) WHERE rejected = 1)
+GROUP BY symbol, split"""
 SEQ_SQL = {
     "sequence_windows": f"SELECT {SKEY}, trade_date, {r6('close')} AS close, {r6('r5')} AS r5, {r6('v5')} AS v5 FROM win",
     "sequence_anchor": _anchor_sql(),
-    "sequence_norm": _norm_sql(),
+    "sequence_norm_rows": _norm_rows_sql(),
     "sequence_labels": f"SELECT symbol, end_date, {r6('y_resultclass4')} AS label FROM ends",
     "chrono_split": "SELECT symbol, end_date, split FROM splits",
-    "union_windows": "SELECT symbol, end_date, split FROM splits",
-    "reject_null_symbols": REJECTED,
-    "collect_panel": f"""SELECT symbol, split, count(*) AS n_windows FROM splits
-WHERE symbol IN (SELECT symbol FROM stored_symbols)
-  AND symbol IN (SELECT symbol FROM sb0 GROUP BY symbol HAVING count(*) > 300)
-  AND symbol NOT IN (SELECT symbol FROM ({REJECTED}) WHERE rejected = 1)
-GROUP BY symbol, split""",
+    "union_windows": f"SELECT symbol, end_date, split, {r6('close')} AS close, {r6('y_resultclass4')} AS label FROM splits",
     "union_predictions": f"SELECT symbol, end_date, split, {r6('0.5 + 0.4 * r20')} AS prediction FROM splits WHERE split IN ('test', 'predict')",
 }
 
@@ -934,6 +962,9 @@ MORE_SQL = {
     "feature_sink": _feature_sink,
     "feature_catalog": _feature_catalog,
     "sequence_all": _sequence_all,
+    "sequence_norm": _sequence_norm,
+    "reject_null_symbols": _all_features("{rejected}"),
+    "collect_panel": _all_features(COLLECTED),
     "fit_predict": _fit_predict,
 }
 

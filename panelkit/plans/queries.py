@@ -643,89 +643,101 @@ QUERIES.update({
 
 SEQ = 10
 SKEY = ["symbol", "end_date", "pos"]
+_BLOCKS: dict[tuple, str] = {}
 
 
-SEQ_COLUMNS = ["close", "open", "high", "low", "r5", "r20", "v5", "zsr5"]
-
-
-def _seq_base(spark, sf):
-    """What the trainers read: the stored table's columns that the sequence queries show, and all its labels."""
-    return panel(spark, sf).select(*KEY, *SEQ_COLUMNS, *FT.LABEL_COLUMNS)
-
-
-def _exploded(wdf):
-    e = SQ.explode_windows(wdf)
-    return e.withColumn("pos", F.col("pos").cast("bigint"))
+def blocks(spark, sf) -> DataFrame:
+    """What the trainers read: the stored table as dense blocks, bucketed by symbol (S7); stored once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BLOCKS:
+        path = shared_path(spark, "panel-blocks")
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        SQ.store_blocks(SQ.dense_blocks(panel(spark, sf), FT.FEATURE_COLUMNS, FT.LABEL_COLUMNS), path, name)
+        _BLOCKS[key] = name
+    return spark.table(_BLOCKS[key])
 
 
 def q_sequence_windows(spark, sf):
     """10-row windows of (close, r5, v5), long form."""
-    wdf = SQ.sequence_windows(_seq_base(spark, sf), ["close", "r5", "v5"], SEQ)
-    return out(_exploded(wdf), ["trade_date", "close", "r5", "v5"], key=SKEY)
+    return out(SQ.sequence_windows(blocks(spark, sf), ["close", "r5", "v5"], SEQ), ["trade_date", "close", "r5", "v5"], key=SKEY)
 
 
 def q_sequence_anchor(spark, sf):
     """In-window OHLC relative to the window's first close."""
-    wdf = SQ.anchor_relative(SQ.sequence_windows(_seq_base(spark, sf), ["close", "open", "high", "low"], SEQ))
-    return out(_exploded(wdf), ["trade_date", "close", "open", "high", "low"], key=SKEY)
+    return out(SQ.anchor_relative(blocks(spark, sf), seq=SEQ), ["trade_date", "close", "open", "high", "low"], key=SKEY)
 
 
 def q_sequence_norm(spark, sf):
-    """D3: every window column relative to its first row (x/first - 1)."""
-    wdf = SQ.first_row_norm(SQ.sequence_windows(_seq_base(spark, sf), ["close", "v5"], SEQ), ["close", "v5"])
-    return out(_exploded(wdf), ["trade_date", "close", "v5"], key=SKEY)
+    """D3: all 138 features relative to the window's first row, at the scales of both trainers: per window and feature
+    the sum of place x value, NULL where the first value is 0 or any is missing."""
+    b, parts = blocks(spark, sf), []
+    for scale in (1, 10):
+        parts.append(SQ.window_digest(b, FT.FEATURE_COLUMNS, SEQ, scale=float(scale)).withColumn("scale", F.lit(scale)))
+    return out(parts[0].unionByName(parts[1]), FT.FEATURE_COLUMNS, key=["symbol", "end_date", "scale"])
+
+
+def q_sequence_norm_rows(spark, sf):
+    """D3: the normed rows themselves (x/first - 1) of two columns, long form."""
+    return out(SQ.first_row_norm(blocks(spark, sf), ["close", "v5"], 1.0, SEQ), ["trade_date", "close", "v5"], key=SKEY)
 
 
 def q_sequence_all(spark, sf):
     """D1 over every stored feature, windows of 10 and of 50 rows: per window the sum of place x value of each feature."""
-    parts = []
-    for seq in (SEQ, 50):
-        e = _exploded(SQ.sequence_windows(panel(spark, sf), FT.FEATURE_COLUMNS, seq))
-        sums = [F.sum((F.col("pos") + 1) * F.col(f"`{c}`")).alias(c) for c in FT.FEATURE_COLUMNS]
-        parts.append(e.groupBy("symbol", "end_date").agg(*sums).withColumn("seq", F.lit(seq)))
+    b = blocks(spark, sf)
+    parts = [SQ.window_digest(b, FT.FEATURE_COLUMNS, seq).withColumn("seq", F.lit(seq)) for seq in (SEQ, 50)]
     return out(parts[0].unionByName(parts[1]), FT.FEATURE_COLUMNS, key=["symbol", "end_date", "seq"])
 
 
-def _split(spark, sf, cols=("close", "r5", "v5"), labels=()):
-    return SQ.chrono_split(SQ.sequence_windows(_seq_base(spark, sf), list(cols), SEQ, labels=labels))
+def _ends(spark, sf, last=(), labels=()):
+    return SQ.window_ends(blocks(spark, sf), SEQ, last=last, labels=labels)
 
 
 def q_sequence_labels(spark, sf):
     """Each window's label is the next row's class x 0.1."""
-    s = _split(spark, sf, labels=["resultclass4"])
+    s = _ends(spark, sf, labels=["resultclass4"])
     return out(s.select("symbol", "end_date", F.col("resultclass4").alias("label")), ["label"], key=["symbol", "end_date"])
 
 
 def q_chrono_split(spark, sf):
     """Last 10 windows predict, 90 before test, the rest train."""
-    return _split(spark, sf).select("symbol", "end_date", "split")
-
-
-GATED = ("close", "r5", "v5", "zsr5")
+    return _ends(spark, sf).select("symbol", "end_date", "split")
 
 
 def q_reject_null_symbols(spark, sf):
-    """Symbols whose training windows hold a missing (index) feature."""
-    return SQ.null_symbols(_split(spark, sf, GATED))
+    """Symbols whose training windows hold a missing value in any of the 138 features."""
+    return SQ.null_symbols(blocks(spark, sf), SEQ)
 
 
 def q_collect_panel(spark, sf):
     """The stacked panel after the gates P8, P13, P14: windows per symbol and split."""
-    base = C.symbols_present(C.min_history(_seq_base(spark, sf), 300), X.stored_symbols(spark, sf))
-    s = SQ.reject_null_symbols(cut(SQ.chrono_split(SQ.sequence_windows(base, list(GATED), SEQ)), "windows"))
+    base = C.symbols_present(blocks(spark, sf).where("len > 300"), X.stored_symbols(spark, sf))
+    s = SQ.window_ends(SQ.reject_null_symbols(base, SEQ), SEQ)
     return s.groupBy("symbol", "split").agg(F.count(F.lit(1)).alias("n_windows"))
 
 
+def _stored_splits(spark, df: DataFrame, name: str, key=("symbol", "end_date")) -> dict:
+    """Train, test and predict rows, each stored as a table of its own, columns in another order each time."""
+    got = {}
+    for k, split in enumerate(("train", "test", "predict")):
+        path = shared_path(spark, f"{name}-{split}")
+        cols = [c for c in df.columns if c != "split"]
+        df.where(F.col("split") == split).select(*(cols[k:] + cols[:k])).write.parquet(path)
+        got[split] = spark.read.parquet(path)
+    return got
+
+
 def q_union_windows(spark, sf):
-    """Train, test and predict windows as one frame, told apart by a column."""
-    return _split(spark, sf).select("symbol", "end_date", "split")
+    """Separately stored train, test and predict windows stacked by name."""
+    s = _ends(spark, sf, last=["close"], labels=["resultclass4"]).select("symbol", "end_date", "split", "close", F.col("resultclass4").alias("label"))
+    return out(SQ.union_splits(**_stored_splits(spark, s, "windows")), ["split", "close", "label"], key=["symbol", "end_date"])
 
 
 def q_union_predictions(spark, sf):
-    """Test and predict scores in one frame (closed-form score 0.5+0.4*r20 of the window's last row)."""
-    s = _split(spark, sf, ["r20"]).filter("split != 'train'")
-    score = F.lit(0.5) + F.lit(0.4) * F.element_at("window", -1)["r20"]
-    return out(s.select("symbol", "end_date", "split", score.alias("prediction")), ["split", "prediction"], key=["symbol", "end_date"])
+    """Separately stored test and predict scores in one frame (closed-form score 0.5+0.4*r20 of the window's last row)."""
+    s = _ends(spark, sf, last=["r20"])
+    s = s.select("symbol", "end_date", "split", (F.lit(0.5) + F.lit(0.4) * F.col("r20")).alias("prediction"))
+    parts = _stored_splits(spark, s.where("split != 'train'"), "scores")
+    return out(SQ.union_splits(test=parts["test"], predict=parts["predict"]), ["split", "prediction"], key=["symbol", "end_date"])
 
 
 # ---------------------------------------------------------------- A3, E*
@@ -741,8 +753,8 @@ def _eval_base(spark, sf):
 
 def _eval_windows(spark, sf):
     """E1-E5's rows: per test window and label the closed-form score and the truth, the next row's label x 0.1."""
-    s = _split(spark, sf, ["r20"], labels=FT.LABEL_COLUMNS).filter("split = 'test'")
-    score = F.lit(0.5) + F.lit(0.4) * F.element_at("window", -1)["r20"]
+    s = _ends(spark, sf, last=["r20"], labels=FT.LABEL_COLUMNS).filter("split = 'test'")
+    score = F.lit(0.5) + F.lit(0.4) * F.col("r20")
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("truth")) for c in FT.LABEL_COLUMNS]))
     return s.select("symbol", "end_date", score.alias("prediction"), rows.alias("x")).select("symbol", "end_date", "prediction", "x.label", "x.truth")
 
@@ -800,6 +812,7 @@ QUERIES.update({
     "sequence_all": q_sequence_all,
     "sequence_anchor": q_sequence_anchor,
     "sequence_norm": q_sequence_norm,
+    "sequence_norm_rows": q_sequence_norm_rows,
     "sequence_labels": q_sequence_labels,
     "chrono_split": q_chrono_split,
     "reject_null_symbols": q_reject_null_symbols,
