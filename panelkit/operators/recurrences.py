@@ -10,15 +10,14 @@ Chains (the average of an average) are one scan after the other on the same
 sorted blocks.  Seeds lie in a history's first rows, which the first blocks
 see whole.
 
-The parabolic stop (T18) has no such form: it jumps and never forgets for
-sure.  It alone is a grouped map, of three columns per key.
+The parabolic stop (T18) is a scan of running extremes and of steps between two
+phases, which compose over segments (``stop_column``).
 """
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,70 +203,48 @@ def linear_columns(df: DataFrame, which=tuple(GROUPS), key: str = "symbol") -> D
 # ---------------------------------------------------------------- the stop
 
 
-def sar(high_c, low_c):
-    """Parabolic SAR with acceleration 0 and maximum 0 (integer cents).
-
-    With zero acceleration the stop moves only by clamping to the two latest
-    lows (long) / highs (short) and by reversal to the extreme point."""
-    n = len(high_c)
-    out = [None] * n
-    if n < 2:
-        return out
-    dp, dm = high_c[1] - high_c[0], low_c[0] - low_c[1]
-    is_long = not (dm > 0 and dp < dm)
-    if is_long:
-        ep, stop = high_c[1], low_c[0]
-    else:
-        ep, stop = low_c[1], high_c[0]
-    new_low, new_high = low_c[1], high_c[1]
-    for t in range(1, n):
-        prev_low, prev_high = new_low, new_high
-        new_low, new_high = low_c[t], high_c[t]
-        if is_long:
-            if new_low <= stop:
-                is_long = False
-                stop = max(ep, prev_high, new_high)
-                out[t] = stop
-                ep = new_low
-                stop = max(stop, prev_high, new_high)
-            else:
-                out[t] = stop
-                if new_high > ep:
-                    ep = new_high
-                stop = min(stop, prev_low, new_low)
-        else:
-            if new_high >= stop:
-                is_long = True
-                stop = min(ep, prev_low, new_low)
-                out[t] = stop
-                ep = new_high
-                stop = min(stop, prev_low, new_low)
-            else:
-                out[t] = stop
-                if new_low < ep:
-                    ep = new_low
-                stop = max(stop, prev_high, new_high)
-    return out
-
-
-def _sar_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("trade_date", kind="stable").reset_index(drop=True)
-    stops = sar(pdf["high_c"].astype("int64").tolist(), pdf["low_c"].astype("int64").tolist())
-    pdf["_sar"] = pd.array([None if s is None else s / 100.0 for s in stops], dtype="Float64")
-    return pdf.drop(columns=["high_c", "low_c"])
-
-
-def sar_column(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """T18 as (key, trade_date, _sar); one key's two price columns are one task's."""
-    kinds = dict(df.dtypes)
-    return df.select(key, "trade_date", "high_c", "low_c").groupBy(key).applyInPandas(_sar_kernel, f"{key} {kinds[key]}, trade_date date, _sar double")
+def stop_column(df: DataFrame, key: str = "symbol", rows: int = G.SEG_ROWS) -> DataFrame:
+    """``df`` with the parabolic stop, acceleration 0 (``_sar``, from the key's second row on).
+
+    Without acceleration the stop of a long phase stays at the lowest low so far and that of a short phase at the
+    highest high so far: a phase begins where the price passes the extreme of all rows before, so each new extreme
+    point is one of the whole history.  A row that only passes the low makes the phase short, one that only passes
+    the high makes it long, one that does both turns it round, others leave it.  Running extremes and such steps
+    compose, so segments of ``rows`` rows are scanned apart: what a segment needs of those before it are two
+    extremes and one phase, from tables of one row a segment.  (Of the first row only the start's stop counts.)
+    """
+    ws = f"PARTITION BY {key}, _part ORDER BY trade_date"
+    so_far, before = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW", "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    earlier = f"OVER (PARTITION BY {key} ORDER BY _part {before})"
+    numbered = df if "_grn" in df.columns else G.row_numbers(df, key)
+    t = numbered.withColumn("_part", F.floor((F.col("_grn") - 1) / rows).cast("long"))
+    down, up = f"low_c - {E.lead('low_c', 1, ws)}", f"{E.lead('high_c', 1, ws)} - high_c"
+    t = t.selectExpr("*", f"CASE WHEN _grn = 1 THEN CAST(NOT coalesce({down} > 0 AND {up} < {down}, false) AS INT) END AS _start")
+    t = t.selectExpr("*", "CASE WHEN _start = 0 THEN NULL ELSE low_c END AS _low", "CASE WHEN _start = 1 THEN NULL ELSE high_c END AS _high")
+    reach = t.groupBy(key, "_part").agg(F.min("_low").alias("_lo"), F.max("_high").alias("_hi"))
+    reach = reach.selectExpr(key, "_part", f"min(_lo) {earlier} AS _lo0", f"max(_hi) {earlier} AS _hi0")
+    t = t.join(reach, [key, "_part"])
+    t = t.selectExpr("*", f"least(_lo0, min(_low) OVER ({ws} {before})) AS _floor", f"greatest(_hi0, max(_high) OVER ({ws} {before})) AS _roof")
+    t = t.selectExpr("*", "_start IS NULL AND coalesce(low_c <= _floor, true) AS _falls", "_start IS NULL AND coalesce(high_c >= _roof, true) AS _rises")
+    t = t.selectExpr("*", "CASE WHEN _start IS NOT NULL THEN _start WHEN _rises AND NOT _falls THEN 1 WHEN _falls AND NOT _rises THEN 0 END AS _set", "CAST(_falls AND _rises AS INT) AS _turn")
+    t = t.selectExpr("*", f"sum(_turn) OVER ({ws} {so_far}) AS _turns")
+    t = t.selectExpr("*", f"last(_set, true) OVER ({ws} {so_far}) AS _phase", f"coalesce(last(CASE WHEN _set IS NOT NULL THEN _turns END, true) OVER ({ws} {so_far}), 0) AS _done")
+    ends = t.groupBy(key, "_part").agg(F.max_by(F.struct("_phase", (F.col("_turns") - F.col("_done")).alias("n")), "_grn").alias("e"))
+    ends = ends.selectExpr(key, "_part", "e._phase AS _phase", "e.n AS n", f"coalesce(sum(e.n) {earlier}, 0) AS c")
+    ends = ends.selectExpr(key, "_part", f"pmod(last(_phase, true) {earlier} + c - last(CASE WHEN _phase IS NOT NULL THEN c END, true) {earlier}, 2) AS _phase0")
+    t = t.join(ends, [key, "_part"])
+    t = t.selectExpr("*", "pmod(coalesce(_phase, _phase0) + _turns - _done, 2) AS _is_long")
+    was = f"coalesce({E.lag('_is_long', 1, ws)}, _phase0)"
+    stop = (f"CASE WHEN _grn = 1 THEN NULL WHEN {was} = 1 THEN CASE WHEN _falls THEN greatest(_roof, high_c) ELSE _floor END "
+            "WHEN _rises THEN least(_floor, low_c) ELSE _roof END")
+    return t.selectExpr(*map(E.q, df.columns), f"{stop} / 100.0D AS _sar")
 
 
 def recurrence_columns(df: DataFrame, which=(*GROUPS, "sar"), key: str = "symbol") -> DataFrame:
     """Append the raw outputs of the wanted groups to every bar."""
     linear = [g for g in which if g != "sar"]
-    out = linear_columns(df, linear, key) if linear else df
-    return out.join(sar_column(df, key), [key, "trade_date"], "left") if "sar" in which else out
+    out = stop_column(df, key) if "sar" in which else df
+    return linear_columns(out, linear, key) if linear else out
 
 
 def recurrence_finals() -> dict:

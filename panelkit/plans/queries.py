@@ -783,25 +783,39 @@ def q_series_long(spark, sf):
 
 def panel_windows(spark, sf):
     """The stored table's windows as vectors of all features, with all labels and the split."""
-    w = SQ.sequence_windows(panel(spark, sf), FT.FEATURE_COLUMNS, SEQ, labels=FT.LABEL_COLUMNS)
-    return cut(MD.vectors(SQ.chrono_split(w), FT.FEATURE_COLUMNS, SEQ), "training-windows")
+    return MD.vectors(blocks(spark, sf), FT.FEATURE_COLUMNS, FT.LABEL_COLUMNS, SEQ)
 
 
-def predictions(spark, sf):
-    """M1-M3: a regressor per label fitted on all complete training windows, stored, loaded, and applied to the rest."""
-    data = panel_windows(spark, sf)
-    path = shared_path(spark, "model")
-    MD.save(spark, MD.fit(data.filter("split = 'train'"), FT.LABEL_COLUMNS), path)
-    return MD.score(MD.load(spark, path), data.filter("split != 'train'"))
+def predictions(spark, sf, fields=FT.FEATURE_COLUMNS):
+    """M1-M3: a regressor per label fitted on all complete training windows, stored, loaded, and applied to all windows."""
+    names = ["first", "n", "halo", "len", "dates", *[E.q(c) for c in [*fields, *FT.LABEL_COLUMNS]]]
+    data, path = blocks(spark, sf).select("symbol", *names), shared_path(spark, "model")
+    MD.save(spark, MD.fit(data, FT.LABEL_COLUMNS, MD.from_blocks(fields, FT.LABEL_COLUMNS, SEQ)), path)
+    return MD.score_blocks(MD.load(spark, path), data, fields, SEQ)
 
 
 def q_fit_predict(spark, sf):
     """M1-M3 per window and label: the truth and whether there is a prediction (its value is for the tests to judge)."""
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("truth"), F.col(f"p_{c}").isNotNull().cast("int").alias("predicted")) for c in FT.LABEL_COLUMNS]))
-    long = predictions(spark, sf).select("symbol", "end_date", "split", rows.alias("x")).select("symbol", "end_date", "split", "x.*")
+    late = _ends(spark, sf).where("split != 'train'").select("symbol", "end_date", "split")
+    long = predictions(spark, sf).join(late, ["symbol", "end_date"]).select("symbol", "end_date", "split", rows.alias("x")).select("symbol", "end_date", "split", "x.*")
     return out(long, ["split", "truth", "predicted"], key=["symbol", "end_date", "label"])
 
 
+def q_fit_constant(spark, sf):
+    """M1 in closed form: without any feature the least absolute error is at the median of the training labels."""
+    data = blocks(spark, sf).select("first", "n", "halo", "len", "close", *FT.LABEL_COLUMNS)
+    read = MD.from_blocks(["close"], FT.LABEL_COLUMNS, SEQ)
+
+    def alone(batch):
+        for x, y in read(batch):
+            yield x[:, :0], y
+
+    model = MD.fit(data, FT.LABEL_COLUMNS, alone, rounds=60, tolerance=0.0)
+    rows = [(c, int(round(1000 * w[0])), model["rows"]) for c, w in zip(model["labels"], model["weights"])]
+    return spark.createDataFrame(rows, "label string, prediction_milli bigint, n_windows bigint")
+
+
 def q_feature_catalog(spark, sf):
     """Stored columns with position, type and non-null count."""
     return SK.feature_catalog(q_feature_table(spark, sf))
@@ -826,5 +840,6 @@ QUERIES.update({
     "eval_threshold": q_eval_threshold,
     "series_long": q_series_long,
     "fit_predict": q_fit_predict,
+    "fit_constant": q_fit_constant,
     "feature_catalog": q_feature_catalog,
 })

@@ -65,9 +65,29 @@ def test_lowpass(bars, panel):
         close_to([r["lowpass_cut"] for r in got[s]], cut)
 
 
-def test_only_the_stop_runs_python(bars):
+@pytest.mark.parametrize("rows", [2, 7, 20_000])
+def test_stop(spark, bars, panel, rows):
+    """Random walks with ties and outside bars, in one segment and in many."""
+    got = {}
+    for r in R.stop_column(bars, rows=rows).orderBy("symbol", "trade_date").collect():
+        got.setdefault(r["symbol"], []).append(r["_sar"])
+    for s, h in panel.items():
+        assert got[s] == [None if x is None else x / 100.0 for x in K.sar([r[2] for r in h], [r[3] for r in h])]
+    rng, rows_, want = random.Random(6), [], {}
+    for i in range(150):
+        n = rng.randint(1, 40)
+        mid = [rng.randint(0, 6) for _ in range(n)]
+        h = [(f"s{i}", dt.date(2000, 1, 1) + dt.timedelta(days=k), m + rng.randint(0, 3), m - rng.randint(0, 3)) for k, m in enumerate(mid)]
+        rows_ += h
+        want[f"s{i}"] = [None if x is None else x / 100.0 for x in K.sar([r[2] for r in h], [r[3] for r in h])]
+    got = {}
+    df = spark.createDataFrame(rows_, "symbol string, trade_date date, high_c long, low_c long").repartition(5)
+    for r in R.stop_column(df, rows=rows).orderBy("symbol", "trade_date").collect():
+        got.setdefault(r["symbol"], []).append(r["_sar"])
+    assert got == want
+
+
+def test_nothing_runs_python(bars):
     plan = R.recurrence_features(bars)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FlatMapGroupsInPandas") == 1 and "Python" not in plan.replace("PythonUDF", "")
-    linear = R.linear_columns(bars)._jdf.queryExecution().executedPlan().toString()
-    assert "Pandas" not in linear and "Python" not in linear
-    assert "hashpartitioning(symbol" in linear and "_seg" in linear
+    assert "Pandas" not in plan and "Python" not in plan
+    assert "hashpartitioning(symbol" in plan and "_seg" in plan and "_part" in plan
