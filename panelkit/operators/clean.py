@@ -130,10 +130,15 @@ def min_history(clean: DataFrame, min_clean: int = 300, key: str = "symbol") ->
     return clean.join(n, key, "left_semi")
 
 
-def warmup_trim(df: DataFrame, rows: int = 120, w=None) -> DataFrame:
-    """Drop the first ``rows`` bars of each symbol (indicator warm-up)."""
-    w = w or Window.partitionBy("symbol").orderBy("trade_date")
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > rows).drop("_rn")
+def warmup_trim(numbered: DataFrame, rows: int = 120) -> DataFrame:
+    """Drop the first ``rows`` bars of each symbol (indicator warm-up); bars with their numbers ``_grn``."""
+    return numbered.filter(F.col("_grn") > rows)
+
+
+def tail_rows(numbered: DataFrame, rows: int, key: str = "symbol") -> DataFrame:
+    """The last ``rows`` bars of each symbol; counts are a partial aggregation."""
+    n = numbered.groupBy(key).agg(F.count("*").alias("_n"))
+    return numbered.join(n, key).filter(F.col("_grn") > F.col("_n") - rows).drop("_n")
 
 
 def exclude_board(df: DataFrame, key: str = "symbol", board: str = EXCLUDED_BOARD) -> DataFrame:
@@ -151,11 +156,9 @@ def symbols_missing(df: DataFrame, stored: DataFrame, key: str = "symbol") -> Da
     return df.join(stored.select(key), key, "left_anti")
 
 
-def stride_sample(df: DataFrame, r: int, w=None) -> DataFrame:
-    """Every ``r``-th bar per symbol, starting with the first."""
-    w = w or Window.partitionBy("symbol").orderBy("trade_date")
-    return (df.withColumn("_rn", F.row_number().over(w))
-            .filter((F.col("_rn") - 1) % r == 0).drop("_rn"))
+def stride_sample(numbered: DataFrame, r: int) -> DataFrame:
+    """Every ``r``-th bar per symbol, starting with the first; bars with their numbers ``_grn``."""
+    return numbered.filter((F.col("_grn") - 1) % r == 0)
 
 
 def approx_amount(df: DataFrame) -> DataFrame:

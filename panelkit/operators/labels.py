@@ -19,7 +19,9 @@ HORIZONS = (2, 4, 7, 10)
 BUY_HORIZONS = (4, 7, 10)
 N_CLASSES = 10
 EDGE_DECIMALS = 3
-BUCKETS = 256  # per unit of value; only for ranking, no effect on results
+BUCKETS = 256  # per unit of value, and of a bucket that is divided; only for ranking, no effect on results
+CROWDED = 100_000  # values of a bucket that holds a wanted rank, beyond which it is divided
+DEEPEST = 3  # divisions
 # The labels that survive the column drop (P11), in the reference's order.
 LABEL_COLUMNS = (["resultbuy4", "resultbuy7", "resultbuy10"]
                  + [f"result{k}class{h}" for h in HORIZONS for k in ("", "rel")])
@@ -76,36 +78,69 @@ def label_columns(df: DataFrame, horizons=HORIZONS, r: int = 1, w: WindowSpec |
     return df.selectExpr("*", *E.alias(label_exprs(horizons, r, ws)))
 
 
+def _places(level: int) -> list[Column]:
+    """Bucket of ``_v`` at each level down to ``level``: of 1 / BUCKETS, then each a BUCKETS-th of the one before."""
+    x, out = F.col("_v") * BUCKETS, []
+    for k in range(level + 1):
+        b = F.floor(x).cast("long")
+        out.append(b.alias(f"_b{k}"))
+        x = (x - b) * BUCKETS
+    return out
+
+
 def quantile_edges(df: DataFrame, value: str, key="symbol", n: int = N_CLASSES, name: str = "edges") -> DataFrame:
     """A1: per key, the ``n-1`` inner edges ``round_half_even(quantile(i/n), 3)``; NULL values are ignored.
 
-    No key's values are gathered: equal values are counted (a partial aggregation), counts are added up per bucket
-    of ``1 / BUCKETS`` (a small table), and inside each bucket over its different values.  So every value knows the
-    ranks it takes, and only those at the quantiles' two order statistics are picked.  The interpolation
+    By selection: values are counted per bucket (a partial aggregation), the counts before a bucket say which ranks
+    it holds, and only buckets that hold one of the wanted order statistics, 2 (n - 1) of a key at most, are looked
+    into.  While one of them has more than CROWDED values, it is divided further the same way, DEEPEST times at most;
+    what is left is counted by value (so ties cost nothing) and ranked.  The interpolation
     ``(hi - pos) * v_lo + (pos - lo) * v_hi`` with ``pos = (n - 1) * p`` is that of Spark's exact ``percentile``.
-    ``key`` may be a list.
+    ``key`` may be a list.  ``df`` is read once more per level.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    values = cut(df.select(*keys, F.col(value).alias("_v")).filter("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count("*").alias("_c")), "value-counts")
-    values = values.withColumn("_b", F.floor(F.col("_v") * BUCKETS).cast("long"))
-    order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = values.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc")).select(
-        *keys, "_b", F.coalesce(F.sum("_bc").over(order), F.lit(0)).alias("_before"), F.sum("_bc").over(Window.partitionBy(*keys)).alias("_n"))
-    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("_end", F.sum("_c").over(inside)).join(buckets, [*keys, "_b"])
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    level, wanted, path = 0, None, []
+    while True:
+        new, path = f"_b{level}", [f"_b{k}" for k in range(level + 1)]
+        placed = values.select(*keys, "_v", *_places(level))
+        if wanted is not None:
+            placed = placed.join(wanted.select(*keys, *path[:-1]), [*keys, *path[:-1]], "left_semi")
+        counts = placed.groupBy(*keys, *path).agg(F.count("*").alias("_c"))
+        order = Window.partitionBy(*keys, *path[:-1]).orderBy(new).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_c").over(order), F.lit(0))
+        if wanted is None:
+            total = F.sum("_c").over(Window.partitionBy(*keys))
+            at = lambda i: (F.col("_n") - 1) * F.lit(i / n)
+            ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("s"), at(i).alias("pos"), side(at(i)).cast("long").alias("rank"))
+                              for i in range(1, n) for s, side in (("lo", F.floor), ("hi", F.ceil))])
+            found = counts.select("*", before.alias("_before"), total.alias("_n")).withColumn("_ranks", ranks)
+        else:
+            held = wanted.select(*keys, *path[:-1], F.col("_before").alias("_start"), "_ranks")
+            found = counts.select("*", before.alias("_inside")).join(held, [*keys, *path[:-1]]).withColumn("_before", F.col("_start") + F.col("_inside"))
+        mine = F.filter("_ranks", lambda x: (x["rank"] >= F.col("_before")) & (x["rank"] < F.col("_before") + F.col("_c")))
+        wanted = cut(found.select(*keys, *path, "_c", "_before", mine.alias("_ranks")).filter(F.size("_ranks") > 0), "wanted-buckets")
+        if level == DEEPEST or (wanted.agg(F.max("_c")).first()[0] or 0) <= CROWDED:
+            break
+        level += 1
+    alike = placed_in(values, wanted, keys, path, level).groupBy(*keys, *path, "_v").agg(F.count("*").alias("_c"))
+    inside = Window.partitionBy(*keys, *path).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = alike.withColumn("_end", F.sum("_c").over(inside)).join(wanted.drop("_c"), [*keys, *path])
     first, end = F.col("_before") + F.col("_end") - F.col("_c"), F.col("_before") + F.col("_end")
-    at = lambda i: (F.col("_n") - 1) * F.lit(i / n)
-    taken = lambda rank: (rank >= first) & (rank < end)
-    picks = F.array(*[F.when(taken(side(at(i))), F.struct(F.lit(i).alias("i"), F.lit(s).alias("s"), at(i).alias("pos")))
-                      for i in range(1, n) for s, side in (("lo", F.floor), ("hi", F.ceil))])
-    found = ranked.select(*keys, "_v", F.explode(F.filter(picks, lambda x: x.isNotNull())).alias("x"))
-    pair = found.groupBy(*keys, F.col("x.i").alias("i")).agg(
+    taken = F.filter("_ranks", lambda x: (x["rank"] >= first) & (x["rank"] < end))
+    got = ranked.select(*keys, "_v", F.explode(taken).alias("x"))
+    pair = got.groupBy(*keys, F.col("x.i").alias("i")).agg(
         F.max(F.col("x.pos")).alias("pos"), F.max(F.when(F.col("x.s") == "lo", F.col("_v"))).alias("lo"), F.max(F.when(F.col("x.s") == "hi", F.col("_v"))).alias("hi"))
     pos = F.col("pos")
     edge = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise((F.ceil(pos) - pos) * F.col("lo") + (pos - F.floor(pos)) * F.col("hi"))
     return pair.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.bround(edge, EDGE_DECIMALS).alias("e")))), lambda x: x["e"]).alias(name))
 
 
+def placed_in(values: DataFrame, wanted: DataFrame, keys, path, level: int) -> DataFrame:
+    """The values that lie in a wanted bucket, with its path."""
+    return values.select(*keys, "_v", *_places(level)).join(wanted.select(*keys, *path), [*keys, *path], "left_semi")
+
+
 def bin_code(x, edges) -> Column:
     """A2: left-closed bin code 0..n-1 = number of inner edges <= x; NULL stays NULL.
 
@@ -117,32 +152,41 @@ def bin_code(x, edges) -> Column:
 
 def quantile_class(df: DataFrame, value: str, out: str, key: str = "symbol",
                    n: int = N_CLASSES) -> DataFrame:
-    """A1 + A2: per-key decile class of ``value`` over the key's full history.  ``df`` is written once and read twice."""
+    """A1 + A2: per-key decile class of ``value`` over the key's full history.  ``df`` is written once, as it is: give
+    the columns that are wanted only."""
     df = cut(df, "to-classify")
     edges = quantile_edges(df, value, key, n, name="_edges")
     return df.join(edges, key, "left").select(*df.columns, bin_code(value, "_edges").alias(out))
 
 
-def edge_table(df: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
-    """(key, _e_result{h}, _e_resultrel{h}): the edges of all label values, one row per key, from one set of counts."""
-    srcs = [s for i in horizons for s in (f"result{i}", f"resultrel{i}")]
+def sources(horizons=HORIZONS, kinds=("", "rel")) -> list[str]:
+    """The values that are classed."""
+    return [f"result{k}{h}" for h in horizons for k in kinds]
+
+
+def edge_table(df: DataFrame, horizons=HORIZONS, key: str = "symbol", kinds=("", "rel")) -> DataFrame:
+    """(key, _e_result{h}, _e_resultrel{h}): the edges of all label values, one row per key, from one set of counts.
+    ``df`` is read more than once."""
+    srcs = sources(horizons, kinds)
     stacked = df.select(key, F.explode(F.array(*[
         F.struct(F.lit(s).alias("_which"), F.col(s).alias("_val")) for s in srcs])).alias("_x"))
     edges = quantile_edges(stacked.select(key, "_x._which", "_x._val"), "_val", [key, "_which"], name="_edges")
     return edges.groupBy(key).agg(*[F.max(F.when(F.col("_which") == s, F.col("_edges"))).alias(f"_e_{s}") for s in srcs])
 
 
-def class_columns(df: DataFrame, edges: DataFrame, horizons=HORIZONS, key: str = "symbol") -> DataFrame:
+def class_columns(df: DataFrame, edges: DataFrame, horizons=HORIZONS, key: str = "symbol", kinds=("", "rel")) -> DataFrame:
     """L5 + L6: ``resultclass{h}`` and ``resultrelclass{h}`` from a table of edges."""
-    out = []
-    for i in horizons:
-        out.append(bin_code(f"result{i}", f"_e_result{i}").alias(f"resultclass{i}"))
-        out.append(bin_code(f"resultrel{i}", f"_e_resultrel{i}").alias(f"resultrelclass{i}"))
+    out = [bin_code(f"result{k}{h}", f"_e_result{k}{h}").alias(f"result{k}class{h}") for h in horizons for k in kinds]
     return df.join(edges, key, "left").select(*df.columns, *out)
 
 
-def class_labels(df: DataFrame, horizons=HORIZONS, key: str = "symbol", until=None) -> DataFrame:
-    """L5 + L6 for every horizon.  ``until``: take the edges from bars up to that date only (no look ahead)."""
-    df = cut(df, "to-classify")
+def class_labels(df: DataFrame, horizons=HORIZONS, key: str = "symbol", until=None, kinds=("", "rel"), keep=None) -> DataFrame:
+    """L5 + L6 for every horizon.  ``until``: take the edges from bars up to that date only (no look ahead).
+
+    ``keep``: the columns wanted besides the classes (default: all); only these and the values are written."""
+    srcs = sources(horizons, kinds)
+    keep = list(df.columns if keep is None else keep)
+    df = cut(df.select(*dict.fromkeys([*keep, key, "trade_date", *srcs])), "to-classify")
     seen = df if until is None else df.filter(F.col("trade_date") <= F.lit(until))
-    return class_columns(df, edge_table(seen, horizons, key), horizons, key)
+    classed = class_columns(df, edge_table(seen, horizons, key, kinds), horizons, key, kinds)
+    return classed.select(*keep, *[f"result{k}class{h}" for h in horizons for k in kinds])

@@ -43,9 +43,44 @@ def rolling_means(df: DataFrame, x: str, ns, scale: float = 1.0, prefix: str = "
     ]).drop(cs)
 
 
-def prior_extrema(x: str, n: int, w: WindowSpec, fn=F.max) -> Column:
-    """``rolling(n).max().shift()``: rows t-n..t-1, today excluded."""
-    return rolling_frame(fn, x, w, -n, -1)
+def extremes(df: DataFrame, bases: dict, wanted: dict, w: WindowSpec) -> DataFrame:
+    """Extremes of the last n rows for any n, by doubling: the best of 2k rows is the better of the best of k rows and
+    that of the k rows before, and two overlapping runs of a power of two make up n rows.
+
+    bases: name -> (value, F.greatest or F.least); wanted: column -> (base, n), n > 0.  So a row costs log n lags of
+    one value each, whatever n is, and bases share their levels.  A struct (value, place) finds where an extreme
+    lies.  Values of windows that are not full yet, and of those that hold a NULL, are for the caller to leave out.
+    """
+    most = {b: max(n for base, n in wanted.values() if base == b) for b in bases}
+    best = {b: how for b, (_, how) in bases.items()}
+    t = df.select("*", *[v.alias(f"_{b}_1") for b, (v, _) in bases.items()])
+    made, k = [f"_{b}_1" for b in bases], 1
+    while 2 * k <= max(most.values()):
+        new = [b for b in bases if most[b] >= 2 * k]
+        t = t.select("*", *[best[b](F.col(f"_{b}_{k}"), F.lag(f"_{b}_{k}", k).over(w)).alias(f"_{b}_{2 * k}") for b in new])
+        made += [f"_{b}_{2 * k}" for b in new]
+        k *= 2
+    out = []
+    for name, (b, n) in wanted.items():
+        p = 1 << n.bit_length() - 1
+        x = F.col(f"_{b}_{p}")
+        out.append((x if p == n else best[b](x, F.lag(x, n - p).over(w))).alias(name))
+    return t.select("*", *out).drop(*made)
+
+
+def _whole(x, n: int, w: WindowSpec, rn: str) -> Column:
+    """Whether the last ``n`` rows are there and have no NULL."""
+    gap = F.last(F.when(col(x).isNull(), F.col(rn)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return F.col(rn) - n >= F.coalesce(gap, F.lit(0))
+
+
+def prior_extrema(df: DataFrame, wanted: dict, w: WindowSpec, rn: str = "rn") -> DataFrame:
+    """``rolling(n).max().shift()``, rows t-n..t-1, today excluded.  wanted: column -> (x, n, "max" or "min")."""
+    bases = {f"{x}_{kind}": (F.col(x), F.greatest if kind == "max" else F.least) for x, _, kind in wanted.values()}
+    t = extremes(df, bases, {f"_{c}": (f"{x}_{kind}", n) for c, (x, n, kind) in wanted.items()}, w)
+    t = t.select("*", *[_whole(x, n, w, rn).alias(f"_w{c}") for c, (x, n, _) in wanted.items()])
+    shown = [F.when(F.lag(f"_w{c}", 1).over(w), F.lag(f"_{c}", 1).over(w)).alias(c) for c in wanted]
+    return t.select(*df.columns, *shown)
 
 
 def forward_extrema(x: str, k: int, w: WindowSpec, fn=F.max) -> Column:
@@ -87,16 +122,20 @@ def decay_linear(x: str, n: int, w: WindowSpec) -> Column:
     return total / float(n * (n + 1) / 2)
 
 
-def high_day(x: str, n: int, w: WindowSpec) -> Column:
+def _day(df: DataFrame, x: str, n: int, w: WindowSpec, name: str, value: Column, how, rn: str) -> DataFrame:
+    t = extremes(df, {"day": (value, how)}, {"_place": ("day", n)}, w)
+    place = F.abs(F.col("_place")["at"])
+    return t.select(*df.columns, F.when(_whole(x, n, w, rn), F.col(rn) - place + 1).cast("bigint").alias(name))
+
+
+def high_day(df: DataFrame, x: str, n: int, w: WindowSpec, name: str, rn: str = "rn") -> DataFrame:
     """``n - argmax`` (first maximum wins; 1 = today)."""
-    a = F.collect_list(col(x)).over(w.rowsBetween(-(n - 1), 0))
-    return F.when(F.size(a) == n, F.lit(n) - F.array_position(a, F.array_max(a)) + 1)
+    return _day(df, x, n, w, name, F.struct(col(x).alias("v"), (-F.col(rn)).alias("at")), F.greatest, rn)
 
 
-def low_day(x: str, n: int, w: WindowSpec) -> Column:
-    """``n - argmin``."""
-    a = F.collect_list(col(x)).over(w.rowsBetween(-(n - 1), 0))
-    return F.when(F.size(a) == n, F.lit(n) - F.array_position(a, F.array_min(a)) + 1)
+def low_day(df: DataFrame, x: str, n: int, w: WindowSpec, name: str, rn: str = "rn") -> DataFrame:
+    """``n - argmin`` (first minimum wins)."""
+    return _day(df, x, n, w, name, F.struct(col(x).alias("v"), F.col(rn).alias("at")), F.least, rn)
 
 
 def logistic(x, use: bool = True) -> Column:

@@ -78,8 +78,8 @@ def feature_table(raw: DataFrame, index_bars: DataFrame, index_code: str = I.IND
     ws, w = G.SEG_WS, Window.partitionBy("symbol", "_seg").orderBy("trade_date")
     fwd = max(G.HALO_FWD, ahead)
     closes = G.segment(bars.select("symbol", "trade_date", "_grn", "close_c"), seg_rows, back=0, fwd=fwd)
-    values = L.label_columns(closes, horizons, r, ws=ws).filter("_home")
-    edges = L.edge_table(values if edges_until is None else values.filter(F.col("trade_date") <= F.lit(edges_until)), horizons)
+    values = cut(L.label_columns(closes, horizons, r, ws=ws).filter("_home").select("symbol", "trade_date", *L.sources(horizons)), "label-values")
+    edges = cut(L.edge_table(values if edges_until is None else values.filter(F.col("trade_date") <= F.lit(edges_until)), horizons), "label-edges")
     prices = {p: F.col(f"{p}_c") / CENTS for p in ("close", "open", "low", "high")}
     if not with_features:
         plain = L.label_columns(G.segment(bars, seg_rows, back=0, fwd=fwd), horizons, r, ws=ws).filter("_home")

@@ -762,9 +762,9 @@ WHERE s.split <> 'train'""", seq_ctes(names))
 def _fit_constant():
     whole = " AND ".join(f"y_{c} IS NOT NULL" for c in LABEL_COLUMNS)
     pairs = ", ".join(f"('{c}', s.y_{c})" for c in LABEL_COLUMNS)
-    return with_base(f"""SELECT label, CAST(round(1000 * median(y)) AS BIGINT) AS prediction_milli, count(*) AS n_windows
-FROM (SELECT u.label, u.y FROM (SELECT s.* FROM splits s JOIN win w ON w.symbol = s.symbol AND w.end_date = s.end_date WHERE w.pos = 0 AND s.split = 'train' AND {whole.replace('y_', 's.y_')}
-       AND NOT EXISTS (SELECT 1 FROM sb x WHERE x.symbol = s.symbol AND x.n2 BETWEEN s.n2 - 9 AND s.n2 AND x.close IS NULL)) s, LATERAL (VALUES {pairs}) u(label, y)) t
+    return with_base(f"""SELECT label, CAST(round(100 * avg(abs(y - m))) AS BIGINT) AS error_percent, count(*) AS n_windows
+FROM (SELECT label, y, median(y) OVER (PARTITION BY label) AS m FROM (SELECT u.label, u.y FROM (SELECT s.* FROM splits s JOIN win w ON w.symbol = s.symbol AND w.end_date = s.end_date WHERE w.pos = 0 AND s.split = 'train' AND {whole.replace('y_', 's.y_')}
+       AND NOT EXISTS (SELECT 1 FROM sb x WHERE x.symbol = s.symbol AND x.n2 BETWEEN s.n2 - 9 AND s.n2 AND x.close IS NULL)) s, LATERAL (VALUES {pairs}) u(label, y)) t)
 GROUP BY label""", seq_ctes())
 
 

@@ -21,6 +21,8 @@ from panelkit.operators import evaluate as EV
 from panelkit.operators import models as MD
 from panelkit.operators import sequences as SQ
 from panelkit.plans import features as FT
+from panelkit.plans import segments as G
+from panelkit.session import clean_up as session_clean_up
 from panelkit.session import cut, shared_path
 from panelkit.sources import readers as RD
 from panelkit.sources import sinks as SK
@@ -42,6 +44,33 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return C.clean_bars(X.raw_bars(spark, sf))
 
 
+_BARS: dict[tuple, str] = {}
+
+
+def sw():
+    """The window of a segment."""
+    return Window.partitionBy("symbol", "_seg").orderBy("trade_date")
+
+
+def bars(spark, sf) -> DataFrame:
+    """The clean bars with their numbers per symbol (``_grn``), written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BARS:
+        path = shared_path(spark, "numbered-bars")
+        G.row_numbers(clean(spark, sf)).write.parquet(path)
+        _BARS[key] = path
+    return spark.read.parquet(_BARS[key])
+
+
+def seg(spark, sf, fwd: int = 0) -> DataFrame:
+    """The bars in halo segments, in which every window here lies; results are the rows of ``home``."""
+    return G.segment(bars(spark, sf), G.SEG_ROWS, fwd=fwd).withColumn("rn", F.col("_grn"))
+
+
+def home(df: DataFrame, cols, key=KEY) -> DataFrame:
+    return out(df.filter("_home"), cols, key)
+
+
 # ---------------------------------------------------------------- step 1
 
 
@@ -98,15 +127,14 @@ def q_clean_bars(spark, sf):
 def q_rolling_mean(spark, sf):
     """Rolling means of close for every window length used."""
     ns = (2, 3, 4, 5, 9, 10, 20, 40, 50, 80)
-    df = W.rolling_means(clean(spark, sf), "close_c", ns, scale=CENTS, prefix="ma")
-    return out(df, [f"ma{n}" for n in ns])
+    df = W.rolling_means(seg(spark, sf), "close_c", ns, scale=CENTS, prefix="ma", w=sw())
+    return home(df, [f"ma{n}" for n in ns])
 
 
 def q_ma_class(spark, sf):
     """Flagship slice: clean -> sma -> r5 -> 4-day forward return -> decile class."""
-    w = win()
-    c = S.price_volume_features(clean(spark, sf), w)
-    lab = c.select(*KEY, "r5", "sma5", L.forward_return(w, 4).alias("result4"))
+    c = S.price_volume_features(seg(spark, sf, fwd=4).drop("rn"), ws=G.SEG_WS)
+    lab = c.select(*KEY, "_home", "r5", "sma5", L.forward_return(sw(), 4).alias("result4")).filter("_home").drop("_home")
     cls = L.quantile_class(lab, "result4", "resultclass4")
     return out(cls, ["sma5", "r5", "result4", "resultclass4"])
 
@@ -130,7 +158,7 @@ VALUATION = ["flowmkt", "everyprofit", "turn", "everypb", "eversale", "evermoney
 
 def _stock_group(cols):
     def q(spark, sf):
-        return out(S.price_volume_features(clean(spark, sf)), cols)
+        return home(S.price_volume_features(seg(spark, sf).drop("rn"), ws=G.SEG_WS), cols)
     return q
 
 
@@ -141,96 +169,97 @@ def q_valuation_features(spark, sf):
 
 # ---------------------------------------------------------------- W1-W16
 
-def _closes(spark, sf):
-    return clean(spark, sf).withColumn("close", F.col("close_c") / CENTS)
+def _closes(spark, sf, fwd=0):
+    return seg(spark, sf, fwd).withColumn("close", F.col("close_c") / CENTS)
 
 
 def q_w_lag(spark, sf):
-    w = win()
-    df = _closes(spark, sf).select(*KEY, W.lag("close", 1, w).alias("lag1"),
+    w = sw()
+    df = _closes(spark, sf).select(*KEY, "_home", W.lag("close", 1, w).alias("lag1"),
                                    W.lag("close", 5, w).alias("lag5"),
                                    W.lag("volume", 1, w).alias("vol_lag1"))
-    return out(df, ["lag1", "lag5", "vol_lag1"])
+    return home(df, ["lag1", "lag5", "vol_lag1"])
 
 
 def q_w_lead(spark, sf):
-    w = win()
-    df = _closes(spark, sf).select(*KEY, W.lead("close", 1, w).alias("lead1"),
+    w = sw()
+    df = _closes(spark, sf, 10).select(*KEY, "_home", W.lead("close", 1, w).alias("lead1"),
                                    W.lead("close", 10, w).alias("lead10"))
-    return out(df, ["lead1", "lead10"])
+    return home(df, ["lead1", "lead10"])
 
 
 def q_w_diff(spark, sf):
-    w = win()
+    w = sw()
     c = F.col("close")
-    df = _closes(spark, sf).select(*KEY, (c - F.lag(c, 1).over(w)).alias("diff1"),
+    df = _closes(spark, sf).select(*KEY, "_home", (c - F.lag(c, 1).over(w)).alias("diff1"),
                                    (c - F.lag(c, 5).over(w)).alias("diff5"))
-    return out(df, ["diff1", "diff5"])
+    return home(df, ["diff1", "diff5"])
 
 
 def q_rolling_extrema(spark, sf):
-    w = win()
-    df = W.with_rn(clean(spark, sf), w)
-    cols = []
-    for n in (20, 60, 120):
-        cols += [(W.prior_extrema("high_c", n, w, F.max) / CENTS).alias(f"max{n}"),
-                 (W.prior_extrema("low_c", n, w, F.min) / CENTS).alias(f"min{n}")]
-    df = df.select(*KEY, *cols)
-    return out(df, [c for c in df.columns if c not in KEY])
+    """Highest high and lowest low of the 20, 60 and 120 rows before."""
+    wanted = {f"{kind}{n}": (x, n, kind) for n in (20, 60, 120) for x, kind in (("high_c", "max"), ("low_c", "min"))}
+    t = W.prior_extrema(seg(spark, sf).select(*KEY, "_seg", "_home", "rn", "high_c", "low_c"), wanted, sw())
+    return home(t.select(*KEY, "_home", *[(F.col(c) / CENTS).alias(c) for c in wanted]), list(wanted))
 
 
 def q_forward_extrema(spark, sf):
-    w = win()
+    w = sw()
     cols = []
     for k in (2, 4, 7, 10):
         cols += [(W.forward_extrema("close_c", k, w, F.max) / CENTS).alias(f"fmax{k}"),
                  (W.forward_extrema("close_c", k, w, F.min) / CENTS).alias(f"fmin{k}")]
-    df = clean(spark, sf).select(*KEY, *cols)
-    return out(df, [c for c in df.columns if c not in KEY])
+    df = seg(spark, sf, 10).select(*KEY, "_home", *cols)
+    return home(df, [c for c in df.columns if c not in (*KEY, "_home")])
 
 
 def q_centered_mean(spark, sf):
-    df = _closes(spark, sf).select(*KEY, W.centered_mean("close", win(), 10).alias("cmean10"))
-    return out(df, ["cmean10"])
+    df = _closes(spark, sf, 5).select(*KEY, "_home", W.centered_mean("close", sw(), 10).alias("cmean10"))
+    return home(df, ["cmean10"])
 
 
 def q_w_rolling_sum(spark, sf):
-    w = win()
-    df = clean(spark, sf).withColumn("ho_c", F.col("high_c") - F.col("open_c"))
-    df = W.with_rn(df, w)
+    w = sw()
+    df = seg(spark, sf).withColumn("ho_c", F.col("high_c") - F.col("open_c"))
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     df = df.select(*df.columns, F.sum("volume").over(run).alias("_cv"), F.sum("ho_c").over(run).alias("_cho"))
-    df = df.select(*KEY, rolling_sum_prefix("_cv", 26, w).alias("vol_sum26"),
+    df = df.select(*KEY, "_home", rolling_sum_prefix("_cv", 26, w).alias("vol_sum26"),
                    (rolling_sum_prefix("_cho", 26, w) / CENTS).alias("ho_sum26"))
-    return out(df, ["vol_sum26", "ho_sum26"])
+    return home(df, ["vol_sum26", "ho_sum26"])
 
 
 def q_clip_values(spark, sf):
-    w = win()
+    w = sw()
     c = F.col("close")
-    df = _closes(spark, sf).select(*KEY, clip1(F.lit(50.0) * (sdiv(c, F.lag(c, 1).over(w)) - 1.0)).alias("clipped"))
-    return out(df, ["clipped"])
+    df = _closes(spark, sf).select(*KEY, "_home", clip1(F.lit(50.0) * (sdiv(c, F.lag(c, 1).over(w)) - 1.0)).alias("clipped"))
+    return home(df, ["clipped"])
 
 
 def q_squash(spark, sf):
-    w = win()
+    w = sw()
     c = F.col("close")
     ret = sdiv(c, F.lag(c, 1).over(w)) - 1.0
-    df = _closes(spark, sf).select(*KEY, sq(F.lit(10.0) * ret).alias("sq_ret"), sq7(F.lit(10.0) * ret).alias("sq7_ret"),
+    df = _closes(spark, sf).select(*KEY, "_home", sq(F.lit(10.0) * ret).alias("sq_ret"), sq7(F.lit(10.0) * ret).alias("sq7_ret"),
                                    W.logistic(F.col("volume") / 1e6).alias("logistic_vol"))
-    return out(df, ["sq_ret", "sq7_ret", "logistic_vol"])
+    return home(df, ["sq_ret", "sq7_ret", "logistic_vol"])
 
 
 def _array_window(fn, name):
     def q(spark, sf):
-        df = clean(spark, sf).select(*KEY, fn("close_c", 10, win()).alias(name))
-        return out(df, [name])
+        df = seg(spark, sf).select(*KEY, "_home", fn("close_c", 10, sw()).alias(name))
+        return home(df, [name])
+    return q
+
+
+def _day_window(fn, name):
+    def q(spark, sf):
+        return home(fn(seg(spark, sf).select(*KEY, "_seg", "_home", "rn", "close_c"), "close_c", 10, sw(), name), [name])
     return q
 
 
 def q_decay_linear(spark, sf):
-    df = _closes(spark, sf).select(*KEY, W.decay_linear("close", 10, win()).alias("decay10"))
-    return out(df, ["decay10"])
+    df = _closes(spark, sf).select(*KEY, "_home", W.decay_linear("close", 10, sw()).alias("decay10"))
+    return home(df, ["decay10"])
 
 
 # ---------------------------------------------------------------- I*, J1
@@ -261,20 +290,21 @@ def q_scan_index(spark, sf):
 
 def q_index_enrich(spark, sf):
     """Every index level feature joined onto clean stock rows."""
-    j = I.enrich(clean(spark, sf), I.segmented_features(X.index_bars(spark, sf)))
-    return out(j, list(I.INDEX_LEVEL_COLS))
+    j = I.enrich(seg(spark, sf), I.segmented_features(X.index_bars(spark, sf)), w=sw())
+    return home(j, list(I.INDEX_LEVEL_COLS))
 
 
 def q_index_volume_joined(spark, sf):
     """Index volume ratios whose change is taken on the stock's rows."""
-    j = I.enrich(clean(spark, sf), I.segmented_features(X.index_bars(spark, sf)))
-    return out(j, I.JOINED_COLS)
+    j = I.enrich(seg(spark, sf), I.segmented_features(X.index_bars(spark, sf)), w=sw())
+    return home(j, I.JOINED_COLS)
 
 
 # ---------------------------------------------------------------- L*, A*
 
 def _labels(spark, sf):
-    return L.label_columns(clean(spark, sf))
+    closes = seg(spark, sf, G.HALO_FWD).select(*KEY, "_seg", "_home", "close_c")
+    return L.label_columns(closes, ws=G.SEG_WS).filter("_home").drop("_seg", "_home")
 
 
 def q_label_return(spark, sf):
@@ -291,29 +321,29 @@ def q_label_buy_score(spark, sf):
 
 
 def q_label_return_class(spark, sf):
-    return out(L.class_labels(_labels(spark, sf)), [f"resultclass{h}" for h in L.HORIZONS])
+    return out(L.class_labels(_labels(spark, sf), kinds=("",), keep=KEY), [f"resultclass{h}" for h in L.HORIZONS])
 
 
 def q_label_skew_class(spark, sf):
-    return out(L.class_labels(_labels(spark, sf)), [f"resultrelclass{h}" for h in L.HORIZONS])
+    return out(L.class_labels(_labels(spark, sf), kinds=("rel",), keep=KEY), [f"resultrelclass{h}" for h in L.HORIZONS])
 
 
 def q_quantile_edges(spark, sf):
     """A1: per-symbol decile edges of the 4-day forward return, one column per edge."""
-    e = L.quantile_edges(_labels(spark, sf), "result4")
+    e = L.quantile_edges(cut(_labels(spark, sf).select("symbol", "result4"), "values"), "result4")
     cols = [F.element_at("edges", i).alias(f"edge{i}") for i in range(1, 10)]
     return out(e.select("symbol", *cols), [f"edge{i}" for i in range(1, 10)], key=["symbol"])
 
 
 def q_quantile_class(spark, sf):
     """A1 + A2 on a feature: per-symbol decile of the 20-day mean deviation."""
-    f = S.price_volume_features(clean(spark, sf)).select(*KEY, "r20")
+    f = S.price_volume_features(seg(spark, sf).drop("rn"), ws=G.SEG_WS).filter("_home").select(*KEY, "r20")
     return out(L.quantile_class(f, "r20", "r20_class"), ["r20", "r20_class"])
 
 
 def q_label_matrix(spark, sf):
     """The 11 stored labels scaled by 0.1 as model targets."""
-    lab = L.class_labels(_labels(spark, sf))
+    lab = L.class_labels(_labels(spark, sf), keep=[*KEY, *[f"resultbuy{h}" for h in L.BUY_HORIZONS]])
     cols = L.LABEL_COLUMNS
     scaled = lab.select(*KEY, *[(F.col(c) * 0.1).alias(c) for c in cols])
     return out(scaled, cols)
@@ -332,7 +362,12 @@ IND_GROUPS = {
 
 def _ind_group(cols):
     def q(spark, sf):
-        return out(T.indicator_features(clean(spark, sf)), cols)
+        t = seg(spark, sf).drop("rn")
+        if {"obv", "adline"} & set(cols):
+            t = t.join(T.segment_offsets(bars(spark, sf), G.SEG_ROWS), ["symbol", "_seg"], "left")
+        else:
+            t = t.withColumns({"_off_obv": F.lit(0).cast("bigint"), "_off_ad": F.lit(0).cast("decimal(38,0)")})
+        return home(T.indicator_features(t, ws=G.SEG_WS, home="_home"), cols)
     return q
 
 
@@ -346,8 +381,8 @@ REC_GROUPS = {
 
 def _rec_group(group, cols):
     def q(spark, sf):
-        bars = clean(spark, sf).select(*KEY, "high_c", "low_c", "close_c", "volume")
-        return out(R.recurrence_features(bars, (group,)), cols)
+        t = bars(spark, sf).select(*KEY, "_grn", "high_c", "low_c", "close_c", "volume")
+        return out(R.recurrence_features(t, (group,)), cols)
     return q
 
 
@@ -359,9 +394,9 @@ def q_index_macd(spark, sf):
 
 def q_lowpass_filter(spark, sf):
     """T33 + W7: zero-phase low-pass of close against the centred 10-day mean."""
-    lp = R.lowpass_filter(clean(spark, sf))
-    lp = lp.select("*", W.centered_mean("close", win(), 10).alias("cmean10"))
-    return out(lp, ["close", "lowpass", "cmean10"])
+    lp = R.lowpass_filter(clean(spark, sf)).select(*KEY, "close", "lowpass")
+    means = _closes(spark, sf, 5).select(*KEY, "_home", W.centered_mean("close", sw(), 10).alias("cmean10")).filter("_home").drop("_home")
+    return out(lp.join(means, KEY), ["close", "lowpass", "cmean10"])
 
 
 def q_filter_revision(spark, sf):
@@ -389,8 +424,8 @@ QUERIES = {
     "squash": q_squash,
     "ts_rank": _array_window(W.ts_rank, "ts_rank10"),
     "decay_linear": q_decay_linear,
-    "high_day": _array_window(W.high_day, "high_day10"),
-    "low_day": _array_window(W.low_day, "low_day10"),
+    "high_day": _day_window(W.high_day, "high_day10"),
+    "low_day": _day_window(W.low_day, "low_day10"),
     "scan_index": q_scan_index,
     **{k: _index_group(v) for k, v in INDEX_GROUPS.items()},
     "index_enrich": q_index_enrich,
@@ -419,7 +454,7 @@ def q_feature_table(spark, sf):
 
 def q_stock_features(spark, sf):
     """P10 + P11: the per-stock feature set after the intermediate and
-    valuation/raw-label drops (``getStockCharacter`` + trim)."""
+    valuation/raw-label drops and the warm-up trim."""
     ft = FT.feature_table(X.raw_bars(spark, sf), X.index_bars(spark, sf))
     return out(ft, ["close", "open", "low", "high", *FT.STOCK_COLUMNS])
 
@@ -500,28 +535,45 @@ for _name, _q in (("clean_bars_missing", q_clean_bars_missing), ("unreadable_fie
     QUERIES[_name] = _q
 
 
+def clean_up(spark) -> None:
+    """Delete all intermediates and stores of this application's queries; the next query makes its own anew."""
+    for name in _BLOCKS.values():
+        SQ.drop_blocks(spark, name)
+    for known in (_BARS, _STORES, _BLOCKS):
+        known.clear()
+    session_clean_up(spark)
+
+
 def flagship(spark, sf):
     return q_feature_table(spark, sf)
 
 
 # ---------------------------------------------------------------- S*, P*, O*, A4
 
+def _text(b: DataFrame, fields) -> DataFrame:
+    """Bars as a feed gives them: strings, with date and exchange code."""
+    b = C.exchange_prefix(b, out="code")
+    text = {f: (F.col(f"{f}_c") / CENTS).cast("string") for f in ("open", "high", "low", "close", "preclose", "amount") if f"{f}_c" in b.columns}
+    text.update(date=F.col("trade_date").cast("string"), code=F.col("code"), volume=F.col("volume").cast("string"))
+    return b.select("symbol", *[text[f].alias(f) for f in fields])
+
+
 def q_p_change(spark, sf):
-    """S3: simple bars, traded days only, 10x daily change."""
-    w = win()
-    b = X.bars(spark, sf).filter(F.col("volume") > 0)
-    c = F.col("close_c") / CENTS
-    prev = F.lag("close_c", 1).over(w) / CENTS
-    return out(b.select(*KEY, sdiv(F.lit(10.0) * (c - prev), prev).alias("p_change")), ["p_change"])
+    """S3: the simple feed's bars, traded days only, 10x daily change."""
+    path = feed(spark, "simple", _text(X.bars(spark, sf), RD.SIMPLE_FIELDS))
+    got = RD.read_feed(spark, path, RD.SIMPLE_FIELDS).filter("CAST(volume AS BIGINT) > 0")
+    c = got.select("symbol", F.col("date").cast("date").alias("trade_date"), F.col("close").cast("double").alias("close"))
+    t = G.segment(G.row_numbers(c), G.SEG_ROWS, back=1, fwd=0)
+    prev = F.lag("close", 1).over(sw())
+    return home(t.select(*KEY, "_home", sdiv(F.lit(10.0) * (F.col("close") - prev), prev).alias("p_change")), ["p_change"])
 
 
 def q_scan_unadjusted(spark, sf):
     """S4 (+P1): the unadjusted half of a feed that holds both, with exchange code and the feed's previous close."""
-    b = C.exchange_prefix(X.bars(spark, sf), out="code")
-    text = {p: (F.col(f"{p}_c") / CENTS).cast("string") for p in ("open", "high", "low", "close", "amount")}
-    text["preclose"] = (F.lag("close_c", 1).over(win()) / CENTS).cast("string")
-    plain = b.select("symbol", F.col("trade_date").cast("string").alias("date"), "code", *[v.alias(k) for k, v in text.items()],
-                     F.col("volume").cast("string").alias("volume"), F.lit("3").alias(RD.ADJUST_FIELD))
+    b = X.bars(spark, sf)
+    t = G.segment(G.row_numbers(b), G.SEG_ROWS, back=1, fwd=0)
+    b = t.select(*b.columns, "_home", F.lag("close_c", 1).over(sw()).alias("preclose_c")).filter("_home").drop("_home")
+    plain = _text(b, RD.UNADJUSTED_FIELDS).withColumn(RD.ADJUST_FIELD, F.lit("3"))
     other = plain.withColumn("close", F.lit("0")).withColumn(RD.ADJUST_FIELD, F.lit("2"))
     got = RD.read_feed(spark, feed(spark, "adjusted", plain.unionByName(other)), RD.UNADJUSTED_FIELDS, adjust="3")
     number = [F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "preclose", "amount")]
@@ -571,12 +623,12 @@ def q_symbol_counts(spark, sf):
 
 def q_warmup_trim(spark, sf):
     """Bars after each symbol's first 120."""
-    return C.warmup_trim(clean(spark, sf)).select(*KEY, "close_c")
+    return C.warmup_trim(bars(spark, sf)).select(*KEY, "close_c")
 
 
 def q_stride_sample(spark, sf):
     """Every 3rd bar per symbol."""
-    return C.stride_sample(clean(spark, sf), 3).select(*KEY, "close_c")
+    return C.stride_sample(bars(spark, sf), 3).select(*KEY, "close_c")
 
 
 def q_first_symbols(spark, sf):
@@ -586,9 +638,7 @@ def q_first_symbols(spark, sf):
 
 def q_tail_rows(spark, sf):
     """The last 100 bars of each symbol."""
-    w = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
-    c = clean(spark, sf).withColumn("_back", F.row_number().over(w))
-    return c.filter(F.col("_back") <= 100).select(*KEY, "close_c")
+    return C.tail_rows(bars(spark, sf), 100).select(*KEY, "close_c")
 
 
 def q_symbol_chunks(spark, sf):
@@ -601,23 +651,21 @@ def q_symbol_chunks(spark, sf):
 def q_relative_labels(spark, sf):
     """P16 + L7 + L8: amount from OHLC, 5-day return relative to the index,
     lagged index changes, per-symbol decile class; rows with gaps dropped."""
-    w = win()
     days = 5
-    ib = X.index_bars(spark, sf)
-    wi = win(("index_code",))
+    wi = Window.partitionBy("index_code", "_seg").orderBy("trade_date")
+    ib = G.segment(G.row_numbers(X.index_bars(spark, sf), "index_code"), G.SEG_ROWS, back=30, fwd=days)
     idx_close = F.col("close_c") / CENTS
-    ix = ib.select("trade_date",
+    ix = ib.select("trade_date", "_home",
                    sdiv(F.lead("close_c", days).over(wi) / CENTS, idx_close).alias("_idx_fwd"),
                    *[(sdiv(F.lit(40.0) * idx_close, F.lag("close_c", n).over(wi) / CENTS) - 40.0)
-                     .alias(f"szpctchg{n}") for n in (1, 2, 4, 8, 15, 30)])
-    c = C.approx_amount(clean(spark, sf))
+                     .alias(f"szpctchg{n}") for n in (1, 2, 4, 8, 15, 30)]).filter("_home").drop("_home")
+    cols = ["amount", "result", *[f"szpctchg{n}" for n in (1, 2, 4, 8, 15, 30)]]
+    c = C.approx_amount(seg(spark, sf, days))
     close = F.col("close_c") / CENTS
-    c = c.select(*c.columns, sdiv(F.lead("close_c", days).over(w) / CENTS, close).alias("_fwd"))
-    j = c.join(ix, "trade_date", "left")
-    j = j.withColumn("result", F.col("_fwd") - F.col("_idx_fwd"))
+    c = c.select(*KEY, "_home", "amount", sdiv(F.lead("close_c", days).over(sw()) / CENTS, close).alias("_fwd")).filter("_home")
+    j = c.join(ix, "trade_date", "left").withColumn("result", F.col("_fwd") - F.col("_idx_fwd")).select(*KEY, *cols)
     cls = L.quantile_class(j, "result", "resultclass")
-    cols = ["amount", "result", *[f"szpctchg{n}" for n in (1, 2, 4, 8, 15, 30)], "resultclass"]
-    return out(cls.dropna(subset=cols), cols)
+    return out(cls.dropna(subset=[*cols, "resultclass"]), [*cols, "resultclass"])
 
 
 QUERIES.update({
@@ -743,10 +791,11 @@ def q_union_predictions(spark, sf):
 # ---------------------------------------------------------------- A3, E*
 
 def _eval_base(spark, sf):
-    w = win()
-    pv = S.price_volume_features(clean(spark, sf), w)
-    lab = L.class_labels(L.label_columns(pv, horizons=(4,), w=w), horizons=(4,))
-    return lab.select(*KEY, (F.col("close_c") / CENTS).alias("close"),
+    pv = S.price_volume_features(seg(spark, sf, 5).drop("rn"), ws=G.SEG_WS)
+    mean = W.centered_mean(F.col("close_c") / CENTS, sw(), 10)
+    lab = L.label_columns(pv.withColumn("cmean10", mean), horizons=(4,), ws=G.SEG_WS).filter("_home")
+    lab = L.class_labels(lab, horizons=(4,), kinds=("",), keep=[*KEY, "close_c", "r20", "cmean10"])
+    return lab.select(*KEY, (F.col("close_c") / CENTS).alias("close"), "cmean10",
                       (F.lit(0.5) + F.lit(0.4) * F.col("r20")).alias("prediction"),
                       (F.col("resultclass4") * 0.1).alias("truth"))
 
@@ -775,7 +824,6 @@ def q_eval_threshold(spark, sf):
 def q_series_long(spark, sf):
     """Close, centred mean, score and truth as one long table."""
     b = _eval_base(spark, sf)
-    b = b.withColumn("cmean10", W.centered_mean("close", win(), 10))
     return out(EV.series_long(b, ["close", "cmean10", "prediction", "truth"]), ["series", "value"])
 
 
@@ -803,7 +851,7 @@ def q_fit_predict(spark, sf):
 
 
 def q_fit_constant(spark, sf):
-    """M1 in closed form: without any feature the least absolute error is at the median of the training labels."""
+    """M1 in closed form: without any feature the least mean absolute error is that of the training labels' median."""
     data = blocks(spark, sf).select("first", "n", "halo", "len", "close", *FT.LABEL_COLUMNS)
     read = MD.from_blocks(["close"], FT.LABEL_COLUMNS, SEQ)
 
@@ -812,8 +860,8 @@ def q_fit_constant(spark, sf):
             yield x[:, :0], y
 
     model = MD.fit(data, FT.LABEL_COLUMNS, alone, rounds=60, tolerance=0.0)
-    rows = [(c, int(round(1000 * w[0])), model["rows"]) for c, w in zip(model["labels"], model["weights"])]
-    return spark.createDataFrame(rows, "label string, prediction_milli bigint, n_windows bigint")
+    rows = [(c, int(round(100 * e)), model["rows"]) for c, e in zip(model["labels"], model["error"])]
+    return spark.createDataFrame(rows, "label string, error_percent bigint, n_windows bigint")
 
 
 def q_feature_catalog(spark, sf):

@@ -59,9 +59,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_made: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/panelkit/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/panelkit/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -70,3 +75,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession, keep=()) -> None:
+    """Delete what ``cut`` and the stores of this process have written, but for ``keep``.  Results that were made from
+    them must have been read or stored by then; a query makes its tables anew."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in [p for p in _made if p not in keep]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+        _made.remove(path)

@@ -57,3 +57,53 @@ def test_beta_of_a_zero_price_is_defined(spark, sf):
     c = C.clean_bars(X.raw_bars(spark, sf))
     zero = c.withColumn("low_c", F.when(F.dayofmonth("trade_date") == 3, F.lit(0)).otherwise(F.col("low_c")).cast("bigint"))
     assert T.indicator_features(zero).filter("beta IS NOT NULL").count() > 0
+
+
+def _walk(spark, symbols=3, n=700):
+    import datetime as dt
+    import random
+    rng, rows = random.Random(31), []
+    for s in range(symbols):
+        rows += [(f"s{s}", dt.date(2000, 1, 1) + dt.timedelta(days=i), rng.randint(0, 40) if i != 300 else None) for i in range(n - 100 * s)]
+    return rows, spark.createDataFrame(rows, "symbol string, trade_date date, x int").repartition(4)
+
+
+def test_extremes_of_any_window_length(spark):
+    """W5, W14 and W15 by doubling, on segments, against plain lists; no arrays in the plan."""
+    from panelkit.operators import windows as W
+    from panelkit.plans import segments as G
+    from panelkit.plans.queries import sw
+    rows, df = _walk(spark)
+    by = {}
+    for s, d, x in rows:
+        by.setdefault(s, []).append(x)
+    t = G.segment(G.row_numbers(df), 300, back=251, fwd=0).withColumn("rn", F.col("_grn"))
+    for n in (1, 10, 64, 250):
+        a = W.prior_extrema(t, {"hi": ("x", n, "max"), "lo": ("x", n, "min")}, sw())
+        a = W.low_day(W.high_day(a, "x", n, sw(), "hd"), "x", n, sw(), "ld")
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan and "array" not in plan.replace("array_", "")
+        for r in a.filter("_home").collect():
+            x, i = by[r["symbol"]], r["rn"] - 1
+            before, now = x[max(0, i - n):i], x[max(0, i - n + 1):i + 1]
+            full = len(before) == n and None not in before
+            assert (r["hi"], r["lo"]) == ((max(before), min(before)) if full else (None, None))
+            full = len(now) == n and None not in now
+            assert (r["hd"], r["ld"]) == ((n - now.index(max(now)), n - now.index(min(now))) if full else (None, None))
+
+
+def test_edges_by_selection_with_ties_and_crowded_buckets(spark, monkeypatch):
+    """Exact percentiles where one value is a third of all, values crowd in one bucket, and buckets are divided."""
+    import random
+    rng, rows = random.Random(5), []
+    for i in range(3_000):
+        rows += [("crowd", 0.5 + rng.random() / 1e5), ("ties", rng.choice([0.0, 0.0, rng.uniform(-3, 3), None])), ("wide", rng.gauss(0, 1e3))]
+    rows += [("one", 0.25), ("none", None), ("two", -1.0), ("two", 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, v double").repartition(4).persist()
+    pct = F.percentile("v", F.array(*[F.lit(i / 10) for i in range(1, 10)]))
+    want = {r["symbol"]: r["a"] for r in df.filter("v IS NOT NULL").groupBy("symbol").agg(F.transform(pct, lambda e: F.bround(e, 3)).alias("a")).collect()}
+    for crowded in (100_000, 20):
+        monkeypatch.setattr(L, "CROWDED", crowded)
+        got = {r["symbol"]: r["edges"] for r in L.quantile_edges(df, "v").collect()}
+        assert got == want
+    df.unpersist()
