@@ -1,10 +1,11 @@
 """Operator 5, sharding by sampled splitters.  Law: ``bytes``, shards of near equal size.
 
-Records are put in one order (hash of the text, hash of the doc_id, doc_id), in
-which equal texts are neighbours.  A size-weighted sample of keys gives
-quantile boundaries, which cut the order into ranges; exact counts then find
-overfull ranges, and these are subdivided, a range that holds one hot key by
-the doc_id's hash.  Prefix sums over the exact bytes of the cells give every
+Records are put in one order (hash of the text, hash of the doc_id, hash of the
+row number), in which equal texts are neighbours.  A size-weighted sample of
+keys gives quantile boundaries, which cut the order into ranges; exact counts
+then find overfull ranges.  In these, keys with many rows, again by exact
+counts, get a range of their own, which is subdivided by the doc_id's hash, and
+there a doc_id with many rows by the row's; other overfull ranges by the key.  Prefix sums over the exact bytes of the cells give every
 record its place, and the shards are cut at the exact quantiles of the bytes.
 Where a small group of equal texts would be cut, the cut moves to the group's
 nearer end; a group too large for that is cut, as the law demands.
@@ -29,55 +30,86 @@ def _hash52(c: Column) -> Column:
 
 
 def records(df: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, key, tie, row: all that sharding needs to know of a document.  Null texts count as empty."""
+    """doc_id, size, text_crc32, key, tie, row, mix: all that sharding needs to know of a document.  Null texts count as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
     tie = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return df.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), _hash52(text).alias("key"), _hash52(tie).alias("tie"), F.monotonically_increasing_id().alias("row"))
+    return df.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), _hash52(text).alias("key"), _hash52(tie).alias("tie"), F.monotonically_increasing_id().alias("row")).withColumn("mix", F.shiftrightunsigned(F.xxhash64("row"), 64 - BITS))
 
 
 def splitters(recs: DataFrame, total: int) -> list[int]:
     """Boundaries of the ranges: quantiles of a size-weighted sample of about SAMPLES keys.
 
-    A key that is several quantiles gets a range of its own.  Rows are drawn by their number, so that repeated ones
+    Rows are drawn by their number, so that repeated ones
     are not drawn all at once.
     """
     rate = SAMPLES / max(total, 1)
     u = F.pmod(F.xxhash64("row"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     drawn = recs.where(u < F.col("size") * rate).select("key", F.greatest(F.lit(1.0), F.col("size") * rate).alias("weight")).collect()
     drawn.sort()
-    step, at, bounds, last = sum(w for _, w in drawn) / RANGES, 0.0, {0}, None
+    step, at, bounds = sum(w for _, w in drawn) / RANGES, 0.0, {0}
     for key, weight in drawn:
         before, at = at, at + weight
-        hits = int(at / step) - int(before / step) if step else 0
-        if hits:
+        if step and int(at / step) > int(before / step):
             bounds.add(key)
-            if hits > 1 or last == key:
-                bounds.add(key + 1)
-            last = key
     return sorted(bounds)
 
 
-def cells(recs: DataFrame, bounds: list[int], rows: int) -> DataFrame:
-    """``cell`` for each record: its range, subdivided where exact counts say it is overfull.  Cells follow the order."""
+def _ranged(recs: DataFrame, bounds: list[int]) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
     edges = [float(b) for b in bounds] + [float(1 << BITS)]
     if len(edges) < 3:
-        ranged = recs.withColumn("range", F.lit(0))
-    else:
-        ranged = Bucketizer(splits=edges, inputCol="x", outputCol="range").transform(recs.withColumn("x", F.col("key").cast("double"))).drop("x").withColumn("range", F.col("range").cast("int"))
+        return recs.withColumn("range", F.lit(0))
+    got = Bucketizer(splits=edges, inputCol="x", outputCol="range").transform(recs.withColumn("x", F.col("key").cast("double")))
+    return got.drop("x").withColumn("range", F.col("range").cast("int"))
+
+
+def cells(recs: DataFrame, bounds: list[int], rows: int) -> DataFrame:
+    """``cell`` for each record: its range, subdivided where exact counts say it is overfull.  Cells follow the order.
+
+    The driver holds range counts and the keys and ids that have over half a cell's rows: 2 * rows / cell at most.
+    """
     most = min(CELL_ROWS, max(1, 2 * rows // RANGES))
-    counts = dict(ranged.groupBy("range").agg(F.count("*").alias("n")).collect())  # RANGES rows or so
+    count = lambda df, *by: {r[:-1] if len(by) > 1 else r[0]: r["n"] for r in df.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > (0 if by == ("range",) else most // 2)).collect()}
+    ranged = _ranged(recs, bounds)
+    counts = count(ranged, "range")
+    full = [r for r, n in counts.items() if n > most]
+    hot = count(ranged.where(F.col("range").isin(full)), "key") if full else {}
+    if hot:
+        bounds = sorted({*bounds, *hot, *(k + 1 for k in hot if k + 1 < 1 << BITS)})
+        ranged = _ranged(recs, bounds)
+        counts = count(ranged, "range")
+    width = float(1 << BITS)
+    edges = [float(b) for b in bounds] + [width]
+    single = [r for r, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi - lo <= 1 and counts.get(r, 0) > most]
+    ties: dict[int, list] = {}
+    for (r, tie), n in sorted((count(ranged.where(F.col("range").isin(single)), "range", "tie") if single else {}).items()):
+        ties.setdefault(r, []).append((tie, n))
     plan, base = [], 0
     for r, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        subs = max(1, -(-counts.get(r, 0) // most))
-        by_tie = hi - lo <= 1
-        plan.append((r, base, subs, by_tie, 0.0 if by_tie else lo, float(1 << BITS) if by_tie else hi - lo))
-        base += subs
-    small = recs.sparkSession.createDataFrame(plan, "range int, base long, subs long, by_tie boolean, lo double, width double")
-    x = F.when(F.col("by_tie"), F.col("tie")).otherwise(F.col("key"))
-    sub = F.least(F.col("subs") - 1, F.floor((x - F.col("lo")) / F.col("width") * F.col("subs")))
-    # one row a range: at most 2 * RANGES + 1 of them
-    return ranged.join(F.broadcast(small), "range").withColumn("cell", (F.col("base") + sub).cast("long")).select(*recs.columns, "cell")
+        n, parts = counts.get(r, 0), []  # (first tie, what divides it, from where, how wide, rows)
+        if r in single:
+            rest, at = n - sum(k for _, k in ties.get(r, ())), 0.0
+            for tie, k in ties.get(r, ()):
+                if tie > at:
+                    parts.append((at, "tie", at, tie - at, rest * (tie - at) / width))
+                parts.append((float(tie), "mix", 0.0, width, k))
+                at = tie + 1.0
+            if at < width:
+                parts.append((at, "tie", at, width - at, rest * (width - at) / width))
+        else:
+            parts.append((0.0, "key", lo, hi - lo, n))
+        first = []
+        for *_, k in parts:
+            first.append((base, subs := max(1, -(-int(k) // most))))
+            base += subs
+        plan.append((r, [int(p[0]) for p in parts], [p[1] for p in parts], [p[2] for p in parts], [p[3] for p in parts], [b for b, _ in first], [k for _, k in first]))
+    small = recs.sparkSession.createDataFrame(plan, "range int, ties array<long>, what array<string>, lo array<double>, width array<double>, base array<long>, subs array<long>")
+    part = F.size(F.filter("ties", lambda t: t <= F.col("tie"))) - 1
+    at = lambda c: F.get(c, F.col("part"))
+    x = F.when(at("what") == "key", F.col("key")).when(at("what") == "tie", F.col("tie")).otherwise(F.col("mix"))
+    sub = F.least(at("subs") - 1, F.floor((x - at("lo")) / at("width") * at("subs")))
+    # a row a range, of which there are RANGES and two per key of over half a cell
+    return ranged.join(small, "range").withColumn("part", part).withColumn("cell", (at("base") + sub).cast("long")).select(*recs.columns, "cell")
 
 
 def shard(df: DataFrame, n_shards: int = 8, slack: float = GROUP_SLACK) -> DataFrame:
@@ -92,7 +124,7 @@ def shard(df: DataFrame, n_shards: int = 8, slack: float = GROUP_SLACK) -> DataF
     sums = celled.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # over cells, not records
     starts = sums.select("cell", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("cell_at"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cell_rank"))
-    inside = Window.partitionBy("cell").orderBy("key", "tie", "doc_id", "row")
+    inside = Window.partitionBy("cell").orderBy("key", "tie", "mix", "row")
     placed = written(
         celled.withColumn("at", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("rank", F.row_number().over(inside) - 1)
         .join(starts, "cell").select("doc_id", "size", "text_crc32", "key", (F.col("at") + F.col("cell_at")).alias("at"), (F.col("rank") + F.col("cell_rank")).alias("rank")), "shard-placed")

@@ -42,6 +42,23 @@ def test_hot_text_is_subdivided_and_small_groups_stay_whole(spark):
     assert sorted(len(s) for s in groups.values())[:-1] == [1] * (len(groups) - 1)  # all but the hot one
 
 
+def test_hot_keys_below_a_quantile_and_repeated_rows(spark, monkeypatch):
+    """A text of half a quantile, one of many, and one row repeated very often: no cell holds much more than its share."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", 200)
+    docs = [(i, f"text number {i} of its own") for i in range(30_000)] + [(50_000 + i, "half a quantile") for i in range(300)]
+    docs += [(60_000 + i, "very many") for i in range(9_000)] + [(70_000, "one row over and over")] * 20_000 + [(60_007, "very many")] * 3_000 + [(None, None)] * 2_000
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    recs = sharding.written(sharding.records(df), "test-records")
+    total = sum(len((t or "").encode()) + 1 for _, t in docs)
+    cells = sharding.cells(recs, sharding.splitters(recs, total), len(docs)).groupBy("cell").count().collect()
+    assert sum(r["count"] for r in cells) == len(docs) and max(r["count"] for r in cells) <= 2 * 200
+    sizes = verify(sharding.shard(df).collect(), docs)
+    assert max(sizes.values()) - min(sizes.values()) < 0.02 * total / 8
+    equal = spark.createDataFrame([(7, "x")] * 100_000, "doc_id long, text string").repartition(8)
+    recs = sharding.written(sharding.records(equal), "test-records")
+    assert max(r["count"] for r in sharding.cells(recs, sharding.splitters(recs, 200_000), 100_000).groupBy("cell").count().collect()) <= 2 * 200
+
+
 def test_order_is_the_documented_one(spark, sf):
     """Shards and slots follow (hash of text, hash of id) whatever the sample drew."""
     rows = sharding.op5_sharding(spark, sf).collect()
