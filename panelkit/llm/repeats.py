@@ -39,6 +39,7 @@ LENGTH = 100  # bytes
 K = 50  # bytes of an anchor
 WINDOW = LENGTH - K + 1  # places of an anchor in a window; a run of one anchor has so many windows at most
 BLOCK_BITS = 9  # 512 consecutive rows are a block
+LONG = 65_536  # bytes beyond which a text is a block of its own, so that a block is 32 MB of texts at most, or one text
 STEP = 1 << 19  # windows worked on at once; places fit PLACE bits
 PLACE = np.uint64((1 << 20) - 1)
 BUCKET_BYTES = 8_000_000  # of text, per bucket of anchors
@@ -118,9 +119,13 @@ def _by_key(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(key[0]).sortWithinPartitions(*key)
 
 
+def _block(n_bytes):
+    return F.when(n_bytes > LONG, -1 - F.col("row")).otherwise(F.shiftright("row", BLOCK_BITS)).alias("block")
+
+
 def _documents(rows: DataFrame) -> DataFrame:
     """block, row, doc_id, text of ``rows`` (row, doc_id, text)."""
-    return slim_texts(rows, "row", "doc_id").select(F.shiftright("row", BLOCK_BITS).alias("block"), "row", "doc_id", "text")
+    return slim_texts(rows, "row", "doc_id").select(_block(F.octet_length("text")), "row", "doc_id", "text")
 
 
 def repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
@@ -130,7 +135,7 @@ def repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
         for block, docs in _grouped(rows):
             texts = [d[3].encode("utf-8", "surrogatepass") for d in docs]
             text, _, _, anchor = anchor_runs(texts)
-            digest = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64) >> np.uint64(25)  # 39 bits
+            digest = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64) >> np.uint64(1)  # 63 bits, and one for a mark
             order = np.lexsort((text, anchor))
             text, anchor = text[order], anchor[order]
             twice = np.zeros(len(text), bool)
@@ -148,13 +153,13 @@ def repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
             ends = np.cumsum(np.bincount(bucket, minlength=buckets))
             for b in np.unique(bucket).tolist():
                 part = slice(ends[b - 1] if b else 0, ends[b])
-                yield b, block, _cut(anchor[part], 6) + _cut(holder[part], 5)
+                yield b, block, _cut(anchor[part], 6) + holder[part].tobytes()
 
     def settle(rows):
         for _, parts in _grouped(rows):
-            size = [len(p) // 11 for _, _, p in parts]
+            size = [len(p) // 14 for _, _, p in parts]
             anchor = np.concatenate([_uncut(p[:6 * n], 6) for n, (_, _, p) in zip(size, parts)])
-            holder = np.concatenate([_uncut(p[6 * n:], 5) for n, (_, _, p) in zip(size, parts)])
+            holder = np.concatenate([np.frombuffer(p[6 * n:], "<u8") for n, (_, _, p) in zip(size, parts)])
             block = np.repeat(np.array([b for _, b, _ in parts], np.int64), size)
             order = np.lexsort((holder, anchor))
             anchor, holder, block = anchor[order], holder[order], block[order]
@@ -178,7 +183,7 @@ def repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
 def candidates(rows: DataFrame, anchors: DataFrame, copies: DataFrame) -> DataFrame:
     """block, payload, bytes: the block's documents that hold repeated anchors, with the runs of these; written.
 
-    copies: row of each later copy of a whole text, which has no say.
+    copies: row and block of each later copy of a whole text, which has no say.
     """
     import zstandard
 
@@ -208,7 +213,7 @@ def candidates(rows: DataFrame, anchors: DataFrame, copies: DataFrame) -> DataFr
             yield block, press.compress(pickle.dumps(work)), int(count.sum()) + (LENGTH - 1) * len(count)
 
     docs = map_rows(_documents(rows), pack, "block long, kind int, payload binary")
-    later = copies.select(F.shiftright("row", BLOCK_BITS).alias("block"), F.lit(1).alias("kind"), F.col("row").alias("payload"))
+    later = copies.select("block", F.lit(1).alias("kind"), F.col("row").alias("payload"))
 
     def as_bytes(rows):
         for block, kind, row in rows:
@@ -353,12 +358,12 @@ def repeats(rows: DataFrame, number: str, with_text: bool = False) -> DataFrame:
     """
     rows = rows.select(F.col(number).alias("row"), "doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = written(rows.select("row", "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole")), "repeat-documents")
+    base = written(rows.select("row", "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"), _block(F.octet_length(text))), "repeat-documents")
     order = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "row")
     firsts = base.where(F.col("n_bytes") >= LENGTH).groupBy("whole").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1").select("whole", F.col("f.row").alias("first"))
     # a text that very many documents hold is dealt over SALTS tasks
     salted = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    copies = written(base.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["whole", "salt"]).where("row != first").select("row"), "repeat-copies")
+    copies = written(base.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["whole", "salt"]).where("row != first").select("row", "block"), "repeat-copies")
     total = base.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     anchors = repeated_anchors(rows, max(16, total // BUCKET_BYTES))
     work = candidates(rows, anchors, copies)
@@ -366,7 +371,7 @@ def repeats(rows: DataFrame, number: str, with_text: bool = False) -> DataFrame:
     spans = work.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     masks = _settle_spans(_send_spans(work, max(16, spans // SHARD_BYTES)))
     changed = _add_up(work, masks, with_text).withColumnRenamed("sha256", "rest")
-    out = base.join(copies.withColumn("copy", F.lit(True)), "row", "left").join(changed, "row", "left")
+    out = base.join(copies.select("row", F.lit(True).alias("copy")), "row", "left").join(changed, "row", "left")
     none = F.lit(0).cast("long")
     return out.select(
         "row", "doc_id", "n_bytes",

@@ -142,8 +142,10 @@ def suffix_array(t: np.ndarray, size: int, depth: int) -> np.ndarray:
 def permuted_prefixes(t: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """For each position of ``order`` after the first: its common prefix with the one before it, up to ``most``.
 
-    Permuted: worked out by text position, in which each value is at least the left neighbour's less one, so that
-    only what that does not settle is compared, eight characters at a time.
+    Permuted: worked out in order of text position, so that neighbouring comparisons read neighbouring text, eight
+    characters at a time.  The bound that each value is at least its left neighbour's less one is not used: it holds
+    for a full order of all suffixes, while ``order`` has the windows' only and leaves those open that agree over
+    ``most``.
     """
     n, m = len(t), len(order)
     if m < 2:
