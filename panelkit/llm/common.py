@@ -9,7 +9,6 @@ from __future__ import annotations
 import gc
 import os
 import sys
-import tempfile
 import time
 import uuid
 from contextlib import contextmanager
@@ -17,6 +16,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.session import checkpoint_dir
+
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -24,13 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); set here only where it is unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="panelkit-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+#: The folder that driver and executors share (``spark.checkpoint.dir``).  Where it is unset, a local session gets a
+#: scratch folder; on a cluster that is an error.
+shared_dir = checkpoint_dir
 
 
 _scopes: dict[str, list[str]] = {}
@@ -76,6 +73,11 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Delete all tables that queries of this package have written; for when their results have been stored or read."""
+    sweep(spark, *list(_scopes))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that nothing reads any more."""
     for t in tables:
@@ -89,8 +91,8 @@ def sweep(spark: SparkSession, *names: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished work now: it does so when the driver collects its garbage, and
-    the JVM's only goes once Python's is gone."""
+    """Ask for what lets Spark drop the shuffle files of finished work: it does so when the driver collects its
+    garbage, and the JVM's only goes once Python's is gone.  Nothing depends on it but the room on disk."""
     for _ in range(3):
         gc.collect()
         spark.sparkContext._jvm.System.gc()

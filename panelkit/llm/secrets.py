@@ -36,7 +36,7 @@ HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")  # the same spans: a run of the class is matched whole or not at all
 #: Stretches that may decode.  Lines of base64 are one stretch; what else stands before or after it is decoded along with it.
 PERCENT_ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})")
-UNICODE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+UNICODE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U00((?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4})|\\u\{0*((?:10|[0-9A-Fa-f])?[0-9A-Fa-f]{1,4})\}")
 _C, _LINE = "[A-Za-z0-9+/_-]", r"[ \t]*\r?\n[ \t]*"
 BASE64 = re.compile(f"(?<!{_C})(?:{_C}{{1,15}}{_LINE})?{_C}{{16,}}(?:{_LINE}{_C}{{16,}})*(?:={{1,2}}|{_LINE}{_C}{{1,15}}={{0,2}})?")
 BASE64_LINE = re.compile(f"{_C}+={{0,2}}")

@@ -43,7 +43,15 @@ def test_normal_equations_and_isotonic_are_plain_ones(spark, sf):
     solve = lambda p, t: np.linalg.solve(p.T @ p + q.RIDGE * len(t) * np.eye(p.shape[1]), p.T @ t)
     assert np.allclose(model.weights, solve(phi, y), atol=1e-6)
     raw = np.where(f == 0, phi @ solve(phi[f == 2], y[f == 2]), phi @ solve(phi[f == 0], y[f == 0]))
-    assert len(raw) and all(a[0] < b[0] and a[1] < b[1] for a, b in zip(model.knots, model.knots[1:]))
+    assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(model.knots, model.knots[1:]))
+    bins = np.clip(np.floor(raw * q.BINS), -1, q.BINS)
+    level = [(b, y[bins == b].sum(), (bins == b).sum()) for b in np.unique(bins)]
+    mean_of = lambda part: sum(s for _, s, _ in part) / sum(n for _, _, n in part)
+    fitted = [max(min(mean_of(level[j:k + 1]) for k in range(i, len(level))) for j in range(i + 1)) for i in range(len(level))]  # the min-max formula
+    assert np.allclose(sorted({round(v, 9) for v in fitted}), [v for _, v in model.knots])
+    for at, v in model.knots:
+        mine = [(b, n) for (b, _, n), w in zip(level, fitted) if abs(w - v) < 1e-9]
+        assert np.isclose(at, sum((b + 0.5) / q.BINS * n for b, n in mine) / sum(n for _, n in mine))
     feats.unpersist()
 
 
