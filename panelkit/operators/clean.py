@@ -71,21 +71,6 @@ def typed_bars(raw: DataFrame) -> DataFrame:
     return t.withColumn("_ok", F.col("_ok") & (F.col("psTTM") > 0) & F.col("symbol").isNotNull() & F.col("trade_date").isNotNull())
 
 
-def parse_raw_bars(raw: DataFrame) -> DataFrame:
-    """P2 + P3: drop suspended days on the raw strings, then cast."""
-    return typed_bars(raw.filter(traded())).drop("_ok")
-
-
-def positive_ps(df: DataFrame) -> DataFrame:
-    """Keep bars with a positive price-to-sales ratio."""
-    return df.filter(F.col("psTTM") > 0)
-
-
-def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop rows with any missing field."""
-    return df.dropna(how="any")
-
-
 def clean_bars(raw: DataFrame) -> DataFrame:
     """S1 + P2-P6: raw feed strings to typed, gated bars."""
     return typed_bars(raw).filter("_ok").drop("_ok")

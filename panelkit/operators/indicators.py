@@ -69,8 +69,8 @@ def indicator_stages(ws: str = E.WS, home: str | None = None):
            "_sjy14": wsum("_s_jc", LINREG_N), "_sc5": wsum("_s_c", VAR_N), "_sc2_5": wsum("_s_c2", VAR_N),
            "_sc12": wsum("_s_c", APO_FAST), "_sc26": wsum("_s_c", APO_SLOW),
            "_stp14": wsum("_s_tp", CCI_N), "_tps14": E.over(f"collect_list({tp3})", ws, E.rows(-(CCI_N - 1), 0)),
-           "_hi15": E.over("collect_list(high_c)", ws, E.rows(-AROON_N, 0)),
-           "_lo15": E.over("collect_list(low_c)", ws, E.rows(-AROON_N, 0)),
+           "_hi15": E.over("max(named_struct('v', high_c, 'at', rn))", ws, E.rows(-AROON_N, 0)),
+           "_lo15": E.over("min(named_struct('v', low_c, 'at', -rn))", ws, E.rows(-AROON_N, 0)),
            "_sho26": wsum("_s_ho", ARBR_N), "_sol26": wsum("_s_ol", ARBR_N), "_srng26": wsum("_s_rng", ARBR_N),
            "_stp20": wsum("_s_tp", HELPER_CCI_N), "_stp2_20": wsum("_s_tp2", HELPER_CCI_N),
            "_sup20": wsum("_s_up", UPRATIO_N),
@@ -113,8 +113,7 @@ def indicator_stages(ws: str = E.WS, home: str | None = None):
     f["stddev"] = E.clip(f"(CASE WHEN {sd} >= 0 THEN pow({sd}, 0.25D) END) - 1.0D")
     apo = f"(_sc12 / {E.d(APO_FAST * CENTS)} - _sc26 / {E.d(APO_SLOW * CENTS)})"
     f["apo"] = E.clip(f"0.5D * {apo}")
-    since_hi = "(array_position(reverse(_hi15), array_max(_hi15)) - 1)"
-    since_lo = "(array_position(reverse(_lo15), array_min(_lo15)) - 1)"
+    since_hi, since_lo = "(rn - _hi15.at)", "(rn + _lo15.at)"  # the latest of equals
     up = f"(CASE WHEN rn >= {AROON_N + 1} THEN 100.0D * ({AROON_N} - {since_hi}) / {E.d(AROON_N)} END)"
     dn = f"(CASE WHEN rn >= {AROON_N + 1} THEN 100.0D * ({AROON_N} - {since_lo}) / {E.d(AROON_N)} END)"
     f["ardown"] = f"0.02D * {dn} - 1.0D"

@@ -25,7 +25,6 @@ from panelkit.plans import segments as G
 SEQ_SINGLE, SEQ_PANEL = 10, 50
 PREDICT_WINDOWS, TEST_WINDOWS = 10, 90
 ROWS = 256  # of a block
-BUCKETS = 64  # of the stored blocks
 
 
 def dense_blocks(df: DataFrame, features, others=(), back: int = SEQ_PANEL - 1, rows: int = ROWS, key: str = "symbol") -> DataFrame:
@@ -47,8 +46,11 @@ def dense_blocks(df: DataFrame, features, others=(), back: int = SEQ_PANEL - 1,
                       *[F.col("r").getField(c).alias(c) for c in ["dates", "nulls", *features, *others]])
 
 
-def store_blocks(blocks: DataFrame, path: str, name: str, buckets: int = BUCKETS, key: str = "symbol") -> DataFrame:
-    """The blocks as a table bucketed by ``key`` and sorted: grouping by it needs no exchange."""
+def store_blocks(blocks: DataFrame, path: str, name: str, buckets: int | None = None, key: str = "symbol") -> DataFrame:
+    """The blocks as a table bucketed by ``key`` and sorted: grouping by it needs no exchange.
+
+    Each writing task makes a file per bucket that it has rows of.  buckets: as many as shuffle partitions if not given."""
+    buckets = buckets or int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks.write.bucketBy(buckets, key).sortBy(key, "block").option("path", path).format("parquet").saveAsTable(name)
     return blocks.sparkSession.table(name)
 

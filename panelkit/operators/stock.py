@@ -28,11 +28,6 @@ VOL_NS = (5, 10, 20, 40, 80)
 VOL_CROSS = {"v3_9": (3, 9), "v5_20": (5, 20), "v9_50": (9, 50)}
 VOLUME_SCALE = 1e6
 
-# P10: intermediates dropped after the features (kept until then).
-INTERMEDIATES = ["max20", "max60", "max120", "min20", "min60", "min120", "sma5", "sma10",
-                 "sma20", "sma40", "sma80", "volume", "preclose", "amount", "avg_price",
-                 "day_price"]
-
 
 def valuation_exprs() -> dict:
     """V1-V6 as SQL expressions over the clean bar columns."""
@@ -127,8 +122,7 @@ def price_volume_features(df: DataFrame, w: WindowSpec | None = None, ws: str =
     """F1-F18 on clean bars (integer cents, whole shares).
 
     Input needs ``symbol, trade_date, open_c, high_c, low_c, close_c, volume,
-    amount``.  Output keeps the P10 intermediates; ``drop_intermediates``
-    removes them.  ``volume``/``amount`` come out scaled to millions.
+    amount``.  Output keeps the P10 intermediates.  ``volume``/``amount`` come out scaled to millions.
     """
     st1, st1b_all, st2, f = price_volume_exprs(ws)
     s = df.selectExpr("*", *E.alias(st1))
@@ -138,8 +132,3 @@ def price_volume_features(df: DataFrame, w: WindowSpec | None = None, ws: str =
     scratch = {c for c in (*st1, *[k for st in st1b_all for k in st], *st2) if c.startswith("_") or c == "rn"}
     keep = [E.q(c) for c in s.columns if c not in scratch and c not in f]
     return s.selectExpr(*keep, *E.alias(f))
-
-
-def drop_intermediates(df: DataFrame) -> DataFrame:
-    """P10: drop the 16 intermediates (names that are absent are ignored)."""
-    return df.drop(*INTERMEDIATES)

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from panelkit.functions import col, rolling_frame, rolling_sum_prefix, win
 
 
-def with_rn(df: DataFrame, w: WindowSpec | None = None, name: str = "rn") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(w or win()))
-
-
 def lag(x, n: int, w: WindowSpec) -> Column:
     """``shift(n)``."""
     return F.lag(col(x), n).over(w)
@@ -36,8 +32,7 @@ def rolling_means(df: DataFrame, x: str, ns, scale: float = 1.0, prefix: str = "
     """
     w = w or win()
     cs = f"_cs_{x}"
-    out = df if "rn" in df.columns else with_rn(df, w)
-    out = out.withColumn(cs, F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = df.withColumn(cs, F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return out.select(*out.columns, *[
         (rolling_sum_prefix(cs, n, w) / (scale * n)).alias(f"{prefix}{n}") for n in ns
     ]).drop(cs)

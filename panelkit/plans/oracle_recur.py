@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 
 from panelkit.plans.oracle_base import with_base
-from panelkit.plans.oracle_sql import clip, r6, select_out, sq
+from panelkit.plans.oracle_sql import clip, r6, sq
 
 WS = "PARTITION BY symbol ORDER BY trade_date"
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelkit.functions import CENTS, clip1, r6, rolling_sum_prefix, sdiv, sq, sq7, win
+from panelkit.functions import CENTS, clip1, rolling_sum_prefix, sdiv, sq, sq7
 from panelkit.functions import sql as E
 from panelkit.operators import clean as C
 from panelkit.operators import index as I
