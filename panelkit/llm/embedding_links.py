@@ -6,7 +6,9 @@ cell h is replicated to the cell of p if its distance to the plane between h
 and p, (d(u,p)^2 - d(u,h)^2) / (2 d(p,h)), is at most e: by the triangle
 inequality nothing in that cell is nearer to u than this plane.  So a cell
 holds every partner of its own vectors, and cells are joined independently: a
-block of owners is held, the cell's members stream by.  Equal vectors are one
+block of owners is held, the cell's members stream by.  A cell of many blocks
+is first divided in the same way by pivots of its own, level by level, so that
+cells stay small however many vectors there are.  Equal vectors are one
 vector with a weight.  Cells emit counts and a spanning forest, never pairs.
 """
 
@@ -23,6 +25,10 @@ from panelkit.llm.components import components
 COSINE = 0.98
 BLOCK = 1_024  # owners that a task holds; a larger cell becomes several such blocks
 MAX_PIVOTS = 4_096  # of all labels together, as expected; they are what every task gets
+SUB_PIVOTS = 1_024  # of a cell that is divided, as expected
+LARGE = 4  # blocks of owners beyond which a cell is divided
+LEVELS = 3  # of such divisions
+DEAL = 100_000  # owners of a cell that is divided, per task
 
 
 def vectors(df: DataFrame) -> DataFrame:
@@ -88,17 +94,86 @@ def assign(reps: DataFrame, cosine: float, block: int) -> DataFrame:
     return map_rows(reps.select("node", "label", "dim", "weight", "raw"), run, "node long, label int, dim int, weight long, raw binary, home int, cells array<int>")
 
 
-def cell_links(placed: DataFrame, cosine: float, block: int) -> DataFrame:
+CELL = ["label", "dim", "cell"]
+
+
+def members_of(placed: DataFrame) -> DataFrame:
+    """label, dim, cell, member (0: an owner, in its home; 1: a member, also of its home), node, weight, raw."""
+    owners = placed.select("label", "dim", F.col("home").cast("long").alias("cell"), F.lit(0).alias("member"), "node", "weight", "raw")
+    return owners.unionByName(placed.select("label", "dim", F.explode(F.col("cells").cast("array<bigint>")).alias("cell"), F.lit(1).alias("member"), "node", "weight", "raw"))
+
+
+def divided(rows: DataFrame, cosine: float, block: int) -> DataFrame:
+    """The rows of ``members_of`` with large cells divided by pivots sampled from their owners.
+
+    An owner goes to the cell of its nearest pivot, a member to all that the plane between pivots does not rule out.
+    A cell's pivots go to each of the tasks that its rows are dealt to.
+    """
+    e = sqrt(2 - 2 * cosine) + 1e-9
+
+    def run(stream):
+        import numpy as np
+        at, p, between, held, raws = None, None, None, [], []
+
+        def flush():
+            if not held:
+                return
+            if p is None:  # no pivot drawn: the cell stays as it is
+                yield from ((*r[:3], *r[4:]) for r in held)
+            else:
+                x, n = _unit([r[7] for r in held], at[1])
+                d2 = np.maximum(2 - 2 * (x / n[:, None]) @ p.T, 0)
+                home = d2.argmin(1)
+                near = (d2 - d2[np.arange(len(held)), home][:, None]) / (2 * between[home]) <= e
+                for i, r in enumerate(held):
+                    for j in (home[i:i + 1] if r[4] == 0 else np.flatnonzero(near[i])).tolist():
+                        yield r[0], r[1], (r[2] + 1) * (8 * SUB_PIVOTS) + j, *r[4:]  # another number than any cell's that is not divided
+            held.clear()
+
+        for r in stream:  # label, dim, cell, salt, member (-1: a pivot), node, weight, raw
+            if r[:4] != at:
+                yield from flush()
+                at, p, raws = r[:4], None, []
+            if r[4] < 0:
+                raws.append(r[7])
+                continue
+            if raws:
+                x, n = _unit(sorted(raws)[:8 * SUB_PIVOTS], at[1])
+                p, raws = x / n[:, None], []
+                between = np.sqrt(np.maximum(2 - 2 * p @ p.T, 0))
+                between = np.where(between < 1e-7, np.inf, between)
+            held.append(r)
+            if len(held) >= 512:
+                yield from flush()
+        yield from flush()
+
+    for _ in range(LEVELS):
+        large = written(rows.where("member = 0").groupBy(*CELL).agg(F.count("*").alias("n")).where(F.col("n") > LARGE * block), "large-cells")
+        if large.isEmpty():
+            break
+        deal = F.ceil(F.col("n") / DEAL).cast("int")
+        u = F.pmod(F.xxhash64("raw", "cell"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        mine = rows.join(large, CELL)
+        drawn = mine.where("member = 0").where(u < F.least(F.lit(1.0 / block), F.lit(float(SUB_PIVOTS)) / F.col("n")))
+        drawn = drawn.select(*CELL, F.explode(F.sequence(F.lit(0), deal - 1)).alias("salt"), F.lit(-1).alias("member"), "node", "weight", "raw")
+        dealt = mine.select(*CELL, F.pmod(F.xxhash64("node"), deal).cast("int").alias("salt"), "member", "node", "weight", "raw").unionByName(drawn)
+        ordered = dealt.repartition(*CELL, "salt").sortWithinPartitions(*CELL, "salt", "member")
+        split = map_rows(ordered, run, "label int, dim int, cell long, member int, node long, weight long, raw binary")
+        rows = written(rows.join(large, CELL, "left_anti").select(*CELL, "member", "node", "weight", "raw").unionByName(split), "divided-cells")
+    return rows
+
+
+def cell_links(rows: DataFrame, cosine: float, block: int) -> DataFrame:
     """(node, label, dim, raw, links, null) for each vector and (a, null, null, null, null, b) for each edge of a spanning forest.
 
-    links: weight of all other different vectors linked with it.
+    rows: as ``members_of`` gives them.  links: weight of all other different vectors linked with it.
     """
-    counts = placed.groupBy("label", "dim", "home").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n")
-    owners = placed.join(counts, ["label", "dim", "home"]).select("label", "dim", F.col("home").alias("cell"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.lit(0).alias("member"), "node", "weight", "raw")
-    members = placed.select("label", "dim", F.explode("cells").alias("home"), "node", "weight", "raw").join(counts, ["label", "dim", "home"])
-    members = members.select("label", "dim", F.col("home").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("member"), "node", "weight", "raw")
+    counts = rows.where("member = 0").groupBy(*CELL).agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n")
+    sized = rows.join(counts, CELL)
+    every = F.when(F.col("member") == 0, F.array(F.pmod(F.xxhash64("node"), "blocks").cast("int"))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = sized.select(*CELL, F.explode(every).alias("block"), "member", "node", "weight", "raw")
     key = ["label", "dim", "cell", "block"]
-    rows = owners.unionByName(members).repartition(*key).sortWithinPartitions(*key, "member")
+    rows = rows.repartition(*key).sortWithinPartitions(*key, "member")
 
     def run(rows):
         import numpy as np
@@ -112,8 +187,9 @@ def cell_links(placed: DataFrame, cosine: float, block: int) -> DataFrame:
             x, n = _unit([r[7] for r in part], at[1])
             ids, weight = np.array([r[5] for r in part]), np.array([r[6] for r in part])
             rough = s["u"] @ (x / n[:, None]).astype("f4").T
-            linked = rough > cosine + 1e-4
-            for i, j in zip(*np.nonzero((rough > cosine - 1e-4) & ~linked)):  # single precision can't tell
+            margin = max(1e-4, 4e-7 * at[1])  # single precision's error grows with the dimension
+            linked = rough > cosine + margin
+            for i, j in zip(*np.nonzero((rough > cosine - margin) & ~linked)):  # single precision can't tell
                 linked[i, j] = (s["x"][i] * x[j]).sum() / (s["n"][i] * n[j]) >= cosine
             linked &= s["id"][:, None] != ids
             s["links"] += linked @ weight
@@ -176,7 +252,7 @@ def near_duplicates(df: DataFrame, cosine: float = COSINE, block: int = BLOCK) -
     pack = _packed()
     reps = written(reps.select("node", "label", F.size("v").alias("dim"), "weight", pack("v").alias("raw")), "embedding-reps")
     placed = written(assign(reps, cosine, block), "embedding-cells")
-    got = written(cell_links(placed, cosine, block), "embedding-links")
+    got = written(cell_links(divided(members_of(placed), cosine, block), cosine, block), "embedding-links")
     trees = components(got.where("b IS NOT NULL").select(F.col("node").alias("a"), "b"))
     links = got.where("b IS NULL").select("label", "dim", "raw", "links", "node").join(reps.select("label", "dim", "raw", "weight"), ["label", "dim", "raw"])
     known = links.join(trees, "node", "left").select("label", "raw", F.coalesce("root", "node").alias("component_id"), (F.col("links") + F.col("weight") - 1).alias("n_links"))

@@ -274,8 +274,12 @@ def brute_links(rows):
     return Counter((v, links[i], u.find(v) if v is not None else None, v is None or u.find(v) == v) for i, (v, _, _, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("block", [1_024, 16])
-def test_embedding_links(spark, block):
+@pytest.mark.parametrize("block,pivots,large", [(1_024, 4_096, 4), (16, 4_096, 4), (3, 6, 1)])
+def test_embedding_links(spark, monkeypatch, block, pivots, large):
+    """In one cell, in many, and in few large ones that are divided level by level."""
+    monkeypatch.setattr(embedding_links, "MAX_PIVOTS", pivots)
+    monkeypatch.setattr(embedding_links, "LARGE", large)
+    monkeypatch.setattr(embedding_links, "DEAL", 20)
     df = spark.createDataFrame(vectors(), EMB).repartition(3)
     got = Counter(tuple(r) for r in embedding_links.near_duplicates(df, block=block).collect())
     assert got == brute_links(vectors())
