@@ -90,22 +90,43 @@ def centered_mean(x: str, w: WindowSpec, n: int = 10) -> Column:
     return F.when(F.count(col(x)).over(frame) == n, F.avg(col(x)).over(frame))
 
 
-def ts_rank(x: str, n: int, w: WindowSpec) -> Column:
-    """Average rank of the newest value in its window / max rank.
-
-    Ranks are 1..n with ties averaged, so max rank = n minus tie effects;
-    computed JVM-side over the frame array.
+def rank_counts(x, n: int):
+    """For each window of the last n values: how many are below its newest value, how many equal it, how many are its
+    greatest.  Rows are taken in blocks of n: a window is the end of the block before and the beginning of its own, so
+    one comparison of the two blocks' values serves n windows.  0 where the window is not full.
+    """
+    import numpy as np
+    out, later, sooner = np.zeros((3, len(x)), np.int64), np.triu(np.ones((n, n), bool), 1), np.tri(n, dtype=bool)
+    for at in range(0, len(x), n):
+        own = x[at:at + n]
+        before = x[at - n:at] if at else np.full(n, np.nan)
+        values = np.concatenate([np.broadcast_to(before, (len(own), n)), np.broadcast_to(own, (len(own), len(own)))], 1)
+        inside = np.concatenate([later[:len(own)], sooner[:len(own), :len(own)]], 1) & ~np.isnan(values)
+        newest, top = own[:, None], np.where(inside, values, -np.inf).max(1, keepdims=True)
+        out[:, at:at + n] = [(inside & m).sum(1) for m in (values < newest, values == newest, values == top)]
+        out[:, at:at + n][:, inside.sum(1) < n] = 0
+    return out
+
+
+def ts_rank(df: DataFrame, x: str, n: int, name: str, key: str = "symbol") -> DataFrame:
+    """Key, trade_date and the average rank of the newest value in its window / the greatest rank.
+
+    ``df``: bars in halo segments; a segment is what one group holds.  Ranks are 1..n with ties averaged, so the
+    greatest is n less the half of what ties with it.  NULL until the window is full, and where it holds a NULL.
     """
-    a = F.collect_list(col(x)).over(w.rowsBetween(-(n - 1), 0))
-    last = F.element_at(a, -1)
-    below = F.size(F.filter(a, lambda v: v < last))
-    equal = F.size(F.filter(a, lambda v: v == last))
-    r_last = below + (equal + 1) / 2.0
-    top = F.array_max(a)
-    below_top = F.size(F.filter(a, lambda v: v < top))
-    eq_top = F.size(F.filter(a, lambda v: v == top))
-    r_max = below_top + (eq_top + 1) / 2.0
-    return F.when(F.size(a) == n, r_last / r_max)
+    kind = dict(df.dtypes)[key]
+
+    def run(group):
+        import numpy as np
+        import pyarrow as pa
+        group = group.sort_by("trade_date")
+        below, equal, top = rank_counts(group.column(x).to_numpy().astype(float), n)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            rank = (below + (equal + 1) / 2.0) / ((n - top) + (top + 1) / 2.0)
+        got = pa.table({key: group.column(key), "trade_date": group.column("trade_date"), name: pa.array(rank, mask=equal == 0)})
+        return got.filter(group.column("_home"))
+
+    return df.select(key, "_seg", "_home", "trade_date", x).groupBy(key, "_seg").applyInArrow(run, f"{key} {kind}, trade_date date, {name} double")
 
 
 def decay_linear(x: str, n: int, w: WindowSpec) -> Column:

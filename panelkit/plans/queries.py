@@ -244,11 +244,9 @@ def q_squash(spark, sf):
     return home(df, ["sq_ret", "sq7_ret", "logistic_vol"])
 
 
-def _array_window(fn, name):
-    def q(spark, sf):
-        df = seg(spark, sf).select(*KEY, "_home", fn("close_c", 10, sw()).alias(name))
-        return home(df, [name])
-    return q
+def q_ts_rank(spark, sf):
+    """The newest close's rank in its 10 rows."""
+    return out(W.ts_rank(seg(spark, sf), "close_c", 10, "ts_rank10"), ["ts_rank10"])
 
 
 def _day_window(fn, name):
@@ -422,7 +420,7 @@ QUERIES = {
     "w_rolling_sum": q_w_rolling_sum,
     "clip_values": q_clip_values,
     "squash": q_squash,
-    "ts_rank": _array_window(W.ts_rank, "ts_rank10"),
+    "ts_rank": q_ts_rank,
     "decay_linear": q_decay_linear,
     "high_day": _day_window(W.high_day, "high_day10"),
     "low_day": _day_window(W.low_day, "low_day10"),

@@ -92,6 +92,28 @@ def test_extremes_of_any_window_length(spark):
             assert (r["hd"], r["ld"]) == ((n - now.index(max(now)), n - now.index(min(now))) if full else (None, None))
 
 
+def test_rank_in_windows_of_any_length(spark):
+    """W12 on segments against plain lists."""
+    from panelkit.operators import windows as W
+    from panelkit.plans import segments as G
+    rows, df = _walk(spark, symbols=2)
+    by = {}
+    for s, d, x in rows:
+        by.setdefault(s, []).append((d, x))
+    t = G.segment(G.row_numbers(df), 300, back=250, fwd=0)
+    for n in (1, 10, 250):
+        got = {(r["symbol"], r["trade_date"]): r["rank"] for r in W.ts_rank(t, "x", n, "rank").collect()}
+        assert len(got) == len(rows)
+        for s, h in by.items():
+            for i, (d, x) in enumerate(h):
+                now = [v for _, v in h[max(0, i - n + 1):i + 1]]
+                if len(now) < n or None in now:
+                    assert got[s, d] is None
+                    continue
+                rank = lambda v: sum(u < v for u in now) + (now.count(v) + 1) / 2
+                assert abs(got[s, d] - rank(x) / rank(max(now))) < 1e-12
+
+
 def test_edges_by_selection_with_ties_and_crowded_buckets(spark, monkeypatch):
     """Exact percentiles where one value is a third of all, values crowd in one bucket, and buckets are divided."""
     import random
