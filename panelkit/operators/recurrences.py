@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from panelkit.functions import clip1, sq
 from panelkit.functions import sql as E
 from panelkit.plans import segments as G
+from panelkit.session import cut
 
 # Periods of the recurrence indicators.
 MACD_FAST, MACD_SLOW, MACD_SIGNAL = 12, 26, 9
@@ -241,10 +242,15 @@ def stop_column(df: DataFrame, key: str = "symbol", rows: int = G.SEG_ROWS) -> D
 
 
 def recurrence_columns(df: DataFrame, which=(*GROUPS, "sar"), key: str = "symbol") -> DataFrame:
-    """Append the raw outputs of the wanted groups to every bar."""
+    """Append the raw outputs of the wanted groups to every bar.  The stop, whose plan reads its bars several times,
+    is worked out on two prices alone and written."""
     linear = [g for g in which if g != "sar"]
-    out = stop_column(df, key) if "sar" in which else df
-    return linear_columns(out, linear, key) if linear else out
+    out = linear_columns(df, linear, key) if linear else df
+    if "sar" not in which:
+        return out
+    narrow = df.select(key, "trade_date", *(["_grn"] if "_grn" in df.columns else []), "high_c", "low_c")
+    stops = cut(stop_column(narrow, key).select(key, "trade_date", "_sar"), "stops")
+    return out.join(stops, [key, "trade_date"], "left")
 
 
 def recurrence_finals() -> dict:

@@ -857,7 +857,7 @@ def q_fit_constant(spark, sf):
         for x, y in read(batch):
             yield x[:, :0], y
 
-    model = MD.fit(data, FT.LABEL_COLUMNS, alone, rounds=60, tolerance=0.0)
+    model = MD.fit(data, FT.LABEL_COLUMNS, alone, rounds=25, tolerance=1e-6)
     rows = [(c, int(round(100 * e)), model["rows"]) for c, e in zip(model["labels"], model["error"])]
     return spark.createDataFrame(rows, "label string, error_percent bigint, n_windows bigint")
 

@@ -88,6 +88,7 @@ def test_stop(spark, bars, panel, rows):
 
 
 def test_nothing_runs_python(bars):
-    plan = R.recurrence_features(bars)._jdf.queryExecution().executedPlan().toString()
-    assert "Pandas" not in plan and "Python" not in plan
-    assert "hashpartitioning(symbol" in plan and "_seg" in plan and "_part" in plan
+    for df, deal in ((R.recurrence_features(bars), "_seg"), (R.stop_column(bars), "_part")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Pandas" not in plan and "Python" not in plan
+        assert "hashpartitioning(symbol" in plan and deal in plan
