@@ -60,3 +60,47 @@ def test_nulls_of_a_flag_are_those_of_the_features(spark):
     assert set(flag.columns) == set(wide.columns) - {"a", "b"}
     assert wide.select(*flag.columns).exceptAll(flag).count() == 0 and flag.count() == wide.count() == 4
     assert SQ.null_symbols(flag).collect() == SQ.null_symbols(wide).collect()
+
+
+def test_edges_of_short_and_hot_keys(spark, monkeypatch):
+    """Ranked and selected keys side by side: the exact percentiles, ties and NULLs included."""
+    from panelkit.operators import labels as L
+    rng = random.Random(9)
+    rows = [(k, None if rng.random() < .1 else round(rng.uniform(-1, 1), d)) for k, n, d in (("hot", 4000, 4), ("ties", 900, 1), ("short", 60, 6), ("one", 1, 3)) for _ in range(n)]
+    rows += [("one", 0.5), ("none", None)]
+    df = spark.createDataFrame(rows, "symbol string, x double").repartition(5)
+    want = {r[0]: r[1] for r in df.where("x IS NOT NULL").groupBy("symbol").agg(F.expr("percentile(x, array(.1, .2, .3, .4, .5, .6, .7, .8, .9))")).collect()}
+    for crowded in (100_000, 1000, 50):
+        monkeypatch.setattr(L, "CROWDED", crowded)
+        got = {r["symbol"]: r["edges"] for r in L.quantile_edges(df, "x").collect()}
+        assert got.keys() == want.keys() == {"hot", "ties", "short", "one"}
+        assert all(abs(a - b) <= 5.1e-4 for k in want for a, b in zip(got[k], want[k], strict=True))
+    monkeypatch.setattr(L, "CROWDED", 100_000)
+    plain = {r["symbol"]: r["edges"] for r in L.quantile_edges(df, "x").collect()}
+    assert plain == got
+
+
+def test_no_copies_after_a_last_segment(spark):
+    """A known size leaves no rows in a segment that has none of its own; without it, the home rows are the same."""
+    from panelkit.plans import segments as G
+    df = spark.range(1, 1001).selectExpr("'s' AS symbol", "id AS _grn", "1000L AS _n")
+    a, b = G.segment(df, 900, back=900, fwd=900), G.segment(df, 900, back=900, fwd=900, size="_n")
+    assert {r[0] for r in a.select("_seg").distinct().collect()} == {0, 1, 2} and {r[0] for r in b.select("_seg").distinct().collect()} == {0, 1}
+    assert a.filter("_seg < 2").exceptAll(b).count() == 0 and a.filter("_home").exceptAll(b.filter("_home")).count() == 0
+
+
+def test_bars_sort_after_the_shuffle_only(spark, sf):
+    """The lines are sent as they are: no partial aggregation, so no sort, before the exchange."""
+    from panelkit.sources import fixtures as X
+    plan = X.bars(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+
+
+def test_sums_do_not_grow_with_partitions(spark, monkeypatch):
+    """M1 sends a bounded number of matrices, one label each, however many partitions the data have."""
+    from panelkit.operators import models as MD
+    df = spark.createDataFrame([([float(i % 7), float(i % 5)], float(i), 1.0) for i in range(400)], "x array<double>, y double, z double").repartition(50)
+    read = MD.from_vectors(["y", "z"])
+    for weights, parts in ((None, 4), ([[0.0] * 3] * 2, 4)):
+        sums, n = MD._sums(df, read, 2, weights, 1e-4, 4)
+        assert n == parts and sums.count() == parts * MD.STRIPS
