@@ -8,6 +8,7 @@ from panelkit import session
 from panelkit.functions import sql as E
 from panelkit.functions import whole
 from panelkit.operators import indicators as T
+from panelkit.operators import labels as L
 from panelkit.plans import queries as Q
 
 
@@ -35,6 +36,11 @@ def test_no_decimal_text_in_results(spark):
     assert "round(" not in _plan(Q.out(df, ["x"], key=["id"]))
 
 
+def test_extremes_of_a_label_are_evaluated_once(spark):
+    plan = _plan(L.label_columns(_bars(spark)))
+    assert plan.count("greatest(") == plan.count("least(") == len(L.HORIZONS)
+
+
 def test_cci_makes_no_lists(spark):
     """The mean deviation by terms: the plain definition, and no list a row."""
     df = T.indicator_features(_bars(spark).withColumns(T.no_offsets())).select("trade_date", "cci")
