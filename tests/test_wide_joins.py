@@ -66,3 +66,23 @@ def test_edges_by_lists(spark, monkeypatch):
 def test_home_segments(spark):
     df = spark.createDataFrame([("a", i) for i in range(1, 21)] + [("b", i) for i in range(1, 12)], "symbol string, _grn long")
     assert sorted(map(tuple, G.home_segments(df, 10).collect())) == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
+
+
+def test_edges_of_symbols_with_one_and_several_segments(spark):
+    """Ranked where the label window left them, or brought together: the same edges, one row a segment."""
+    rng, rows = random.Random(6), []
+    for s, n in (("long", 45), ("short", 20), ("none", 3)):
+        rows += [(s, i + 1, i // 20, dt.date(2001, 1, 1) + dt.timedelta(days=i), None if s == "none" else rng.uniform(-1, 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, _grn long, _seg long, trade_date date, result4 double").repartition(3)
+    got = {(r["symbol"], r["_seg"]): r["_e_result4"] for r in FT.segment_edges(df.select("symbol", "_grn"), df.drop("_grn"), [4], [""], 20).collect()}
+    whole = {r["symbol"]: r["_e_result4"] for r in L.edge_table(df, [4], kinds=[""]).collect()}
+    assert got == {("long", 0): whole["long"], ("long", 1): whole["long"], ("long", 2): whole["long"], ("short", 0): whole["short"], ("none", 0): None}
+    pct = F.percentile("result4", F.array(*[F.lit(i / 10) for i in range(1, 10)]))
+    assert whole["long"] == df.where("symbol = 'long'").agg(F.transform(pct, lambda e: F.bround(e, 3))).first()[0]
+
+
+def test_gates_that_leave_nothing_out_join_nothing(feed):
+    from panelkit.operators import clean as C
+    plan = C.gated_bars(feed[0])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert C.gated_bars(feed[0], min_clean=340).count() == 0 and C.gated_bars(feed[0].where("symbol = '000002' OR date < '1995-02-01'"), 50, 300).count() == 340
